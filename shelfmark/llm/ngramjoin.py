@@ -291,15 +291,13 @@ def join_documents(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFra
     docs = docs.select("doc_id", "text")
     classes = cut(docs.mapInArrow(_classes(size), "doc_id long, cls long, n long"))
     counts = cut(docs.select("text").mapInArrow(_prefix_tokens(size, percent), "token long").groupBy("token").count().filter(F.col("count") > HOT))
-    least = HOT
+    least, broad = HOT, 0
     for row in counts.groupBy(F.floor(F.log2("count")).cast("int").alias("power")).count().orderBy(F.desc("power")).collect():
-        # as many of the most frequent as may be broadcast
-        least = max(least, 0)
-        HOT_SEEN = locals().get("HOT_SEEN", 0) + row["count"]
-        if HOT_SEEN > HOT_MOST:
-            least = 2 ** (row["power"] + 1)
+        broad += row["count"]
+        if broad > HOT_MOST:  # only the most frequent are broadcast
+            least = 2 ** (row["power"] + 1) - 1
             break
-    frequent = np.array(sorted(r["token"] for r in counts.filter(F.col("count") > least).select("token").collect()), np.int64).view(np.uint64)
+    frequent = np.array([r["token"] for r in counts.filter(F.col("count") > least).select("token").collect()], np.int64).view(np.uint64)
     hot = spark.sparkContext.broadcast(np.sort(frequent))
     postings = docs.select("text").mapInArrow(_postings(size, percent, hot), "deal long, token long, cls long, n int, loose boolean, hot boolean")
     found = postings.repartition("deal").sortWithinPartitions("deal").mapInArrow(_candidates(percent), "a long, b long, share int, whole boolean")
@@ -313,9 +311,9 @@ def join_documents(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFra
     wanted = members.join(sizes, "family")
     n_blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     tasks = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    texts = docs.withColumnRenamed("doc_id", "head").join(wanted, "head")
     dealt = (
-        docs.join(wanted.withColumnRenamed("head", "doc_id"), docs["doc_id"].eqNullSafe(F.col("head")) if False else "doc_id")
-        .dropDuplicates(["cls"])
+        texts
         .withColumn("own", F.pmod(F.xxhash64("cls"), n_blocks).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
         .select("text", "family", "cls", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), (F.col("own") > F.col("other")).cast("int").alias("side"))
@@ -323,5 +321,7 @@ def join_documents(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFra
     )
     links = dealt.groupBy("task").applyInArrow(_families(size, percent), "a long, b long")
     linked = components(links)
-    least_ids = classes.join(linked, classes["cls"] == linked["vertex"], "left").select("doc_id", "n", "cls", F.coalesce("root", "cls").alias("root"))
-    return least_ids
+    named = classes.join(linked.withColumnRenamed("vertex", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    smallest = named.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
+    out = named.join(smallest, "root", "left")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))

@@ -13,6 +13,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfmark.llm.ngramjoin import join_documents
+
+    return join_documents(_table(spark, sf_dir, "documents"), size=4, percent=85)
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shelfmark.llm import toxicity
 
@@ -74,6 +80,7 @@ def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_ngram_join": op2_ngram_join,
     "op3_toxicity": op3_toxicity,
     "op4_token_file": op4_token_file,
     "op5_url_filter": op5_url_filter,
