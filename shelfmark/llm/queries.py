@@ -79,6 +79,13 @@ def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(_table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0", 5)
 
 
+def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfmark.llm.substrings import find_repeats
+
+    found = find_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op2_ngram_join": op2_ngram_join,
     "op3_toxicity": op3_toxicity,
@@ -87,6 +94,7 @@ QUERIES = {
     "op7_packing": op7_packing,
     "op8_pieces": op8_pieces,
     "op9_top_k": op9_top_k,
+    "op10_substrings": op10_substrings,
 }
 
 ORACLE_SQL = {
