@@ -13,6 +13,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfmark.llm.fingerprints import fingerprint_documents
+
+    return fingerprint_documents(_table(spark, sf_dir, "documents"))
+
+
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shelfmark.llm.ngramjoin import join_documents
 
@@ -87,6 +93,7 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_fingerprints": op1_fingerprints,
     "op2_ngram_join": op2_ngram_join,
     "op3_toxicity": op3_toxicity,
     "op4_token_file": op4_token_file,
