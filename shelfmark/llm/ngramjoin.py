@@ -24,8 +24,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfmark.llm.common import cut, slices, text_bytes, window_hashes, word_hashes, word_spans
 from shelfmark.llm.graph import Forest, components
@@ -280,13 +281,8 @@ def _families(size: int, percent: int):
     return run
 
 
-def join_documents(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
-    """doc_id, n_shingles (of the document's set) and component_id (least doc_id that links reach, its own included).
-
-    docs needs doc_id and text; other columns are ignored. Null and empty texts have no set and no links. Rows of a
-    null doc_id take part, and their component_id is the least id reached, null if there is none. Repeated rows are
-    returned each. An empty table gives an empty one.
-    """
+def _linked(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """doc_id, n, cls and root of every row: size of its set, the set's hash, and the same hash all over a component."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     classes = cut(docs.mapInArrow(_classes(size), "doc_id long, cls long, n long"))
@@ -321,7 +317,37 @@ def join_documents(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFra
     )
     links = dealt.groupBy("task").applyInArrow(_families(size, percent), "a long, b long")
     linked = components(links)
-    named = classes.join(linked.withColumnRenamed("vertex", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    return classes.join(linked.withColumnRenamed("vertex", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+
+
+def join_documents(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles (of the document's set) and component_id (least doc_id that links reach, its own included).
+
+    docs needs doc_id and text; other columns are ignored. Null and empty texts have no set and no links. Rows of a
+    null doc_id take part, and their component_id is the least id reached, null if there is none. Repeated rows are
+    returned each. An empty table gives an empty one.
+    """
+    named = _linked(docs, size, percent)
     smallest = named.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
     out = named.join(smallest, "root", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """docs with one row of each component: that of the least doc_id (null counts as least), of equal ids that of the least
+    hash, of equal rows one. Rows without words are in no component and stay. Columns and their order are kept."""
+    named = _linked(docs, size, percent)
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
+    heads = named.filter("root is not null").groupBy("root").agg(F.min(F.struct(key.alias("key"), "cls")).alias("h")).select("h.key", "h.cls")
+    rows = docs.select("text", key.alias("key"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+
+    def tagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = pa.array([_digest(x) if len(x) else None for x in shingle_sets(b, size, 0)], pa.int64())
+            yield pa.record_batch([b.column(1), own, b.column(2)], names=["key", "cls", "row"])
+
+    marked = rows.mapInArrow(tagged, T.StructType([T.StructField("key", T.LongType()), T.StructField("cls", T.LongType()), rows.schema["row"]]))
+    kept = marked.join(heads, ["key", "cls"])
+    first = Window.partitionBy("key", "cls").orderBy(F.xxhash64("row"))
+    once = kept.withColumn("_n", F.row_number().over(first)).filter("_n = 1")
+    return once.select("row").unionByName(marked.filter("cls is null").select("row")).select("row.*")

@@ -59,6 +59,12 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfmark.llm.extraction import extract
+
+    return extract(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shelfmark.llm.packing import pack
 
@@ -98,6 +104,7 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_token_file": op4_token_file,
     "op5_url_filter": op5_url_filter,
+    "op6_extraction": op6_extraction,
     "op7_packing": op7_packing,
     "op8_pieces": op8_pieces,
     "op9_top_k": op9_top_k,
