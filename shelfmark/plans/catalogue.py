@@ -2,5 +2,278 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+import tempfile
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from shelfmark.functions import text as X
+from shelfmark.functions import web
+from shelfmark.operators import cards, merge
+from shelfmark.operators.dom import of_class, of_tag, parse
+from shelfmark.plans import report, resume
+from shelfmark.schemas import JOURNALS, RECORD, names
+from shelfmark.sources.tables import Catalog
+from shelfmark.streaming import landing
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _locale(number) -> F.Column:
+    """A non-negative number as '1.234,56'."""
+    us = F.format_number(number, 2)
+    return F.translate(us, ",.", ".,")
+
+
+def listing_pages(customers: DataFrame, nations: DataFrame, per_page: int = 10) -> DataFrame:
+    """page and html: customers rendered as cards of listing pages, for tests and queries of the parser."""
+    c = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+    key = F.col("c_custkey")
+    card = F.concat(
+        F.lit('<div class="row col-md"><div class="affil-name mb-3"><a href="/journals/profile/'), key, F.lit('">\n <i></i> '), F.col("c_name"), F.lit(" &amp; Co </a></div>"),
+        F.lit('<div class="affil-abbrev"><a href="https://scholar.example.org/'), key, F.lit('">Google  Scholar</a><a href="https://scholar.example.org/x'), key,
+        F.lit('"> GOOGLE SCHOLAR</a><a href="https://www.example.org/'), key, F.lit('"><i></i>Website</a>'),
+        F.when(key % 3 == 0, F.concat(F.lit('<a href="https://edit.example.org/'), key, F.lit('">Editor URL</a>'))).otherwise(""),
+        F.lit('</div><div class="affil-loc mt-2"><a href="/affiliations/'), F.col("c_nationkey"), F.lit('"> '), F.col("n_name"), F.lit("</a></div>"),
+        F.lit('<div class="profile-id">P-ISSN : '), F.lpad(key.cast("string"), 8, "0"), F.lit("\n | E-ISSN :&nbsp;"), F.lpad((key * 7).cast("string"), 7, "0"), F.lit("X <br> Subject Area : "), F.col("c_mktsegment"), F.lit(", "), F.col("n_name"), F.lit(" </div>"),
+        F.lit('<div class="stat-prev mt-2"><span class="num-stat accredited"><a href="#">S'), key % 6 + 1, F.lit("   Accredited</a></span>"),
+        F.when(key % 2 == 0, '<span class="num-stat scopus-indexed"></span>').otherwise(""),
+        F.when(key % 5 == 0, F.concat(F.lit('<a href="https://index.example.org/'), key, F.lit('"><span class="garuda-indexed"></span></a>'))).otherwise(""),
+        F.lit('</div><div class="journal-list-stat"><div><div class="pr-num">'), _locale(F.abs("c_acctbal")), F.lit('</div><div class="pr-txt">Impact</div></div><div><div class="pr-num">'), key % 90,
+        F.lit('</div><div class="x"></div><div class="pr-txt">H5-index</div></div><div><div class="pr-num">'), F.translate(F.format_number(key * 13, 0), ",", "."),
+        F.lit('</div><div class="pr-txt">Citations  5yr</div></div><div><div class="pr-num">n/a</div><div class="pr-txt">Citations</div></div></div></div>'),
+    )
+    place = F.floor(key / per_page).cast("int") + 1
+    pages = c.select(place.alias("page"), key.alias("k"), card.alias("card")).groupBy("page").agg(F.array_sort(F.collect_list(F.struct("k", "card"))).alias("cards"))
+    body = F.array_join(F.transform("cards", lambda x: x["card"]), "")
+    return pages.select("page", F.concat(F.lit('<html><body><div class="col-md-4"><div class="affil-name">x</div></div>'), body, F.lit('<div class="pagination-text">Page '), F.col("page"), F.lit(" of 1.678 |\n Total Records 16.772</div></body></html>")).alias("html"))
+
+
+def listing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = listing_pages(_table(spark, sf_dir, "customer"), _table(spark, sf_dir, "nation"))
+    return cards.records(cards.raw_pages(pages)).select(*names(RECORD))
+
+
+def listing_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = listing_pages(_table(spark, sf_dir, "customer"), _table(spark, sf_dir, "nation"))
+    return cards.page_results(cards.raw_pages(pages))
+
+
+def _trees(pages: DataFrame, schema: str, take) -> DataFrame:
+    """page_id and what `take` makes of each page's tree: a list of rows (page_id left out)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [(i, *r) for i, h in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for r in take(parse(h))]
+            yield pa.record_batch([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=names(schema))
+
+    kinds = [{"long": pa.int64(), "string": pa.string(), "int": pa.int32()}[x.split()[1]] for x in schema.split(", ")]
+    return pages.select("page_id", "html").mapInArrow(run, schema)
+
+
+def page_heading(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _trees(_table(spark, sf_dir, "pages"), "page_id long, heading string", lambda t: [(h.text(),) for h in [t.first(of_tag("h1"))] if h])
+    return found.select("page_id", X.trim_space(F.col("heading")).alias("heading"))
+
+
+def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _trees(_table(spark, sf_dir, "pages"), "page_id long, pos int, href string", lambda t: [(i, a.attributes.get("href", "")) for i, a in enumerate(t.all(of_tag("a")))])
+
+
+def class_token(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _trees(_table(spark, sf_dir, "pages"), "page_id long, ads int, adverts int", lambda t: [(len(t.all(of_class("ad"))), len(t.all(of_class("a"))))])
+
+
+def collapse_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "documents").select("doc_id", F.sha2(X.collapse_space(F.col("text")), 256).alias("collapsed_sha256"))
+
+
+def locale_number(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "orders").select("o_orderkey", X.locale_number(_locale(F.col("o_totalprice"))).alias("price"))
+
+
+def pagination_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = _table(spark, sf_dir, "nation").withColumn("text", F.concat(F.lit("Page "), F.col("n_regionkey") + 1, F.lit(" of 1.00"), F.col("n_regionkey"), F.lit(" | Total Records 2"), F.lpad((F.col("n_nationkey") * 7).cast("string"), 3, "0"), F.lit(".123")))
+    return n.select("n_nationkey", X.pagination_total(F.col("text"), 2).alias("pages"), X.pagination_total(F.col("text"), 3).alias("records"))
+
+
+def issn_subject(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _table(spark, sf_dir, "part").withColumn("text", F.concat(F.lit("P-ISSN : "), F.col("p_partkey"), F.lit("x | E-ISSN: 12-34 Subject Area :  "), F.col("p_type"), F.lit(" ")))
+    return p.select("p_partkey", X.issn(F.col("text"), "P").alias("print"), X.issn(F.col("text"), "E").alias("electronic"), X.subject_area(F.col("text")).alias("subject"))
+
+
+def link_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.element_at(F.array(*map(F.lit, ("Google Scholar", "Editor URL website", "WEBSITE", "other"))), (F.col("p_size") % 4 + 1).cast("int"))
+    p = _table(spark, sf_dir, "part").select("p_brand", "p_partkey", X.link_kind(label).alias("kind")).filter("kind is not null")
+    return p.groupBy("p_brand", "kind").agg(F.max_by("p_partkey", "p_partkey").alias("last_part"), F.count("*").alias("links"))
+
+
+def metric_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.when(F.col("l_linenumber") % 3 == 0, "n/a").otherwise(_locale(F.col("l_extendedprice")))
+    rows = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.lower("l_returnflag").alias("label"), X.locale_number(text).alias("value"))
+    good = rows.filter("value is not null").groupBy("l_orderkey").pivot("label", ["a", "n", "r"])
+    return good.agg(X.whole(F.max_by("value", "l_linenumber"))).fillna(0)  # a metric that is missing is 0
+
+
+def build_url(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _table(spark, sf_dir, "pages").filter("url is not null")
+    return p.select("page_id", web.build_url(F.lit("https://example.org/list?ref=a&ref=b&page=9"), F.concat(F.lit("id="), F.col("page_id"), F.lit("&f[1]=x y")), (F.col("page_id") + 1).cast("int")).alias("url"))
+
+
+def page_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each page's own url with another page number."""
+    return _table(spark, sf_dir, "pages").select("page_id", web.build_url(F.col("url"), F.lit(""), F.lit(2)).alias("url"))
+
+
+def content_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _records(_table(spark, sf_dir, "customer")).select("id", X.content_hash().alias("content_hash"))
+
+
+def _records(customers: DataFrame, more: str = "''") -> DataFrame:
+    """Journal records made from customers."""
+    values = {
+        "id": "c_custkey", "name": "c_name", "profile_url": "concat('/profile/', c_custkey)", "affiliation": f"concat(c_mktsegment, {more})", "is_scopus": "c_custkey % 2 = 0", "is_garuda": "false",
+        "impact": "cast(c_custkey % 4 as double) / 2", "h5_index": "c_custkey % 50", "citations_5yr": "cast(0 as bigint)", "citations_total": "c_custkey", "source_page": "cast(c_nationkey as int)",
+    }
+    return customers.select(*(F.expr(values.get(n, "''")).alias(n) for n in names(RECORD)))
+
+
+def upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = _table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("id"), F.col("o_totalprice").alias("price"), F.col("o_orderdate").alias("first_seen"), F.col("o_orderdate").alias("last_seen"), "o_orderkey")
+    split = F.expr("timestamp_ntz'1995-01-01 00:00:00'")
+    old = merge.last_of_each(orders.filter(F.col("last_seen") < split), ["id"], ["last_seen", "o_orderkey"]).drop("o_orderkey")
+    new = orders.filter(F.col("last_seen") >= split)
+    return merge.upsert(old, new, ["id"], ["first_seen"], ["last_seen", "o_orderkey"])
+
+
+def change_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = _table(spark, sf_dir, "customer")
+    before = _records(c.filter("c_custkey % 10 <> 1")).select("id", X.content_hash().alias("content_hash"))
+    after = _records(c.filter("c_custkey % 10 <> 2"), "if(c_custkey % 10 = 3, ' x', '')").select("id", X.content_hash().alias("content_hash"))
+    return merge.changes(before, after)
+
+
+def resume_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _table(spark, sf_dir, "events")
+    done = events.filter("event_type = 'purchase'").select(F.col("user_id").cast("int").alias("page"))
+    return resume.pages_to_fetch(spark, 200, done)
+
+
+def _outcomes(events: DataFrame) -> DataFrame:
+    return events.select(F.col("user_id").cast("int").alias("page"), F.col("event_id").alias("arrival_seq"), F.lit(10).alias("n_cards"), F.when(F.col("event_id") % 7 == 3, (F.col("event_id") % 1000).cast("int")).otherwise(0).alias("total_records"), F.when(F.col("event_type") == "error", "status 500").alias("error"))
+
+
+def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _table(spark, sf_dir, "events")
+    return report.run_summary(_outcomes(events), target=1000, first_cards=10, done_before=5)
+
+
+def retry_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.range(1, 8).select(F.col("id").alias("attempt"))
+    return pages.select("attempt", web.retry_wait(F.col("attempt")).alias("wait_s"), web.estimate_seconds(F.col("attempt"), 3.0, 8.0).alias("estimate_s"))
+
+
+def journal_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches of records into an empty journal table."""
+    c = _table(spark, sf_dir, "customer")
+    empty = spark.createDataFrame([], JOURNALS)
+    first = merge.merge_records(empty, _records(c.filter("c_custkey % 3 <> 0")), "2024-01-01 00:00:00")
+    second = merge.merge_records(first, _records(c.filter("c_custkey % 2 = 0"), "'+'"), "2024-02-01 00:00:00")
+    return second.select("id", "affiliation", "content_hash", X.rfc3339(F.col("first_seen_at")).alias("first_seen"), X.rfc3339(F.col("last_scraped_at")).alias("last_scraped"))
+
+
+def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rendered pages land as files and run through the stream into the journal table."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='shelfmark-')}"
+    base = f"{root.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    pages = listing_pages(_table(spark, sf_dir, "customer"), _table(spark, sf_dir, "nation"))
+    pages.repartition("page").write.partitionBy("page").text(f"{base}/landing")
+    catalog = Catalog(spark, f"{base}/tables")
+    landing.start(spark, f"{base}/landing", catalog, "run", f"{base}/checkpoint", pattern=r"page=(\d+)").awaitTermination()
+    return catalog.journals.read().select("id", "name", "affiliation", "impact", "citations_5yr", "source_page")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        listing_roundtrip, listing_totals, page_heading, page_links, class_token, collapse_text, locale_number, pagination_totals, issn_subject, link_classify,
+        metric_pivot, build_url, page_urls, content_hash, upsert_merge, change_report, resume_plan, run_summary, retry_schedule, journal_merge, stream_upsert,
+    )
+}
+
+_HASH = "sha256(concat_ws('|', c_name, '', {aff}, '', '', '', '', '', CASE WHEN c_custkey % 2 = 0 THEN 'true' ELSE 'false' END, 'false', CASE c_custkey % 4 WHEN 0 THEN '0' WHEN 1 THEN '0.5' WHEN 2 THEN '1' ELSE '1.5' END, CAST(c_custkey % 50 AS VARCHAR), '0', CAST(c_custkey AS VARCHAR)))"
+
+ORACLE_SQL = {
+    "listing_roundtrip": """
+        SELECT c_custkey AS id, c_name || ' & Co' AS name, '/journals/profile/' || c_custkey AS profile_url, 'https://scholar.example.org/x' || c_custkey AS google_scholar_url,
+            'https://www.example.org/' || c_custkey AS website_url, CASE WHEN c_custkey % 3 = 0 THEN 'https://edit.example.org/' || c_custkey ELSE '' END AS editor_url,
+            n_name AS affiliation, '/affiliations/' || c_nationkey AS affiliation_url, lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS issn_print,
+            lpad(CAST(c_custkey * 7 AS VARCHAR), 7, '0') || 'X' AS issn_electronic, c_mktsegment || ', ' || n_name AS subject_area, 'S' || (c_custkey % 6 + 1) || ' Accredited' AS rank_raw,
+            c_custkey % 2 = 0 AS is_scopus, c_custkey % 5 = 0 AS is_garuda, CASE WHEN c_custkey % 5 = 0 THEN 'https://index.example.org/' || c_custkey ELSE '' END AS garuda_url,
+            round(abs(c_acctbal), 2) AS impact, c_custkey % 90 AS h5_index, c_custkey * 13 AS citations_5yr, CAST(0 AS BIGINT) AS citations_total,
+            CAST(c_custkey // 10 + 1 AS INTEGER) AS source_page
+        FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey > 0
+    """,
+    "listing_totals": """
+        SELECT CAST(c_custkey // 10 + 1 AS INTEGER) AS page, 1678 AS total_pages, 16772 AS total_records, CAST(count(*) FILTER (c_custkey > 0) AS INTEGER) AS n_cards, CAST(count(*) FILTER (c_custkey = 0) AS INTEGER) AS rejected_cards, CAST(NULL AS VARCHAR) AS warning
+        FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1
+    """,
+    "page_heading": "SELECT page_id, trim(replace(replace(replace(regexp_extract(html, '<h1>(.*?)</h1>', 1), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')) AS heading FROM pages WHERE html LIKE '%<h1>%'",
+    "page_links": """
+        WITH h AS (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS l FROM pages)
+        SELECT page_id, CAST(i - 1 AS INTEGER) AS pos, replace(l[i], '&amp;', '&') AS href FROM h, unnest(range(1, len(l) + 1)) AS t(i)
+    """,
+    "class_token": """SELECT page_id, CAST(len(regexp_extract_all(html, 'class="ad"')) AS INTEGER) AS ads, 0 AS adverts FROM pages""",
+    "collapse_text": r"SELECT doc_id, sha256(regexp_replace(regexp_replace(text, '[\t\n\v\f\r\x85\p{Z}]+', ' ', 'g'), '^ | $', '', 'g')) AS collapsed_sha256 FROM documents",
+    "locale_number": "SELECT o_orderkey, round(o_totalprice, 2) AS price FROM orders",
+    "pagination_totals": "SELECT n_nationkey, 1000 + n_regionkey AS pages, CAST('2' || lpad(CAST(n_nationkey * 7 AS VARCHAR), 3, '0') || '123' AS INTEGER) AS records FROM nation",
+    "issn_subject": "SELECT p_partkey, p_partkey || 'x' AS print, '12' AS electronic, trim(p_type) AS subject FROM part",
+    "link_classify": """
+        WITH k AS (SELECT p_brand, p_partkey, CASE p_size % 4 WHEN 0 THEN 'google_scholar' WHEN 1 THEN 'editor' WHEN 2 THEN 'website' END AS kind FROM part)
+        SELECT p_brand, kind, max(p_partkey) AS last_part, count(*) AS links FROM k WHERE kind IS NOT NULL GROUP BY 1, 2
+    """,
+    "metric_pivot": """
+        WITH g AS (SELECT * FROM lineitem WHERE l_linenumber % 3 <> 0)
+        SELECT l_orderkey, CAST(coalesce(trunc(arg_max(round(l_extendedprice, 2), l_linenumber) FILTER (l_returnflag = 'A')), 0) AS BIGINT) AS a,
+            CAST(coalesce(trunc(arg_max(round(l_extendedprice, 2), l_linenumber) FILTER (l_returnflag = 'N')), 0) AS BIGINT) AS n,
+            CAST(coalesce(trunc(arg_max(round(l_extendedprice, 2), l_linenumber) FILTER (l_returnflag = 'R')), 0) AS BIGINT) AS r
+        FROM g GROUP BY 1
+    """,
+    "build_url": "SELECT page_id, 'https://example.org/list?f%5B1%5D=x+y&id=' || page_id || '&page=' || (page_id + 1) || '&ref=a&ref=b' AS url FROM pages WHERE url IS NOT NULL",
+    "content_hash": f"SELECT c_custkey AS id, {_HASH.format(aff='c_mktsegment')} AS content_hash FROM customer",
+    "upsert_merge": """
+        WITH r AS (
+            SELECT o_custkey AS id, o_totalprice AS price, o_orderdate AS d, o_orderdate >= TIMESTAMP '1995-01-01' AS fresh,
+                row_number() OVER (PARTITION BY o_custkey, o_orderdate >= TIMESTAMP '1995-01-01' ORDER BY o_orderdate DESC, o_orderkey DESC) AS n FROM orders
+        )
+        SELECT id, arg_max(price, fresh) AS price, min(d) AS first_seen, max(d) AS last_seen FROM r WHERE n = 1 GROUP BY id
+    """,
+    "change_report": "SELECT c_custkey AS id, CASE c_custkey % 10 WHEN 1 THEN 'added' WHEN 2 THEN 'removed' ELSE 'changed' END AS change FROM customer WHERE c_custkey % 10 IN (1, 2, 3)",
+    "resume_plan": "SELECT CAST(i AS INTEGER) AS page FROM range(1, 201) t(i) WHERE NOT EXISTS (SELECT 1 FROM events WHERE event_type = 'purchase' AND user_id = i)",
+    "run_summary": """
+        WITH s AS (
+            SELECT count(*) FILTER (event_type <> 'error') AS ok_pages, count(*) FILTER (event_type = 'error') AS failed_pages, CAST(10 * count(*) FILTER (event_type <> 'error') + 10 AS BIGINT) AS cards,
+                CAST(coalesce(arg_min(event_id % 1000, event_id) FILTER (event_type <> 'error' AND event_id % 7 = 3 AND event_id % 1000 > 0), 0) AS INTEGER) AS expected_records
+            FROM events
+        )
+        SELECT *, ok_pages + 1 AS handled, ok_pages + 6 AS overall_pages, round((ok_pages + 6) * 100.0::DOUBLE / 1000, 1) AS percent,
+            CASE WHEN ok_pages + 1 = 1000 AND expected_records > 0 THEN CASE WHEN cards = expected_records THEN 'OK' ELSE 'FAILED' END END AS verdict FROM s
+    """,
+    "retry_schedule": "SELECT i AS attempt, CASE i WHEN 1 THEN 5 WHEN 2 THEN 15 WHEN 3 THEN 30 ELSE 60 END AS wait_s, i * 5.5::DOUBLE AS estimate_s FROM range(1, 8) t(i)",
+    "stream_upsert": """
+        SELECT c_custkey AS id, c_name || ' & Co' AS name, n_name AS affiliation, round(abs(c_acctbal), 2) AS impact, c_custkey * 13 AS citations_5yr, CAST(c_custkey // 10 + 1 AS INTEGER) AS source_page
+        FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey > 0
+    """,
+    "journal_merge": f"""
+        SELECT c_custkey AS id, c_mktsegment || CASE WHEN c_custkey % 2 = 0 THEN '+' ELSE '' END AS affiliation,
+            CASE WHEN c_custkey % 2 = 0 THEN {_HASH.format(aff="c_mktsegment || '+'")} ELSE {_HASH.format(aff="c_mktsegment")} END AS content_hash,
+            CASE WHEN c_custkey % 3 <> 0 THEN '2024-01-01T00:00:00Z' ELSE '2024-02-01T00:00:00Z' END AS first_seen,
+            CASE WHEN c_custkey % 2 = 0 THEN '2024-02-01T00:00:00Z' ELSE '2024-01-01T00:00:00Z' END AS last_scraped
+        FROM customer WHERE c_custkey % 3 <> 0 OR c_custkey % 2 = 0
+    """,
+}
