@@ -117,7 +117,7 @@ def metric_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.when(F.col("l_linenumber") % 3 == 0, "n/a").otherwise(_locale(F.col("l_extendedprice")))
     rows = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.lower("l_returnflag").alias("label"), X.locale_number(text).alias("value"))
     good = rows.filter("value is not null").groupBy("l_orderkey").pivot("label", ["a", "n", "r"])
-    return good.agg(X.whole(F.max_by("value", "l_linenumber"))).fillna(0)  # a metric that is missing is 0
+    return good.agg(X.whole(F.max_by("value", F.struct("l_linenumber", "value")))).fillna(0)  # a metric that is missing is 0
 
 
 def build_url(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -239,9 +239,9 @@ ORACLE_SQL = {
     """,
     "metric_pivot": """
         WITH g AS (SELECT * FROM lineitem WHERE l_linenumber % 3 <> 0)
-        SELECT l_orderkey, CAST(coalesce(trunc(arg_max(round(l_extendedprice, 2), l_linenumber) FILTER (l_returnflag = 'A')), 0) AS BIGINT) AS a,
-            CAST(coalesce(trunc(arg_max(round(l_extendedprice, 2), l_linenumber) FILTER (l_returnflag = 'N')), 0) AS BIGINT) AS n,
-            CAST(coalesce(trunc(arg_max(round(l_extendedprice, 2), l_linenumber) FILTER (l_returnflag = 'R')), 0) AS BIGINT) AS r
+        SELECT l_orderkey, CAST(coalesce(trunc(arg_max(round(l_extendedprice, 2), {'a': l_linenumber, 'b': round(l_extendedprice, 2)}) FILTER (l_returnflag = 'A')), 0) AS BIGINT) AS a,
+            CAST(coalesce(trunc(arg_max(round(l_extendedprice, 2), {'a': l_linenumber, 'b': round(l_extendedprice, 2)}) FILTER (l_returnflag = 'N')), 0) AS BIGINT) AS n,
+            CAST(coalesce(trunc(arg_max(round(l_extendedprice, 2), {'a': l_linenumber, 'b': round(l_extendedprice, 2)}) FILTER (l_returnflag = 'R')), 0) AS BIGINT) AS r
         FROM g GROUP BY 1
     """,
     "build_url": "SELECT page_id, 'https://example.org/list?f%5B1%5D=x+y&id=' || page_id || '&page=' || (page_id + 1) || '&ref=a&ref=b' AS url FROM pages WHERE url IS NOT NULL",
