@@ -12,6 +12,8 @@ made and raced in the task that holds the text: nothing but fingerprints leaves
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,6 +27,8 @@ SPACE = r"[\x20\x09-\x0D]+"
 NOTHING = ""
 #: Stands for a null doc_id.
 NO_ID = -(1 << 63)
+#: Ranges of ids for each partition of a shuffle.
+RANGES = 4
 
 
 def gamma_quantiles(bits: int) -> np.ndarray:
@@ -103,44 +107,49 @@ def likeness(one: Column, two: Column) -> Column:
     return F.when(one == two, 1.0).when((one == NOTHING) | (two == NOTHING), 0.0).otherwise(F.size(same) / samples)
 
 
-def next_ids(docs: DataFrame) -> DataFrame:
-    """doc and next: of each different id the next smaller one, of the smallest the largest. Ids are put in order by a
-    range shuffle; only each range's largest id, a row per partition, is then set in order in one place."""
-    from shelfmark.llm.common import cut
+def ranges(docs: DataFrame, count: int) -> list[tuple[int, int]]:
+    """Least and largest id (doc) of each of about `count` ranges of ids that hold about as many; in order."""
+    parts = docs.select("doc").distinct().repartitionByRange(count, "doc").groupBy(F.spark_partition_id()).agg(F.min("doc").alias("low"), F.max("doc").alias("top"))
+    return sorted((r["low"], r["top"]) for r in parts.collect())
+
 
-    ids = cut(docs.select("doc").distinct().repartitionByRange("doc").select("doc", F.spark_partition_id().alias("part")))
-    inside = ids.select("doc", "part", F.lead("doc").over(Window.partitionBy("part").orderBy(F.desc("doc"))).alias("after"))
-    tops = ids.groupBy("part").agg(F.max("doc").alias("top"), F.min("doc").alias("low"))
-    order = Window.orderBy(F.desc("top"))  # as many rows as partitions
-    ends = tops.select("low", F.coalesce(F.lead("top").over(order), F.max("top").over(Window.partitionBy())).alias("wrap"))
-    return inside.join(F.broadcast(ends), F.col("doc") == F.col("low"), "left").select("doc", F.coalesce("after", "wrap").alias("next"))
+def range_of(doc: Column, lows: list[int]) -> Column:
+    """Place of the range that an id lies in: among every step-th range first, then among those that follow it."""
+    step = math.isqrt(len(lows)) + 1
+    array = lambda x: F.split(F.lit(",".join(map(str, x))), ",").cast("array<bigint>")
+    coarse = F.size(F.filter(array(lows[::step]), lambda x: x <= doc)) - 1
+    fine = F.size(F.filter(F.slice(array(lows), coarse * step + 1, F.lit(step)), lambda x: x <= doc))
+    return coarse * step + fine - 1
 
 
 def fingerprint_documents(docs: DataFrame, samples: int = 48) -> DataFrame:
     """doc_id, n_chars, fingerprint, edited_sha256, edited_fingerprint, near_edited, near_next of every row of docs.
 
-    A row's edited text has its last floor(n_chars / 3) code points replaced by the first as many (or all) of the
-    document with the next smaller id; the largest follows the smallest. A null doc_id counts as smaller than any
-    number. Of rows of equal doc_id that of the least text stands for the document; each has its own result, and
-    repeated rows have equal ones. A null text counts as empty. Other columns are ignored. A single document
-    follows itself; an empty table gives an empty one.
+    A row's edited text has its last floor(n_chars / 3) code points replaced by the first as many (or all) of the next
+    row in descending order of doc_id; the first follows the last. Rows of equal doc_id follow each other in order of
+    their texts, and a null doc_id is less than any number. Each row has its own result, repeated rows too. A null
+    text counts as empty. Other columns are ignored. A single row follows itself; an empty table gives an empty one.
+
+    Texts are shuffled once, to ranges of ids; the first row of a range goes to the range that precedes it as well.
     """
-    rows = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
-    least = Window.partitionBy("doc").orderBy("text")
-    heads = rows.withColumn("_n", F.row_number().over(least)).filter("_n = 1").select(F.col("doc").alias("next"), F.col("text").alias("after"))
-    # equal rows are told apart by their number, so that each is returned
-    numbered = rows.withColumn("copy", F.row_number().over(least))
-    pairs = numbered.join(next_ids(rows), "doc").join(heads, "next")
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
+    count = RANGES * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    known = ranges(rows, count) or [(NO_ID, NO_ID)]
+    tops = F.split(F.lit(",".join(str(top) for _, top in known)), ",").cast("array<bigint>")
+    own = rows.withColumn("own", range_of(F.col("doc"), [low for low, _ in known]))
+    places = F.array(F.struct(F.col("own").alias("range"), F.lit(False).alias("ghost")), F.when(F.col("doc") == F.get(tops, "own"), F.struct(((F.col("own") + 1) % len(known)).alias("range"), F.lit(True).alias("ghost"))))
+    dealt = own.select("doc", "text", F.explode(places).alias("p")).filter("p is not null").select("p.range", "p.ghost", "doc", "text").repartition("range")
+    order = Window.partitionBy("range").orderBy("ghost", F.desc("doc"), "text")
+    pairs = dealt.withColumns({"place": F.row_number().over(order), "after": F.coalesce(F.lead("text").over(order), F.lit(""))})
     n = F.length("text")
     third = F.floor(n / 3).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - third), F.substring("after", F.lit(1), third))
-    both = pairs.select("next", "doc", "doc_id", "copy", n.cast("long").alias("n_chars"), "text", edited.alias("edited"))
-    keys = ["next", "doc", "copy"]
-    prints = fingerprint_terms(both.select(*keys, terms(F.col("text"), F.col("edited")).alias("terms")), keys, samples)
-    found = both.select(*keys, "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256")).join(prints, keys)
-    following = found.filter("copy = 1").select(F.col("doc").alias("next"), F.col("fingerprint").alias("_next"))
-    return found.join(following, "next").select(
-        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+    keys = ["range", "place"]
+    prints = fingerprint_terms(pairs.select(*keys, terms(F.col("text"), edited).alias("terms")), keys, samples)
+    rest = pairs.select(*keys, "ghost", "doc", n.cast("long").alias("n_chars"), F.sha2(edited, 256).alias("edited_sha256"))
+    found = rest.join(prints, keys).withColumn("_next", F.lead("fingerprint").over(Window.partitionBy("range").orderBy("place")))
+    return found.filter("not ghost").select(
+        F.nullif("doc", F.lit(NO_ID)).alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
         likeness(F.col("fingerprint"), F.col("_next")).alias("near_next"),
     )
