@@ -94,7 +94,7 @@ def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shelfmark.llm.substrings import find_repeats
 
-    found = find_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = find_repeats(_table(spark, sf_dir, "documents"), columns=["doc_id"])
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 

@@ -25,6 +25,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfmark.llm.common import mixed, slices, text_bytes, window_hashes, word_hashes, word_spans
 
@@ -201,23 +202,25 @@ def repeated_factors(docs: DataFrame, size: int = 20) -> DataFrame:
     return texts.mapInArrow(_windows(size, blocks), WINDOWS).groupBy("block").applyInArrow(_parsed, FACTOR).unionByName(copies)
 
 
-def find_repeats(docs: DataFrame, size: int = 20) -> DataFrame:
+def find_repeats(docs: DataFrame, size: int = 20, columns: list[str] | None = None) -> DataFrame:
     """docs with n_words, n_removed, kept (the words that are left, joined by one space) and factors (start, windows,
     ref_doc, ref_start), for the removal of every word of a window of `size` words that also starts earlier.
 
     Words are [^\\x20\\x09-\\x0D]+. Earlier is: in a document of smaller doc_id, or at an earlier word of the same
     document. Rows of equal doc_id count as one document, and equal rows have equal results; a null doc_id is the
     smallest. Null and empty texts have no words; texts of fewer words than `size` stay whole. Other columns are
-    kept; own columns of the new names are replaced. An empty table gives an empty one.
+    kept (or those named in `columns`); own columns of the new names are replaced. An empty table gives an empty one.
     """
     names = {"n_words", "n_removed", "kept", "factors"}
     docs = docs.drop(*names)
+    columns = docs.columns if columns is None else columns
+    whole_text = "text" in columns
     key = [F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.xxhash64("doc_id", "text").alias("row")]
     found = repeated_factors(docs.select(*key, "text"), size)
     lists = found.groupBy("doc", "row").agg(F.collect_list(F.struct("start", "windows", "ref_doc", "ref_start")).alias("factors"))
     # the columns beside doc, row and text travel in one struct, so that none of their names can clash
-    whole = docs.select(*key, "text", F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("rest")).join(lists, ["doc", "row"], "left")
-    rest = whole.schema["rest"].dataType
+    rest = F.struct(F.lit(0).alias("-"), *(F.col(f"`{c}`") for c in columns if c != "text")).alias("rest")
+    whole = docs.select(*key, "text", rest).join(lists, ["doc", "row"], "left")
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -236,13 +239,15 @@ def find_repeats(docs: DataFrame, size: int = 20) -> DataFrame:
                     counts.append(len(s))
                     removed.append(int(len(s) - stay.sum()))
                     kept.append(b" ".join(view[x:y] for x, y in zip(s[stay].tolist(), e[stay].tolist(), strict=True)).decode())
-                columns = [b.column(0), b.column(1), b.column(2), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())]
-                yield pa.record_batch(columns, names=["text", "rest", "factors", "n_words", "n_removed", "kept"])
+                made = [b.column(1), b.column(2), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())]
+                text = {"text": b.column(0)} if whole_text else {}
+                yield pa.record_batch([*text.values(), *made], names=[*text, "rest", "factors", "n_words", "n_removed", "kept"])
 
     made = "factors array<struct<start:int,windows:int,ref_doc:bigint,ref_start:int>>, n_words long, n_removed long, kept string"
-    out = whole.select("text", "rest", "factors").mapInArrow(cut_out, f"text string, rest {rest.simpleString()}, {made}")
-    columns = [F.col("text") if c == "text" else F.col("rest")[c].alias(c) for c in docs.columns]
-    return out.select(*columns, "factors", "n_words", "n_removed", "kept")
+    kinds = whole.schema["rest"].dataType
+    schema = T.StructType([*([T.StructField("text", T.StringType())] if whole_text else []), T.StructField("rest", kinds), *T.StructType.fromDDL(made).fields])
+    out = whole.select("text", "rest", "factors").mapInArrow(cut_out, schema)
+    return out.select(*(F.col("text") if c == "text" else F.col("rest")[c].alias(c) for c in columns), "factors", "n_words", "n_removed", "kept")
 
 
 def remove_repeats(docs: DataFrame, size: int = 20) -> DataFrame:
