@@ -315,7 +315,8 @@ def _linked(docs: DataFrame, size: int, percent: int) -> DataFrame:
         .select("text", "family", "cls", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), (F.col("own") > F.col("other")).cast("int").alias("side"))
         .withColumn("task", F.pmod(F.xxhash64("family", "low", "high"), F.lit(tasks)).cast("int"))
     )
-    links = dealt.groupBy("task").applyInArrow(_families(size, percent), "a long, b long")
+    # written first: in one stage with what follows, each task would hold two Python workers
+    links = cut(dealt.groupBy("task").applyInArrow(_families(size, percent), "a long, b long"))
     linked = components(links)
     return classes.join(linked.withColumnRenamed("vertex", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
 

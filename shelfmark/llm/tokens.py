@@ -6,13 +6,12 @@ repeat, so each Python worker keeps the ids of up to CACHE words and sends only
 
 from __future__ import annotations
 
-import json
 import os
 
 import numpy as np
 
 #: Most words that a worker keeps ids of; then it starts anew.
-CACHE = 400_000
+CACHE = 200_000
 _encoders: dict[str, "WordEncoder"] = {}
 
 
@@ -24,10 +23,10 @@ class WordEncoder(dict):
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_file(path)
-        kinds = json.loads(self.library.to_str())
-        splits = json.dumps(kinds["pre_tokenizer"])
+        splits = self.library.pre_tokenizer.__getstate__().decode() if self.library.pre_tokenizer else ""
+        added = self.library.get_added_tokens_decoder().values()
         #: Whether words can be taken alone: white space is dropped, and added tokens don't reach over it.
-        self.apart = r"[^\\s" in splits and '"behavior": "Removed"' in splits and not any(x["lstrip"] or x["rstrip"] or " " in x["content"] for x in kinds["added_tokens"])
+        self.apart = r"[^\\s" in splits and '"behavior":"Removed"' in splits.replace(" ", "") and not any(x.lstrip or x.rstrip or " " in x.content for x in added)
 
     def __missing__(self, word: str) -> bytes:
         ids = np.array(self.library.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
