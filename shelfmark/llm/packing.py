@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 #: Pieces that are balanced together.
-BLOCK = 2048
+BLOCK = 1024
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 

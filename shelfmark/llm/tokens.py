@@ -1,18 +1,22 @@
 """Token ids of whole texts by the tokenizers library, with a cache of the words it has seen.
 
 The vocabulary's BPE joins nothing over white space, so a text's ids are those of its words in turn. Words
-repeat, so each Python worker keeps the ids of up to CACHE words and sends only new ones to the library.
+repeat, so each Python worker keeps the ids of the words that it met last and sends only new ones to the library.
 """
 
 from __future__ import annotations
 
 import os
+from array import array
 
 import numpy as np
 
-#: Most words that a worker keeps ids of; then it starts anew.
-CACHE = 200_000
+#: Words in either of the two generations that a worker keeps ids of.
+CACHE = 300_000
 _encoders: dict[str, "WordEncoder"] = {}
+#: Byte-level vocabularies write printable bytes as themselves, and the others as characters from 256 on, in order.
+_printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+BYTE_NAMES = dict(zip((b for b in range(256) if b not in _printable), range(256, 512)))
 
 
 class WordEncoder(dict):
@@ -23,24 +27,45 @@ class WordEncoder(dict):
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_file(path)
+        self.older: dict[str, bytes] = {}
+        normal = self.library.normalizer.__getstate__().decode() if self.library.normalizer else ""
         splits = self.library.pre_tokenizer.__getstate__().decode() if self.library.pre_tokenizer else ""
         added = self.library.get_added_tokens_decoder().values()
         #: Whether words can be taken alone: white space is dropped, and added tokens don't reach over it.
         self.apart = r"[^\\s" in splits and '"behavior":"Removed"' in splits.replace(" ", "") and not any(x.lstrip or x.rstrip or " " in x.content for x in added)
 
+        #: Whether a word of letters alone is one piece for the model, which knows bytes by names.
+        self.letters = '"Lowercase"' in normal and self.apart and r"|[\\p{L}]+|" in splits and '"ByteLevel","add_prefix_space":false' in splits
+        if self.letters:
+            self.normalise, self.tokenize = self.library.normalizer.normalize_str, self.library.model.tokenize
+
     def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.library.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(self) >= CACHE:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self._new(word)
+        if len(self) >= CACHE:  # words that are met again come back from the older ones
+            self.older = dict(self)
             self.clear()
         self[word] = ids
         return ids
 
+    def _new(self, word: str) -> bytes:
+        if self.letters and word.isalpha():
+            plain = word.lower() if word.isascii() else self.normalise(word)
+            if plain.isascii():
+                return array("I", [x.id for x in self.tokenize(plain)]).tobytes()
+            if plain.isalpha():
+                return array("I", [x.id for x in self.tokenize(plain.encode().decode("latin-1").translate(BYTE_NAMES))]).tobytes()
+        elif self.apart and len(word) > 1 and word[-1] in ".,;:!?" and word[-2].isalpha() and len(word[-2].lower()) == 1:
+            return self[word[:-1]] + self[word[-1]]  # the vocabulary's splitting ends words of letters there
+        return array("I", self.library.encode(word, add_special_tokens=False).ids).tobytes()
+
     def encode(self, text: str | None) -> bytes:
         """Ids of a whole text; none for null."""
         if not text:
             return b""
         if not self.apart:
-            return self.__missing__(text)
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
