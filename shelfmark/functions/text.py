@@ -70,7 +70,7 @@ def float_text(number: Column) -> Column:
     e = point - 1
     fraction = lambda d: F.when(d != "", F.concat(F.lit("."), d)).otherwise("")
     rest = F.substring(digits, F.lit(2), F.length(digits))
-    science = F.concat(F.substring(digits, 1, 1), fraction(rest), F.when(e < 0, "e-").otherwise("e+"), F.lpad(F.abs(e).cast("string"), 2, "0"))
+    science = F.concat(F.substring(digits, 1, 1), fraction(rest), F.when(e < 0, "e-").otherwise("e+"), F.when(F.abs(e) < 10, "0").otherwise(""), F.abs(e).cast("string"))
     small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits)
     large = F.concat(F.rpad(F.substring(digits, F.lit(1), point), point, F.lit("0")), fraction(F.substring(digits, point + 1, F.length(digits))))
     text = F.when(digits == "", "0").when((e < -4) | (e >= 6), science).when(point <= 0, small).otherwise(large)

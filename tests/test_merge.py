@@ -1,0 +1,66 @@
+from __future__ import annotations
+
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
+from shelfmark.operators import merge
+from shelfmark.plans import report, resume
+from shelfmark.schemas import JOURNALS, RECORD, names
+from shelfmark.sources.tables import Catalog
+
+T1, T2 = datetime(2024, 1, 1), datetime(2024, 2, 1)
+
+
+def record(spark, rows):
+    """Records of (id, name, page, card_pos)."""
+    empty = {"id": 0, "is_scopus": False, "is_garuda": False, "impact": 0.0, "h5_index": 0, "citations_5yr": 0, "citations_total": 0, "source_page": 1}
+    made = [tuple({**empty, "id": i, "name": n, "source_page": p}.get(c, "") for c in names(RECORD)) + (k,) for i, n, p, k in rows]
+    return spark.createDataFrame(made, RECORD + ", card_pos int")
+
+
+def table(df):
+    return {r["id"]: (r["name"], r["first_seen_at"], r["last_scraped_at"]) for r in df.collect()}
+
+
+def test_merge(spark):
+    empty = spark.createDataFrame([], JOURNALS)
+    one = merge.merge_records(empty, record(spark, [(1, "a", 1, 0), (1, "b", 1, 1), (2, "c", 1, 2), (3, "z", 1, 3)]), T1)
+    assert table(one) == {1: ("b", T1, T1), 2: ("c", T1, T1), 3: ("z", T1, T1)}
+    two = merge.merge_records(one, record(spark, [(2, "", 2, 0), (4, "d", 2, 1), (4, "e", 1, 5)]), T2)
+    assert table(two) == {1: ("b", T1, T1), 2: ("", T1, T2), 3: ("z", T1, T1), 4: ("d", T2, T2)}
+    again = merge.merge_records(two, record(spark, [(2, "", 2, 0), (4, "d", 2, 1)]), T2)
+    assert again.exceptAll(two).isEmpty()
+    assert {(r["id"], r["change"]) for r in merge.changes(one, two).collect()} == {(2, "changed"), (4, "added")}
+
+
+def test_catalog_and_crash(spark, tmp_path):
+    c = Catalog(spark, f"file://{tmp_path}/db")
+    assert c.journals.read().isEmpty() and c.completed("a").isEmpty()
+    c.store(record(spark, [(1, "a", 1, 0)]), T1)
+    # the run broke off before the page was marked: it is fetched and stored once more
+    assert [r["page"] for r in resume.pages_to_fetch(spark, 2, c.completed("a")).collect()] == [1, 2]
+    c.store(record(spark, [(1, "a", 1, 0)]), T2)
+    pages = spark.createDataFrame([(1,)], "page int")
+    c.complete("a", pages, T1)
+    c.complete("a", pages, T2)
+    c.complete("b", pages, T2)
+    assert table(c.journals.read()) == {1: ("a", T1, T2)}
+    assert [r["page"] for r in resume.pages_to_fetch(spark, 2, c.completed("a")).collect()] == [2]
+    assert c.progress.read().count() == 2 and c.progress.version() == 3
+    assert resume.pages_to_fetch(spark, 0, c.completed("a")).isEmpty()
+    # a folder without its success mark is not there
+    (tmp_path / "db/journals/00000009").mkdir()
+    assert c.journals.version() == 2
+
+
+def test_summary(spark):
+    rows = [(1, 1, 10, 0, None), (2, 2, 10, 30, None), (3, 3, 10, 31, None), (4, 4, 0, 0, "status 500")]
+    out = spark.createDataFrame(rows, report.OUTCOMES)
+    got = lambda df, n, **k: report.run_summary(df, n, **k).first().asDict()
+    assert got(out, 4) == {"ok_pages": 3, "failed_pages": 1, "cards": 30, "expected_records": 30, "handled": 3, "overall_pages": 3, "percent": 75.0, "verdict": None}
+    good = out.filter("error is null")
+    assert got(good, 3)["verdict"] == "OK" and got(good, 4, first_cards=1)["verdict"] == "FAILED" and got(good, 3, limited=True)["verdict"] == "PARTIAL"
+    assert got(out.limit(0), 1, first_cards=5, expected=5)["verdict"] == "OK"
+    assert report.progress(good, 6, 30.0).first().asDict() == {"done": 3, "percent": 50.0, "seconds_per_page": 10.0, "seconds_left": 30.0}
+    assert report.progress(good.filter(F.lit(False)), 6, 30.0).first()["seconds_left"] is None
