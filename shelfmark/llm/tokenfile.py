@@ -14,8 +14,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+SCHEMA = "doc_id long, position long, n_tokens long, ids array<int>"
 OPTIONS = {
-    "compression": "zstd",
+    "compression": "lz4",  # packed ids hardly get smaller by more work
     "orc.stripe.size": str(64 << 20),
     "orc.row.index.stride": "2000",
     "orc.bloom.filter.columns": "doc_id",
@@ -24,7 +25,7 @@ OPTIONS = {
 
 
 def write_token_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 1) -> str:
-    """Writes doc_id, position (in its file) and ids (array of int) of every document to path, and returns path.
+    """Writes doc_id, position (in its file), n_tokens and ids (array of int) of every document to path, and returns path.
 
     docs needs doc_id and text; other columns are ignored. Null and empty texts have end_id alone. Rows of equal
     doc_id are all written, one after the other; null ids come first. An empty table gives files without rows.
@@ -41,18 +42,18 @@ def write_token_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int | No
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<u4").astype(np.int32)))
             places = pa.array(np.arange(position, position + len(ids)), pa.int64())
             position += len(ids)
-            yield pa.record_batch([b.column(0), places, lists], names=["doc_id", "position", "ids"])
+            yield pa.record_batch([b.column(0), places, pa.array(np.diff(offsets), pa.int64()), lists], names=["doc_id", "position", "n_tokens", "ids"])
 
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    rows = ordered.mapInArrow(encoded, "doc_id long, position long, ids array<int>")
+    rows = ordered.mapInArrow(encoded, SCHEMA)
     rows.write.options(**OPTIONS).orc(path)
     return path
 
 
 def read_token_ids(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, position, ids and file of every row."""
-    rows = spark.read.schema("doc_id long, position long, ids array<int>").orc(path)
-    return rows.select("doc_id", "position", "ids", F.col("_metadata.file_name").alias("file"))
+    """doc_id, position, n_tokens, ids and file of every row."""
+    rows = spark.read.schema(SCHEMA).orc(path)
+    return rows.select("doc_id", "position", "n_tokens", "ids", F.col("_metadata.file_name").alias("file"))
 
 
 def token_summary(rows: DataFrame) -> DataFrame:
@@ -65,14 +66,14 @@ def token_summary(rows: DataFrame) -> DataFrame:
         import zlib
 
         for b in batches:
-            lists = b.column(2)
+            lists = b.column(3)
             offsets = np.frombuffer(lists.buffers()[1], np.int32, len(lists) + 1, lists.offset * 4)
             values = lists.values.to_numpy(zero_copy_only=False).astype("<u4")
             sums = [zlib.crc32(values[s:e]) for s, e in zip(offsets[:-1], offsets[1:], strict=True)]
-            yield pa.record_batch([b.column(0), b.column(1), b.column(3), pa.array(np.diff(offsets), pa.int64()), pa.array(sums, pa.int64())], names=["doc_id", "position", "file", "n_tokens", "ids_crc32"])
+            yield pa.record_batch([b.column(0), b.column(1), b.column(4), pa.array(np.diff(offsets), pa.int64()), pa.array(sums, pa.int64())], names=["doc_id", "position", "file", "n_tokens", "ids_crc32"])
 
     each = rows.mapInArrow(summed, "doc_id long, position long, file string, n_tokens long, ids_crc32 long")
-    totals = rows.groupBy("file").agg(F.sum(F.size("ids")).alias("_total"))
+    totals = rows.groupBy("file").agg(F.sum("n_tokens").alias("_total"))
     before = totals.select("file", (F.sum("_total").over(Window.orderBy("file")) - F.col("_total")).alias("_before"))
     inside = F.sum("n_tokens").over(Window.partitionBy("file").orderBy("position")) - F.col("n_tokens")
     out = each.withColumn("_inside", inside).join(before, "file")

@@ -16,6 +16,8 @@ CACHE = 300_000
 _encoders: dict[str, "WordEncoder"] = {}
 #: Byte-level vocabularies write printable bytes as themselves, and the others as characters from 256 on, in order.
 _printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+#: Letters below this are in normal form, and become small one by one.
+LATIN = "\u0250"
 BYTE_NAMES = dict(zip((b for b in range(256) if b not in _printable), range(256, 512)))
 
 
@@ -51,7 +53,7 @@ class WordEncoder(dict):
 
     def _new(self, word: str) -> bytes:
         if self.letters and word.isalpha():
-            plain = word.lower() if word.isascii() else self.normalise(word)
+            plain = word.lower() if max(word) < LATIN else self.normalise(word)
             if plain.isascii():
                 return array("I", [x.id for x in self.tokenize(plain)]).tobytes()
             if plain.isalpha():
