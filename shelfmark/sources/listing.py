@@ -194,5 +194,5 @@ def stored_pages(spark, path: str) -> DataFrame:
     """page, url and html of a folder of files whose names hold their page number."""
     from pyspark.sql import functions as F
 
-    files = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("url"), F.col("_metadata.file_name").alias("file"), F.col("value").alias("html"))
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("url"), F.col("_metadata.file_name").alias("file"), F.col("value").alias("html"))
     return files.select(F.regexp_extract("file", r"(\d+)", 1).try_cast("int").alias("page"), "url", "html").filter("page is not null")
