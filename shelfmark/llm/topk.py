@@ -6,8 +6,9 @@ Schwarz, so the statistics bound a pair's score from above (and its distance fro
 are taken coarse to fine: a pair whose bound falls under the query's k-th best score so far goes; survivors of the
 finest resolution get their exact scores.
 
-Queries are dealt in blocks of QUERIES. Each block of candidates meets each block of queries once, in one task that
-keeps only the k best of each query; no pair becomes a row.
+Queries are dealt in blocks of QUERIES, candidates in blocks of CANDIDATES. Each block of candidates meets each block
+of queries once, in one of the tasks that share the candidates out; a task keeps only the k best of each query and
+block, and no pair becomes a row.
 """
 
 from __future__ import annotations
@@ -20,7 +21,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Vectors in a block of queries, and of candidates.
-QUERIES, CANDIDATES = 4096, 8192
+QUERIES, CANDIDATES = 4096, 2048
+#: Tasks for each partition of a shuffle.
+SHARES = 2
 #: Segments at each resolution, coarse to fine; cut down for short vectors.
 RESOLUTIONS = (1, 4, 16)
 #: Sums up to this are exact as doubles.
@@ -125,8 +128,12 @@ def exact_top_k(vectors: DataFrame, query: str, k: int = 5, id_column: str = "ve
         .groupBy("block", "dim")
         .agg(F.array_sort(F.collect_list(F.struct("vec_id", "data"))).alias("queries"))
     )
-    candidates = rows.mapInArrow(blocks(CANDIDATES), schema).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-    pairs = candidates.join(questions, ["block", "dim"]).select("block", "dim", "ids", "data", "queries")
+    # few blocks of queries are copied to several tasks, which share the candidates out among them
+    parts = max(1, -(-SHARES * int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")) // n_blocks))
+    part = F.pmod(F.xxhash64("ids"), F.lit(parts)).cast("int")
+    candidates = rows.mapInArrow(blocks(CANDIDATES), schema).withColumn("part", part).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
+    copies = questions.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    pairs = candidates.join(copies.hint("shuffle_merge"), ["block", "dim", "part"]).select("block", "dim", "ids", "data", "queries")
 
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         floors: dict[tuple[int, int], np.ndarray] = {}
