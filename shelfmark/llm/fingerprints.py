@@ -12,12 +12,12 @@ made and raced in the task that holds the text: nothing but fingerprints leaves
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfmark.llm.common import NO_ID, range_of, ranges
+
 #: Bits of a term's hash that choose r, c and b.
 R_BITS, C_BITS, B_BITS = 8, 10, 24
 #: Samples that one row races for: more make a loop body that Java no longer compiles.
@@ -25,8 +25,6 @@ GROUP = 16
 SPACE = r"[\x20\x09-\x0D]+"
 #: What a text without words has in place of samples.
 NOTHING = ""
-#: Stands for a null doc_id.
-NO_ID = -(1 << 63)
 #: Ranges of ids for each partition of a shuffle.
 RANGES = 4
 
@@ -107,21 +105,6 @@ def likeness(one: Column, two: Column) -> Column:
     return F.when(one == two, 1.0).when((one == NOTHING) | (two == NOTHING), 0.0).otherwise(F.size(same) / samples)
 
 
-def ranges(docs: DataFrame, count: int) -> list[tuple[int, int]]:
-    """Least and largest id (doc) of each of about `count` ranges of ids that hold about as many; in order."""
-    parts = docs.select("doc").distinct().repartitionByRange(count, "doc").groupBy(F.spark_partition_id()).agg(F.min("doc").alias("low"), F.max("doc").alias("top"))
-    return sorted((r["low"], r["top"]) for r in parts.collect())
-
-
-def range_of(doc: Column, lows: list[int]) -> Column:
-    """Place of the range that an id lies in: among every step-th range first, then among those that follow it."""
-    step = math.isqrt(len(lows)) + 1
-    array = lambda x: F.split(F.lit(",".join(map(str, x))), ",").cast("array<bigint>")
-    coarse = F.size(F.filter(array(lows[::step]), lambda x: x <= doc)) - 1
-    fine = F.size(F.filter(F.slice(array(lows), coarse * step + 1, F.lit(step)), lambda x: x <= doc))
-    return coarse * step + fine - 1
-
-
 def fingerprint_documents(docs: DataFrame, samples: int = 48) -> DataFrame:
     """doc_id, n_chars, fingerprint, edited_sha256, edited_fingerprint, near_edited, near_next of every row of docs.
 

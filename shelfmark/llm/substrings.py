@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmark.llm.common import mixed, slices, text_bytes, window_hashes, word_hashes, word_spans
+from shelfmark.llm.common import NO_ID, mixed, slices, text_bytes, window_hashes, word_hashes, word_spans
 
 #: Words of an anchor, as long as windows have twice as many.
 ANCHOR = 8
@@ -35,7 +35,6 @@ ANCHOR = 8
 HOT = 256
 #: Reference blocks for each partition of a shuffle.
 BLOCKS = 4
-NO_ID = -(1 << 63)
 ANCHORS = "block int, known boolean, hash binary, doc binary, row binary, pos binary"
 WINDOWS = ANCHORS + ", ref_doc binary, ref_pos binary"
 FACTOR = "doc long, row long, start int, windows int, ref_doc long, ref_start int"

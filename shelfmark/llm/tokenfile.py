@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shelfmark.llm.common import NO_ID, range_of, ranges
+
 SCHEMA = "doc_id long, position long, n_tokens long, ids array<int>"
 OPTIONS = {
     "compression": "lz4",  # packed ids hardly get smaller by more work
@@ -44,8 +46,11 @@ def write_token_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int | No
             position += len(ids)
             yield pa.record_batch([b.column(0), places, pa.array(np.diff(offsets), pa.int64()), lists], names=["doc_id", "position", "n_tokens", "ids"])
 
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    rows = ordered.mapInArrow(encoded, SCHEMA)
+    # ranges are found from the ids alone; a range shuffle of the documents would read all texts twice
+    keyed = docs.select("doc_id", "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"))
+    known = ranges(keyed, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))) or [(NO_ID, NO_ID)]
+    dealt = keyed.repartitionById(len(known), range_of(F.col("doc"), [low for low, _ in known]))
+    rows = dealt.sortWithinPartitions("doc").select("doc_id", "text").mapInArrow(encoded, SCHEMA)
     rows.write.options(**OPTIONS).orc(path)
     return path
 
