@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmark.llm.common import cut, slices, text_bytes, window_hashes, word_hashes, word_spans
+from shelfmark.llm.common import NO_ID, cut, slices, text_bytes, window_hashes, word_hashes, word_spans
 from shelfmark.llm.graph import Forest, components
 
 #: A list of more sets than this is frequent. Most n-grams that are broadcast as frequent (8 bytes each).
@@ -72,8 +72,9 @@ def _digest(found: np.ndarray) -> int:
 def _classes(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = list(shingle_sets(b, size))
-            yield pa.record_batch([b.column(0), pa.array([_digest(x) if len(x) else None for x in found], pa.int64()), pa.array([len(x) for x in found], pa.int64())], names=["doc_id", "cls", "n"])
+            found = list(shingle_sets(b, size, 3))
+            own = [pa.array([_digest(x) if len(x) else None for x in found], pa.int64()), pa.array([len(x) for x in found], pa.int64())]
+            yield pa.record_batch([*b.columns[:3], *own], names=["doc_id", "key", "row", "cls", "n"])
 
     return run
 
@@ -285,7 +286,9 @@ def _linked(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """doc_id, n, cls and root of every row: size of its set, the set's hash, and the same hash all over a component."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
-    classes = cut(docs.mapInArrow(_classes(size), "doc_id long, cls long, n long"))
+    # a row is known by its id and a hash: ids may be null or repeated
+    keyed = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"), F.xxhash64("doc_id", "text").alias("row"), "text")
+    classes = cut(keyed.mapInArrow(_classes(size), "doc_id long, key long, row long, cls long, n long"))
     counts = cut(docs.select("text").mapInArrow(_prefix_tokens(size, percent), "token long").groupBy("token").count().filter(F.col("count") > HOT))
     least, broad = HOT, 0
     for row in counts.groupBy(F.floor(F.log2("count")).cast("int").alias("power")).count().orderBy(F.desc("power")).collect():
@@ -300,14 +303,14 @@ def _linked(docs: DataFrame, size: int, percent: int) -> DataFrame:
     shared = found.groupBy("a", "b", "whole").agg(F.count("*").alias("met"), F.max("share").alias("share"))
     candidates = shared.filter(F.col("whole") | (F.col("met") >= F.col("share"))).select("a", "b")
     families = components(candidates).withColumnsRenamed({"vertex": "cls", "root": "family"})
-    # a class stands for its documents by the least of their ids, and a text by any of its rows
-    heads = classes.filter("cls is not null").groupBy("cls").agg(F.min(F.struct("doc_id", "n")).alias("h")).select("cls", F.col("h.doc_id").alias("head"))
+    # a class stands for its documents, and any row of it has its text
+    heads = classes.filter("cls is not null").groupBy("cls").agg(F.min(F.struct("key", "row")).alias("h")).select("cls", "h.key", "h.row")
     members = cut(heads.join(families, "cls"))
     sizes = cut(members.groupBy("family").agg(F.count("*").alias("members")).filter("members > 1"))
     wanted = members.join(sizes, "family")
     n_blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     tasks = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    texts = docs.withColumnRenamed("doc_id", "head").join(wanted, "head")
+    texts = keyed.select("key", "row", "text").join(wanted, ["key", "row"]).dropDuplicates(["key", "row"])
     dealt = (
         texts
         .withColumn("own", F.pmod(F.xxhash64("cls"), n_blocks).cast("int"))
@@ -338,7 +341,7 @@ def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """docs with one row of each component: that of the least doc_id (null counts as least), of equal ids that of the least
     hash, of equal rows one. Rows without words are in no component and stay. Columns and their order are kept."""
     named = _linked(docs, size, percent)
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
     heads = named.filter("root is not null").groupBy("root").agg(F.min(F.struct(key.alias("key"), "cls")).alias("h")).select("h.key", "h.cls")
     rows = docs.select("text", key.alias("key"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
 
