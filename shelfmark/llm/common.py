@@ -7,6 +7,7 @@ They are computed for a whole Arrow column at once from prefix sums, so that no
 from __future__ import annotations
 
 import math
+import sys
 import tempfile
 import uuid
 
@@ -27,6 +28,15 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _tables: dict[str, np.ndarray] = {}
 
 
+def let_go() -> None:
+    """Python workers live on from one operator to the next: frees what tokenizers keep there, which would add to the
+    memory of the operator that calls this."""
+    for name in ("tokens", "pieces"):
+        if module := sys.modules.get(f"shelfmark.llm.{name}"):
+            module._encoders.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def shared_dir(spark, name: str) -> str:
     """A new folder under spark.checkpoint.dir, or under a temporary one where that is unset (local runs)."""
     root = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='shelfmark-')}"

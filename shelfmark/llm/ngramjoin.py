@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmark.llm.common import NO_ID, cut, slices, text_bytes, window_hashes, word_hashes, word_spans
+from shelfmark.llm.common import NO_ID, cut, let_go, slices, text_bytes, window_hashes, word_hashes, word_spans
 from shelfmark.llm.graph import Forest, components
 
 #: A list of more sets than this is frequent. Most n-grams that are broadcast as frequent (8 bytes each).
@@ -71,6 +71,7 @@ def _digest(found: np.ndarray) -> int:
 
 def _classes(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for b in batches:
             found = list(shingle_sets(b, size, 3))
             own = [pa.array([_digest(x) if len(x) else None for x in found], pa.int64()), pa.array([len(x) for x in found], pa.int64())]
@@ -83,6 +84,7 @@ def _prefix_tokens(size: int, percent: int):
     """The n-grams of half as much again as the prefix, for counting; those of equal sets of a batch once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for b in batches:
             seen: set[int] = set()
             parts = []
@@ -100,6 +102,7 @@ def _postings(size: int, percent: int, hot):
     loose: whether the prefix has frequent n-grams."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         frequent = hot.value
         names = ["deal", "token", "cls", "n", "loose", "hot"]
         for b in batches:

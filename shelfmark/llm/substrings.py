@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmark.llm.common import NO_ID, mixed, slices, text_bytes, window_hashes, word_hashes, word_spans
+from shelfmark.llm.common import NO_ID, let_go, mixed, slices, text_bytes, window_hashes, word_hashes, word_spans
 
 #: Words of an anchor, as long as windows have twice as many.
 ANCHOR = 8
@@ -80,6 +80,7 @@ def _names(schema: str) -> list[str]:
 
 def _anchors(size: int, blocks: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             for b in slices(batch):
                 w = Windows(b.column(2), size)
@@ -134,6 +135,7 @@ def _repeated(table: pa.Table) -> pa.Table:
 
 def _windows(size: int, blocks: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             for b in slices(batch):
                 w = Windows(b.column(2), size)

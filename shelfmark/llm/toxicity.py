@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.llm.common import let_go
+
 #: Lengths of the n-grams, and places that they are hashed to.
 GRAMS, BITS = (4, 5), 20
 #: Most labelled texts of either class that the classifier is fitted on; equal texts count once.
@@ -118,6 +120,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         own = shared.value
         for b in batches:
             yield pa.record_batch([b.column(0), pa.array([own.score(x) for x in b.column(1).to_pylist()], pa.float64())], names=["doc_id", "score"])
@@ -130,6 +133,7 @@ def reject(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
     shared, place = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         own = shared.value
         for b in batches:
             yield b.filter(pa.array([own.score(x) < threshold for x in b.column(place).to_pylist()], pa.bool_()))
