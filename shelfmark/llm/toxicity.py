@@ -59,17 +59,16 @@ def fit(examples: list[np.ndarray], labels: np.ndarray, rounds: int = 200, penal
     if not len(labels) or toxic.all() or not toxic.any():
         prior = (toxic.sum() + 1) / (len(labels) + 2) if len(labels) else 0.25
         return Model(np.zeros(size, np.float32), float(np.log(prior / (1 - prior))))
-    rows = np.repeat(np.arange(len(examples)), [len(x) for x in examples])
-    columns = np.concatenate(examples)
-    counts = np.stack([np.bincount(columns[toxic[rows] == c], minlength=size) + 0.5 for c in (False, True)])
-    counts[0] /= (~toxic).sum() + 1
-    counts[1] /= toxic.sum() + 1
+    seen = np.zeros((2, size))
+    for x, label in zip(examples, toxic, strict=True):
+        seen[int(label), x] += 1  # a text holds each of its features once
+    counts = (seen + 0.5) / np.array([[(~toxic).sum() + 1], [toxic.sum() + 1]])
     ratios = np.log(counts[1] / counts[0])
     # features of one or two texts, or as frequent in either class, say nothing of other texts
-    useful = (np.bincount(columns, minlength=size) >= 3) & (np.abs(ratios) > 0.7)
+    useful = (seen.sum(0) >= 3) & (np.abs(ratios) > 0.7)
     place = np.cumsum(useful) - 1
-    keep = useful[columns]
-    rows, columns = rows[keep], place[columns[keep]]
+    kept = [x[useful[x]] for x in examples]
+    rows, columns = np.repeat(np.arange(len(kept)), [len(x) for x in kept]), place[np.concatenate(kept)]
     values = ratios[useful][columns]
     norms = np.sqrt(np.bincount(rows, values**2, len(examples)).mean()) or 1.0
     values = values / norms
