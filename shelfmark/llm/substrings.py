@@ -7,7 +7,8 @@ the same one. Factors of `size` words or more are found exactly, whatever their
    anchors. Anchors are dealt by hash; those that stand in one place alone cannot belong to a repeated window.
    Whole documents ride along by a hash of all their words: later copies are one factor each.
 2. The windows of the remaining anchors are dealt to reference blocks, by their anchor (by themselves where the
-   anchor is very frequent). A block keeps the first place of each of its windows, and parses what it gets against
+   anchor is very frequent in a sample; the list of those is made beforehand, so that equal windows always meet). A
+   block keeps the first place of each of its windows, and parses what it gets against
    that index: a factor goes on as long as text and reference go on alike. Windows on either side of a factor's
    boundary have been looked up as well, so a document's factors miss no window.
 3. Factors come back to their documents, and the words they cover go.
@@ -31,8 +32,9 @@ from shelfmark.llm.common import NO_ID, let_go, mixed, slices, text_bytes, windo
 
 #: Words of an anchor, as long as windows have twice as many.
 ANCHOR = 8
-#: An anchor that more tasks send than this is very frequent.
-HOT = 256
+#: About so many documents are the sample in which an anchor that stands in more than HOT places is very frequent. Both
+#: steer the sizes of blocks only: whatever the list holds, all places of an anchor are dealt alike.
+SAMPLE, HOT = 8192, 64
 #: Reference blocks for each partition of a shuffle.
 BLOCKS = 4
 ANCHORS = "block int, known boolean, hash binary, doc binary, row binary, pos binary"
@@ -113,12 +115,29 @@ def _anchors(size: int, blocks: int):
     return run
 
 
+def _frequent(docs: DataFrame, size: int) -> np.ndarray:
+    """Anchors that are very frequent, in order."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
+        for batch in batches:
+            for b in slices(batch):
+                w = Windows(b.column(0), size)
+                hashes, counts = np.unique(w.grams[w.anchor[np.diff(w.anchor, prepend=-1) != 0]], return_counts=True)
+                yield pa.record_batch([pa.array(hashes.view(np.int64)), pa.array(counts, pa.int64())], names=["hash", "places"])
+
+    texts, count = docs.select("text"), docs.count()
+    some = texts.sample(SAMPLE / count, seed=1) if count > SAMPLE else texts
+    found = some.mapInArrow(counted, "hash long, places long").groupBy("hash").agg(F.sum("places").alias("places")).filter(F.col("places") > HOT)
+    return np.sort(np.array([r["hash"] for r in found.select("hash").collect()], np.int64).view(np.uint64))
+
+
 def _joined(table: pa.Table, kinds: list) -> list[np.ndarray]:
     return [np.frombuffer(b"".join(table.column(i + 2).to_pylist()), k) for i, k in enumerate(kinds)]
 
 
 def _repeated(table: pa.Table) -> pa.Table:
-    """(doc, row, pos, hot) of the anchors of a block that stand in several places; pos is -1 for copies of a whole text."""
+    """(doc, row, pos) of the anchors of a block that stand in several places; pos is -1 for copies of a whole text."""
     empty = pc.equal(pc.binary_length(table.column("hash")), 0)
     passed = _joined(table.filter(empty), [np.uint64, np.int64, np.int64, np.int32])
     table = table.filter(pc.invert(empty))
@@ -129,11 +148,10 @@ def _repeated(table: pa.Table) -> pa.Table:
     np.minimum.at(least, inverse, doc)
     found = np.where(pos < 0, doc > least[inverse], known | (counts[inverse] > 1))
     columns = [np.concatenate([x[found], y]) for x, y in zip((doc, row, pos), passed[1:], strict=True)]
-    hot = np.concatenate([counts[inverse][found] > HOT, np.zeros(len(passed[1]), bool)])
-    return pa.table([pa.array(x) for x in (*columns, hot)], names=["doc", "row", "pos", "hot"])
+    return pa.table([pa.array(x) for x in columns], names=["doc", "row", "pos"])
 
 
-def _windows(size: int, blocks: int):
+def _windows(size: int, blocks: int, frequent: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         let_go()
         for batch in batches:
@@ -143,9 +161,9 @@ def _windows(size: int, blocks: int):
                 marks = b.column(3)
                 values = marks.values.to_numpy(zero_copy_only=False)[marks.offsets[0].as_py() : marks.offsets[-1].as_py()]
                 owner = np.repeat(np.arange(b.num_rows), np.diff(marks.offsets.to_numpy()))
-                flag = np.zeros(len(w.words) + 1, np.int8)
-                flag[w.first[owner] + (values >> 1)] = 1 + (values & 1)
-                mine = np.flatnonzero(flag[w.anchor] > 0)
+                flag = np.zeros(len(w.words) + 1, bool)
+                flag[w.first[owner] + values] = True
+                mine = np.flatnonzero(flag[w.anchor])
                 at, text, anchor = w.at[mine], w.text[mine], w.anchor[mine]
                 hashes = window_hashes(w.words, size)[at]
                 doc, row, pos = docs[text], rows[text], (at - w.first[text]).astype(np.int32)
@@ -156,7 +174,10 @@ def _windows(size: int, blocks: int):
                 first = np.empty(len(order), np.int64)
                 first[order] = head
                 again = (doc > doc[first]) | ((doc == doc[first]) & (pos > pos[first]))
-                deal = np.where(flag[anchor] > 1, hashes, mixed(w.grams[anchor]))
+                deal = mixed(w.grams[anchor])
+                if len(frequent):
+                    near = frequent[np.minimum(np.searchsorted(frequent, w.grams[anchor]), len(frequent) - 1)]
+                    deal = np.where(near == w.grams[anchor], hashes, deal)
                 own, rest = np.flatnonzero(~again), np.flatnonzero(again)
                 out = _dealt((deal[own] % np.uint64(blocks)).astype(np.int32), False, [*(x[own] for x in (hashes, doc, row, pos)), doc[:0], pos[:0]])
                 known = [hashes[:0], doc[rest], row[rest], pos[rest], doc[first[rest]], pos[first[rest]]]
@@ -196,11 +217,11 @@ def repeated_factors(docs: DataFrame, size: int = 20) -> DataFrame:
     """Factors of at least `size` words of docs (doc, row, text; see find_repeats): document, first word, count of
     windows, and where the same words stand earlier. start is -1 for a document whose words are all an earlier one's."""
     blocks = BLOCKS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    marks = docs.mapInArrow(_anchors(size, blocks), ANCHORS).groupBy("block").applyInArrow(_repeated, "doc long, row long, pos int, hot boolean")
-    own = marks.groupBy("doc", "row").agg(F.min("pos").alias("least"), F.collect_list(F.col("pos") * 2 + F.col("hot").cast("int")).alias("marks"))
+    marks = docs.mapInArrow(_anchors(size, blocks), ANCHORS).groupBy("block").applyInArrow(_repeated, "doc long, row long, pos int")
+    own = marks.groupBy("doc", "row").agg(F.min("pos").alias("least"), F.collect_list("pos").alias("marks"))
     copies = own.filter("least < 0").select("doc", "row", F.lit(-1).alias("start"), F.lit(0).alias("windows"), F.lit(None).cast("long").alias("ref_doc"), F.lit(None).cast("int").alias("ref_start"))
     texts = docs.join(own.filter("least >= 0"), ["doc", "row"]).select("doc", "row", "text", "marks")
-    return texts.mapInArrow(_windows(size, blocks), WINDOWS).groupBy("block").applyInArrow(_parsed, FACTOR).unionByName(copies)
+    return texts.mapInArrow(_windows(size, blocks, _frequent(docs, size)), WINDOWS).groupBy("block").applyInArrow(_parsed, FACTOR).unionByName(copies)
 
 
 def find_repeats(docs: DataFrame, size: int = 20, columns: list[str] | None = None) -> DataFrame:

@@ -77,6 +77,20 @@ def test_substrings(spark, corpus, size):
     assert Counter(map(tuple, got.collect())) == Counter((i, *r) for (i, _), r in zip(corpus, removed(corpus, size), strict=True))
 
 
+@pytest.mark.parametrize("hot", [1, substrings.HOT, 1 << 30])
+def test_substrings_of_frequent_anchors(spark, monkeypatch, hot):
+    """One passage in all of 700 documents, which come in batches of two."""
+    monkeypatch.setattr(substrings, "HOT", hot)
+    passage = words(7, 30, 1000)
+    rows = [(i, f"{words(1000 + i, 12, 1000)} {passage} {words(2000 + i, 12, 1000)}") for i in range(700)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        got = substrings.find_repeats(frame(spark, rows)).select("doc_id", "n_words", "n_removed", "kept").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert Counter(map(tuple, got)) == Counter((i, *r) for (i, _), r in zip(rows, removed(rows, 20), strict=True))
+
+
 def test_substrings_stage(spark, corpus):
     docs = frame(spark, corpus)
     got = substrings.remove_repeats(docs)
