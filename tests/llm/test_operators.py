@@ -198,6 +198,17 @@ def test_fingerprints_estimate_jaccard(spark):
     assert abs(np.mean(error)) < 0.03 and np.std(error) < 0.12
 
 
+@pytest.mark.parametrize("n", [10_000, 100_000])
+def test_fingerprints_of_long_texts(spark, n):
+    """Most words in common are frequent ones; 30 % of words stand in one of the texts alone."""
+    rng = np.random.default_rng(8)
+    common = np.minimum(rng.zipf(1.3, n * 7 // 10), 10 * n)
+    texts = [" ".join([*(f"z{x}" for x in common), *(f"{side}{x}" for x in range(n * 3 // 10))]) for side in "ab"]
+    one, two = (Counter(t.split()) for t in texts)
+    got = fingerprints.fingerprint_documents(frame(spark, list(enumerate(texts))), samples=480).collect()
+    assert all(abs(r["near_next"] - sum((one & two).values()) / sum((one | two).values())) < 0.09 for r in got)
+
+
 def test_toxicity(spark):
     got = queries.op3_toxicity(spark, "/root/testdata/sf0.01").join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id").filter("held_out and toxic is not null").collect()
     assert len(got) > 40 and np.mean([r["predicted"] == r["toxic"] for r in got]) > 0.95
