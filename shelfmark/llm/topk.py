@@ -52,10 +52,18 @@ def segment_statistics(vectors: np.ndarray, segments: int) -> tuple[np.ndarray,
     return means, np.sqrt(np.maximum(squares - means**2, 0))
 
 
+def best_of_each(scores: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Places of the best score of each different id."""
+    order = np.lexsort((-scores, ids))
+    return order[np.diff(ids[order], prepend=~ids[order][:1]) != 0]
+
+
 def search_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int, floor: np.ndarray) -> list[tuple[int, int, int]]:
-    """(query, id, score) of each query's k best here, leaving out itself and scores under floor, which it raises."""
+    """(query, id, score) of each query's k best here, leaving out itself and scores under floor, which it raises.
+    A repeated id has one place, by its best score."""
     if not queries.shape[1]:  # vectors without components
-        return [(int(q), int(i), 0) for q in query_ids for i in np.sort(ids[ids != q])[:k]]
+        return [(int(q), int(i), 0) for q in query_ids for i in np.unique(ids[ids != q])[:k]]
+    repeated = len(np.unique(ids)) < len(ids)
     scales = [min(s, vectors.shape[1]) for s in RESOLUTIONS]
     levels = [(np.hstack(segment_statistics(queries, s)), np.hstack(segment_statistics(vectors, s))) for s in dict.fromkeys(scales)]
     big = np.linalg.norm(queries, axis=1).max(initial=0) * np.linalg.norm(vectors, axis=1).max(initial=0)
@@ -68,14 +76,21 @@ def search_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray
         if len(live) > 4 * k:
             probe = live[np.argpartition(-bounds[live], 4 * k)[: 4 * k]]
             best = vectors[probe] @ queries[n]
-            floor[n] = max(floor[n], np.partition(best, -k)[-k] - slack)
+            if repeated:
+                best = best[best_of_each(best, ids[probe])]
+            if len(best) >= k:
+                floor[n] = max(floor[n], np.partition(best, -k)[-k] - slack)
             live = live[bounds[live] + slack >= floor[n]]
             for q, v in levels[1:]:
                 live = live[v[live] @ q[n] + slack >= floor[n]]
         if not len(live):
             continue
         exact = [int(x) for x in vectors[live] @ queries[n]] if big < EXACT else [sum(int(a) * int(b) for a, b in zip(queries[n], v, strict=True)) for v in vectors[live]]
-        best = sorted(zip((-x for x in exact), ids[live].tolist(), strict=True))[:k]
+        best = sorted(zip((-x for x in exact), ids[live].tolist(), strict=True))
+        if repeated:  # the first of each id is its best
+            best = [(s, i) for i, s in {i: s for s, i in reversed(best)}.items()]
+            best.sort()
+        best = best[:k]
         if len(best) == k:
             floor[n] = max(floor[n], -best[-1][0] - slack)
         out += [(int(query_ids[n]), i, -s) for s, i in best]
@@ -86,7 +101,7 @@ def exact_top_k(vectors: DataFrame, query: str, k: int = 5, id_column: str = "ve
     """query_id, rank (from 1), vec_id, score: for each row for which the SQL condition `query` holds, its k rows of
     highest inner product of floor(256 * x), ties to the smaller id; all, if there are fewer.
 
-    A row is not its own candidate; a repeated id counts once. Rows with a null id, and vectors null or with a
+    A row is not its own candidate; a repeated id counts once: two ids have the best score of all their rows. Rows with a null id, and vectors null or with a
     component null or not finite, take no part. Vectors of different lengths do not meet. Scores are exact: beyond
     2**53 they are summed as Python integers. Other columns are ignored.
     """
@@ -141,7 +156,8 @@ def exact_top_k(vectors: DataFrame, query: str, k: int = 5, id_column: str = "ve
             for row in range(b.num_rows):
                 block, dim, ids, data, queries = (b.column(i)[row].as_py() for i in range(5))
                 query_ids = np.array([q["vec_id"] for q in queries], np.int64)
-                _, once = np.unique(query_ids, return_index=True)
+                # queries are in order: equal rows follow each other
+                once = [n for n, q in enumerate(queries) if not n or q != queries[n - 1]]
                 query_ids = query_ids[once]
                 asked = np.frombuffer(b"".join(q["data"] for q in queries), np.float64).reshape(-1, dim)[once] if dim else np.zeros((len(once), 0))
                 own = np.frombuffer(ids, np.int64)
@@ -150,6 +166,7 @@ def exact_top_k(vectors: DataFrame, query: str, k: int = 5, id_column: str = "ve
                 yield pa.record_batch([pa.array(c, pa.int64()) for c in (zip(*found, strict=True) if found else ((), (), ()))], names=["query_id", "vec_id", "score"])
 
     best = pairs.mapInArrow(searched, "query_id long, vec_id long, score long")
-    ordered = F.array_sort(F.collect_set(F.struct((-F.col("score")).alias("s"), "vec_id")))
+    ordered = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id")))
+    best = best.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     top = best.groupBy("query_id").agg(F.slice(ordered, 1, k).alias("top"))
     return top.select("query_id", F.posexplode("top").alias("rank", "t")).select("query_id", (F.col("rank") + 1).alias("rank"), F.col("t.vec_id").alias("vec_id"), (-F.col("t.s")).alias("score"))

@@ -363,6 +363,25 @@ def test_top_k_cases(spark):
     assert topk.exact_top_k(table.limit(0), "vec_id % 50 = 0", 5).isEmpty()
 
 
+def test_top_k_of_repeated_rows(spark):
+    rng = random.Random(6)
+    vector = lambda: [rng.uniform(-1, 1) for _ in range(10)]
+    rows = [(i, vector()) for i in range(120)]
+    rows += [(i, v) for i, v in rows if i % 3 == 0 for _ in range(30)] + [(i, vector()) for i in range(0, 120, 5) for _ in range(3)] + [(50, [0.5] * 9), (7, [0.5] * 9)]
+    best = {}
+    whole = [(i, np.floor(256.0 * np.array(v, np.float32).astype(float))) for i, v in rows]
+    for q, x in whole:
+        for c, y in whole:
+            if q % 50 == 0 and c != q and len(x) == len(y):
+                best[q, c] = max(best.get((q, c), int(x @ y)), int(x @ y))
+    want = set()
+    for q in (0, 50, 100):
+        want |= {(q, k + 1, c, -s) for k, (s, c) in enumerate(sorted((-s, c) for (p, c), s in best.items() if p == q)[:5])}
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(2)
+    got = topk.exact_top_k(table, "vec_id % 50 = 0", 5).collect()
+    assert len(got) == 15 and {tuple(r) for r in got} == want
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
