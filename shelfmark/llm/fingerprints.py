@@ -56,8 +56,8 @@ def cell(draw: Column) -> Column:
 
 
 def _table(values: np.ndarray) -> Column:
-    # a text literal that is folded to one array when planned
-    return F.split(F.lit(",".join(map(repr, values.tolist()))), ",").cast("array<double>")
+    # a text literal that is folded to one array when planned; four digits, far finer than cells, keep plans small
+    return F.split(F.lit(",".join(f"{x:.4g}" for x in values)), ",").cast("array<double>")
 
 
 def terms(one: Column, two: Column) -> Column:
