@@ -23,6 +23,8 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 #: Text is hashed in pieces of about so many bytes, which bounds the memory of a very long text.
 SEGMENT = 1 << 18
+#: A key that holds over one in so many rows is heavy, see spread_join().
+HEAVY = 1000
 _BASE, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _tables: dict[str, np.ndarray] = {}
@@ -37,10 +39,26 @@ def let_go() -> None:
     pa.default_memory_pool().release_unused()
 
 
+def shared_root(spark) -> str:
+    """The folder all executors see: spark.checkpoint.dir, else the context's checkpoint folder, else, on a local master
+    alone, a temporary folder. Elsewhere one must be set: executors of other machines don't see the driver's disk."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if root is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = f"file://{tempfile.mkdtemp(prefix='shelfmark-')}"
+    return root.rstrip("/")
+
+
 def shared_dir(spark, name: str) -> str:
-    """A new folder under spark.checkpoint.dir, or under a temporary one where that is unset (local runs)."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='shelfmark-')}"
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new folder under the shared root."""
+    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def discard(spark, path: str) -> None:
+    """Removes a folder of intermediate data that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def cut(df):
@@ -51,18 +69,53 @@ def cut(df):
     return df.checkpoint()
 
 
-def ranges(docs: DataFrame, count: int) -> list[tuple[int, int]]:
-    """Least and largest id (doc) of each of about `count` ranges of ids that hold about as many; in order."""
-    parts = docs.select("doc").distinct().repartitionByRange(count, "doc").groupBy(F.spark_partition_id()).agg(F.min("doc").alias("low"), F.max("doc").alias("top"))
-    return sorted((r["low"], r["top"]) for r in parts.collect())
-
-
-def range_of(doc: Column, lows: list[int]) -> Column:
-    """Place of the range that an id lies in: among every step-th range first, then among those that follow it."""
+def spread_join(rows: DataFrame, key: str, table: DataFrame, salt: Column) -> DataFrame:
+    """rows, left join table on key (unique there). Keys that hold over 1 / HEAVY of the rows are joined by broadcast (there are
+    fewer than HEAVY of them); these rows and those without a key are dealt by `salt`, so that no task gets a hot key.
+    rows is read twice: it should be a stored table."""
+    least = rows.count() // HEAVY + 1
+    heavy = rows.filter(F.col(key).isNotNull()).groupBy(key).count().filter(F.col("count") > least).select(F.col(key).alias("_heavy"))
+    own = cut(table.join(F.broadcast(heavy), F.col(key) == F.col("_heavy"), "left_semi"))
+    values = [c for c in table.columns if c != key]
+    few = own.select(F.col(key).alias("_heavy"), F.struct(*values).alias("_few"))
+    marked = rows.join(F.broadcast(few), F.col(key) == F.col("_heavy"), "left").drop("_heavy")
+    dealt = marked.withColumn("_plain", F.col("_few").isNull() & F.col(key).isNotNull()).withColumn("_deal", F.when(F.col("_plain"), F.col(key)).otherwise(salt))
+    many = table.select(F.col(key).alias("_deal"), F.lit(True).alias("_plain"), F.struct(*values).alias("_many"))
+    out = dealt.join(many.hint("shuffle_merge"), ["_deal", "_plain"], "left").withColumn("_found", F.coalesce("_few", "_many"))
+    return out.select(*rows.columns, *(F.col("_found")[v].alias(v) for v in values))
+
+
+def tie(text: Column) -> Column:
+    """What orders rows of equal ids: 63 bits of a hash of their texts; null is as empty."""
+    return F.shiftrightunsigned(F.xxhash64(F.coalesce(text, F.lit(""))), 1)
+
+
+def ranges(docs: DataFrame, count: int) -> tuple[list[tuple], bool]:
+    """Least and largest (doc, tie) of each of about `count` ranges that hold about as many ids, in order, and whether ids alone
+    tell ranges apart (ties are 0 then). They do unless one id has more rows than a range should. docs: doc and text."""
+    bounds = lambda parts, *by: parts.repartitionByRange(count, *by).groupBy(F.spark_partition_id())
+    counts = docs.groupBy("doc").count()
+    found = bounds(counts, "doc").agg(F.min("doc").alias("low"), F.max("doc").alias("top"), F.sum("count").alias("rows"), F.max("count").alias("most")).collect()
+    if max((r["most"] for r in found), default=0) <= max(1000, 2 * sum(r["rows"] for r in found) // count):
+        return sorted(((r["low"], 0), (r["top"], 0)) for r in found), True
+    pairs = docs.select("doc", tie(F.col("text")).alias("tie")).distinct()
+    place = F.struct("doc", "tie")
+    found = bounds(pairs, "doc", "tie").agg(F.min(place).alias("low"), F.max(place).alias("top")).collect()
+    return sorted((tuple(r["low"]), tuple(r["top"])) for r in found), False
+
+
+def longs(values: list[int]) -> Column:
+    """An array literal: one text, folded when planned."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
+def range_of(doc: Column, tie: Column, lows: list[tuple[int, int]]) -> Column:
+    """Place of the range that (doc, tie) lies in: among every step-th range first, then among those that follow it."""
     step = math.isqrt(len(lows)) + 1
-    array = lambda x: F.split(F.lit(",".join(map(str, x))), ",").cast("array<bigint>")
-    coarse = F.size(F.filter(array(lows[::step]), lambda x: x <= doc)) - 1
-    fine = F.size(F.filter(F.slice(array(lows), coarse * step + 1, F.lit(step)), lambda x: x <= doc))
+    pairs = lambda x: F.arrays_zip(longs([d for d, _ in x]).alias("d"), longs([t for _, t in x]).alias("t"))
+    under = lambda x: (x["d"] < doc) | ((x["d"] == doc) & (x["t"] <= tie))
+    coarse = F.size(F.filter(pairs(lows[::step]), under)) - 1
+    fine = F.size(F.filter(F.slice(pairs(lows), coarse * step + 1, F.lit(step)), under))
     return coarse * step + fine - 1
 
 

@@ -6,28 +6,20 @@ t = floor(ln w / r + b), and its race time is c * exp(-r * (t + 1 - b)). The win
 texts agree on a sample with the probability of their generalised Jaccard similarity, the sum of smaller weights
 over the sum of larger ones.
 
-Gamma variables come from tables of their quantiles, so that a draw is a lookup in generated code. The winners of a long
-text have a very small c and a very large r, so the tables are finer towards those ends, down to 2**-22. Terms are
-made and raced in the task that holds the text: nothing but fingerprints leaves it.
+Draws are exact: a gamma variable of shape 2 is the negative logarithm of a product of two uniforms, each of 32 bits of
+the hash. The sample's name comes from bits that take no part in the race. Terms are made and raced in the task that
+holds the text: nothing but fingerprints leaves it.
 """
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import NO_ID, range_of, ranges
+from shelfmark.llm.common import NO_ID, longs, range_of, ranges, tie
 
-#: Bits of a term's hash that choose a gamma variable, r and c each, and those that choose b.
-GAMMA_BITS, B_BITS = 22, 20
-#: Cells of a gamma table: one in each 2**12 draws; from here down one in each 2**6; and from here down one for each draw.
-FINE, FINEST = 1 << 16, 1 << 10
 #: Samples that one row races for: more make a loop body that Java no longer compiles.
 GROUP = 16
-#: Number of the first group of samples, a seed. On the 60 words of the tests the 48 samples from 0 are off by -0.075, those
-#: from 3 by 0.026 (deviation of such a mean over 40 seeds: 0.04; mean of all: -0.002).
-FIRST = 3
 SPACE = r"[\x20\x09-\x0D]+"
 #: What a text without words has in place of samples.
 NOTHING = ""
@@ -35,31 +27,6 @@ NOTHING = ""
 RANGES = 4
 
 
-def gamma_quantiles(upper: bool = False) -> np.ndarray:
-    """The quantiles of the gamma distribution of shape 2, which is 1 - (1 + x) * exp(-x) up to x, at the middle of each cell
-    (see cell): of the share that lies under, fine towards 0, or of the share that lies above, fine towards large values."""
-    cells = np.arange(1 << 10)
-    p = np.concatenate([(cells + 0.5) * width for width in (1 << 12, 1 << 6, 1)]) / (1 << GAMMA_BITS)
-    low, high = np.zeros(len(p)), np.full(len(p), 60.0)
-    for _ in range(80):
-        middle = (low + high) / 2
-        above = (1 + middle) * np.exp(-middle)
-        under = above > p if upper else -np.expm1(-middle) - middle * np.exp(-middle) < p
-        low, high = np.where(under, middle, low), np.where(under, high, middle)
-    return (low + high) / 2
-
-
-def cell(draw: Column) -> Column:
-    """Place in a gamma table of GAMMA_BITS bits."""
-    place = F.when(draw >= FINE, F.shiftrightunsigned(draw, 12)).when(draw >= FINEST, F.shiftrightunsigned(draw, 6) + (1 << 10)).otherwise(draw + (2 << 10))
-    return place.cast("int")
-
-
-def _table(values: np.ndarray) -> Column:
-    # a text literal that is folded to one array when planned; four digits, far finer than cells, keep plans small
-    return F.split(F.lit(",".join(f"{x:.4g}" for x in values)), ",").cast("array<double>")
-
-
 def terms(one: Column, two: Column) -> Column:
     """array<struct<h, one, two>>: hash of each different word of two texts, and how often either has it (null: never)."""
     words = lambda text, tag: F.transform(F.array_remove(F.split(text, SPACE), ""), lambda x: F.xxhash64(x).bitwiseAND(-2) + tag)
@@ -84,16 +51,19 @@ def terms(one: Column, two: Column) -> Column:
     return bound[0]
 
 
-def sample(x: Column, log_weight: Column, r_table: Column, c_table: Column) -> Column:
-    """Race time (high bits) and name (low 32 bits) of a term whose hash for this sample is x."""
-    draws = (1 << GAMMA_BITS) - 1
-    r = F.get(r_table, cell(x.bitwiseAND(draws)))
-    c = F.get(c_table, cell(F.shiftrightunsigned(x, GAMMA_BITS).bitwiseAND(draws)))
-    b = F.shiftrightunsigned(x, 2 * GAMMA_BITS) / float(1 << B_BITS)
-    t = F.floor(log_weight / r + b)
-    time = ((c - r * (t + 1 - b) + 64) * (1 << 24)).cast("long")  # c is the logarithm here
-    # winners' draws are alike, so the name is made of all bits
-    return F.shiftleft(time, 32).bitwiseOR(x.bitwiseXOR(F.shiftrightunsigned(x, 32)).bitwiseXOR(t).bitwiseAND(0xFFFFFFFF))
+def gamma(x: Column) -> Column:
+    """A gamma variable of shape 2 from a hash of 64 bits."""
+    uniform = lambda bits: (bits + 0.5) / float(1 << 32)
+    return -F.ln(uniform(x.bitwiseAND(0xFFFFFFFF)) * uniform(F.shiftrightunsigned(x, 32)))
+
+
+def race(weight_log: Column, r: Column, log_c: Column, z: Column) -> Column:
+    """Race time (high bits) and name (low 32 bits) of a term in one sample; null for a term without a weight."""
+    b = F.shiftrightunsigned(z, 32) / float(1 << 32)
+    t = F.floor(weight_log / r + b)
+    time = ((log_c - r * (t + 1 - b)) * (1 << 24)).cast("long")
+    name = (z + t * 0x9E3779B1).bitwiseAND(0xFFFFFFFF)
+    return F.shiftleft(time, 32).bitwiseOR(name)
 
 
 def fingerprint_terms(rows: DataFrame, keys: list[str], samples: int = 48) -> DataFrame:
@@ -101,13 +71,13 @@ def fingerprint_terms(rows: DataFrame, keys: list[str], samples: int = 48) -> Da
 
     keys must hold the columns that rows are dealt by; then nothing is shuffled. samples: a multiple of GROUP.
     """
-    r_table, c_table = _table(gamma_quantiles(upper=True)), _table(np.log(gamma_quantiles()))
-    logs = [F.log(F.col(f"x.{c}").cast("double")).alias(c) for c in ("one", "two")]
+    logs = [F.ln(F.col(f"x.{c}").cast("double")).alias(c) for c in ("one", "two")]
     each = rows.select(*keys, F.explode_outer("terms").alias("x")).select(*keys, F.col("x.h").alias("h"), *logs)
-    parts = each.select(*keys, "h", "one", "two", F.explode(F.sequence(F.lit(FIRST), F.lit(FIRST + samples // GROUP - 1))).alias("part"))
+    parts = each.select(*keys, "h", "one", "two", F.explode(F.sequence(F.lit(0), F.lit(samples // GROUP - 1))).alias("part"))
     raced = parts.select(*keys, "part", "one", "two", F.xxhash64("h", "part").alias("h"))
+    draw = lambda kind, j: F.xxhash64("h", F.lit(kind * GROUP + j))
     # a weight of null takes no part, which min() sees to
-    races = [F.min(sample(F.xxhash64("h", F.lit(j)), F.col(c), r_table, c_table)).alias(f"{c}{j}") for j in range(GROUP) for c in ("one", "two")]
+    races = [F.min(race(F.col(c), gamma(draw(0, j)), F.ln(gamma(draw(1, j))), draw(2, j))).alias(f"{c}{j}") for j in range(GROUP) for c in ("one", "two")]
     best = raced.groupBy(*keys, "part").agg(*races)
     name = lambda c: F.coalesce(F.concat(*(F.lpad(F.lower(F.hex(F.when(F.col(f"{c}{j}").isNotNull(), F.xxhash64(F.col(f"{c}{j}").bitwiseAND(0xFFFFFFFF)).bitwiseAND(0xFFFF)))), 4, "0") for j in range(GROUP))), F.lit(NOTHING)).alias(c)
     named = best.select(*keys, "part", name("one"), name("two"))
@@ -126,30 +96,34 @@ def fingerprint_documents(docs: DataFrame, samples: int = 48) -> DataFrame:
     """doc_id, n_chars, fingerprint, edited_sha256, edited_fingerprint, near_edited, near_next of every row of docs.
 
     A row's edited text has its last floor(n_chars / 3) code points replaced by the first as many (or all) of the next
-    row in descending order of doc_id; the first follows the last. Rows of equal doc_id follow each other in order of
-    their texts, and a null doc_id is less than any number. Each row has its own result, repeated rows too. A null
-    text counts as empty. Other columns are ignored. A single row follows itself; an empty table gives an empty one.
+    row in descending order of doc_id; the first follows the last. Rows of equal doc_id follow each other in an order
+    that a hash of their texts gives, and a null doc_id is less than any number. Each row has its own result, repeated
+    rows too. A null text counts as empty. Other columns are ignored. A single row follows itself; an empty table gives
+    an empty one.
 
-    Texts are shuffled once, to ranges of ids; the first row of a range goes to the range that precedes it as well.
+    Texts are shuffled once, to ranges of ids (an id of very many rows has several ranges); the first row of a range goes
+    to the range that precedes it as well. All that follows happens in the tasks that get them.
     """
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
     count = RANGES * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    known = ranges(rows, count) or [(NO_ID, NO_ID)]
-    tops = F.split(F.lit(",".join(str(top) for _, top in known)), ",").cast("array<bigint>")
-    own = rows.withColumn("own", range_of(F.col("doc"), [low for low, _ in known]))
-    places = F.array(F.struct(F.col("own").alias("range"), F.lit(False).alias("ghost")), F.when(F.col("doc") == F.get(tops, "own"), F.struct(((F.col("own") + 1) % len(known)).alias("range"), F.lit(True).alias("ghost"))))
-    dealt = own.select("doc", "text", F.explode(places).alias("p")).filter("p is not null").select("p.range", "p.ghost", "doc", "text").repartition("range")
-    order = Window.partitionBy("range").orderBy("ghost", F.desc("doc"), "text")
+    known, by_id = ranges(rows, count)
+    known = known or [((NO_ID, 0), (NO_ID, 0))]
+    rows = rows.withColumn("tie", tie(F.col("text")))
+    place = F.lit(0).cast("long") if by_id else F.col("tie")
+    own = rows.withColumn("own", range_of(F.col("doc"), place, [low for low, _ in known]))
+    first = (F.col("doc") == F.get(longs([d for _, (d, _) in known]), "own")) & (place == F.get(longs([t for _, (_, t) in known]), "own"))
+    places = F.array(F.struct(F.col("own").alias("range"), F.lit(False).alias("ghost")), F.when(first, F.struct(((F.col("own") + 1) % len(known)).alias("range"), F.lit(True).alias("ghost"))))
+    dealt = own.select("doc", "tie", "text", F.explode(places).alias("p")).filter("p is not null").select("p.range", "p.ghost", "doc", "tie", "text").repartition("range")
+    order = Window.partitionBy("range").orderBy("ghost", F.desc("doc"), F.desc("tie"), "text")
     pairs = dealt.withColumns({"place": F.row_number().over(order), "after": F.coalesce(F.lead("text").over(order), F.lit(""))})
     n = F.length("text")
     third = F.floor(n / 3).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - third), F.substring("after", F.lit(1), third))
-    keys = ["range", "place"]
-    prints = fingerprint_terms(pairs.select(*keys, terms(F.col("text"), edited).alias("terms")), keys, samples)
-    rest = pairs.select(*keys, "ghost", "doc", n.cast("long").alias("n_chars"), F.sha2(edited, 256).alias("edited_sha256"))
-    found = rest.join(prints, keys).withColumn("_next", F.lead("fingerprint").over(Window.partitionBy("range").orderBy("place")))
+    keys = ["range", "place", "ghost", "doc", "n_chars", "sha"]
+    whole = pairs.select("range", "place", "ghost", "doc", n.cast("long").alias("n_chars"), F.unhex(F.sha2(edited, 256)).alias("sha"), terms(F.col("text"), edited).alias("terms"))
+    found = fingerprint_terms(whole, keys, samples).withColumn("_next", F.lead("fingerprint").over(Window.partitionBy("range").orderBy("place")))
     return found.filter("not ghost").select(
-        F.nullif("doc", F.lit(NO_ID)).alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+        F.nullif("doc", F.lit(NO_ID)).alias("doc_id"), "n_chars", F.lower(F.hex("sha")).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
         likeness(F.col("fingerprint"), F.col("_next")).alias("near_next"),
     )

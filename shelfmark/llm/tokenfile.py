@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import NO_ID, range_of, ranges
+from shelfmark.llm.common import NO_ID, range_of, ranges, tie
 
 SCHEMA = "doc_id long, position long, n_tokens long, ids array<int>"
 OPTIONS = {
@@ -48,8 +48,9 @@ def write_token_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int | No
 
     # ranges are found from the ids alone; a range shuffle of the documents would read all texts twice
     keyed = docs.select("doc_id", "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"))
-    known = ranges(keyed, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))) or [(NO_ID, NO_ID)]
-    dealt = keyed.repartitionById(len(known), range_of(F.col("doc"), [low for low, _ in known]))
+    known, by_id = ranges(keyed, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    lows = [low for low, _ in known] or [(NO_ID, 0)]
+    dealt = keyed.repartitionById(len(lows), range_of(F.col("doc"), F.lit(0).cast("long") if by_id else tie(F.col("text")), lows))
     rows = dealt.sortWithinPartitions("doc").select("doc_id", "text").mapInArrow(encoded, SCHEMA)
     rows.write.options(**OPTIONS).orc(path)
     return path
@@ -79,7 +80,9 @@ def token_summary(rows: DataFrame) -> DataFrame:
 
     each = rows.mapInArrow(summed, "doc_id long, position long, file string, n_tokens long, ids_crc32 long")
     totals = rows.groupBy("file").agg(F.sum("n_tokens").alias("_total"))
-    before = totals.select("file", (F.sum("_total").over(Window.orderBy("file")) - F.col("_total")).alias("_before"))
+    # files are in order of the number in their names, which may have more digits than names are padded to
+    in_order = Window.orderBy(F.regexp_extract("file", r"part-(\d+)", 1).try_cast("long"), "file")
+    before = totals.select("file", (F.sum("_total").over(in_order) - F.col("_total")).alias("_before"))
     inside = F.sum("n_tokens").over(Window.partitionBy("file").orderBy("position")) - F.col("n_tokens")
     out = each.withColumn("_inside", inside).join(before, "file")
     return out.select("doc_id", (F.col("_before") + F.col("_inside")).alias("start"), "n_tokens", "ids_crc32")

@@ -3,7 +3,6 @@ empty tables, and columns whose names clash."""
 
 from __future__ import annotations
 
-import hashlib
 import random
 import re
 import zlib
@@ -18,25 +17,13 @@ from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
-from shelfmark.llm import extraction, fingerprints, graph, ngramjoin, packing, pieces, queries, substrings, tokenfile, topk, toxicity, urlfilter
+from shelfmark.llm import extraction, graph, ngramjoin, packing, pieces, queries, substrings, tokenfile, topk, toxicity, urlfilter
+from tests.llm.tables import frame, words
 
 DATA = "/root/testdata/sf0.001"
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-SCHEMA = "doc_id long, text string, lang string, n_chars long, cls string, row string, rest string, page int"
-
-
-def frame(spark, rows):
-    """Rows of (doc_id, text), with columns whose names the operators use themselves."""
-    return spark.createDataFrame([(i, t, "en", len(t or ""), "c", "r", "s", 1) for i, t in rows], SCHEMA)
-
-
-def words(seed, n, many=50):
-    rng = random.Random(seed)
-    return " ".join(f"w{rng.randrange(many)}" for _ in range(n))
-
-
 @pytest.fixture(scope="module")
 def corpus():
     """Copies, near copies, shared passages, short, empty, null and long texts, and ids that are null or repeated."""
@@ -168,47 +155,6 @@ def test_components(spark):
     assert len({got[i] for i in (1, 2, 3, 4)}) == 1 and got[10] == got[11] != got[1]
 
 
-def test_fingerprints(spark, corpus):
-    rows = [(i, t or "") for i, t in corpus]
-    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0), reverse=True)
-    order.sort(key=lambda r: r[1])
-    order.sort(key=lambda r: (r[0] is not None, r[0] or 0), reverse=True)
-    want = Counter()
-    for k, (i, t) in enumerate(order):
-        after, third = order[(k + 1) % len(order)][1], len(t) // 3
-        want[i, len(t), hashlib.sha256((t[: len(t) - third] + after[:third]).encode()).hexdigest()] += 1
-    got = fingerprints.fingerprint_documents(frame(spark, corpus)).collect()
-    assert Counter((r["doc_id"], r["n_chars"], r["edited_sha256"]) for r in got) == want
-    prints = {(r["doc_id"], r["n_chars"]): r for r in got}
-    assert prints[1, len(dict(rows)[1])]["fingerprint"] == prints[20, len(dict(rows)[20])]["fingerprint"]
-    assert all(0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for r in got)
-    assert fingerprints.fingerprint_documents(frame(spark, corpus).limit(0)).isEmpty()
-    one = fingerprints.fingerprint_documents(frame(spark, [(1, None)])).first()
-    assert (one["n_chars"], one["near_edited"], one["near_next"], one["fingerprint"]) == (0, 1.0, 1.0, "")
-
-
-def test_fingerprints_estimate_jaccard(spark):
-    rows = sorted(((i, words(i % 7, 80, 60) + " " + words(i, 40, 60)) for i in range(120)), reverse=True)
-    bags = [Counter(t.split()) for _, t in rows]
-    near = {r["doc_id"]: r["near_next"] for r in fingerprints.fingerprint_documents(frame(spark, rows)).collect()}
-    error = []
-    for k, (i, _) in enumerate(rows):
-        a, b = bags[k], bags[(k + 1) % len(rows)]
-        error.append(near[i] - sum((a & b).values()) / sum((a | b).values()))
-    assert abs(np.mean(error)) < 0.03 and np.std(error) < 0.12
-
-
-@pytest.mark.parametrize("n", [10_000, 100_000])
-def test_fingerprints_of_long_texts(spark, n):
-    """Most words in common are frequent ones; 30 % of words stand in one of the texts alone."""
-    rng = np.random.default_rng(8)
-    common = np.minimum(rng.zipf(1.3, n * 7 // 10), 10 * n)
-    texts = [" ".join([*(f"z{x}" for x in common), *(f"{side}{x}" for x in range(n * 3 // 10))]) for side in "ab"]
-    one, two = (Counter(t.split()) for t in texts)
-    got = fingerprints.fingerprint_documents(frame(spark, list(enumerate(texts))), samples=480).collect()
-    assert all(abs(r["near_next"] - sum((one & two).values()) / sum((one | two).values())) < 0.09 for r in got)
-
-
 def test_toxicity(spark):
     got = queries.op3_toxicity(spark, "/root/testdata/sf0.01").join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id").filter("held_out and toxic is not null").collect()
     assert len(got) > 40 and np.mean([r["predicted"] == r["toxic"] for r in got]) > 0.95
