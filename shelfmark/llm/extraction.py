@@ -5,8 +5,10 @@ of its ancestors, and properties of its text. The field gives each sequence of l
 from the features and from the labels' neighbours; it is trained on labelled pages by maximum likelihood, with
 the forward-backward recursion, and decoded by Viterbi's.
 
-The labelled pages are made by a generator: no table marks blocks of pages. It lays out articles and what
-surrounds them in many ways, with words that carry no meaning, so that the field learns from structure.
+It is trained on pages of two kinds. A bounded sample of the pages at hand is labelled by a rule, see main_by_tags():
+what an article element holds is main text, but for what stands inside in elements that say otherwise. In half of
+them the article's own tag is hidden, so that the field learns the rest of the page too. Pages of a generator, with
+words that carry no meaning, show layouts that the sample lacks.
 """
 
 from __future__ import annotations
@@ -16,11 +18,13 @@ import random
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Pages that the field is trained on, by default.
 TRAINING_PAGES = 600
@@ -32,8 +36,12 @@ CLOSES = {
     **dict.fromkeys("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol pre section table ul".split(), ("p",)),
 }
 SCOPES = frozenset("ul ol dl table div article section aside nav main body td th form blockquote".split())
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|iframe|textarea|svg)\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
-ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+#: Elements whose content is text up to their end tag, or to the end of the page; and those left out with all they hold.
+RAW = frozenset("script style noscript iframe textarea noembed noframes".split())
+HIDDEN = frozenset("template svg math select".split())
+#: A tag by HTML's rules: values in quotes end there, others at white space or >. No match: the page ends inside it.
+TAG = re.compile(r"<(/?+)([a-zA-Z][^\s/>]*+)((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|(?![\"'])[^\s>]*+)|(?!\s*+=)))*+)>")
+ATTRIBUTE = re.compile(r"(?<![^\s/\"'])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 TOKEN = re.compile(r"[a-z]+")
 
 
@@ -48,60 +56,138 @@ def _names(attributes: str) -> tuple[str, ...]:
     return tuple(dict.fromkeys(found))
 
 
-def blocks(page: str) -> list[Block]:
-    """Leaf blocks that hold text, in page order. Character references are decoded, white space is single spaces."""
+class _Open:
+    """The open elements, with what is asked of them at hand, so that no tag needs a walk over them."""
+
+    def __init__(self, known: frozenset[str] | None):
+        self.known = known
+        self.stack: list[tuple[str, list[str]]] = []
+        self.places: dict[str, list[int]] = {}
+        self.scopes: list[int] = []
+        #: Features of open elements, and how many have them.
+        self.active: dict[str, int] = {}
+
+    def push(self, name: str, attributes: str) -> None:
+        features = [f"in={name}", *(f"named={x}" for x in _names(attributes))]
+        if self.known is not None:
+            features = [f for f in features if f in self.known]
+        self.places.setdefault(name, []).append(len(self.stack))
+        if name in SCOPES:
+            self.scopes.append(len(self.stack))
+        self.stack.append((name, features))
+        for f in features:
+            self.active[f] = self.active.get(f, 0) + 1
+
+    def close(self, place: int) -> None:
+        while len(self.stack) > place:
+            name, features = self.stack.pop()
+            self.places[name].pop()
+            if name in SCOPES:
+                self.scopes.pop()
+            for f in features:
+                self.active[f] -= 1
+                if not self.active[f]:
+                    del self.active[f]
+
+    def end(self, name: str) -> None:
+        if self.places.get(name):
+            self.close(self.places[name][-1])
+
+    def imply(self, name: str) -> None:
+        """Closes what a start tag of this name ends."""
+        place = max((self.places[x][-1] for x in CLOSES.get(name, ()) if self.places.get(x)), default=-1)
+        if place >= 0 and place >= (self.scopes[-1] if self.scopes else -1):
+            self.close(place)
+
+
+def blocks(page: str, known: frozenset[str] | None = None) -> list[Block]:
+    """Leaf blocks that hold text, in page order. Character references are decoded, white space is single spaces. known: features
+    that count, if not all. Takes time in proportion to the page, however broken it is."""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    held = _Open(known)
     parts: list[str] = []
     linked, link_from, size = 0, -1, 0
 
     def end() -> None:
         nonlocal linked, link_from, size
-        text = " ".join(html.unescape("".join(parts)).split())
+        text = " ".join("".join(parts).split())
         if link_from >= 0:
             linked, link_from = linked + size - link_from, 0
         if text:
-            out.append(Block(text, _features(text, stack, linked / max(1, size))))
+            out.append(Block(text, _features(text, held, linked / max(1, size))))
         parts.clear()
         linked, size = 0, 0
 
+    def say(low: int, high: int) -> None:
+        nonlocal size
+        if high > low:
+            parts.append(html.unescape(page[low:high]))
+            size += high - low
+
+    closing: dict[str, re.Pattern | None] = {}
+
+    def after(name: str, at: int) -> int:
+        """Where the next end tag of this name is over; -1 if there is none."""
+        if name not in closing:
+            closing[name] = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I)
+        found = closing[name] and closing[name].search(page, at)
+        if not found:
+            closing[name] = None  # nor is there one further on
+        return page.find(">", found.end()) + 1 or len(page) if found else -1
+
     at = 0
-    for m in TAG.finditer(page):
-        if m.start() > at:
-            parts.append(page[at : m.start()])
-            size += m.start() - at
+    while True:
+        i = page.find("<", at)
+        if i < 0:
+            say(at, len(page))
+            break
+        mark = page[i + 1 : i + 3]
+        if mark[:1] in ("!", "?") or (mark[:1] == "/" and not mark[1:].isascii()) or (mark[:1] == "/" and not mark[1:].isalpha()):
+            if mark == "/":  # a page that ends in </
+                say(at, len(page))
+                break
+            say(at, i)
+            stop, skip = ("-->", 4) if page.startswith("<!--", i) else (">", 2)
+            j = i + 4 if page.startswith(("<!-->", "<!--->"), i) else page.find(stop, i + skip)
+            if j < 0:
+                break
+            at = page.find(">", j) + 1
+            continue
+        if not (mark[:1] == "/" or (mark[:1].isalpha() and mark[:1].isascii())):
+            say(at, i + 1)  # a lone <
+            at = i + 1
+            continue
+        say(at, i)
+        m = TAG.match(page, i)
+        if not m:
+            break  # the page ends inside a tag
         at = m.end()
-        name = m[3]
-        if name is None:
+        name, ends = m[2].lower(), bool(m[1])
+        if not ends and name in RAW:
+            at = after(name, at)
+            if at < 0:
+                break
+            continue
+        if not ends and name in HIDDEN and not m[3].endswith("/"):
+            j = after(name, at)
+            at = at if j < 0 else j
             continue
-        name = name.lower()
         if name in INLINE:
             if name == "a":
-                if m[2] and link_from >= 0:
+                if ends and link_from >= 0:
                     linked, link_from = linked + size - link_from, -1
-                elif not m[2]:
+                elif not ends:
                     link_from = size
             elif name in ("br", "img", "wbr"):
                 parts.append(" ")
             continue
         end()
-        if m[2]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    del stack[i:]
-                    break
+        if ends:
+            held.end(name)
             continue
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in CLOSES.get(name, ()):
-                del stack[i:]
-                break
-            if stack[i][0] in SCOPES:
-                break
-        if name not in VOID and not m[4].endswith("/"):
-            stack.append((name, _names(m[4])))
-    if at < len(page):
-        parts.append(page[at:])
-        size += len(page) - at
+        held.imply(name)
+        if name not in VOID and not m[3].endswith("/"):
+            held.push(name, m[3])
     end()
     if out:
         out[0].features.append("first")
@@ -109,20 +195,45 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
-def _features(text: str, stack: list[tuple[str, tuple[str, ...]]], linked: float) -> list[str]:
+def _features(text: str, held: _Open, linked: float) -> list[str]:
     words = text.count(" ") + 1
     found = [f"words{min(6, words.bit_length())}", f"links{round(linked * 2)}", f"end{text[-1] if text[-1] in '.!?:;' else ''}"]
     if "©" in text:
         found.append("copyright")
-    if stack:
-        found.append(f"leaf={stack[-1][0]}")
-    for tag, names in stack:
-        found.append(f"in={tag}")
-        found += [f"named={x}" for x in names]
-    return list(dict.fromkeys(found))
+    if held.stack:
+        found.append(f"leaf={held.stack[-1][0]}")
+    return found + list(held.active)
+
 
+# --- labels by rule ---------------------------------------------------------------------------------------------
 
-# --- labelled pages ---------------------------------------------------------------------------------------------
+#: Pages of a table that are labelled by main_by_tags(), and their greatest length.
+SAMPLED_PAGES, SAMPLED_CHARS = 200, 200_000
+#: What an article may hold that is no part of its text: tags and names.
+NOT_MAIN = frozenset("in=nav in=aside in=footer in=form".split())
+
+
+def main_by_tags(features: list[str]) -> int:
+    """1 for a block in an article element, unless it is in a menu, a sidebar, a footer or a form inside it, or in an element
+    with a name of NOISE."""
+    noise = {f"named={x}" for _, names in NOISE.values() for x in names}
+    return int("in=article" in features and not NOT_MAIN.intersection(features) and not noise.intersection(features))
+
+
+def labelled_sample(pages: DataFrame, column: str = "html", most: int = SAMPLED_PAGES, longest: int = SAMPLED_CHARS) -> list[tuple[list[list[str]], list[int]]]:
+    """(features of each block, labels) of at most `most` pages that have an article element and are no longer than `longest`,
+    chosen by a hash of the page; every second has the article's tag hidden. Null pages are left out."""
+    own = pages.select(F.col(f"`{column}`").alias("html"))
+    some = own.filter(F.col("html").contains("<article") & (F.length("html") <= longest)).orderBy(F.xxhash64("html"), "html").limit(most)
+    out = []
+    for i, row in enumerate(some.collect()):
+        found = [b.features for b in blocks(row["html"])]
+        labels = [main_by_tags(f) for f in found]
+        out.append(([[x for x in f if i % 2 == 0 or x != "in=article"] for f in found], labels))
+    return out
+
+
+# --- generated pages --------------------------------------------------------------------------------------------
 
 #: Names that wrap articles, and what surrounds them.
 MAIN_NAMES = "content article post entry story body text main single".split()
@@ -191,7 +302,7 @@ def labelled_page(seed: int) -> tuple[str, list[tuple[str, int]]]:
             body += noise(rng.choice(INSIDE[:2]))
     inner = title + body + some(INSIDE, 0.08)
     how = rng.random()
-    article = f"<article>{inner}</article>" if how < 0.45 else f"<main>{inner}</main>" if how < 0.6 else wrapped(rng.choice(("div", "section", "article", "main")), MAIN_NAMES, inner)
+    article = f"<article>{inner}</article>" if how < 0.45 else f"<main>{inner}</main>" if how < 0.58 else f"<div>{inner}</div>" if how < 0.7 else wrapped(rng.choice(("div", "section", "article", "main")), MAIN_NAMES, inner)
     page = f"<!DOCTYPE html><html><head>{head}<style>p{{}}</style></head><body>{top}{article}{some(AFTER, 0.45)}</body></html>"
     return page, labels
 
@@ -207,6 +318,10 @@ class Field:
     moves: tuple[tuple[float, float], tuple[float, float]]
     start: tuple[float, float]
 
+    @cached_property
+    def known(self) -> frozenset[str]:
+        return frozenset(self.weights)
+
     def decode(self, found: list[Block]) -> list[int]:
         """The sequence of labels of highest score (Viterbi); of equal ones, that with 0 where they differ last."""
         scores = []
@@ -278,30 +393,36 @@ def train(pages: list[tuple[list[list[str]], list[int]]], rounds: int = 120, pen
 
 
 @lru_cache(maxsize=4)
-def trained(pages: int = TRAINING_PAGES, seed: int = 1) -> Field:
-    """The field of so many generated pages."""
+def generated(pages: int = TRAINING_PAGES, seed: int = 1) -> list[tuple[list[list[str]], list[int]]]:
+    """(features of each block, labels) of so many generated pages."""
     examples = []
     for i in range(pages):
         page, labels = labelled_page(seed * 1_000_003 + i)
         found = blocks(page)
         assert [b.text for b in found] == [t for t, _ in labels], "the generator and the parser must see the same blocks"
         examples.append(([b.features for b in found], [y for _, y in labels]))
-    return train(examples)
+    return examples
+
+
+def trained(pages: DataFrame | None = None, column: str = "html") -> Field:
+    """The field of generated pages, and of a sample of `pages` labelled by rule."""
+    return train(generated() + (labelled_sample(pages, column) if pages is not None else []))
 
 
 def main_text(page: str | None, field: Field) -> str:
-    found = blocks(page or "")
+    found = blocks(page or "", field.known)
     return "\n".join(b.text for b, y in zip(found, field.decode(found), strict=True) if y)
 
 
 def extract(pages: DataFrame, field: Field | None = None, column: str = "html") -> DataFrame:
     """pages with text (main text, blocks joined by newlines; empty if there is none) and n_chars (its code points) in
-    place of `column`. Own columns of these names are replaced, all others kept.
+    place of `column`. Own columns of these names are replaced, all others kept. Without a field, one is trained on a
+    sample of the pages.
 
-    Null and empty html have an empty text. Repeated rows are extracted each; very long pages are taken whole.
-    An empty table gives an empty one.
+    Null and empty html have an empty text. Repeated rows are extracted each; very long and broken pages are taken
+    whole, in time that follows their length. An empty table gives an empty one.
     """
-    shared = pages.sparkSession.sparkContext.broadcast(field or trained())
+    shared = pages.sparkSession.sparkContext.broadcast(field or trained(pages, column))
     kept = [c for c in pages.columns if c not in (column, "text", "n_chars")]
     place = len(kept)
 
@@ -312,7 +433,5 @@ def extract(pages: DataFrame, field: Field | None = None, column: str = "html")
             columns = [*b.columns[:place], pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int64())]
             yield pa.record_batch(columns, names=[*kept, "text", "n_chars"])
 
-    from pyspark.sql import types as T
-
     schema = T.StructType([*(pages.schema[c] for c in kept), T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
-    return pages.select(*(pages[f"`{c}`"] for c in kept), pages[f"`{column}`"]).mapInArrow(extracted, schema)
+    return pages.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{column}`")).mapInArrow(extracted, schema)

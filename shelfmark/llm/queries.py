@@ -112,6 +112,18 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    # the tables' pages hold their main text in an article element of headings and paragraphs
+    "op6_extraction": r"""
+        WITH inner_html AS (
+            SELECT page_id, url, replace(regexp_extract(coalesce(html, ''), '<article>(.*?)</article>', 1, 's'), '<br>', ' ') AS h FROM pages
+        ), parts AS (
+            SELECT page_id, url, list_transform(regexp_split_to_array(h, '</?(?:h1|p)>'), lambda x:
+                trim(regexp_replace(replace(replace(replace(replace(regexp_replace(x, '</?b>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g'))) AS p FROM inner_html
+        ), texts AS (
+            SELECT page_id, url, coalesce(array_to_string(list_filter(p, lambda x: x <> ''), chr(10)), '') AS text FROM parts
+        )
+        SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM texts
+    """,
     "op5_url_filter": r"""
         WITH parts AS (
             SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
-from shelfmark.llm import extraction, graph, ngramjoin, packing, pieces, queries, substrings, tokenfile, topk, toxicity, urlfilter
+from shelfmark.llm import graph, ngramjoin, packing, pieces, queries, substrings, tokenfile, topk, toxicity, urlfilter
 from tests.llm.tables import frame, words
 
 DATA = "/root/testdata/sf0.001"
@@ -249,33 +249,6 @@ def test_pieces(spark, corpus):
     assert pieces.encode_pieces(frame(spark, []), PIECES).isEmpty()
 
 
-def test_extraction(spark):
-    field = extraction.trained()
-    good = total = 0
-    for i in range(100):
-        page, labels = extraction.labelled_page(9_000_000 + i)
-        found = field.decode(extraction.blocks(page))
-        total += len(labels)
-        good += sum(a == b for a, (_, b) in zip(found, labels, strict=True))
-    assert good / total > 0.98
-    page = '<body><nav><a href=x>Menu</a></nav><article><h1>T&amp;C</h1><p>One\n <b>two</b>.<p>Three<script>"</p>"</script> four.</article><footer>&copy; x</footer>'
-    pages = spark.createDataFrame([(1, "u", page, 5, "a"), (1, "u", page, 5, "a"), (2, None, None, 0, None), (3, "", "", 0, None)], "page_id long, url string, html string, n_chars int, b string")
-    got = extraction.extract(pages, field)
-    assert got.columns == ["page_id", "url", "b", "text", "n_chars"]
-    rows = sorted((r["page_id"], r["text"], r["n_chars"]) for r in got.collect())
-    assert rows == [(1, "T&C\nOne two.\nThree four.", 24)] * 2 + [(2, "", 0), (3, "", 0)]
-    assert extraction.extract(pages.limit(0), field).isEmpty()
-
-
-def test_viterbi_is_the_best_sequence():
-    field = extraction.Field({"a": (0.3, 0.9), "b": (1.1, 0.2)}, ((0.5, -0.4), (-0.7, 0.6)), (0.1, -0.2))
-    rng = random.Random(4)
-    for _ in range(20):
-        found = [extraction.Block("", [rng.choice("abc")]) for _ in range(6)]
-        score = lambda ys: sum(field.weights.get(b.features[0], (0, 0))[y] for b, y in zip(found, ys)) + field.start[ys[0]] + sum(field.moves[x][y] for x, y in zip(ys, ys[1:]))  # noqa: B023,E731
-        assert score(field.decode(found)) == pytest.approx(max(score([m >> k & 1 for k in range(6)]) for m in range(64)))
-
-
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
