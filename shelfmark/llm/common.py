@@ -137,7 +137,7 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def _ranges(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def ranged_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Polynomial hash of values[s:e] for each pair, wherever in values it lies. Starts ascend."""
     out = np.empty(len(starts), np.uint64)
     i = 0
@@ -176,7 +176,7 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return mixed(_ranges(data, starts, ends) + (ends - starts).astype(np.uint64))
+    return mixed(ranged_hashes(data, starts, ends) + (ends - starts).astype(np.uint64))
 
 
 def window_hashes(words: np.ndarray, size: int, salt: int = 0) -> np.ndarray:
@@ -186,7 +186,7 @@ def window_hashes(words: np.ndarray, size: int, salt: int = 0) -> np.ndarray:
         return np.empty(0, np.uint64)
     starts = np.arange(n)
     source = mixed(words ^ np.uint64(salt)) if salt else words
-    return mixed(_ranges(source, starts, starts + size) ^ np.uint64(size))
+    return mixed(ranged_hashes(source, starts, starts + size) ^ np.uint64(size))
 
 
 def slices(batch: pa.RecordBatch, text: str = "text", most: int = 4 << 20):

@@ -1,20 +1,23 @@
-"""Substring dedup by relative Lempel-Ziv parsing over an index that is dealt out in reference blocks.
+"""Substring dedup by relative Lempel-Ziv parsing against an index that is dealt out in reference blocks.
 
 A factor of a document is a run of words that also stands earlier: in a document of smaller id, or further ahead in
 the same one. Factors of `size` words or more are found exactly, whatever their number of copies:
 
-1. Every window of `size` words has an anchor, the n-gram of least hash inside it, so that equal windows have equal
-   anchors. Anchors are dealt by hash; those that stand in one place alone cannot belong to a repeated window.
-   Whole documents ride along by a hash of all their words: later copies are one factor each.
-2. The windows of the remaining anchors are dealt to reference blocks, by their anchor (by themselves where the
-   anchor is very frequent in a sample; the list of those is made beforehand, so that equal windows always meet). A
-   block keeps the first place of each of its windows, and parses what it gets against
-   that index: a factor goes on as long as text and reference go on alike. Windows on either side of a factor's
-   boundary have been looked up as well, so a document's factors miss no window.
+1. Every window of `size` words has an anchor, the n-gram of least rank inside it, so that equal windows have equal
+   anchors. Rank is a hash, and n-grams that are frequent in a sample come after all others: a window over the edge
+   of a common passage then has an anchor outside it. Anchors are dealt by hash; those that stand in one place alone
+   belong to no repeated window. Frequent ones are repeated by what the sample shows and aren't sent.
+   Whole documents ride along by 128 bits of hashes of all their words: later copies are one factor each.
+2. The windows of a repeated anchor's place are one segment of text. Segments are dealt by their anchors, and gathered
+   anchor by anchor into reference blocks. A block's index holds every word sequence of `size` words or more of its
+   segments and where it stands first. Each segment is parsed greedily against it: from the first window that stands
+   earlier, the longest sequence that stands earlier is the next factor, found by going on word by word. At the
+   factor's boundary the parse goes on with the window after its last one, which still overlaps it; so no window of
+   a document is left out. Factors are compared with their references as text, word for word.
 3. Factors come back to their documents, and the words they cover go.
 
-Each task first settles repetitions among its own rows, and sends one place per window at most: a passage that
-stands in a third of all documents costs a block one row per task. Windows are compared by 64-bit hashes.
+Each slice of a task first settles equal segments among its own rows and sends one on: a passage that stands in a third
+of all documents costs a block one segment per slice.
 """
 
 from __future__ import annotations
@@ -24,139 +27,167 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmark.llm.common import NO_ID, let_go, mixed, slices, text_bytes, window_hashes, word_hashes, word_spans
+from shelfmark.llm.common import NO_ID, let_go, mixed, ranged_hashes, slices, text_bytes, window_hashes, word_hashes, word_spans
 
 #: Words of an anchor, as long as windows have twice as many.
 ANCHOR = 8
-#: About so many documents are the sample in which an anchor that stands in more than HOT places is very frequent. Both
-#: steer the sizes of blocks only: whatever the list holds, all places of an anchor are dealt alike.
-SAMPLE, HOT = 8192, 64
-#: Reference blocks for each partition of a shuffle.
-BLOCKS = 4
-ANCHORS = "block int, known boolean, hash binary, doc binary, row binary, pos binary"
-WINDOWS = ANCHORS + ", ref_doc binary, ref_pos binary"
+#: About so many documents are the sample, and n-grams with more than HOT places in it are frequent: at most a HOT-th of its words.
+#: Both steer what is sent where; which windows are repeated doesn't hang on them.
+SAMPLE, HOT = 16384, 8
+#: Groups of anchors for each partition of a shuffle, at least, and bytes of text for one, at most about.
+BLOCKS, BLOCK_BYTES = 4, 12 << 20
+#: Bytes of segments in a reference block; the segments of one anchor stay together.
+REFERENCE = 4 << 20
+ANCHORS = "block int, known boolean, hash binary, more binary, doc binary, row binary, pos binary"
+SEGMENTS = "deal long, doc long, row long, pos int, windows int, ref_doc long, ref_pos int, text binary"
 FACTOR = "doc long, row long, start int, windows int, ref_doc long, ref_start int"
 
 
+def _names(schema: str) -> list[str]:
+    return [x.split()[0] for x in schema.split(", ")]
+
+
 class Windows:
     """Words and windows of a batch of texts. In `first`, the first word of each text and the count of all."""
 
-    def __init__(self, texts: pa.Array, size: int):
-        data, offsets = text_bytes(texts)
-        starts, ends, self.first = word_spans(data, offsets)
-        self.words = word_hashes(data, starts, ends)
-        #: Where in the words each whole window begins, its text, and its anchor's place.
+    def __init__(self, texts: pa.Array, size: int, frequent: np.ndarray):
+        self.data, offsets = text_bytes(texts)
+        self.starts, self.ends, self.first = word_spans(self.data, offsets)
+        self.words = word_hashes(self.data, self.starts, self.ends)
+        #: Where in the words each whole window begins, its text, its anchor's place, and whether that is frequent.
         counts = np.diff(self.first)
         whole = np.maximum(counts - size + 1, 0)
         self.text = np.repeat(np.arange(len(counts)), whole)
         self.at = np.arange(whole.sum()) - np.repeat(np.cumsum(whole) - whole, whole) + np.repeat(self.first[:-1], whole)
-        n = min(ANCHOR, -(-size // 2))
+        n = anchor_words(size)
         self.grams = window_hashes(self.words, n)
-        view = np.lib.stride_tricks.sliding_window_view(self.grams, size - n + 1) if len(self.at) else np.empty((0, 1))
+        common = among(self.grams, frequent)
+        rank = (self.grams >> np.uint64(1)) | (common.astype(np.uint64) << np.uint64(63))
+        view = np.lib.stride_tricks.sliding_window_view(rank, size - n + 1) if len(self.at) else np.empty((0, 1))
         self.anchor = self.at + np.concatenate([view[self.at[i : i + 65536]].argmin(1) for i in range(0, len(self.at), 65536)] or [self.at])
+        self.common = common
 
 
-def _blob(block: int, known: bool, arrays: list[np.ndarray]) -> tuple:
-    return (block, known, *(x.tobytes() for x in arrays))
+def anchor_words(size: int) -> int:
+    return min(ANCHOR, -(-size // 2))
 
 
-def _dealt(blocks: np.ndarray, known: bool, arrays: list[np.ndarray]) -> list[tuple]:
-    """A row for each block that occurs."""
-    order = np.argsort(blocks, kind="stable")
-    cuts = np.flatnonzero(np.diff(blocks[order], prepend=-1, append=-2))
-    return [_blob(int(blocks[order[s]]), known, [x[order[s:e]] if len(x) else x for x in arrays]) for s, e in zip(cuts[:-1], cuts[1:], strict=True)]
+def among(values: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """Whether each value is one of `some`, which are in order."""
+    return some[np.minimum(np.searchsorted(some, values), len(some) - 1)] == values if len(some) else np.zeros(len(values), bool)
 
 
-def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
-    kinds = [pa.int32(), pa.bool_(), *[pa.binary()] * (len(names) - 2)]
-    return pa.record_batch([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
+def _frequent(texts: DataFrame, size: int, share: float) -> np.ndarray:
+    """The frequent n-grams, in order."""
 
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
+        for batch in batches:
+            for b in slices(batch):
+                w = Windows(b.column(0), size, np.empty(0, np.uint64))
+                n = anchor_words(size)
+                inside = np.maximum(np.diff(w.first) - n + 1, 0)
+                at = np.arange(inside.sum()) - np.repeat(np.cumsum(inside) - inside, inside) + np.repeat(w.first[:-1], inside)
+                hashes, counts = np.unique(w.grams[at], return_counts=True)
+                yield pa.record_batch([pa.array(hashes.view(np.int64)), pa.array(counts, pa.int64())], names=["hash", "places"])
 
-def _names(schema: str) -> list[str]:
-    return [x.split()[0] for x in schema.split(", ")]
+    some = texts.sample(share, seed=1) if share < 1 else texts
+    found = some.mapInArrow(counted, "hash long, places long").groupBy("hash").agg(F.sum("places").alias("places")).filter(F.col("places") > HOT)
+    return np.sort(np.array([r["hash"] for r in found.select("hash").collect()], np.int64).view(np.uint64))
+
+
+# --- repeated anchors -------------------------------------------------------------------------------------------
+
+
+def _dealt(blocks: np.ndarray, known: bool, arrays: list[np.ndarray]) -> list[tuple]:
+    """A row for each block that occurs."""
+    order = np.argsort(blocks, kind="stable")
+    cuts = np.flatnonzero(np.diff(blocks[order], prepend=-1, append=-2))
+    return [(int(blocks[order[s]]), known, *((x[order[s:e]] if len(x) else x).tobytes() for x in arrays)) for s, e in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
-def _anchors(size: int, blocks: int):
+def _anchors(size: int, blocks: int, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         let_go()
+        kinds = [pa.int32(), pa.bool_(), *[pa.binary()] * 5]
         for batch in batches:
             for b in slices(batch):
-                w = Windows(b.column(2), size)
-                places = w.anchor[np.diff(w.anchor, prepend=-1) != 0]
-                text = np.searchsorted(w.first, places, "right") - 1
+                w = Windows(b.column(2), size, shared.value)
+                docs, rows = (b.column(i).to_numpy() for i in (0, 1))
+                out = []
+                # whole texts stand at position -1; of equal ones of a slice the least id is sent on
                 long = np.flatnonzero(np.diff(w.first) >= size)
                 whole = np.array([window_hashes(w.words[w.first[i] : w.first[i + 1]], int(w.first[i + 1] - w.first[i]), salt=7)[0] for i in long], np.uint64)
-                docs, rows = (b.column(i).to_numpy() for i in (0, 1))
-                # a whole text stands at position -1; of equal ones of a batch the least id is sent on
-                order = long[np.lexsort((docs[long], whole))]
-                hashes = np.concatenate([np.sort(whole), w.grams[places]])
-                doc = np.concatenate([docs[order], docs[text]])
-                row = np.concatenate([rows[order], rows[text]])
-                pos = np.concatenate([np.full(len(order), -1), places - w.first[text]]).astype(np.int32)
+                more = np.array([xxhash.xxh3_64_intdigest(w.words[w.first[i] : w.first[i + 1]].tobytes()) for i in long], np.uint64)
+                order = np.lexsort((docs[long], more, whole))
+                long, whole, more = long[order], whole[order], more[order]
+                fresh = (np.diff(whole, prepend=~whole[:1]) != 0) | (np.diff(more, prepend=~more[:1]) != 0)
+                least = docs[long][np.maximum.accumulate(np.where(fresh, np.arange(len(long)), 0))] if len(long) else docs[long]
+                later = docs[long] > least
+                for known in (False, True):
+                    own = np.flatnonzero(later == known)
+                    block = whole[own] if not known else mixed(rows[long[own]].view(np.uint64))
+                    what = [whole[own], more[own]] if not known else [whole[:0], more[:0]]
+                    out += _dealt((block % np.uint64(blocks)).astype(np.int32), known, [*what, docs[long[own]], rows[long[own]], np.full(len(own), -1, np.int32)])
+                # places of anchors: one of each is sent, the others of it are known to be repeated; so are all frequent ones
+                places = w.anchor[np.diff(w.anchor, prepend=-1) != 0]
+                text = np.searchsorted(w.first, places, "right") - 1
+                hashes, pos = w.grams[places], (places - w.first[text]).astype(np.int32)
                 _, head, inverse, counts = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
                 sent = np.zeros(len(hashes), bool)
                 sent[head] = True
-                again = counts[inverse] > 1
-                again[: len(order)] = doc[: len(order)] > doc[head[inverse[: len(order)]]]
-                sent[: len(order)] = ~again[: len(order)]
-                out = []
+                sent &= ~w.common[places]
+                again = (counts[inverse] > 1) | w.common[places]
                 for known in (False, True):
                     own = np.flatnonzero(sent & (again == known))
-                    out += _dealt((hashes[own] % np.uint64(blocks)).astype(np.int32), known, [x[own] for x in (hashes, doc, row, pos)])
+                    out += _dealt((hashes[own] % np.uint64(blocks)).astype(np.int32), known, [hashes[own], more[:0], docs[text[own]], rows[text[own]], pos[own]])
                 rest = np.flatnonzero(again & ~sent)
                 # of no use to other tasks: an empty hash, and any block
-                out += _dealt((mixed(row[rest].view(np.uint64)) % np.uint64(blocks)).astype(np.int32), True, [hashes[:0], doc[rest], row[rest], pos[rest]])
-                yield _batch(out, _names(ANCHORS))
+                out += _dealt((mixed(rows[text[rest]].view(np.uint64)) % np.uint64(blocks)).astype(np.int32), True, [hashes[:0], more[:0], docs[text[rest]], rows[text[rest]], pos[rest]])
+                yield pa.record_batch([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=_names(ANCHORS))
 
     return run
 
 
-def _frequent(docs: DataFrame, size: int) -> np.ndarray:
-    """Anchors that are very frequent, in order."""
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        let_go()
-        for batch in batches:
-            for b in slices(batch):
-                w = Windows(b.column(0), size)
-                hashes, counts = np.unique(w.grams[w.anchor[np.diff(w.anchor, prepend=-1) != 0]], return_counts=True)
-                yield pa.record_batch([pa.array(hashes.view(np.int64)), pa.array(counts, pa.int64())], names=["hash", "places"])
-
-    texts, count = docs.select("text"), docs.count()
-    some = texts.sample(SAMPLE / count, seed=1) if count > SAMPLE else texts
-    found = some.mapInArrow(counted, "hash long, places long").groupBy("hash").agg(F.sum("places").alias("places")).filter(F.col("places") > HOT)
-    return np.sort(np.array([r["hash"] for r in found.select("hash").collect()], np.int64).view(np.uint64))
-
-
-def _joined(table: pa.Table, kinds: list) -> list[np.ndarray]:
-    return [np.frombuffer(b"".join(table.column(i + 2).to_pylist()), k) for i, k in enumerate(kinds)]
-
-
 def _repeated(table: pa.Table) -> pa.Table:
     """(doc, row, pos) of the anchors of a block that stand in several places; pos is -1 for copies of a whole text."""
-    empty = pc.equal(pc.binary_length(table.column("hash")), 0)
-    passed = _joined(table.filter(empty), [np.uint64, np.int64, np.int64, np.int32])
-    table = table.filter(pc.invert(empty))
-    hashes, doc, row, pos = _joined(table, [np.uint64, np.int64, np.int64, np.int32])
-    known = np.repeat(table.column("known").to_numpy(), [len(x) // 8 for x in table.column("hash").to_pylist()])
+
+    def joined(own: pa.Table) -> list[np.ndarray]:
+        return [np.frombuffer(b"".join(own.column(n).to_pylist()), k) for n, k in (("hash", np.uint64), ("more", np.uint64), ("doc", np.int64), ("row", np.int64), ("pos", np.int32))]
+
+    has = lambda name: pc.greater(pc.binary_length(table.column(name)), 0)
+    passed = joined(table.filter(pc.invert(has("hash"))))[2:]
+    hashes, more, doc, row, pos = joined(table.filter(has("more")))
+    order = np.lexsort((doc, more, hashes))
+    hashes, more, doc, row, pos = (x[order] for x in (hashes, more, doc, row, pos))
+    fresh = (np.diff(hashes, prepend=~hashes[:1]) != 0) | (np.diff(more, prepend=~more[:1]) != 0)
+    copy = doc > doc[np.maximum.accumulate(np.where(fresh, np.arange(len(doc)), 0))] if len(doc) else np.zeros(0, bool)
+    copies = [x[copy] for x in (doc, row, pos)]
+    own = table.filter(pc.and_(has("hash"), pc.invert(has("more"))))
+    hashes, _, doc, row, pos = joined(own)
+    known = np.repeat(own.column("known").to_numpy(), [len(x) // 8 for x in own.column("hash").to_pylist()])
     _, inverse, counts = np.unique(hashes, return_inverse=True, return_counts=True)
-    least = np.full(len(counts), np.iinfo(np.int64).max)
-    np.minimum.at(least, inverse, doc)
-    found = np.where(pos < 0, doc > least[inverse], known | (counts[inverse] > 1))
-    columns = [np.concatenate([x[found], y]) for x, y in zip((doc, row, pos), passed[1:], strict=True)]
+    again = known | (counts[inverse] > 1)
+    columns = [np.concatenate([x, y, z[again]]) for x, y, z in zip(passed, copies, (doc, row, pos), strict=True)]
     return pa.table([pa.array(x) for x in columns], names=["doc", "row", "pos"])
 
 
-def _windows(size: int, blocks: int, frequent: np.ndarray):
+# --- the parse --------------------------------------------------------------------------------------------------
+
+
+def _segments(size: int, shared):
+    """From texts and the places of their repeated anchors: segments, and factors that a slice has settled itself (no text)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         let_go()
         for batch in batches:
             for b in slices(batch):
-                w = Windows(b.column(2), size)
+                w = Windows(b.column(2), size, shared.value)
                 docs, rows = (b.column(i).to_numpy() for i in (0, 1))
                 marks = b.column(3)
                 values = marks.values.to_numpy(zero_copy_only=False)[marks.offsets[0].as_py() : marks.offsets[-1].as_py()]
@@ -164,85 +195,173 @@ def _windows(size: int, blocks: int, frequent: np.ndarray):
                 flag = np.zeros(len(w.words) + 1, bool)
                 flag[w.first[owner] + values] = True
                 mine = np.flatnonzero(flag[w.anchor])
-                at, text, anchor = w.at[mine], w.text[mine], w.anchor[mine]
-                hashes = window_hashes(w.words, size)[at]
-                doc, row, pos = docs[text], rows[text], (at - w.first[text]).astype(np.int32)
-                order = np.lexsort((pos, doc, hashes))
-                ranked = hashes[order]
-                fresh = np.diff(ranked, prepend=~ranked[:1]) != 0
-                head = order[np.maximum.accumulate(np.where(fresh, np.arange(len(order)), 0))] if len(order) else order
-                first = np.empty(len(order), np.int64)
-                first[order] = head
+                begin = np.flatnonzero(np.diff(w.anchor[mine], prepend=-1) != 0)
+                count = np.diff(np.append(begin, len(mine)))
+                at, text, anchor = w.at[mine[begin]], w.text[mine[begin]], w.anchor[mine[begin]]
+                end = at + count + size - 1
+                pos = (at - w.first[text]).astype(np.int32)
+                doc, row = docs[text], rows[text]
+                raw = w.data.tobytes()
+                said = [raw[s:e] for s, e in zip(w.starts[at].tolist(), w.ends[end - 1].tolist(), strict=True)]
+                first = firsts(mixed(ranged_hashes(w.words, at, end) + (end - at).astype(np.uint64)), doc, pos)
                 again = (doc > doc[first]) | ((doc == doc[first]) & (pos > pos[first]))
-                deal = mixed(w.grams[anchor])
-                if len(frequent):
-                    near = frequent[np.minimum(np.searchsorted(frequent, w.grams[anchor]), len(frequent) - 1)]
-                    deal = np.where(near == w.grams[anchor], hashes, deal)
-                own, rest = np.flatnonzero(~again), np.flatnonzero(again)
-                out = _dealt((deal[own] % np.uint64(blocks)).astype(np.int32), False, [*(x[own] for x in (hashes, doc, row, pos)), doc[:0], pos[:0]])
-                known = [hashes[:0], doc[rest], row[rest], pos[rest], doc[first[rest]], pos[first[rest]]]
-                out += _dealt((mixed(row[rest].view(np.uint64)) % np.uint64(blocks)).astype(np.int32), True, known)
-                yield _batch(out, _names(WINDOWS))
+                for i in np.flatnonzero(again).tolist():
+                    if said[i] != said[first[i]] and said[i].split() != said[first[i]].split():
+                        again[i] = False
+                deal = np.where(again, mixed(row.view(np.uint64)), mixed(w.grams[anchor])).view(np.int64)
+                texts = pa.array([None if a else x for a, x in zip(again.tolist(), said, strict=True)], pa.binary())
+                columns = [deal, doc, row, pos, count.astype(np.int32), doc[first], pos[first]]
+                yield pa.record_batch([*(pa.array(x) for x in columns), texts], names=_names(SEGMENTS))
 
     return run
 
 
-def factors(doc: np.ndarray, row: np.ndarray, pos: np.ndarray, ref_doc: np.ndarray, ref_pos: np.ndarray) -> list[np.ndarray]:
-    """The greedy parse: runs of windows that go on alike in text and reference; see FACTOR."""
-    order = np.lexsort((pos, row, doc))
-    doc, row, pos, ref_doc, ref_pos = (x[order] for x in (doc, row, pos, ref_doc, ref_pos))
-    if not len(doc):
-        return [doc, row, pos, pos, ref_doc, ref_pos]
-    new = np.ones(len(doc), bool)
-    new[1:] = (np.diff(doc) != 0) | (np.diff(row) != 0) | (np.diff(pos) != 1) | (np.diff(ref_doc) != 0) | (np.diff(ref_pos) != 1)
-    begin = np.flatnonzero(new)
-    return [doc[begin], row[begin], pos[begin], np.diff(np.append(begin, len(doc))).astype(np.int32), ref_doc[begin], ref_pos[begin]]
+def firsts(hashes: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> np.ndarray:
+    """For each place the index of the first place, by (doc, pos), of equal hash."""
+    if not len(hashes):
+        return np.empty(0, np.int64)
+    order = np.lexsort((pos, doc, hashes))
+    fresh = np.diff(hashes[order], prepend=~hashes[order][:1]) != 0
+    out = np.empty(len(hashes), np.int64)
+    out[order] = order[np.maximum.accumulate(np.where(fresh, np.arange(len(order)), 0))]
+    return out
 
 
-def _parsed(table: pa.Table) -> pa.Table:
-    kinds = [np.uint64, np.int64, np.int64, np.int32, np.int64, np.int32]
-    known = table.column("known")
-    local = _joined(table.filter(known), kinds)[1:]
-    hashes, doc, row, pos = _joined(table.filter(pc.invert(known)), kinds)[:4]
-    order = np.lexsort((pos, doc, hashes))
-    hashes, doc, row, pos = (x[order] for x in (hashes, doc, row, pos))
-    head = np.maximum.accumulate(np.where(np.diff(hashes, prepend=~hashes[:1]) != 0, np.arange(len(hashes)), 0)) if len(hashes) else order
-    again = np.flatnonzero((doc > doc[head]) | ((doc == doc[head]) & (pos > pos[head])))
-    found = [doc[again], row[again], pos[again], doc[head[again]], pos[head[again]]]
-    out = factors(*(np.concatenate([x, y]) for x, y in zip(found, local, strict=True)))
-    return pa.table([pa.array(x) for x in out], names=_names(FACTOR))
+def longest_earlier(words: np.ndarray, first: np.ndarray, doc: np.ndarray, pos: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The index of a reference block, asked for each of its own windows. words: of all segments; first: the first word of each
+    segment, and the count; doc, pos: where segments stand.
+
+    For each window: the word it begins at, its segment, the number of words over `size` of the longest sequence from there
+    that stands earlier (-1: none does), and the word where that stands first.
+    """
+    counts = np.maximum(np.diff(first) - size + 1, 0)
+    segment = np.repeat(np.arange(len(counts)), counts)
+    at = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(first[:-1], counts)
+    place = pos[segment] + at - first[segment]
+    longest, reference = np.full(len(at), -1), np.full(len(at), -1)
+    live = np.arange(len(at))
+    more = 0
+    while len(live):  # sequences of size, then of one word more, as long as any stands earlier
+        hashes = mixed(ranged_hashes(words, at[live], at[live] + size + more) + np.uint64(size + more))
+        head = live[firsts(hashes, doc[segment[live]], place[live])]
+        earlier = (doc[segment[head]] < doc[segment[live]]) | ((doc[segment[head]] == doc[segment[live]]) & (place[head] < place[live]))
+        longest[live[earlier]], reference[live[earlier]] = more, at[head[earlier]]
+        # a longer sequence can only stand twice if this one does
+        twice = np.zeros(len(at), bool)
+        twice[live[earlier]] = True
+        twice[head[earlier]] = True
+        more += 1
+        live = live[twice[live] & (at[live] + size + more <= first[segment[live] + 1])]
+    return at, segment, longest, reference
+
+
+def greedy(segment: np.ndarray, longest: np.ndarray) -> np.ndarray:
+    """The windows at which factors begin: from each segment's first, the next one that stands earlier; then the one after the
+    factor's last window, which overlaps it still."""
+    n = len(segment)
+    if not n:
+        return np.empty(0, np.int64)
+    begin = np.flatnonzero(np.diff(segment, prepend=-1) != 0)
+    end = np.append(begin[1:], n)
+    # the next window from each on that stands earlier
+    ahead = np.minimum.accumulate(np.where(longest >= 0, np.arange(n), n)[::-1])[::-1]
+    ahead = np.append(ahead, n)
+    out, at = [], begin
+    while len(at):
+        at = ahead[at]
+        inside = at < end
+        at, end = at[inside], end[inside]
+        out.append(at)
+        at = at + longest[at] + 1
+        on = at < end
+        at, end = at[on], end[on]
+    return np.sort(np.concatenate(out))
+
+
+def parse_block(texts: list[bytes], doc: np.ndarray, row: np.ndarray, pos: np.ndarray, size: int) -> list[np.ndarray]:
+    """Factors (see FACTOR) of the segments of a reference block."""
+    data, offsets = text_bytes(pa.array(texts, pa.binary()))
+    starts, ends, first = word_spans(data, offsets)
+    words, raw = word_hashes(data, starts, ends), data.tobytes()
+    while True:
+        at, segment, longest, reference = longest_earlier(words, first, doc, pos, size)
+        begin = greedy(segment, longest)
+        low, ref, count = at[begin], reference[begin], size + longest[begin]
+        spans = zip(starts[low].tolist(), ends[low + count - 1].tolist(), starts[ref].tolist(), ends[ref + count - 1].tolist(), strict=True)
+        if all(raw[a:b] == raw[c:d] or raw[a:b].split() == raw[c:d].split() for a, b, c, d in spans):
+            break
+        # two different words or sequences have one hash: words get numbers of their own, by other hashes than before
+        numbers: dict[bytes, int] = {}
+        salt = np.uint64(len(words) + int(words[0] >> np.uint64(32)))
+        words = mixed(np.array([numbers.setdefault(raw[s:e], len(numbers)) for s, e in zip(starts.tolist(), ends.tolist(), strict=True)], np.uint64) ^ salt)
+    own = segment[begin]
+    found = np.searchsorted(first, ref, "right") - 1
+    start, ref_start = pos[own] + low - first[own], pos[found] + ref - first[found]
+    return [doc[own], row[own], start.astype(np.int32), (longest[begin] + 1).astype(np.int32), doc[found], ref_start.astype(np.int32)]
+
+
+def _parsed(size: int):
+    """From segments in order of deal: factors. Segments gather in reference blocks, those of one anchor in the same."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
+        names = _names(FACTOR)
+
+        def block(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+            table = pa.Table.from_batches(parts).combine_chunks()
+            doc, row, pos = (table.column(n).to_numpy() for n in ("doc", "row", "pos"))
+            return pa.record_batch([pa.array(x) for x in parse_block(table.column("text").to_pylist(), doc, row, pos, size)], names=names)
+
+        waiting: list[pa.RecordBatch] = []
+        held = 0
+        for b in batches:
+            settled = pc.is_null(b.column(7))
+            done = b.filter(settled)
+            if done.num_rows:
+                yield pa.record_batch([done.column(i) for i in range(1, 7)], names=names)
+            own = b.filter(pc.invert(settled))
+            if not own.num_rows:
+                continue
+            if held > REFERENCE:  # up to the last anchor that is complete
+                last = waiting[-1].column(0)[-1].as_py()
+                old = int(np.searchsorted(own.column(0).to_numpy() != last, True)) if last == own.column(0)[0].as_py() else 0
+                if old < own.num_rows:
+                    yield block([*waiting, own.slice(0, old)])
+                    waiting, held, own = [], 0, own.slice(old)
+            waiting.append(own)
+            held += own.column(7).nbytes + 100 * own.num_rows
+        if waiting:
+            yield block(waiting)
+
+    return run
 
 
 def repeated_factors(docs: DataFrame, size: int = 20) -> DataFrame:
-    """Factors of at least `size` words of docs (doc, row, text; see find_repeats): document, first word, count of
+    """Factors of at least `size` words of docs (doc, row, text, rest; see find_repeats): document, first word, count of
     windows, and where the same words stand earlier. start is -1 for a document whose words are all an earlier one's."""
-    blocks = BLOCKS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    marks = docs.mapInArrow(_anchors(size, blocks), ANCHORS).groupBy("block").applyInArrow(_repeated, "doc long, row long, pos int")
+    sizes = docs.agg(F.count("*").alias("rows"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = max(BLOCKS * partitions, (sizes["bytes"] or 0) // BLOCK_BYTES)
+    shared = docs.sparkSession.sparkContext.broadcast(_frequent(docs.select("text"), size, SAMPLE / max(1, sizes["rows"])))
+    marks = docs.select("doc", "row", "text").mapInArrow(_anchors(size, blocks, shared), ANCHORS).groupBy("block").applyInArrow(_repeated, "doc long, row long, pos int")
     own = marks.groupBy("doc", "row").agg(F.min("pos").alias("least"), F.collect_list("pos").alias("marks"))
     copies = own.filter("least < 0").select("doc", "row", F.lit(-1).alias("start"), F.lit(0).alias("windows"), F.lit(None).cast("long").alias("ref_doc"), F.lit(None).cast("int").alias("ref_start"))
-    texts = docs.join(own.filter("least >= 0"), ["doc", "row"]).select("doc", "row", "text", "marks")
-    return texts.mapInArrow(_windows(size, blocks, _frequent(docs, size)), WINDOWS).groupBy("block").applyInArrow(_parsed, FACTOR).unionByName(copies)
-
+    # rest is of no use here; with it, this shuffle of the texts is the same as that of find_repeats(), and done once
+    texts = docs.join(own.filter("least >= 0"), ["doc", "row"]).select("doc", "row", "text", "marks", "rest")
+    segments = texts.mapInArrow(_segments(size, shared), SEGMENTS)
+    dealt = segments.repartition(max(partitions, (sizes["bytes"] or 0) // (8 * BLOCK_BYTES)), "deal").sortWithinPartitions("deal")
+    return dealt.mapInArrow(_parsed(size), FACTOR).unionByName(copies)
 
-def find_repeats(docs: DataFrame, size: int = 20, columns: list[str] | None = None) -> DataFrame:
-    """docs with n_words, n_removed, kept (the words that are left, joined by one space) and factors (start, windows,
-    ref_doc, ref_start), for the removal of every word of a window of `size` words that also starts earlier.
 
-    Words are [^\\x20\\x09-\\x0D]+. Earlier is: in a document of smaller doc_id, or at an earlier word of the same
-    document. Rows of equal doc_id count as one document, and equal rows have equal results; a null doc_id is the
-    smallest. Null and empty texts have no words; texts of fewer words than `size` stay whole. Other columns are
-    kept (or those named in `columns`); own columns of the new names are replaced. An empty table gives an empty one.
-    """
-    names = {"n_words", "n_removed", "kept", "factors"}
-    docs = docs.drop(*names)
-    columns = docs.columns if columns is None else columns
-    whole_text = "text" in columns
+def _parts(docs: DataFrame, size: int, columns: list[str]) -> DataFrame:
+    """text, rest (the other columns of `columns`), factors, n_words, n_removed and kept of every row."""
     key = [F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.xxhash64("doc_id", "text").alias("row")]
-    found = repeated_factors(docs.select(*key, "text"), size)
-    lists = found.groupBy("doc", "row").agg(F.collect_list(F.struct("start", "windows", "ref_doc", "ref_start")).alias("factors"))
     # the columns beside doc, row and text travel in one struct, so that none of their names can clash
     rest = F.struct(F.lit(0).alias("-"), *(F.col(f"`{c}`") for c in columns if c != "text")).alias("rest")
-    whole = docs.select(*key, "text", rest).join(lists, ["doc", "row"], "left")
+    whole = docs.select(*key, "text", rest)
+    found = repeated_factors(whole, size)
+    lists = found.groupBy("doc", "row").agg(F.collect_list(F.struct("start", "windows", "ref_doc", "ref_start")).alias("factors"))
+    whole_text = "text" in columns
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -266,16 +385,34 @@ def find_repeats(docs: DataFrame, size: int = 20, columns: list[str] | None = No
                 yield pa.record_batch([*text.values(), *made], names=[*text, "rest", "factors", "n_words", "n_removed", "kept"])
 
     made = "factors array<struct<start:int,windows:int,ref_doc:bigint,ref_start:int>>, n_words long, n_removed long, kept string"
-    kinds = whole.schema["rest"].dataType
-    schema = T.StructType([*([T.StructField("text", T.StringType())] if whole_text else []), T.StructField("rest", kinds), *T.StructType.fromDDL(made).fields])
-    out = whole.select("text", "rest", "factors").mapInArrow(cut_out, schema)
-    return out.select(*(F.col("text") if c == "text" else F.col("rest")[c].alias(c) for c in columns), "factors", "n_words", "n_removed", "kept")
+    schema = T.StructType([*([T.StructField("text", T.StringType())] if whole_text else []), T.StructField("rest", whole.schema["rest"].dataType), *T.StructType.fromDDL(made).fields])
+    return whole.join(lists, ["doc", "row"], "left").select("text", "rest", "factors").mapInArrow(cut_out, schema)
+
+
+MADE = ("factors", "n_words", "n_removed", "kept")
+
+
+def find_repeats(docs: DataFrame, size: int = 20, columns: list[str] | None = None) -> DataFrame:
+    """docs with n_words, n_removed, kept (the words that are left, joined by one space) and factors (start, windows,
+    ref_doc, ref_start), for the removal of every word of a window of `size` words that also starts earlier.
+
+    Words are [^\\x20\\x09-\\x0D]+. Earlier is: in a document of smaller doc_id, or at an earlier word of the same
+    document. Rows of equal doc_id count as one document, and equal rows have equal results; a null doc_id is the
+    smallest. Null and empty texts have no words; texts of fewer words than `size` stay whole. Other columns are
+    kept (or those named in `columns`), but own columns of the four new names give way to them; remove_repeats() keeps
+    all. An empty table gives an empty one.
+    """
+    columns = [c for c in (docs.columns if columns is None else columns) if c.lower() not in MADE]
+    out = _parts(docs, size, columns)
+    return out.select(*(F.col("text") if c == "text" else F.col("rest")[c].alias(c) for c in columns), *MADE)
 
 
 def remove_repeats(docs: DataFrame, size: int = 20) -> DataFrame:
     """docs with the repeated words cut out of text, and n_chars (where it is a column) counted anew; see find_repeats. Texts
-    that lose nothing stay as they are, white space included."""
-    found = find_repeats(docs, size).withColumn("text", F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text")))
+    that lose nothing stay as they are, white space included. All other columns stay, whatever their names."""
+    cut = F.col("n_removed") > 0
+    text = F.when(cut, F.col("kept")).otherwise(F.col("text"))
+    changed = {"text": text}
     if "n_chars" in docs.columns:
-        found = found.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return found.select(*docs.columns)
+        changed["n_chars"] = F.when(cut, F.length("kept").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("rest")["n_chars"])
+    return _parts(docs, size, docs.columns).select(*(changed.get(c, F.col("rest")[c]).alias(c) for c in docs.columns))

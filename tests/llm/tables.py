@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import random
+import re
 
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, n_chars long, cls string, row string, rest string, page int"
 
 

@@ -4,7 +4,6 @@ empty tables, and columns whose names clash."""
 from __future__ import annotations
 
 import random
-import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -17,13 +16,12 @@ from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
-from shelfmark.llm import graph, ngramjoin, packing, pieces, queries, substrings, tokenfile, topk, toxicity, urlfilter
-from tests.llm.tables import frame, words
+from shelfmark.llm import graph, ngramjoin, packing, pieces, queries, tokenfile, topk, toxicity, urlfilter
+from tests.llm.tables import WORD, frame, words
 
 DATA = "/root/testdata/sf0.001"
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
 @pytest.fixture(scope="module")
 def corpus():
     """Copies, near copies, shared passages, short, empty, null and long texts, and ids that are null or repeated."""
@@ -39,67 +37,6 @@ def corpus():
     return rows
 
 
-def removed(rows, size):
-    """(n_words, n_removed, kept) of each row."""
-    first = {}
-    key = lambda i: -(1 << 63) if i is None else i
-    texts = [WORD.findall(t or "") for _, t in rows]
-    for (i, _), w in zip(rows, texts, strict=True):
-        for p in range(len(w) - size + 1):
-            k = tuple(w[p : p + size])
-            first[k] = min(first.get(k, (key(i), p)), (key(i), p))
-    out = []
-    for (i, _), w in zip(rows, texts, strict=True):
-        gone = [False] * len(w)
-        for p in range(len(w) - size + 1):
-            if first[tuple(w[p : p + size])] < (key(i), p):
-                gone[p : p + size] = [True] * size
-        out.append((len(w), sum(gone), " ".join(x for x, g in zip(w, gone, strict=True) if not g)))
-    return out
-
-
-@pytest.mark.parametrize("size", [20, 5])
-def test_substrings(spark, corpus, size):
-    got = substrings.find_repeats(frame(spark, corpus), size).select("doc_id", "n_words", "n_removed", "kept")
-    assert Counter(map(tuple, got.collect())) == Counter((i, *r) for (i, _), r in zip(corpus, removed(corpus, size), strict=True))
-
-
-@pytest.mark.parametrize("hot", [1, substrings.HOT, 1 << 30])
-def test_substrings_of_frequent_anchors(spark, monkeypatch, hot):
-    """One passage in all of 700 documents, which come in batches of two."""
-    monkeypatch.setattr(substrings, "HOT", hot)
-    passage = words(7, 30, 1000)
-    rows = [(i, f"{words(1000 + i, 12, 1000)} {passage} {words(2000 + i, 12, 1000)}") for i in range(700)]
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
-    try:
-        got = substrings.find_repeats(frame(spark, rows)).select("doc_id", "n_words", "n_removed", "kept").collect()
-    finally:
-        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
-    assert Counter(map(tuple, got)) == Counter((i, *r) for (i, _), r in zip(rows, removed(rows, 20), strict=True))
-
-
-def test_substrings_stage(spark, corpus):
-    docs = frame(spark, corpus)
-    got = substrings.remove_repeats(docs)
-    assert got.columns == docs.columns
-    want = Counter((i, t if not n else kept) for (i, t), (_, n, kept) in zip(corpus, removed(corpus, 20), strict=True))
-    assert Counter((r["doc_id"], r["text"]) for r in got.collect()) == want
-    assert substrings.remove_repeats(docs.limit(0)).isEmpty()
-
-
-def test_factors_stand_earlier(spark, corpus):
-    rows = [(i, t) for i, t in corpus if i is not None and i not in (60, 61)]
-    texts = {i: WORD.findall(t or "") for i, t in rows}
-    found = substrings.find_repeats(frame(spark, rows)).filter("factors is not null").collect()
-    assert found
-    for r in found:
-        for f in r["factors"]:
-            if f["start"] >= 0:
-                n = f["windows"] + 19
-                assert (f["ref_doc"], f["ref_start"]) < (r["doc_id"], f["start"])
-                assert texts[r["doc_id"]][f["start"] : f["start"] + n] == texts[f["ref_doc"]][f["ref_start"] : f["ref_start"] + n]
-
-
 def grams(text, size):
     w = [x.translate({c: c + 32 for c in range(65, 91)}) for x in WORD.findall(text or "")]
     return frozenset(tuple(w[i : i + size]) for i in range(len(w) - size + 1)) if len(w) >= size else frozenset([tuple(w)] if w else [])
