@@ -7,10 +7,12 @@ Two documents link when 100 * intersection >= percent * union of their sets of w
    share an n-gram among the first n - ceil(percent * n / 100) + 1 of each, their prefixes. Rare n-grams of the
    prefixes yield candidate pairs, of which those go that share too few prefix n-grams for their sizes. Classes
    that meet in a frequent n-gram of their prefixes (large groups of near copies) are candidates as a whole.
-3. Connected candidates form families. Families meet in tasks, large ones in pairs of blocks. There a trie holds
-   the ordered sets of a block, equal beginnings once. Each set of the other block walks the trie with the overlap
-   so far, and leaves a subtree when what remains on either side cannot reach the needed overlap, or when all
-   below is linked with it already. A task emits what its links span, not the pairs.
+3. Connected candidates form families. There a trie holds the ordered sets of a block, equal beginnings once. Other
+   sets walk the trie with the overlap so far, and leave a subtree when what remains on either side cannot reach the
+   needed overlap, or when all below is linked with it already. A task emits what its links span, not the pairs.
+   A family of several blocks is joined in two steps, as most of a group of near copies hangs together by few of its
+   links: first each block with itself and with a few sets that all blocks get; then what is not in the family's
+   largest component yet meets all blocks. Sets that are both in that component need no test.
 4. The components of these edges are the result.
 
 Which n-grams are called frequent changes the work, never the result: at most HOT_MOST are, and lists of others
@@ -26,15 +28,19 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from shelfmark.llm.common import NO_ID, cut, let_go, slices, text_bytes, window_hashes, word_hashes, word_spans
+from shelfmark.llm.common import NO_ID, cut, let_go, shared_dir, slices, spread_join, text_bytes, window_hashes, word_hashes, word_spans
 from shelfmark.llm.graph import Forest, components
 
 #: A list of more sets than this is frequent. Most n-grams that are broadcast as frequent (8 bytes each).
 HOT, HOT_MOST = 64, 1 << 18
-#: Sets in a block of a large family.
-BLOCK = 1024
+#: Sets in a block of a family, and n-grams, at most about; of those left over in a block of the second step.
+BLOCK, BLOCK_GRAMS, LEFT = 64, 1 << 21, 512
+#: Sets of a large family that all of its blocks get.
+PIVOTS = 8
+#: Bits of the sieve that keeps most texts without a family from being shipped; a power of two.
+SIEVE = 1 << 22
+ROWS = "doc_id long, key long, row long, cls long, n long, rare int, tokens binary"
 
 
 def shingle_sets(batch: pa.RecordBatch, size: int, column: int = 1) -> Iterator[np.ndarray]:
@@ -69,17 +75,6 @@ def _digest(found: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(found.tobytes()) - (1 << 63)
 
 
-def _classes(size: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        let_go()
-        for b in batches:
-            found = list(shingle_sets(b, size, 3))
-            own = [pa.array([_digest(x) if len(x) else None for x in found], pa.int64()), pa.array([len(x) for x in found], pa.int64())]
-            yield pa.record_batch([*b.columns[:3], *own], names=["doc_id", "key", "row", "cls", "n"])
-
-    return run
-
-
 def _prefix_tokens(size: int, percent: int):
     """The n-grams of half as much again as the prefix, for counting; those of equal sets of a batch once."""
 
@@ -97,39 +92,42 @@ def _prefix_tokens(size: int, percent: int):
     return run
 
 
-def _postings(size: int, percent: int, hot):
-    """(deal, token, cls, n, loose, hot) for each n-gram of each prefix. Frequent ones are dealt by row, not n-gram.
-    loose: whether the prefix has frequent n-grams."""
+def _rows(size: int, percent: int, hot):
+    """ROWS: the hash and size of each row's set, and its prefix: rare n-grams, then frequent ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         let_go()
         frequent = hot.value
-        names = ["deal", "token", "cls", "n", "loose", "hot"]
         for b in batches:
-            seen: set[int] = set()
-            parts: list[list] = [[], [], [], [], [], []]
-            for found in shingle_sets(b, size, 0):
-                if not len(found) or (d := _digest(found)) in seen:
-                    continue
-                seen.add(d)
-                size_of = len(found)
-                count = size_of - needed(size_of, percent) + 1
-                is_hot = frequent[np.minimum(np.searchsorted(frequent, found), len(frequent) - 1)] == found if len(frequent) else np.zeros(size_of, bool)
+            made: list[tuple] = []
+            for found in shingle_sets(b, size, 3):
+                count = len(found) - needed(len(found), percent) + 1
+                is_hot = frequent[np.minimum(np.searchsorted(frequent, found), len(frequent) - 1)] == found if len(frequent) else np.zeros(len(found), bool)
                 rare = found[~is_hot][:count]
-                tokens = np.concatenate([rare, found[is_hot][: count - len(rare)]]).view(np.int64)
-                flags = np.arange(len(tokens)) >= len(rare)
-                parts[0].append(np.where(flags, tokens * 31 + len(seen), tokens))
-                parts[1].append(tokens)
-                parts[2].append(np.full(len(tokens), d, np.int64))
-                parts[3].append(np.full(len(tokens), size_of, np.int32))
-                parts[4].append(np.full(len(tokens), len(rare) < count))
-                parts[5].append(flags)
-            kinds = [np.int64, np.int64, np.int64, np.int32, bool, bool]
-            yield pa.record_batch([pa.array(np.concatenate(p) if p else np.empty(0, k)) for p, k in zip(parts, kinds, strict=True)], names=names)
+                tokens = np.concatenate([rare, found[is_hot][: count - len(rare)]])
+                made.append((_digest(found), len(found), len(rare), tokens.tobytes()) if len(found) else (None, 0, 0, b""))
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+            yield pa.record_batch([*b.columns[:3], *(pa.array([x[i] for x in made], k) for i, k in enumerate(kinds))], names=[x.split()[0] for x in ROWS.split(", ")])
 
     return run
 
 
+def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From cls, n, rare and tokens: (deal, token, cls, n, loose, hot) for each n-gram of each prefix; equal sets of a batch once.
+    Frequent ones are dealt by row, not n-gram. loose: whether the prefix has frequent n-grams."""
+    for b in batches:
+        _, once = np.unique(b.column(0).to_numpy(), return_index=True)
+        cls, n, rare = (b.column(i).to_numpy()[once] for i in range(3))
+        blobs = b.column(3).take(pa.array(once)).to_pylist()
+        sizes = np.array([len(x) // 8 for x in blobs], np.int64)
+        tokens = np.frombuffer(b"".join(blobs), np.int64)
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        place = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        hot = place >= rare[owner]
+        columns = [np.where(hot, tokens * 31 + owner, tokens), tokens, cls[owner], n[owner].astype(np.int32), (rare < sizes)[owner], hot]
+        yield pa.record_batch([pa.array(x) for x in columns], names=["deal", "token", "cls", "n", "loose", "hot"])
+
+
 def _candidates(percent: int):
     """From postings in order of deal: (a, b, share, whole) candidate pairs, and with whole, (n-gram, class) members of long
     lists. share: n-grams that a and b must share in their prefixes."""
@@ -250,8 +248,9 @@ class Trie:
         return out
 
 
-def join_blocks(left: list[tuple[int, np.ndarray]], right: list[tuple[int, np.ndarray]] | None, percent: int) -> list[tuple[int, int]]:
-    """Edges (class, class) that span the links between two blocks, or within one where right is None."""
+def join_blocks(left: list[tuple[int, np.ndarray]], right: list[tuple[int, np.ndarray]] | None, percent: int, roots: dict[int, int] | None = None) -> list[tuple[int, int]]:
+    """Edges (class, class) that span the links between two blocks, or within one where right is None. roots: the known component
+    of classes; links inside one are left out."""
     everything = left + (right or [])
     if len(everything) < 2:
         return []
@@ -259,6 +258,8 @@ def join_blocks(left: list[tuple[int, np.ndarray]], right: list[tuple[int, np.nd
     cuts = np.cumsum([0, *(len(x) for _, x in everything)])
     ordered = [numbers[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
     top, forest, edges = int(numbers.max()) + 1, Forest(), []
+    for cls, root in (roots or {}).items():
+        forest.join(cls, root)
     trie = Trie(ordered[: len(left)], top)
     names = [everything[i][0] for i in trie.order]
     probes = range(len(left)) if right is None else range(len(left), len(everything))
@@ -272,27 +273,75 @@ def join_blocks(left: list[tuple[int, np.ndarray]], right: list[tuple[int, np.nd
     return edges
 
 
-def _families(size: int, percent: int):
-    def run(table: pa.Table) -> pa.Table:
-        groups: dict[tuple, tuple[list, list]] = {}
-        for batch in table.select(["text", "family", "low", "high", "side", "cls"]).combine_chunks().to_batches():
-            rows = zip(*(batch.column(i).to_pylist() for i in range(1, 6)), shingle_sets(batch, size, 0), strict=True)
-            for family, low, high, side, cls, found in rows:
-                groups.setdefault((family, low, high), ([], []))[side].append((cls, found))
-        edges = [e for (_, low, high), (a, b) in groups.items() for e in join_blocks(a, None if low == high else b, percent)]
-        return pa.table({"a": pa.array([e[0] for e in edges], pa.int64()), "b": pa.array([e[1] for e in edges], pa.int64())})
+def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[tuple]]:
+    """Rows of batches that are in order of their first columns, gathered by these; one group is held at a time."""
+    waiting: list[tuple] = []
+    for b in batches:
+        for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            if waiting and row[:keys] != waiting[0][:keys]:
+                yield waiting
+                waiting = []
+            waiting.append(row)
+    if waiting:
+        yield waiting
+
+
+def _set(grams: bytes) -> np.ndarray:
+    return np.frombuffer(grams, np.uint64)
+
+
+def _edges(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.record_batch([pa.array([e[i] for e in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+
+def _within(percent: int):
+    """Edges inside each block of rows (family, block, cls, grams)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
+        for rows in _groups(batches, 2):
+            yield _edges(join_blocks([(cls, _set(g)) for cls, g in {r[2]: r[3] for r in rows}.items()], None, percent))
+
+    return run
+
+
+def _across(percent: int):
+    """Edges between the two sides of each group of rows (family, left, block, side, cls, root, grams)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
+        for rows in _groups(batches, 3):
+            sides = [[(r[4], _set(r[6])) for r in rows if r[3] == side] for side in (0, 1)]
+            if all(sides):
+                yield _edges(join_blocks(*sides, percent, {r[4]: r[5] for r in rows}))
+
+    return run
+
+
+def _sieved(size: int, words: np.ndarray):
+    """key, row and grams of the rows whose bit the sieve has; equal rows of a batch once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
+        for b in batches:
+            place = b.column(1).to_numpy() & (SIEVE - 1)
+            hit = np.flatnonzero((words[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1))
+            own = b.take(pa.array(hit[np.unique(b.column(1).to_numpy()[hit], return_index=True)[1]]))
+            grams = pa.array([x.tobytes() for x in shingle_sets(own, size, 2)], pa.binary())
+            yield pa.record_batch([own.column(0), own.column(1), grams], names=["key", "row", "grams"])
 
     return run
 
 
-def _linked(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """doc_id, n, cls and root of every row: size of its set, the set's hash, and the same hash all over a component."""
-    spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
-    # a row is known by its id and a hash: ids may be null or repeated
-    keyed = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"), F.xxhash64("doc_id", "text").alias("row"), "text")
-    classes = cut(keyed.mapInArrow(_classes(size), "doc_id long, key long, row long, cls long, n long"))
-    counts = cut(docs.select("text").mapInArrow(_prefix_tokens(size, percent), "token long").groupBy("token").count().filter(F.col("count") > HOT))
+def _keyed(docs: DataFrame) -> DataFrame:
+    """docs with key and row: a row is known by its id and a hash, as ids may be null or repeated."""
+    return docs.withColumns({"key": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "row": F.xxhash64("doc_id", "text")})
+
+
+def _stored_rows(keyed: DataFrame, size: int, percent: int) -> DataFrame:
+    """ROWS of all rows, written once."""
+    spark = keyed.sparkSession
+    counts = cut(keyed.select("text").mapInArrow(_prefix_tokens(size, percent), "token long").groupBy("token").count().filter(F.col("count") > HOT))
     least, broad = HOT, 0
     for row in counts.groupBy(F.floor(F.log2("count")).cast("int").alias("power")).count().orderBy(F.desc("power")).collect():
         broad += row["count"]
@@ -301,30 +350,64 @@ def _linked(docs: DataFrame, size: int, percent: int) -> DataFrame:
             break
     frequent = np.array([r["token"] for r in counts.filter(F.col("count") > least).select("token").collect()], np.int64).view(np.uint64)
     hot = spark.sparkContext.broadcast(np.sort(frequent))
-    postings = docs.select("text").mapInArrow(_postings(size, percent, hot), "deal long, token long, cls long, n int, loose boolean, hot boolean")
-    found = postings.repartition("deal").sortWithinPartitions("deal").mapInArrow(_candidates(percent), "a long, b long, share int, whole boolean")
-    shared = found.groupBy("a", "b", "whole").agg(F.count("*").alias("met"), F.max("share").alias("share"))
-    candidates = shared.filter(F.col("whole") | (F.col("met") >= F.col("share"))).select("a", "b")
+    path = shared_dir(spark, "ngram-rows")
+    keyed.select(F.col("doc_id").cast("long").alias("doc_id"), "key", "row", "text").mapInArrow(_rows(size, percent, hot), ROWS).write.parquet(path)
+    return spark.read.schema(ROWS).parquet(path)
+
+
+def _family_sets(keyed: DataFrame, rows: DataFrame, candidates: DataFrame, size: int) -> DataFrame:
+    """family, n_blocks, cls and grams of each class that has candidates."""
     families = components(candidates).withColumnsRenamed({"vertex": "cls", "root": "family"})
     # a class stands for its documents, and any row of it has its text
-    heads = classes.filter("cls is not null").groupBy("cls").agg(F.min(F.struct("key", "row")).alias("h")).select("cls", "h.key", "h.row")
+    heads = rows.filter("cls is not null").groupBy("cls").agg(F.min(F.struct("key", "row")).alias("h"), F.max("n").alias("n")).select("cls", "h.key", "h.row", "n")
     members = cut(heads.join(families, "cls"))
-    sizes = cut(members.groupBy("family").agg(F.count("*").alias("members")).filter("members > 1"))
-    wanted = members.join(sizes, "family")
-    n_blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    tasks = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    texts = keyed.select("key", "row", "text").join(wanted, ["key", "row"]).dropDuplicates(["key", "row"])
-    dealt = (
-        texts
-        .withColumn("own", F.pmod(F.xxhash64("cls"), n_blocks).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
-        .select("text", "family", "cls", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), (F.col("own") > F.col("other")).cast("int").alias("side"))
-        .withColumn("task", F.pmod(F.xxhash64("family", "low", "high"), F.lit(tasks)).cast("int"))
-    )
+    sizes = members.groupBy("family").agg(F.count("*").alias("members"), F.sum("n").alias("grams")).filter("members > 1")
+    blocks = F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("grams") / BLOCK_GRAMS)).cast("int").alias("n_blocks")
+    wanted = cut(spread_join(members, "family", cut(sizes.select("family", blocks)), F.col("cls")).filter("n_blocks is not null"))
+    place = F.col("row").bitwiseAND(SIEVE - 1)
+    bits = wanted.groupBy(F.shiftright(place, 6).cast("int").alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))).alias("bits"))
+    words = np.zeros(SIEVE >> 6, np.uint64)
+    for r in bits.collect():  # as many rows as the sieve has words, whatever the input
+        words[r["word"]] = r["bits"] & 0xFFFFFFFFFFFFFFFF
+    found = keyed.select("key", "row", "text").mapInArrow(_sieved(size, words), "key long, row long, grams binary")
+    return cut(found.join(wanted, ["key", "row"]).dropDuplicates(["key", "row"]).select("family", "n_blocks", "cls", "grams"))
+
+
+def _family_links(sets: DataFrame, percent: int) -> DataFrame:
+    """(vertex, root) of every class that is linked."""
+    block = F.pmod(F.xxhash64("cls"), "n_blocks").cast("int").alias("block")
+    large = sets.filter("n_blocks > 1")
+    chosen = large.groupBy("family").agg(F.array_distinct(F.array(*(F.min(F.struct(F.xxhash64("cls", F.lit(j)), "cls"))["cls"] for j in range(PIVOTS)))).alias("pivots"))
+    pivots = large.join(chosen.select(F.explode("pivots").alias("cls")), "cls").select("family", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("block"), "cls", "grams")
+    first = sets.select("family", block, "cls", "grams").unionByName(pivots)
     # written first: in one stage with what follows, each task would hold two Python workers
-    links = cut(dealt.groupBy("task").applyInArrow(_families(size, percent), "a long, b long"))
+    links = cut(first.repartition("family", "block").sortWithinPartitions("family", "block").mapInArrow(_within(percent), "a long, b long"))
     linked = components(links)
-    return classes.join(linked.withColumnRenamed("vertex", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    if large.isEmpty():
+        return linked
+    named = cut(large.select("family", "n_blocks", "cls").join(linked, F.col("cls") == F.col("vertex"), "left").select("family", "n_blocks", "cls", F.coalesce("root", "cls").alias("root")))
+    largest = named.groupBy("family", "root").count().groupBy("family").agg(F.max_by("root", F.struct("count", "root")).alias("main"))
+    marked = cut(spread_join(named, "family", cut(largest), F.col("cls")))
+    outside = marked.filter("root <> main")
+    if outside.isEmpty():
+        return linked
+    lefts = outside.groupBy("family").agg(F.ceil(F.count("*") / LEFT).cast("int").alias("lefts"))
+    every = spread_join(marked, "family", cut(lefts), F.col("cls")).filter("lefts is not null").join(large.select("cls", "grams"), "cls")
+    own = every.filter("root <> main").select("family", F.pmod(F.xxhash64("cls", F.lit(1)), "lefts").cast("int").alias("left"), F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("block"), F.lit(1).alias("side"), "cls", "root", "grams")
+    others = every.select("family", F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)).alias("left"), block, F.lit(0).alias("side"), "cls", "root", "grams")
+    both = own.unionByName(others).repartition("family", "left", "block").sortWithinPartitions("family", "left", "block")
+    return components(links.unionByName(cut(both.mapInArrow(_across(percent), "a long, b long"))))
+
+
+def _linked(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """ROWS of all rows, and (vertex, root) of the classes that are linked: root is the same all over a component."""
+    keyed = _keyed(docs.select("doc_id", "text"))
+    rows = _stored_rows(keyed, size, percent)
+    postings = rows.filter("cls is not null").select("cls", "n", "rare", "tokens").mapInArrow(_postings, "deal long, token long, cls long, n int, loose boolean, hot boolean")
+    found = postings.repartition("deal").sortWithinPartitions("deal").mapInArrow(_candidates(percent), "a long, b long, share int, whole boolean")
+    shared = found.groupBy("a", "b", "whole").agg(F.count("*").alias("met"), F.max("share").alias("share"))
+    candidates = shared.filter(F.col("whole") | (F.col("met") >= F.col("share"))).select("a", "b")
+    return rows, _family_links(_family_sets(keyed, rows, candidates, size), percent)
 
 
 def join_documents(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -334,27 +417,30 @@ def join_documents(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFra
     null doc_id take part, and their component_id is the least id reached, null if there is none. Repeated rows are
     returned each. An empty table gives an empty one.
     """
-    named = _linked(docs, size, percent)
-    smallest = named.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
-    out = named.join(smallest, "root", "left")
+    rows, linked = _linked(docs, size, percent)
+    rows = rows.select("doc_id", "row", "cls", "n")
+    least = cut(rows.filter("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("least")))
+    together = linked.join(least, F.col("vertex") == F.col("cls")).groupBy("root").agg(F.min("least").alias("lowest"))
+    reached = spread_join(linked, "root", cut(together), F.col("vertex")).select(F.col("vertex").alias("cls"), "lowest")
+    named = cut(least.join(reached, "cls", "left").select("cls", F.coalesce("lowest", "least").alias("least")))
+    out = spread_join(rows, "cls", named, F.col("row"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """docs with one row of each component: that of the least doc_id (null counts as least), of equal ids that of the least
-    hash, of equal rows one. Rows without words are in no component and stay. Columns and their order are kept."""
-    named = _linked(docs, size, percent)
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    heads = named.filter("root is not null").groupBy("root").agg(F.min(F.struct(key.alias("key"), "cls")).alias("h")).select("h.key", "h.cls")
-    rows = docs.select("text", key.alias("key"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
-
-    def tagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            own = pa.array([_digest(x) if len(x) else None for x in shingle_sets(b, size, 0)], pa.int64())
-            yield pa.record_batch([b.column(1), own, b.column(2)], names=["key", "cls", "row"])
-
-    marked = rows.mapInArrow(tagged, T.StructType([T.StructField("key", T.LongType()), T.StructField("cls", T.LongType()), rows.schema["row"]]))
-    kept = marked.join(heads, ["key", "cls"])
-    first = Window.partitionBy("key", "cls").orderBy(F.xxhash64("row"))
-    once = kept.withColumn("_n", F.row_number().over(first)).filter("_n = 1")
-    return once.select("row").unionByName(marked.filter("cls is null").select("row")).select("row.*")
+    hash, of equal rows one. Rows without words are in no component and stay. Columns and their order are kept, whatever
+    their names."""
+    rows, linked = _linked(docs, size, percent)
+    heads = cut(rows.filter("cls is not null").groupBy("cls").agg(F.min(F.struct("key", "row")).alias("h")))
+    alone = heads.join(linked, F.col("cls") == F.col("vertex"), "left_anti").select("h")
+    together = heads.join(linked, F.col("cls") == F.col("vertex")).groupBy("root").agg(F.min("h").alias("h")).select("h")
+    kept = alone.unionByName(together).select("h.key", "h.row")
+    has_words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole")
+    # rows without words are not shuffled: they would all have few keys
+    own = _keyed(docs.filter(has_words).select("doc_id", "text", whole)).select("key", "row", "whole").join(kept, ["key", "row"])
+    first = Window.partitionBy("key", "row").orderBy(F.xxhash64("whole"))
+    once = own.withColumn("_n", F.row_number().over(first)).filter("_n = 1").select("whole")
+    stay = docs.filter(~has_words).select(whole)
+    return once.unionByName(stay).select(*(F.col("whole")[c].alias(c) for c in docs.columns))

@@ -72,6 +72,32 @@ def test_ngram_join(spark, corpus, size, percent, monkeypatch):
     assert Counter(map(tuple, ngramjoin.join_documents(frame(spark, corpus), size, percent).collect())) == want
 
 
+@pytest.mark.parametrize(("pivots", "left"), [(1, 3), (8, 512)])
+def test_ngram_join_of_long_chains(spark, monkeypatch, pivots, left):
+    """Texts that are linked with their neighbours alone: blocks and pivots leave most of the family to the second step."""
+    monkeypatch.setattr(ngramjoin, "BLOCK", 8)
+    monkeypatch.setattr(ngramjoin, "PIVOTS", pivots)
+    monkeypatch.setattr(ngramjoin, "LEFT", left)
+    chain = lambda at, n: [" ".join(f"w{at + i + j}" for j in range(10)) for i in range(n)]
+    rows = [(i, t) for i, t in enumerate(chain(0, 90) + chain(95, 40) + chain(0, 3) + ["x y z"])]
+    random.Random(2).shuffle(rows)
+    sets = [grams(t, 1) for _, t in rows]
+    roots = components(sets, 80)
+    least = {}
+    for (i, _), r in zip(rows, roots, strict=True):
+        least[r] = min(least.get(r, i), i)
+    got = ngramjoin.join_documents(frame(spark, rows), 1, 80).collect()
+    assert Counter(map(tuple, got)) == Counter((i, len(s), least[r]) for (i, _), s, r in zip(rows, sets, roots, strict=True))
+
+
+def test_many_copies_of_one_text(spark):
+    """A third of all rows are one text, as many are null, under ids of their own."""
+    rows = [(3 * i, words(1, 30)) for i in range(1500)] + [(3 * i + 1, None) for i in range(1500)] + [(3 * i + 2, words(10 + i, 30, 5000)) for i in range(1500)]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngramjoin.join_documents(frame(spark, rows), 5, 80).collect()}
+    assert len(got) == 4500 and all(got[i] == (0 if i % 3 == 1 else 26, i if i % 3 else 0) for i in got)
+    assert ngramjoin.one_of_each(frame(spark, rows), 5, 80).count() == 3001
+
+
 def test_one_of_each(spark, corpus):
     docs = frame(spark, corpus)
     got = ngramjoin.one_of_each(docs)
