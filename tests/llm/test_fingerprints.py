@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 import math
-import re
 import struct
 from collections import Counter
 
@@ -13,7 +12,7 @@ import pytest
 import xxhash
 
 from shelfmark.llm import common, fingerprints
-from tests.llm.tables import frame, words
+from tests.llm.tables import WORD, frame, words
 from tests.llm.test_operators import corpus  # noqa: F401
 
 
@@ -24,7 +23,7 @@ def h64(kind, x, seed=42):
 
 def plain(text, samples=48):
     """The fingerprint of a text, one draw after the other."""
-    bag = Counter(xxhash.xxh64_intdigest(w.encode(), seed=42) & ~1 for w in re.split(fingerprints.SPACE, text) if w)
+    bag = Counter(xxhash.xxh64_intdigest(w.encode(), seed=42) & ~1 for w in WORD.findall(text))
     out = []
     for s in range(samples if bag else 0):
         part, j = divmod(s, fingerprints.GROUP)
