@@ -69,6 +69,16 @@ def cut(df):
     return df.checkpoint()
 
 
+def packed(columns: list[str]) -> Column:
+    """A struct of these columns, by their places: so none of their names can clash with an operator's own."""
+    return F.struct(F.lit(0).alias("none"), *(F.col(f"`{c}`").alias(f"f{i}") for i, c in enumerate(columns)))
+
+
+def unpacked(columns: list[str], struct: str) -> dict[str, Column]:
+    """The columns of packed(), by name."""
+    return {c: F.col(struct)[f"f{i}"].alias(c) for i, c in enumerate(columns)}
+
+
 def spread_join(rows: DataFrame, key: str, table: DataFrame, salt: Column) -> DataFrame:
     """rows, left join table on key (unique there). Keys that hold over 1 / HEAVY of the rows are joined by broadcast (there are
     fewer than HEAVY of them); these rows and those without a key are dealt by `salt`, so that no task gets a hot key.

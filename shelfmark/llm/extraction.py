@@ -431,7 +431,10 @@ def extract(pages: DataFrame, field: Field | None = None, column: str = "html")
         for b in batches:
             texts = [main_text(x, own) for x in b.column(place).to_pylist()]
             columns = [*b.columns[:place], pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int64())]
-            yield pa.record_batch(columns, names=[*kept, "text", "n_chars"])
+            yield pa.record_batch(columns, names=names)
 
-    schema = T.StructType([*(pages.schema[c] for c in kept), T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
-    return pages.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{column}`")).mapInArrow(extracted, schema)
+    # columns go by their places: a name may hold dots
+    rows = pages.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)), F.col(f"`{column}`").alias("html"))
+    schema = T.StructType([*rows.schema.fields[:place], T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
+    names = schema.names
+    return rows.mapInArrow(extracted, schema).toDF(*kept, "text", "n_chars")

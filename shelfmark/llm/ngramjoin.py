@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import NO_ID, cut, let_go, shared_dir, slices, spread_join, text_bytes, window_hashes, word_hashes, word_spans
+from shelfmark.llm.common import NO_ID, cut, let_go, packed, shared_dir, slices, spread_join, text_bytes, unpacked, window_hashes, word_hashes, word_spans
 from shelfmark.llm.graph import Forest, components
 
 #: A list of more sets than this is frequent. Most n-grams that are broadcast as frequent (8 bytes each).
@@ -437,10 +437,10 @@ def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     together = heads.join(linked, F.col("cls") == F.col("vertex")).groupBy("root").agg(F.min("h").alias("h")).select("h")
     kept = alone.unionByName(together).select("h.key", "h.row")
     has_words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole")
+    whole = packed(docs.columns).alias("whole")
     # rows without words are not shuffled: they would all have few keys
     own = _keyed(docs.filter(has_words).select("doc_id", "text", whole)).select("key", "row", "whole").join(kept, ["key", "row"])
     first = Window.partitionBy("key", "row").orderBy(F.xxhash64("whole"))
     once = own.withColumn("_n", F.row_number().over(first)).filter("_n = 1").select("whole")
     stay = docs.filter(~has_words).select(whole)
-    return once.unionByName(stay).select(*(F.col("whole")[c].alias(c) for c in docs.columns))
+    return once.unionByName(stay).select(*unpacked(docs.columns, "whole").values())

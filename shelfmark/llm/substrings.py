@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmark.llm.common import NO_ID, let_go, mixed, ranged_hashes, slices, text_bytes, window_hashes, word_hashes, word_spans
+from shelfmark.llm.common import NO_ID, let_go, mixed, packed, ranged_hashes, slices, text_bytes, unpacked, window_hashes, word_hashes, word_spans
 
 #: Words of an anchor, as long as windows have twice as many.
 ANCHOR = 8
@@ -353,15 +353,12 @@ def repeated_factors(docs: DataFrame, size: int = 20) -> DataFrame:
     return dealt.mapInArrow(_parsed(size), FACTOR).unionByName(copies)
 
 
-def _parts(docs: DataFrame, size: int, columns: list[str]) -> DataFrame:
-    """text, rest (the other columns of `columns`), factors, n_words, n_removed and kept of every row."""
+def _parts(docs: DataFrame, size: int, columns: list[str], whole_text: bool) -> DataFrame:
+    """text (if whole_text), rest (`columns`, packed), factors, n_words, n_removed and kept of every row."""
     key = [F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.xxhash64("doc_id", "text").alias("row")]
-    # the columns beside doc, row and text travel in one struct, so that none of their names can clash
-    rest = F.struct(F.lit(0).alias("-"), *(F.col(f"`{c}`") for c in columns if c != "text")).alias("rest")
-    whole = docs.select(*key, "text", rest)
+    whole = docs.select(*key, "text", packed(columns).alias("rest"))
     found = repeated_factors(whole, size)
     lists = found.groupBy("doc", "row").agg(F.collect_list(F.struct("start", "windows", "ref_doc", "ref_start")).alias("factors"))
-    whole_text = "text" in columns
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -403,16 +400,17 @@ def find_repeats(docs: DataFrame, size: int = 20, columns: list[str] | None = No
     all. An empty table gives an empty one.
     """
     columns = [c for c in (docs.columns if columns is None else columns) if c.lower() not in MADE]
-    out = _parts(docs, size, columns)
-    return out.select(*(F.col("text") if c == "text" else F.col("rest")[c].alias(c) for c in columns), *MADE)
+    others = [c for c in columns if c != "text"]
+    out, own = _parts(docs, size, others, "text" in columns), unpacked(others, "rest")
+    return out.select(*(own.get(c, F.col("text")) for c in columns), *MADE)
 
 
 def remove_repeats(docs: DataFrame, size: int = 20) -> DataFrame:
     """docs with the repeated words cut out of text, and n_chars (where it is a column) counted anew; see find_repeats. Texts
     that lose nothing stay as they are, white space included. All other columns stay, whatever their names."""
-    cut = F.col("n_removed") > 0
-    text = F.when(cut, F.col("kept")).otherwise(F.col("text"))
-    changed = {"text": text}
-    if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(cut, F.length("kept").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("rest")["n_chars"])
-    return _parts(docs, size, docs.columns).select(*(changed.get(c, F.col("rest")[c]).alias(c) for c in docs.columns))
+    others = [c for c in docs.columns if c != "text"]
+    own, cut = unpacked(others, "rest"), F.col("n_removed") > 0
+    own["text"] = F.when(cut, F.col("kept")).otherwise(F.col("text")).alias("text")
+    if "n_chars" in others:
+        own["n_chars"] = F.when(cut, F.length("kept").cast(docs.schema["n_chars"].dataType)).otherwise(own["n_chars"]).alias("n_chars")
+    return _parts(docs, size, others, True).select(*(own[c] for c in docs.columns))

@@ -1,9 +1,10 @@
 """Toxicity: a linear classifier on character n-grams whose features are scaled by naive Bayes log-count ratios.
 
-A text is lower-cased and its white space made single spaces. Its features are the hashed n-grams it holds, each
-counted once. From labelled texts come the log ratios of how often each feature occurs in either class; a logistic
-regression is fitted on the features times their ratios. The product of ratio and weight is one number per
-feature, so scoring a text sums the numbers of its features.
+A text is lower-cased and its white space made single spaces. Its features are the hashed n-grams it holds, with the
+logarithm of one more than their count. From labelled texts come the log ratios of how often each n-gram occurs in
+either class; a logistic regression is fitted on the features times their ratios. Its penalty is the one of PENALTIES
+with the least loss on texts that were left out in turn. The product of ratio and weight is one number per n-gram, so
+scoring a text sums these numbers times its features.
 """
 
 from __future__ import annotations
@@ -19,28 +20,34 @@ from pyspark.sql import functions as F
 from shelfmark.llm.common import let_go
 
 #: Lengths of the n-grams, and places that they are hashed to.
-GRAMS, BITS = (4, 5), 20
-#: Most labelled texts of either class that the classifier is fitted on; equal texts count once.
-MOST_TOXIC, MOST_CLEAN = 2000, 4000
-_MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63, 0xFF51AFD7ED558CCD)
+GRAMS, BITS = (4, 5, 6), 20
+#: Most labelled texts of either class that the classifier is fitted on, and their code points in all; equal texts count once.
+MOST_TOXIC, MOST_CLEAN, MOST_CHARS = 2000, 3000, 6_000_000
+#: Penalties to choose from, and into how many parts the labelled texts are cut for that.
+PENALTIES, FOLDS = (1e-3, 1e-2, 1e-1), 2
+_MIX = [pow(0x9E3779B97F4A7C15, k, 1 << 64) for k in range(1, max(GRAMS) + 1)]
 
 
-def features(text: str | None) -> np.ndarray:
-    """The hashed n-grams of a text, ascending, each once. None for null and for texts of white space."""
+def grams(text: str | None) -> np.ndarray:
+    """The hashed n-grams of a text. None for null and for texts of white space."""
     plain = " ".join((text or "").lower().split())
     if not plain:
         return np.empty(0, np.uint32)
     points = np.frombuffer(f" {plain} ".encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    found = []
-    for n in GRAMS:
-        h = np.full(max(0, len(points) - n + 1), n, np.uint64)
-        for k in range(n):
-            h += points[k : k + len(h)] * np.uint64(_MIX[k])
-        h ^= h >> np.uint64(29)
-        h *= np.uint64(_MIX[5])
-        found.append((h >> np.uint64(64 - BITS)).astype(np.uint32))
-    seen = np.sort(np.concatenate(found))
-    return seen[np.append(True, seen[1:] != seen[:-1])] if len(seen) else seen
+    found, h = [], np.zeros(len(points), np.uint64)
+    for k, factor in enumerate(_MIX[: len(points)]):
+        h = h[: len(points) - k] + points[k:] * np.uint64(factor)
+        if k + 1 in GRAMS:
+            g = h + np.uint64(k + 1)
+            g = (g ^ (g >> np.uint64(29))) * np.uint64(_MIX[1])
+            found.append((g >> np.uint64(64 - BITS)).astype(np.uint32))
+    return np.concatenate(found) if found else np.empty(0, np.uint32)
+
+
+def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of a text, ascending, each once, and how often it holds them (255 stands for more)."""
+    seen, counts = np.unique(grams(text), return_counts=True)
+    return seen, np.minimum(counts, 255).astype(np.uint8)
 
 
 @dataclass(frozen=True)
@@ -49,29 +56,39 @@ class Model:
     bias: float
 
     def score(self, text: str | None) -> float:
-        x = self.bias + float(self.weights[features(text)].sum(dtype=np.float64))
+        all_grams = grams(text)
+        seen, counts = np.unique(all_grams[self.weights[all_grams] != 0], return_counts=True)
+        x = self.bias + float((self.weights[seen] * np.log1p(np.minimum(counts, 255))).sum(dtype=np.float64))
         return float(1 / (1 + np.exp(-np.clip(x, -500, 500))))
 
 
-def fit(examples: list[np.ndarray], labels: np.ndarray, rounds: int = 200, penalty: float = 1e-3) -> Model:
-    """The classifier of these feature lists. Both classes weigh alike; with one class alone it gives its prior."""
+Examples = list[tuple[np.ndarray, np.ndarray]]
+
+
+def fit(examples: Examples, labels: np.ndarray, penalty: float | None = None, rounds: int = 150) -> Model:
+    """The classifier of these features. Both classes weigh alike; with one class alone it gives its prior. Without a penalty,
+    the best one for these examples is taken."""
     size, toxic = 1 << BITS, labels.astype(bool)
     if not len(labels) or toxic.all() or not toxic.any():
         prior = (toxic.sum() + 1) / (len(labels) + 2) if len(labels) else 0.25
         return Model(np.zeros(size, np.float32), float(np.log(prior / (1 - prior))))
-    seen = np.zeros((2, size))
-    for x, label in zip(examples, toxic, strict=True):
-        seen[int(label), x] += 1  # a text holds each of its features once
-    counts = (seen + 0.5) / np.array([[(~toxic).sum() + 1], [toxic.sum() + 1]])
-    ratios = np.log(counts[1] / counts[0])
-    # features of one or two texts, or as frequent in either class, say nothing of other texts
-    useful = (seen.sum(0) >= 3) & (np.abs(ratios) > 0.7)
-    place = np.cumsum(useful) - 1
-    kept = [x[useful[x]] for x in examples]
-    rows, columns = np.repeat(np.arange(len(kept)), [len(x) for x in kept]), place[np.concatenate(kept)]
-    values = ratios[useful][columns]
-    norms = np.sqrt(np.bincount(rows, values**2, len(examples)).mean()) or 1.0
-    values = values / norms
+    if penalty is None:
+        penalty = best_penalty(examples, labels)
+    texts, times = np.zeros(size, np.int32), np.zeros((2, size))
+    for (x, count), label in zip(examples, toxic, strict=True):
+        texts[x] += 1  # a text holds each of its features once
+        times[int(label), x] += count
+    shares = (times + 0.5) / times.sum(1, keepdims=True).clip(1)
+    ratios = np.log(shares[1] / shares[0])
+    # n-grams of one or two texts, or as frequent in either class, say nothing of other texts
+    useful = (texts >= 3) & (np.abs(ratios) > 0.7)
+    place = (np.cumsum(useful) - 1).astype(np.int32)
+    kept = [useful[x] for x, _ in examples]
+    rows = np.repeat(np.arange(len(kept), dtype=np.int32), [int(k.sum()) for k in kept])
+    columns = place[np.concatenate([x[k] for (x, _), k in zip(examples, kept, strict=True)])]
+    values = np.log1p(np.concatenate([c[k] for (_, c), k in zip(examples, kept, strict=True)]).astype(np.float32)) * ratios[useful].astype(np.float32)[columns]
+    norm = float(np.sqrt(np.bincount(rows, values**2, len(examples)).mean())) or 1.0
+    values /= norm
     balance = np.where(toxic, 0.5 / toxic.sum(), 0.5 / (~toxic).sum())
     w, b, target = np.zeros(int(useful.sum())), 0.0, toxic.astype(float)
     first, second = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
@@ -85,30 +102,61 @@ def fit(examples: list[np.ndarray], labels: np.ndarray, rounds: int = 200, penal
         w -= step[:-1]
         b -= step[-1]
     weights = np.zeros(size, np.float32)
-    weights[useful] = w * ratios[useful] / norms
+    weights[useful] = w * ratios[useful] / norm
     return Model(weights, float(b))
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: tuple[int, int] = (MOST_CLEAN, MOST_TOXIC)) -> Model:
-    """Fits the classifier on at most so many clean and toxic texts of docs that labels marks, chosen by a hash of
-    the text. Rows without a label or doc_id are not used; of differing labels of a document or text the highest
-    counts. Only the ids of the chosen and their features come to the driver."""
+def best_penalty(examples: Examples, labels: np.ndarray) -> float:
+    """The penalty of least balanced log loss on each part of the examples for a fit on the others."""
+    if min((labels > 0).sum(), (labels <= 0).sum()) < 2 * FOLDS:
+        return PENALTIES[len(PENALTIES) // 2]
+    parts = np.zeros(len(labels), int)
+    for label in (False, True):  # parts have both classes alike
+        own = np.flatnonzero((labels > 0) == label)
+        parts[own] = np.arange(len(own)) % FOLDS
+    losses = []
+    for penalty in PENALTIES:
+        loss = 0.0
+        for fold in range(FOLDS):
+            inside = np.flatnonzero(parts != fold)
+            model = fit([examples[i] for i in inside], labels[inside], penalty, rounds=60)
+            for label in (0, 1):
+                out = np.flatnonzero((parts == fold) & ((labels > 0) == label))
+                x = np.array([model.bias + (model.weights[examples[i][0]] * np.log1p(examples[i][1].astype(np.float32))).sum() for i in out])
+                loss += np.logaddexp(0, -x if label else x).mean()
+        losses.append(loss)
+    return PENALTIES[int(np.argmin(losses))]
+
+
+def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: tuple[int, int] = (MOST_CLEAN, MOST_TOXIC), most_chars: int = MOST_CHARS) -> Model:
+    """Fits the classifier on at most so many clean and toxic texts of docs that labels marks, of at most so many code points for
+    either class, chosen by a hash of the text. Rows without a label or doc_id are not used; of differing labels of a
+    document or text the highest counts. Only the ids of the chosen and their features come to the driver."""
     marks = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).alias("_label"))
-    texts = docs.filter("doc_id is not null").select("doc_id", F.xxhash64("text").alias("_hash"))
-    once = texts.join(marks, "doc_id").groupBy("_hash").agg(F.max("_label").alias("_label"), F.min("doc_id").alias("doc_id"))
-    chosen = [row for c, n in enumerate(most) for row in once.filter((F.col("_label") > 0) == bool(c)).orderBy("_hash").limit(n).collect()]
+    own = docs.filter("doc_id is not null").select("doc_id", F.xxhash64("text").alias("_hash"), F.coalesce(F.length("text"), F.lit(0)).alias("_size"))
+    once = own.join(marks, "doc_id").groupBy("_hash").agg(F.max("_label").alias("_label"), F.min("doc_id").alias("doc_id"), F.max("_size").alias("_size"))
+    chosen = []
+    for toxic, n in enumerate(most):
+        room = most_chars
+        for row in once.filter((F.col("_label") > 0) == bool(toxic)).orderBy("_hash").limit(n).collect():
+            if row["_size"] <= room:
+                room -= row["_size"]
+                chosen.append((row["doc_id"], row["_hash"], toxic))
     if not chosen:
         return fit([], np.empty(0))
-    picked = docs.sparkSession.createDataFrame([(x["doc_id"], int(x["_label"] > 0)) for x in chosen], "doc_id long, _label int")
+    picked = docs.sparkSession.createDataFrame(chosen, "doc_id long, _hash long, _label int")
 
     def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.record_batch([b.column(0), b.column(1), pa.array([features(x).tobytes() for x in b.column(2).to_pylist()], pa.binary())], names=["doc_id", "label", "features"])
+            found = [features(x) for x in b.column(2).to_pylist()]
+            columns = [pa.array([x[i].tobytes() for x in found], pa.binary()) for i in (0, 1)]
+            yield pa.record_batch([b.column(0), b.column(1), *columns], names=["hash", "label", "grams", "counts"])
 
-    rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "_label", "text")
+    texts = docs.select("doc_id", F.xxhash64("text").alias("_hash"), "text")
+    rows = texts.join(F.broadcast(picked), ["doc_id", "_hash"]).select("_hash", "_label", "text")
     found = {}
-    for row in rows.mapInArrow(gathered, "doc_id long, label int, features binary").toLocalIterator():
-        found[row["doc_id"]] = (np.frombuffer(row["features"], np.uint32), row["label"])
+    for row in rows.mapInArrow(gathered, "hash long, label int, grams binary, counts binary").toLocalIterator():
+        found[row["hash"]] = (np.frombuffer(row["grams"], np.uint32), np.frombuffer(row["counts"], np.uint8)), row["label"]
     order = sorted(found)
     return fit([found[i][0] for i in order], np.array([found[i][1] for i in order]))
 
@@ -128,8 +176,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def reject(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
-    """docs without the rows whose score reaches the threshold; columns and their order stay."""
-    shared, place = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
+    """docs without the rows whose score reaches the threshold; columns and their order stay, whatever their names."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index("text")
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         let_go()
@@ -137,7 +186,9 @@ def reject(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
         for b in batches:
             yield b.filter(pa.array([own.score(x) < threshold for x in b.column(place).to_pylist()], pa.bool_()))
 
-    return docs.mapInArrow(kept, docs.schema)
+    # columns go by their places: a name may hold dots
+    plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    return plain.mapInArrow(kept, plain.schema).toDF(*docs.columns)
 
 
 def held_out(doc_id: str) -> Column:

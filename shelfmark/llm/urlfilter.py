@@ -18,8 +18,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.llm.common import cut, packed, unpacked
+
 #: (verdict, host, path prefix)
 Rule = tuple[str, str, str]
+#: Most words of 64 bits in a filter, which is part of the plan: some 3 million listed keys among a billion others.
+MOST_WORDS = 1 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -79,6 +83,8 @@ class Cascade:
 def _level(keys: DataFrame, count: int, rate: float, level: int) -> Level:
     hashes = max(1, round(-math.log2(rate)))
     bits = max(64, math.ceil(count * hashes / math.log(2) / 64) * 64)
+    if bits // 64 > MOST_WORDS:
+        raise ValueError(f"a filter of {bits // 8 >> 20} MB for {count} keys is more than fits in a plan")
     words = (
         keys.select(F.explode(F.array(*_positions(F.col("key"), level, hashes, bits))).alias("p"))
         .groupBy(F.shiftright("p", 6).alias("word"))
@@ -86,15 +92,13 @@ def _level(keys: DataFrame, count: int, rate: float, level: int) -> Level:
         .collect()
     )
     out = [0] * (bits // 64)
-    for row in words:
+    for row in words:  # as many as the filter has, which MOST_WORDS bounds
         out[row["word"]] = row["bits"]
     return Level(bits, hashes, tuple(out))
 
 
 def build_cascade(listed: DataFrame, others: DataFrame, n_listed: int, n_others: int) -> Cascade:
     """listed and others: a column key each; others may repeat keys and hold listed ones, which are left out."""
-    from shelfmark.llm.common import cut
-
     if not n_listed:
         return Cascade(())
     rate = min(0.5, max(2.0**-40, n_listed * math.sqrt(0.5) / max(1, n_others)))
@@ -111,12 +115,12 @@ def build_cascade(listed: DataFrame, others: DataFrame, n_listed: int, n_others:
 def filter_urls(pages: DataFrame, rules: list[Rule], url: str = "url", otherwise: str = "allow") -> DataFrame:
     """pages with host, path, rule (host and path of the longest rule that fits, else null) and verdict.
 
-    A rule fits its host and all subdomains if the path starts with the rule's. The rules' own columns replace
-    columns of pages that have the same names. Null URLs fit no rule; repeated rows each get their verdict; an
+    A rule fits its host and all subdomains if the path starts with the rule's. These four columns replace columns of
+    pages that have the same names; all others stay, whatever their names. Null URLs fit no rule; repeated rows each get their verdict; an
     empty table gives an empty one; no rules give the verdict `otherwise` everywhere.
     """
     pages = pages.drop(*({"host", "path", "rule", "verdict"} - {url}))
-    host, path = host_and_path(F.col(url))
+    host, path = host_and_path(F.col(f"`{url}`"))
     shapes = sorted({(h.count(".") + 1, len(p)) for _, h, p in rules}, key=lambda s: (-s[0], -s[1]))
     keys = url_keys(F.col("host"), F.col("path"), shapes) if shapes else F.array()
     parts = pages.select(host.alias("host"), path.alias("path"))
@@ -128,8 +132,9 @@ def filter_urls(pages: DataFrame, rules: list[Rule], url: str = "url", otherwise
             own = sorted({h + p for k, h, p in rules if k == kind})
             listed = pages.sparkSession.createDataFrame([(k,) for k in own], "key string")
             found[kind] = build_cascade(listed, universe, len(own), total)
-    fits = [F.struct(F.length(k).alias("length"), k.alias("rule"), F.lit(kind).alias("verdict")) for kind in found for k in (F.get(keys, i) for i in range(len(shapes)))]
-    hits = F.array(*(F.when(c.contains(k), fits[n * len(shapes) + i]) for n, c in enumerate(found.values()) for i, k in enumerate(F.get(keys, i) for i in range(len(shapes))))) if fits else None
-    out = pages.withColumns({"host": host, "path": path})
-    best = F.array_max(hits) if fits else F.lit(None).cast("struct<length:int,rule:string,verdict:string>")
-    return out.withColumn("_fit", best).select("*", F.col("_fit.rule").alias("rule"), F.coalesce("_fit.verdict", F.lit(otherwise)).alias("verdict")).drop("_fit")
+    # one literal for each level of a verdict's cascade, whatever the number of shapes
+    hit = lambda kind: F.transform(keys, lambda k: F.when(found[kind].contains(k), F.struct(F.length(k).alias("length"), k.alias("rule"), F.lit(kind).alias("verdict"))))
+    best = F.array_max(F.concat(*map(hit, found))) if found else F.lit(None).cast("struct<length:int,rule:string,verdict:string>")
+    out = pages.select(packed(pages.columns).alias("rest"), host.alias("host"), path.alias("path")).select("rest", "host", "path", best.alias("fit"))
+    made = [F.col("host"), F.col("path"), F.col("fit.rule").alias("rule"), F.coalesce("fit.verdict", F.lit(otherwise)).alias("verdict")]
+    return out.select(*unpacked(pages.columns, "rest").values(), *made)

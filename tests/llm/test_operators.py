@@ -118,9 +118,46 @@ def test_components(spark):
     assert len({got[i] for i in (1, 2, 3, 4)}) == 1 and got[10] == got[11] != got[1]
 
 
-def test_toxicity(spark):
-    got = queries.op3_toxicity(spark, "/root/testdata/sf0.01").join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id").filter("held_out and toxic is not null").collect()
-    assert len(got) > 40 and np.mean([r["predicted"] == r["toxic"] for r in got]) > 0.95
+def test_toxicity_on_held_out_rows(spark):
+    """By language: the classifier must know what it has not seen, not remember what it has."""
+    table = "/root/testdata/sf0.1"
+    marks = spark.read.parquet(f"{table}/labels.parquet").join(spark.read.parquet(f"{table}/documents.parquet").select("doc_id", "lang"), "doc_id")
+    rows = queries.op3_toxicity(spark, table).join(marks, "doc_id").filter("held_out and toxic is not null").collect()
+    toxic = {lang: [r["predicted"] for r in rows if r["toxic"] == 1 and r["lang"] == lang] for lang in ("en", "de", "fr", "es")}
+    assert all(np.mean(x) >= 0.7 for x in toxic.values()) and np.mean(sum(toxic.values(), [])) > 0.88  # recall
+    assert np.mean([r["toxic"] for r in rows if r["predicted"]]) > 0.95  # precision
+    assert np.mean([r["predicted"] == r["toxic"] for r in rows]) > 0.97
+
+
+def test_toxicity_scores_are_sums_of_features():
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice(("ab", "abc", "X", "öd", "ab\u0301")) for _ in range(rng.randrange(40))) for _ in range(40)]
+    labels = np.array([i % 2 for i in range(40)])
+    model = toxicity.fit([toxicity.features(t) for t in texts], labels, 1e-2)
+    for t in [*texts, None, "", " \n ", "a"]:
+        plain = f" {' '.join((t or '').lower().split())} " if (t or "").split() else ""
+        counts = Counter()
+        for n in toxicity.GRAMS:
+            for i in range(len(plain) - n + 1):
+                h = sum((ord(c) * pow(0x9E3779B97F4A7C15, k + 1, 1 << 64)) for k, c in enumerate(plain[i : i + n])) + n & (1 << 64) - 1
+                counts[((h ^ h >> 29) * pow(0x9E3779B97F4A7C15, 2, 1 << 64) & (1 << 64) - 1) >> 64 - toxicity.BITS] += 1
+        x = model.bias + sum(float(model.weights[g]) * float(np.log1p(c)) for g, c in counts.items())
+        assert model.score(t) == pytest.approx(1 / (1 + np.exp(-x)), abs=1e-6)
+
+
+def test_toxicity_sample_is_bounded(spark):
+    rows = [(i, f"{words(i, 20)} {'bad' if i % 2 else 'good'}") for i in range(60)] + [(100, "long " * 9000 + "bad"), (100, "another text of the same id")]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(100, 1)], "doc_id long, toxic int")
+    seen = []
+    toxicity.train(frame(spark, rows), labels, most_chars=500)
+    original = toxicity.fit
+    try:
+        toxicity.fit = lambda examples, marks, *a, **k: (seen.append((len(examples), int(marks.sum()))), original(examples, marks, 1e-2))[1]
+        toxicity.train(frame(spark, rows), labels, most_chars=500)
+        toxicity.train(frame(spark, rows), labels)
+    finally:
+        toxicity.fit = original
+    assert 2 <= seen[0][0] < 20 and seen[1] == (62, 32)
 
 
 def test_toxicity_cases(spark, corpus):
@@ -182,6 +219,40 @@ def test_packing(spark, corpus):
     assert packing.pack(frame(spark, []), WORDS).isEmpty()
 
 
+def test_token_file_prunes(spark, tmp_path):
+    """Footers, row groups and Bloom filters each save reading."""
+    rows = [(2 * i, f"a{i}") for i in range(14_000)]
+    path = tokenfile.write_token_ids(frame(spark, rows), f"file://{tmp_path}/ids", WORDS)
+    some = next(iter(sorted(tmp_path.glob("ids/part-*.orc"))))
+    jvm = spark._jvm
+    reader = jvm.org.apache.orc.OrcFile.createReader(jvm.org.apache.hadoop.fs.Path(f"file://{some}"), jvm.org.apache.orc.OrcFile.readerOptions(spark._jsc.hadoopConfiguration()))
+    found = reader.rows()
+    footer = found.readStripeFooter(reader.getStripes().get(0))
+    kinds = {footer.getStreams(i).getKind().toString() for i in range(footer.getStreamsCount())}
+    encodings = {footer.getColumns(i).getKind().toString() for i in range(footer.getColumnsCount())}
+    found.close()
+    assert {"ROW_INDEX", "BLOOM_FILTER_UTF8"} <= kinds and "DIRECT_V2" in encodings and reader.getRowIndexStride() == 2000
+
+    def scanned(condition):
+        df = spark.read.schema(tokenfile.SCHEMA).orc(path).filter(condition)
+        got = len(df.collect())
+        leaf = df._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+        return got, leaf.metrics().apply("numOutputRows").value()
+
+    assert scanned("doc_id >= 0") == (14_000, 14_000)
+    got, read = scanned("doc_id = 10000")
+    assert got == 1 and read <= 2000  # one row group of one file
+    got, read = scanned("doc_id = 10001")  # between the least and the largest id of a row group, but not there
+    assert got == 0 and read == 0
+
+
+def test_token_files_in_order_of_their_numbers(spark):
+    """Names are not padded to more than five digits."""
+    rows = [(i, 0, 1, [i], f"part-{n}-x.c000.orc") for i, n in enumerate(("00000", "00002", "99999", "100000"))]
+    table = spark.createDataFrame(rows, "doc_id long, position long, n_tokens long, ids array<int>, file string")
+    assert sorted((r["doc_id"], r["start"]) for r in tokenfile.token_summary(table).collect()) == [(i, i) for i in range(4)]
+
+
 def test_differencing():
     rng = random.Random(3)
     for count in (1, 2, 7):
