@@ -8,6 +8,7 @@ projects to a span of the original. The spans of a text's pieces follow each oth
 
 from __future__ import annotations
 
+import re
 import struct
 from collections.abc import Iterator
 
@@ -51,19 +52,28 @@ class CharacterMap:
         size = struct.unpack("<I", blob[:4])[0] if blob else 0
         self.units = struct.unpack(f"<{size // 4}I", blob[4 : 4 + size])
         self.texts = blob[4 + size :]
+        begins = [b for b in range(256) if self.units and self.units[n := self.offset(self.units[0]) ^ b] & ((1 << 31) | 255) == b and n]
+        self.begins = re.compile(b"[" + re.escape(bytes(begins)) + b"]") if begins else None
+
+    @staticmethod
+    def offset(unit: int) -> int:
+        return (unit >> 10) << ((unit & (1 << 9)) >> 6)
+
+    def candidates(self, data: bytes) -> list[int]:
+        """Places of the bytes that keys begin with."""
+        return [m.start() for m in self.begins.finditer(data)] if self.begins else []
 
     def longest(self, data: bytes, at: int) -> tuple[int, bytes] | None:
         """Length and replacement of the longest key that data has at this place."""
         if not self.units:
             return None
-        offset = lambda unit: (unit >> 10) << ((unit & (1 << 9)) >> 6)
-        node, found = offset(self.units[0]), None
+        node, found = self.offset(self.units[0]), None
         for i in range(at, len(data)):
             node ^= data[i]
             if node >= len(self.units) or self.units[node] & ((1 << 31) | 255) != data[i]:
                 break
             unit = self.units[node]
-            node ^= offset(unit)
+            node ^= self.offset(unit)
             if unit >> 8 & 1:
                 found = i + 1 - at, self.units[node] & ((1 << 31) - 1)
         return found and (found[0], self.texts[found[1] : self.texts.index(b"\0", found[1])])
@@ -104,57 +114,53 @@ class PieceEncoder(dict):
             return np.array(self.library.encode(text), "<u4").tobytes()
         return b"".join(map(self.__getitem__, text.split(" ")))
 
-    def normalise(self, text: str) -> tuple[bytes, np.ndarray]:
-        """The normalised text, and for each of its bytes, and its end, the source byte where it comes from."""
-        data, space = text.encode(), SPACE.encode() if self.escape else b" "
-        parts: list[tuple[bytes, int, int]] = []
-        i = 0
-        while i < len(data):
-            hit = self.map.longest(data, i)
-            size = hit[0] if hit else 1 + sum(data[i] >= x for x in (0xC0, 0xE0, 0xF0))
-            parts.append((hit[1] if hit else data[i : i + size], i, i + size))
-            i += size
-        out, source = bytearray(), []
-        if self.squeeze:  # spaces at either end go, and runs become one
-            while parts and not parts[0][0].strip(b" "):
-                parts.pop(0)
-            while parts and not parts[-1][0].strip(b" "):
-                parts.pop()
-        first = parts[0][1] if parts else 0
-        if parts and self.prefix:
-            out += space
-            source += [first] * len(space)
-        was_space = self.squeeze
-        for new, start, end in parts:
-            for k, byte in enumerate(new):
-                if byte == 0x20:
-                    if self.squeeze and was_space:
-                        continue
-                    out += space
-                    source += [start] * len(space)
-                else:
-                    out.append(byte)
-                    source.append(start + k if len(new) == end - start else start)
-                was_space = byte == 0x20
-        return bytes(out), np.array([*source, parts[-1][2] if parts else 0], np.int64)
+    def normalise(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """The normalised text's bytes, and for each of them, and their end, the source byte where it comes from.
+
+        The map is asked where a byte stands that some key begins with; what lies between such places is kept as it is.
+        """
+        data, space = text.encode(), np.frombuffer((SPACE if self.escape else " ").encode(), np.uint8)
+        raw, i, emptied = np.frombuffer(data, np.uint8), 0, len(data)
+        new, source = [], []
+        for place in self.map.candidates(data):
+            hit = self.map.longest(data, place) if place >= i else None
+            if hit:
+                size, text_of = hit
+                own = np.arange(size) if len(text_of) == size else np.zeros(len(text_of), np.int64)
+                new += [raw[i:place], np.frombuffer(text_of, np.uint8)]
+                source += [np.arange(i, place), place + own]
+                emptied = emptied if text_of else min(emptied, place)
+                i = place + size
+        out = np.concatenate([*new, raw[i:]])
+        source = np.concatenate([*source, np.arange(i, len(raw))])
+        blank = out == 0x20
+        if self.squeeze:  # spaces at the beginning go, and runs become one
+            stay = ~(blank & np.append(True, blank[:-1])[: len(blank)])
+            out, source, blank = out[stay], source[stay], blank[stay]
+        first = min([emptied, *source[:1]])  # where what is left of the text begins
+        sizes = np.where(blank, len(space), 1)
+        out, source = np.repeat(out, sizes), np.repeat(source, sizes)
+        if self.escape:
+            at = np.flatnonzero(np.repeat(blank, sizes)).reshape(-1, len(space))
+            out[at] = space
+        if self.prefix and (len(out) or emptied < len(data)):
+            out, source = np.concatenate([space, out]), np.concatenate([np.full(len(space), first), source])
+        end, size = len(raw), len(out)
+        while self.squeeze and size >= len(space) and (out[size - len(space) : size] == space).all():  # those that the text has itself, too
+            size -= len(space)
+            end = source[size]
+        return out[:size], np.append(source[:size], end)
 
     def spans(self, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First and last source byte (exclusive) of each id of a text."""
-        data = text.encode()
-        if self.map.units or self.squeeze or not self.escape or not self.prefix:
-            normal, source = self.normalise(text)
-        else:  # nothing is replaced but spaces: the same result without a loop over bytes
-            raw = np.frombuffer(b" " + data if data else b"", np.uint8)
-            sizes = np.where(raw == 0x20, len(SPACE.encode()), 1)
-            normal, source = None, np.append(np.repeat(np.maximum(np.arange(-1, len(raw) - 1), 0), sizes), len(data))
+        normal, source = self.normalise(text)
         sizes = self.sizes[ids]
         strange = np.flatnonzero(ids == self.unknown)
         if len(strange):  # the library gives one id for a run of unknown characters
-            normal = normal if normal is not None else self.normalise(text)[0]
             at = 0
             for i, k in enumerate(ids):
                 if k == self.unknown:
-                    rest = normal[at:]
+                    rest = normal[at:].tobytes()
                     sizes[i] = next((j for j in range(1, len(rest)) if i + 1 < len(ids) and ids[i + 1] != self.unknown and rest[j:].startswith(self.library.id_to_piece(int(ids[i + 1])).encode())), len(rest))
                 at += sizes[i]
         ends = np.minimum(np.cumsum(sizes), len(source) - 1)
