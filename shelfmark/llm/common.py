@@ -23,7 +23,7 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 #: Text is hashed in pieces of about so many bytes, which bounds the memory of a very long text.
 SEGMENT = 1 << 18
-#: A key that holds over one in so many rows is heavy, see spread_join().
+#: Most keys that spread_join() takes for hot.
 HEAVY = 1000
 _BASE, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -80,19 +80,17 @@ def unpacked(columns: list[str], struct: str) -> dict[str, Column]:
 
 
 def spread_join(rows: DataFrame, key: str, table: DataFrame, salt: Column) -> DataFrame:
-    """rows, left join table on key (unique there). Keys that hold over 1 / HEAVY of the rows are joined by broadcast (there are
-    fewer than HEAVY of them); these rows and those without a key are dealt by `salt`, so that no task gets a hot key.
-    rows is read twice: it should be a stored table."""
-    least = rows.count() // HEAVY + 1
-    heavy = rows.filter(F.col(key).isNotNull()).groupBy(key).count().filter(F.col("count") > least).select(F.col(key).alias("_heavy"))
-    own = cut(table.join(F.broadcast(heavy), F.col(key) == F.col("_heavy"), "left_semi"))
-    values = [c for c in table.columns if c != key]
-    few = own.select(F.col(key).alias("_heavy"), F.struct(*values).alias("_few"))
+    """rows, left join table on key (a long, unique there). The HEAVY most frequent keys are joined by broadcast; their rows and
+    those without a key are dealt by `salt`, so that no task gets a hot key. rows and table are read twice: they should
+    be stored or small plans."""
+    heavy = rows.filter(F.col(key).isNotNull()).groupBy(key).count().orderBy(F.desc("count")).limit(HEAVY).select(F.col(key).alias("_heavy"))
+    values = F.struct(*(c for c in table.columns if c != key))
+    few = table.join(F.broadcast(heavy), F.col(key) == F.col("_heavy")).select("_heavy", values.alias("_few"))
     marked = rows.join(F.broadcast(few), F.col(key) == F.col("_heavy"), "left").drop("_heavy")
     dealt = marked.withColumn("_plain", F.col("_few").isNull() & F.col(key).isNotNull()).withColumn("_deal", F.when(F.col("_plain"), F.col(key)).otherwise(salt))
-    many = table.select(F.col(key).alias("_deal"), F.lit(True).alias("_plain"), F.struct(*values).alias("_many"))
+    many = table.select(F.col(key).alias("_deal"), F.lit(True).alias("_plain"), values.alias("_many"))
     out = dealt.join(many.hint("shuffle_merge"), ["_deal", "_plain"], "left").withColumn("_found", F.coalesce("_few", "_many"))
-    return out.select(*rows.columns, *(F.col("_found")[v].alias(v) for v in values))
+    return out.select(*rows.columns, *(F.col("_found")[c].alias(c) for c in table.columns if c != key))
 
 
 def tie(text: Column) -> Column:

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from shelfmark.llm.common import cut
 
-#: Edges that a task joins before it emits what they span.
-FLUSH = 1 << 20
+#: Edges that a task joins before it emits what they span; so few that one task joins them all.
+FLUSH, FEW = 1 << 20, 1 << 14
 
 
 class Forest(dict):
@@ -54,20 +54,20 @@ def _spanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def components(edges: DataFrame) -> DataFrame:
     """(vertex, root) of every vertex of the edges (a, b), longs without nulls. root is the same all over a component.
 
-    Each round replaces every vertex by its least neighbour and drops edges inside a set. Vertices should be
-    hashes: then a round leaves a fraction of them, whatever the graph's shape.
+    Each round replaces every vertex by its least neighbour and drops edges inside a set, until no more than FEW are left,
+    which one task joins. Vertices should be hashes: then a round leaves a fraction of them, whatever the graph's shape.
     """
     spanned = lambda pairs: cut(pairs.mapInArrow(_spanned, "a long, b long").distinct())
     pairs = spanned(edges.select(F.col("a").cast("long"), F.col("b").cast("long")))
-    every = pairs.select(F.explode(F.array("a", "b")).alias("vertex")).distinct()
-    label = cut(every.withColumn("root", F.col("vertex")))
-    while not pairs.isEmpty():
+    label = pairs.select(F.explode(F.array("a", "b")).alias("vertex")).distinct().withColumn("root", F.col("vertex"))
+    while (left := pairs.count()) > FEW:
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = cut(both.groupBy("a").agg(F.least(F.first("a"), F.min("b")).alias("to")).select(F.col("a").alias("v"), "to"))
         label = cut(label.join(least, label["root"] == least["v"], "left").select("vertex", F.coalesce("to", "root").alias("root")))
-        left = pairs.join(least, pairs["a"] == least["v"]).select(F.col("to").alias("a"), "b")
-        moved = left.join(least, left["b"] == least["v"]).select("a", F.col("to").alias("b"))
+        moved = pairs.join(least, pairs["a"] == least["v"]).select(F.col("to").alias("a"), "b")
+        moved = moved.join(least, moved["b"] == least["v"]).select("a", F.col("to").alias("b"))
         pairs = spanned(moved.filter("a <> b"))
-    return label
-
-
+    if left:
+        last = pairs.coalesce(1).mapInArrow(_spanned, "a long, b long").select(F.col("a").alias("v"), F.col("b").alias("to"))
+        label = label.join(F.broadcast(last), F.col("root") == F.col("v"), "left").select("vertex", F.coalesce("to", "root").alias("root"))
+    return cut(label)

@@ -363,7 +363,7 @@ def _family_sets(keyed: DataFrame, rows: DataFrame, candidates: DataFrame, size:
     members = cut(heads.join(families, "cls"))
     sizes = members.groupBy("family").agg(F.count("*").alias("members"), F.sum("n").alias("grams")).filter("members > 1")
     blocks = F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("grams") / BLOCK_GRAMS)).cast("int").alias("n_blocks")
-    wanted = cut(spread_join(members, "family", cut(sizes.select("family", blocks)), F.col("cls")).filter("n_blocks is not null"))
+    wanted = cut(spread_join(members, "family", sizes.select("family", blocks), F.col("cls")).filter("n_blocks is not null"))
     place = F.col("row").bitwiseAND(SIEVE - 1)
     bits = wanted.groupBy(F.shiftright(place, 6).cast("int").alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))).alias("bits"))
     words = np.zeros(SIEVE >> 6, np.uint64)
@@ -387,12 +387,12 @@ def _family_links(sets: DataFrame, percent: int) -> DataFrame:
         return linked
     named = cut(large.select("family", "n_blocks", "cls").join(linked, F.col("cls") == F.col("vertex"), "left").select("family", "n_blocks", "cls", F.coalesce("root", "cls").alias("root")))
     largest = named.groupBy("family", "root").count().groupBy("family").agg(F.max_by("root", F.struct("count", "root")).alias("main"))
-    marked = cut(spread_join(named, "family", cut(largest), F.col("cls")))
+    marked = cut(spread_join(named, "family", largest, F.col("cls")))
     outside = marked.filter("root <> main")
     if outside.isEmpty():
         return linked
     lefts = outside.groupBy("family").agg(F.ceil(F.count("*") / LEFT).cast("int").alias("lefts"))
-    every = spread_join(marked, "family", cut(lefts), F.col("cls")).filter("lefts is not null").join(large.select("cls", "grams"), "cls")
+    every = spread_join(marked, "family", lefts, F.col("cls")).filter("lefts is not null").join(large.select("cls", "grams"), "cls")
     own = every.filter("root <> main").select("family", F.pmod(F.xxhash64("cls", F.lit(1)), "lefts").cast("int").alias("left"), F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("block"), F.lit(1).alias("side"), "cls", "root", "grams")
     others = every.select("family", F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)).alias("left"), block, F.lit(0).alias("side"), "cls", "root", "grams")
     both = own.unionByName(others).repartition("family", "left", "block").sortWithinPartitions("family", "left", "block")
@@ -421,7 +421,7 @@ def join_documents(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFra
     rows = rows.select("doc_id", "row", "cls", "n")
     least = cut(rows.filter("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("least")))
     together = linked.join(least, F.col("vertex") == F.col("cls")).groupBy("root").agg(F.min("least").alias("lowest"))
-    reached = spread_join(linked, "root", cut(together), F.col("vertex")).select(F.col("vertex").alias("cls"), "lowest")
+    reached = spread_join(linked, "root", together, F.col("vertex")).select(F.col("vertex").alias("cls"), "lowest")
     named = cut(least.join(reached, "cls", "left").select("cls", F.coalesce("lowest", "least").alias("least")))
     out = spread_join(rows, "cls", named, F.col("row"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))

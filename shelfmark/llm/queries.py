@@ -112,6 +112,42 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op2_ngram_join": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), grams AS (
+            SELECT DISTINCT doc_id, CASE WHEN len(w) < 4 THEN array_to_string(w, ' ') ELSE array_to_string(w[i : i + 3], ' ') END AS g
+            FROM words, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS t(i) WHERE len(w) > 0
+        ), sizes AS (
+            SELECT doc_id, count(*) AS n FROM grams GROUP BY 1
+        ), met AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
+        ), links AS (
+            SELECT a, b FROM met JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id WHERE 100 * met.n >= 85 * (x.n + y.n - met.n)
+        ), pairs AS (
+            SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+        ), reached(doc_id, other) AS (
+            SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.b FROM reached r JOIN pairs l ON r.other = l.a
+        )
+        SELECT d.doc_id, CAST(coalesce(max(s.n), 0) AS BIGINT) AS n_shingles, min(r.other) AS component_id
+        FROM documents d LEFT JOIN sizes s ON d.doc_id = s.doc_id LEFT JOIN reached r ON d.doc_id = r.doc_id GROUP BY d.doc_id
+    """,
+    "op10_substrings": r"""
+        WITH words AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), starts AS (
+            SELECT doc_id, i, array_to_string(w[i : i + 19], ' ') AS g FROM words, unnest(range(1, len(w) - 18)) AS t(i)
+        ), repeated AS (
+            SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS n FROM starts) WHERE n > 1
+        ), gone AS (
+            SELECT DISTINCT doc_id, i + j AS i FROM repeated, range(20) AS t(j)
+        ), kept AS (
+            SELECT x.doc_id, string_agg(x.word, ' ' ORDER BY x.i) AS text, count(*) AS n
+            FROM (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM words) x LEFT JOIN gone USING (doc_id, i) WHERE gone.doc_id IS NULL GROUP BY 1
+        )
+        SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(len(w.w) - coalesce(k.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+        FROM words w LEFT JOIN kept k ON w.doc_id = k.doc_id
+    """,
     # the tables' pages hold their main text in an article element of headings and paragraphs
     "op6_extraction": r"""
         WITH inner_html AS (

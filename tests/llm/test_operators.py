@@ -13,15 +13,13 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
-from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
-from shelfmark.llm import graph, ngramjoin, packing, pieces, queries, tokenfile, topk, toxicity, urlfilter
+from shelfmark.llm import graph, ngramjoin, packing, queries, tokenfile, toxicity, urlfilter
 from tests.llm.tables import WORD, frame, words
 
 DATA = "/root/testdata/sf0.001"
 WORDS = public_tokenizers.path("word_bpe_49k.json")
-PIECES = public_tokenizers.path("piece_bpe_32k.model")
 @pytest.fixture(scope="module")
 def corpus():
     """Copies, near copies, shared passages, short, empty, null and long texts, and ids that are null or repeated."""
@@ -112,6 +110,16 @@ def test_one_of_each(spark, corpus):
     assert ngramjoin.one_of_each(docs.limit(0)).isEmpty() and ngramjoin.join_documents(docs.limit(0)).isEmpty()
 
 
+@pytest.mark.parametrize("few", [0, graph.FEW])
+def test_components_of_chains_and_stars(spark, monkeypatch, few):
+    monkeypatch.setattr(graph, "FEW", few)
+    rng = random.Random(4)
+    name = [rng.getrandbits(62) for _ in range(400)]
+    edges = [(name[i], name[i + 1]) for i in range(199)] + [(name[300], name[i]) for i in range(250, 400)]
+    got = {r["vertex"]: r["root"] for r in graph.components(spark.createDataFrame(edges, "a long, b long").repartition(7)).collect()}
+    assert len(got) == 350 and len({got[x] for x in name[:200]}) == len({got[x] for x in name[250:]}) == 1 and got[name[0]] != got[name[300]]
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(1, 2), (2, 3), (3, 4), (10, 11), (11, 10), (5, 5)], "a long, b long")
     got = {r["vertex"]: r["root"] for r in graph.components(edges).collect()}
@@ -265,24 +273,6 @@ def test_differencing():
     assert len(packing.windows([6, 6, 6], 10)) == 3  # more windows than the sum needs
 
 
-def test_pieces(spark, corpus):
-    library = SentencePieceProcessor(model_file=PIECES)
-    rows = [*corpus, (70, "  two  spaces "), (71, "▁ a▁b"), (72, "\u0000x\n\ty")]
-    got = pieces.encode_pieces(frame(spark, rows), PIECES).collect()
-    seen = Counter((r["doc_id"], bytes(r["ids"]), r["decoded"]) for r in got)
-    want = Counter()
-    for i, t in rows:
-        ids = [1, *library.encode(t or ""), 2]
-        want[i, np.array(ids, "<u4").tobytes(), library.decode(ids)] += 1
-    assert seen == want
-    texts = {i: (t or "").encode() for i, t in rows}
-    for r in got:
-        starts, ends = np.frombuffer(r["starts"], "<i4"), np.frombuffer(r["ends"], "<i4")
-        if r["doc_id"] not in (None, 60, 61, 70, 71):
-            assert (starts[1:] == ends[:-1]).all() and starts[0] == 0 and ends[-1] == len(texts[r["doc_id"]])
-    assert pieces.encode_pieces(frame(spark, []), PIECES).isEmpty()
-
-
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
@@ -302,39 +292,6 @@ def test_url_filter_cases(spark):
     assert {r["verdict"] for r in urlfilter.filter_urls(pages, []).collect()} == {"allow"}
 
 
-def test_top_k_cases(spark):
-    rng = random.Random(5)
-    rows = [(i, [rng.uniform(-1, 1) for _ in range(10)]) for i in range(0, 120)] + [(200, None), (250, [1.0] * 9), (300, [None] * 10), (350, [float("nan")] * 10), (None, [0.5] * 10), (400, [0.5] * 10), (401, [0.5] * 10), (402, [0.5] * 10)]
-    table = spark.createDataFrame([(i, v, 0) for i, v in rows], "vec_id long, embedding array<float>, rank int").repartition(3)
-    good = {i: np.floor(256.0 * np.array(v, np.float32).astype(float)) for i, v in rows if i is not None and v is not None and None not in v and np.isfinite(v).all()}
-    want = set()
-    for q in good:
-        if q % 50 == 0:
-            best = sorted((-int(good[q] @ good[c]), c) for c in good if c != q and len(good[c]) == len(good[q]))[:5]
-            want |= {(q, k + 1, c, -s) for k, (s, c) in enumerate(best)}
-    assert {tuple(r) for r in topk.exact_top_k(table, "vec_id % 50 = 0", 5).collect()} == want
-    assert topk.exact_top_k(table.limit(0), "vec_id % 50 = 0", 5).isEmpty()
-
-
-def test_top_k_of_repeated_rows(spark):
-    rng = random.Random(6)
-    vector = lambda: [rng.uniform(-1, 1) for _ in range(10)]
-    rows = [(i, vector()) for i in range(120)]
-    rows += [(i, v) for i, v in rows if i % 3 == 0 for _ in range(30)] + [(i, vector()) for i in range(0, 120, 5) for _ in range(3)] + [(50, [0.5] * 9), (7, [0.5] * 9)]
-    best = {}
-    whole = [(i, np.floor(256.0 * np.array(v, np.float32).astype(float))) for i, v in rows]
-    for q, x in whole:
-        for c, y in whole:
-            if q % 50 == 0 and c != q and len(x) == len(y):
-                best[q, c] = max(best.get((q, c), int(x @ y)), int(x @ y))
-    want = set()
-    for q in (0, 50, 100):
-        want |= {(q, k + 1, c, -s) for k, (s, c) in enumerate(sorted((-s, c) for (p, c), s in best.items() if p == q)[:5])}
-    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(2)
-    got = topk.exact_top_k(table, "vec_id % 50 = 0", 5).collect()
-    assert len(got) == 15 and {tuple(r) for r in got} == want
-
-
 def test_pipeline(spark):
     import corpus_pipeline
 
