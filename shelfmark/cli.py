@@ -39,7 +39,6 @@ def main(args: list[str] | None = None, transport=None) -> int:
     with Catalog(spark, a.db) as catalog:
         session = lambda: Session(a.base_url, a.user_agent, a.query, a.filter, a.min_delay, a.max_delay, **more)
         summary = harvest(spark, catalog, session, a.run_key, a.max_pages, refetch_empty=a.refetch_empty).first()
-    logging.getLogger("shelfmark").info("%s", summary.asDict())
     return 1 if summary["failed_pages"] else 0
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.functions.text import content_hash
+from shelfmark.functions.text import content_hash, rfc3339
 from shelfmark.schemas import JOURNALS, RECORD, names
 
 
@@ -45,3 +45,9 @@ def changes(before: DataFrame, after: DataFrame, key: str = "id", value: str = "
     both = before.select(key, F.col(value).alias("_old"), F.lit(1).alias("_b")).join(after.select(key, F.col(value).alias("_new"), F.lit(1).alias("_a")), key, "full_outer")
     change = F.when(F.col("_b").isNull(), "added").when(F.col("_a").isNull(), "removed").when(~F.col("_old").eqNullSafe(F.col("_new")), "changed")
     return both.select(key, change.alias("change")).filter("change is not null")
+
+
+def exported(rows: DataFrame) -> DataFrame:
+    """Rows as plain text and numbers hold them: booleans as 0 or 1, times as text of their UTC second."""
+    kind = lambda f: F.col(f.name).cast("int") if f.dataType.simpleString() == "boolean" else rfc3339(F.col(f.name)) if f.dataType.simpleString() == "timestamp" else F.col(f.name)
+    return rows.select(*(kind(f).alias(f.name) for f in rows.schema.fields))

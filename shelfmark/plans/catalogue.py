@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +16,8 @@ from shelfmark.operators import cards, merge
 from shelfmark.operators.dom import of_class, of_tag, parse
 from shelfmark.plans import report, resume
 from shelfmark.schemas import JOURNALS, RECORD, names
+from shelfmark.sources.folders import shared_root
+from shelfmark.sources.listing import stored_pages
 from shelfmark.sources.tables import Catalog
 from shelfmark.streaming import landing
 
@@ -24,6 +26,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _scratch(spark: SparkSession) -> str:
+    """A new folder that all executors see."""
+    return f"{shared_root(spark)}/shelfmark-{uuid.uuid4().hex}"
+
+
 def _locale(number) -> F.Column:
     """A non-negative number as '1.234,56'."""
     us = F.format_number(number, 2)
@@ -159,9 +166,10 @@ def change_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def resume_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users stand for pages, up to the largest; those with a purchase are done."""
     events = _table(spark, sf_dir, "events")
     done = events.filter("event_type = 'purchase'").select(F.col("user_id").cast("int").alias("page"))
-    return resume.pages_to_fetch(spark, 200, done)
+    return resume.pages_to_fetch(spark, events.agg(F.max("user_id")).first()[0] or 0, done)
 
 
 def _outcomes(events: DataFrame) -> DataFrame:
@@ -173,6 +181,68 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.run_summary(_outcomes(events), target=1000, first_cards=10, done_before=5)
 
 
+def run_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summaries of runs that end in each possible way."""
+    ok = _outcomes(_table(spark, sf_dir, "events")).filter("error is null").drop("total_records")
+    pages = ok.count()
+    said = lambda n: ok.withColumn("total_records", F.lit(n))
+    runs = {
+        "ok": report.run_summary(said(10 * pages), pages), "failed": report.run_summary(said(10 * pages + 1), pages), "partial": report.run_summary(said(10 * pages + 1), pages, limited=True),
+        "unfinished": report.run_summary(said(10 * pages), pages + 1), "unknown": report.run_summary(said(0), pages), "first": report.run_summary(said(10 * pages + 7), pages + 1, first_cards=7),
+    }
+    return reduce(DataFrame.unionByName, (r.select(F.lit(name).alias("run"), "ok_pages", "cards", "expected_records", "handled", "percent", "verdict") for name, r in runs.items()))
+
+
+def progress_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages marked as completed by two runs, some of them twice; and which of them each run has left."""
+    catalog = Catalog(spark, f"{_scratch(spark)}/tables")
+    c = _table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("int").alias("page"), "c_nationkey")
+    catalog.complete("a", c.filter("page % 2 = 0"), "2024-01-01 00:00:00")
+    catalog.complete("b", c.filter("page % 3 = 0"), "2024-01-02 00:00:00")
+    catalog.complete("a", c.filter("page % 6 = 0"), "2024-01-03 00:00:00")
+    done = catalog.progress.read().select("run_key", "page", X.rfc3339(F.col("completed_at")).alias("completed"))
+    marks = reduce(DataFrame.unionByName, (catalog.completed(k).select(F.lit(k).alias("run_key"), "page", F.lit(True).alias("is_done")) for k in ("a", "b")))
+    return done.join(marks, ["run_key", "page"], "full_outer")
+
+
+def empty_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with and without cards; those without have a warning and are marked as completed all the same."""
+    c = _table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("int").alias("page"))
+    card = F.concat(F.lit('<div class="col-md"><div class="affil-name"><a href="/profile/'), F.col("page"), F.lit('">n</a></div></div>'))
+    note = F.concat(F.lit('<p class="pagination-text">Page 1 of '), F.col("page"), F.lit(" | Total Records 1.000</p>"))
+    html = F.when(F.col("page") % 4 == 0, note).when(F.col("page") % 4 == 1, "").when(F.col("page") % 4 == 2, F.concat(card, F.replace(card, F.lit("/profile/"), F.lit("/user/")))).otherwise(F.concat(card, note))
+    catalog = Catalog(spark, f"{_scratch(spark)}/tables")
+    pages = c.select("page", html.alias("html"))
+    raw = cards.raw_pages(pages)
+    results = cards.page_results(raw)
+    catalog.complete("run", results, "2024-01-01 00:00:00")
+    return results.join(catalog.completed("run").withColumn("is_done", F.lit(True)), "page", "left")
+
+
+def stored_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rendered pages that are stored as files and read again."""
+    base = f"{_scratch(spark)}/pages"
+    pages = listing_pages(_table(spark, sf_dir, "customer"), _table(spark, sf_dir, "nation"))
+    pages.select(F.concat(F.lit("p"), "page").alias("page"), "html").repartition("page").write.partitionBy("page").text(base)
+    found = stored_pages(spark, f"{base}/page=*", r"page=p(\d+)")
+    return cards.records(cards.raw_pages(found)).select("id", "name", "source_page")
+
+
+def journal_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The journal table with booleans as 0 or 1 and times as text."""
+    catalog = Catalog(spark, f"{_scratch(spark)}/tables")
+    c = _table(spark, sf_dir, "customer")
+    catalog.store(_records(c), "2024-01-01 00:00:00")
+    catalog.store(_records(c.filter("c_custkey % 2 = 0"), "'+'"), "2024-02-01 00:00:00")
+    return merge.exported(catalog.journals.read()).select("id", "affiliation", "is_scopus", "is_garuda", "impact", "content_hash", "first_seen_at", "last_scraped_at")
+
+
+def progress_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where a run of 100 seconds stands that has all events as pages, and twice as many to go through."""
+    outcomes = _outcomes(_table(spark, sf_dir, "events"))
+    return report.progress(outcomes, 2 * outcomes.count(), 100.0)
+
+
 def retry_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.range(1, 8).select(F.col("id").alias("attempt"))
     return pages.select("attempt", web.retry_wait(F.col("attempt")).alias("wait_s"), web.estimate_seconds(F.col("attempt"), 3.0, 8.0).alias("estimate_s"))
@@ -189,8 +259,7 @@ def journal_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rendered pages land as files and run through the stream into the journal table."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='shelfmark-')}"
-    base = f"{root.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    base = _scratch(spark)
     pages = listing_pages(_table(spark, sf_dir, "customer"), _table(spark, sf_dir, "nation"))
     pages.repartition("page").write.partitionBy("page").text(f"{base}/landing")
     catalog = Catalog(spark, f"{base}/tables")
@@ -202,7 +271,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         listing_roundtrip, listing_totals, page_heading, page_links, class_token, collapse_text, locale_number, pagination_totals, issn_subject, link_classify,
-        metric_pivot, build_url, page_urls, content_hash, upsert_merge, change_report, resume_plan, run_summary, retry_schedule, journal_merge, stream_upsert,
+        metric_pivot, build_url, page_urls, content_hash, upsert_merge, change_report, resume_plan, run_summary, run_verdicts, progress_line, progress_table, empty_pages,
+        stored_listing, journal_export, retry_schedule, journal_merge, stream_upsert,
     )
 }
 
@@ -254,7 +324,7 @@ ORACLE_SQL = {
         SELECT id, arg_max(price, fresh) AS price, min(d) AS first_seen, max(d) AS last_seen FROM r WHERE n = 1 GROUP BY id
     """,
     "change_report": "SELECT c_custkey AS id, CASE c_custkey % 10 WHEN 1 THEN 'added' WHEN 2 THEN 'removed' ELSE 'changed' END AS change FROM customer WHERE c_custkey % 10 IN (1, 2, 3)",
-    "resume_plan": "SELECT CAST(i AS INTEGER) AS page FROM range(1, 201) t(i) WHERE NOT EXISTS (SELECT 1 FROM events WHERE event_type = 'purchase' AND user_id = i)",
+    "resume_plan": "SELECT CAST(i AS INTEGER) AS page FROM range(1, (SELECT max(user_id) + 1 FROM events)) t(i) WHERE NOT EXISTS (SELECT 1 FROM events WHERE event_type = 'purchase' AND user_id = i)",
     "run_summary": """
         WITH s AS (
             SELECT count(*) FILTER (event_type <> 'error') AS ok_pages, count(*) FILTER (event_type = 'error') AS failed_pages, CAST(10 * count(*) FILTER (event_type <> 'error') + 10 AS BIGINT) AS cards,
@@ -264,6 +334,41 @@ ORACLE_SQL = {
         SELECT *, ok_pages + 1 AS handled, ok_pages + 6 AS overall_pages, round((ok_pages + 6) * 100.0::DOUBLE / 1000, 1) AS percent,
             CASE WHEN ok_pages + 1 = 1000 AND expected_records > 0 THEN CASE WHEN cards = expected_records THEN 'OK' ELSE 'FAILED' END END AS verdict FROM s
     """,
+    "run_verdicts": """
+        WITH n AS (SELECT count(*) FILTER (event_type <> 'error') AS n FROM events),
+        runs(run, first_cards, more, target, said) AS (VALUES ('ok', 0, 0, 0, 1), ('failed', 0, 1, 0, 1), ('partial', 0, 1, 0, 1), ('unfinished', 0, 0, 1, 1), ('unknown', 0, 0, 0, 0), ('first', 7, 7, 1, 1))
+        SELECT run, n AS ok_pages, CAST(10 * n + first_cards AS BIGINT) AS cards, CAST((10 * n + more) * said AS INTEGER) AS expected_records, n + CAST(first_cards > 0 AS INTEGER) AS handled,
+            round((n + CAST(first_cards > 0 AS INTEGER)) * 100.0::DOUBLE / (n + target), 1) AS percent,
+            CASE run WHEN 'ok' THEN 'OK' WHEN 'first' THEN 'OK' WHEN 'failed' THEN 'FAILED' WHEN 'partial' THEN 'PARTIAL' END AS verdict
+        FROM runs, n
+    """,
+    "progress_line": """
+        SELECT n AS done, n * 100.0::DOUBLE / (2 * a) AS percent, 100.0::DOUBLE / n AS seconds_per_page, 100.0::DOUBLE / n * (2 * a - n) AS seconds_left
+        FROM (SELECT count(*) FILTER (event_type <> 'error') AS n, count(*) AS a FROM events)
+    """,
+    "progress_table": """
+        SELECT 'a' AS run_key, CAST(c_custkey AS INTEGER) AS page, CASE WHEN c_custkey % 6 = 0 THEN '2024-01-03T00:00:00Z' ELSE '2024-01-01T00:00:00Z' END AS completed, true AS is_done FROM customer WHERE c_custkey % 2 = 0
+        UNION ALL SELECT 'b', CAST(c_custkey AS INTEGER), '2024-01-02T00:00:00Z', true FROM customer WHERE c_custkey % 3 = 0
+    """,
+    "empty_pages": """
+        SELECT CAST(c_custkey AS INTEGER) AS page, CAST(CASE WHEN c_custkey % 4 IN (0, 3) THEN c_custkey ELSE 0 END AS INTEGER) AS total_pages, CASE WHEN c_custkey % 4 IN (0, 3) THEN 1000 ELSE 0 END AS total_records,
+            CASE WHEN c_custkey % 4 IN (2, 3) AND c_custkey > 0 THEN 1 ELSE 0 END AS n_cards, CASE WHEN c_custkey % 4 = 2 THEN 1 ELSE 0 END AS rejected_cards,
+            CASE WHEN c_custkey % 4 IN (0, 1) THEN 'no cards' END AS warning, true AS is_done FROM customer
+    """,
+    "stored_listing": "SELECT c_custkey AS id, c_name || ' & Co' AS name, CAST(c_custkey // 10 + 1 AS INTEGER) AS source_page FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey > 0",
+    "journal_export": f"""
+        SELECT c_custkey AS id, c_mktsegment || CASE WHEN c_custkey % 2 = 0 THEN '+' ELSE '' END AS affiliation, CAST(c_custkey % 2 = 0 AS INTEGER) AS is_scopus, 0 AS is_garuda,
+            c_custkey % 4 / 2.0::DOUBLE AS impact, CASE WHEN c_custkey % 2 = 0 THEN {_HASH.format(aff="c_mktsegment || '+'")} ELSE {_HASH.format(aff="c_mktsegment")} END AS content_hash,
+            '2024-01-01T00:00:00Z' AS first_seen_at, CASE WHEN c_custkey % 2 = 0 THEN '2024-02-01T00:00:00Z' ELSE '2024-01-01T00:00:00Z' END AS last_scraped_at FROM customer WHERE c_custkey <> 0
+    """,
+    "page_urls": """
+        WITH parts AS (
+            SELECT page_id, url, CASE WHEN contains(url, '#') THEN substr(url, instr(url, '#')) ELSE '' END AS fragment, split_part(url, '#', 1) AS plain FROM pages
+        ), pairs AS (
+            SELECT *, list_filter(string_split(CASE WHEN contains(plain, '?') THEN substr(plain, instr(plain, '?') + 1) ELSE '' END, '&'), lambda x: x <> '' AND NOT starts_with(x, 'page=')) AS own FROM parts
+        )
+        SELECT page_id, split_part(plain, '?', 1) || '?' || array_to_string(list_sort(list_append(own, 'page=2')), '&') || fragment AS url FROM pairs
+    """,
     "retry_schedule": "SELECT i AS attempt, CASE i WHEN 1 THEN 5 WHEN 2 THEN 15 WHEN 3 THEN 30 ELSE 60 END AS wait_s, i * 5.5::DOUBLE AS estimate_s FROM range(1, 8) t(i)",
     "stream_upsert": """
         SELECT c_custkey AS id, c_name || ' & Co' AS name, n_name AS affiliation, round(abs(c_acctbal), 2) AS impact, c_custkey * 13 AS citations_5yr, CAST(c_custkey // 10 + 1 AS INTEGER) AS source_page

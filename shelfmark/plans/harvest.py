@@ -2,28 +2,30 @@
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.operators.cards import page_results, raw_pages, records
-from shelfmark.plans.report import OUTCOMES, run_summary
+from shelfmark.plans.report import OUTCOMES, ProgressLog, run_summary
 from shelfmark.plans.resume import pages_to_fetch, target_pages
+from shelfmark.schemas import names
 from shelfmark.sources.listing import Session, fetch_pages
 from shelfmark.sources.tables import Catalog
 
-log = logging.getLogger("shelfmark")
-
-
 def now() -> datetime:
     return datetime.now(timezone.utc).replace(microsecond=0, tzinfo=None)
 
 
-def store_pages(catalog: Catalog, run_key: str, pages: DataFrame, time: datetime, refetch_empty: bool = False) -> DataFrame:
-    """Merges the records of fetched pages, marks the pages as completed, and returns their outcomes.
+#: OUTCOMES of stored pages, with what is worth knowing besides.
+STORED = f"{OUTCOMES}, rejected_cards int, warning string"
+
+
+def store_pages(catalog: Catalog, run_key: str, pages: DataFrame, time: datetime, refetch_empty: bool = False) -> list[Row]:
+    """Merges the records of fetched pages, marks the pages as completed, and returns their outcomes (STORED), a row per page of
+    the batch, whose number the caller sets.
 
     Records are stored before pages are marked: after a crash between the two, the same pages are stored again,
     which changes nothing but times. Pages without cards are marked too, unless refetch_empty.
@@ -38,19 +40,18 @@ def store_pages(catalog: Catalog, run_key: str, pages: DataFrame, time: datetime
         if "error" in pages.columns:
             failed = pages.filter("error is not null").select("page", F.col("page").cast("long").alias("arrival_seq"), F.lit(0).alias("n_cards"), F.lit(0).alias("total_records"), "error")
             rows = rows.unionByName(failed, allowMissingColumns=True)
-        kept = rows.collect()  # a row per page of the batch, whose number the caller sets
+        return rows.orderBy("page").collect()
     finally:
         raw.unpersist()
-    return pages.sparkSession.createDataFrame(kept, f"{OUTCOMES}, rejected_cards int, warning string")
 
 
-def harvest(spark: SparkSession, catalog: Catalog, session: Callable[[], Session], run_key: str = "default", max_pages: int = 0, batch: int = 50, refetch_empty: bool = False) -> DataFrame:
+def harvest(spark: SparkSession, catalog: Catalog, session: Callable[[], Session], run_key: str = "default", max_pages: int = 0, batch: int = 10, refetch_empty: bool = False) -> DataFrame:
     """Runs to the end of the listing (or max_pages, if over 0), and returns run_summary().
 
     Pages that the run has completed are not fetched again; failed ones are left for the next run. `batch` pages are
     stored at a time. A page that was fetched to learn the number of pages is stored like any other.
     """
-    outcomes, first_cards, expected, target = spark.createDataFrame([], OUTCOMES), 0, 0, max_pages
+    first_cards, expected, target = 0, 0, max_pages
     done = catalog.completed(run_key)
     before = done.count()
     if max_pages <= 0:
@@ -58,16 +59,19 @@ def harvest(spark: SparkSession, catalog: Catalog, session: Callable[[], Session
         try:
             target, expected = target_pages(page_results(raw_pages(first.filter("error is null"))))
             if done.filter("page = 1").isEmpty():
-                first_cards = store_pages(catalog, run_key, first, now(), refetch_empty).agg(F.sum("n_cards")).first()[0] or 0
+                first_cards = sum(r["n_cards"] for r in store_pages(catalog, run_key, first, now(), refetch_empty))
         finally:
             first.unpersist()
     left = [r["page"] for r in pages_to_fetch(spark, target, catalog.completed(run_key)).collect()]
+    progress, outcomes = ProgressLog(len(left)), []  # a few numbers for each page that one polite task fetches
     for i in range(0, len(left), batch):
-        plan = spark.createDataFrame([(p,) for p in left[i : i + batch]], "page int")
-        pages = fetch_pages(plan, session).persist()
+        pages = fetch_pages(spark.createDataFrame([(p,) for p in left[i : i + batch]], "page int"), session).persist()
         try:
-            outcomes = outcomes.unionByName(store_pages(catalog, run_key, pages, now(), refetch_empty).select(*outcomes.columns))
+            rows = store_pages(catalog, run_key, pages, now(), refetch_empty)
         finally:
             pages.unpersist()
-        log.info("run %s: %d of %d pages", run_key, min(len(left), i + batch), len(left))
-    return run_summary(outcomes, target, max_pages > 0, first_cards, before, expected)
+        progress.add(rows)
+        outcomes += [tuple(r[c] for c in names(OUTCOMES)) for r in rows]
+    summary = run_summary(spark.createDataFrame(outcomes, OUTCOMES), target, max_pages > 0, first_cards, before, expected)
+    progress.end(summary.first())
+    return summary

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import logging
+import time
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+log = logging.getLogger("shelfmark")
 #: Of an outcome: error is null for a page that was fetched and stored.
 OUTCOMES = "page int, arrival_seq long, n_cards int, total_records int, error string"
 
@@ -41,3 +46,37 @@ def progress(outcomes: DataFrame, target: int, elapsed: float) -> DataFrame:
     done = outcomes.agg(F.count_if(F.col("error").isNull()).alias("done"))
     each = F.lit(float(elapsed)) / F.nullif(F.col("done"), F.lit(0).cast("long"))
     return done.select("done", (F.col("done") * 100.0 / target).alias("percent"), each.alias("seconds_per_page"), (each * (F.lit(target) - F.col("done"))).alias("seconds_left"))
+
+
+class ProgressLog:
+    """Log lines of a run: of each page that failed or has no cards, and where the run stands, after every tenth page, after 30
+    seconds without such a line, and at the end."""
+
+    EVERY, SECONDS = 10, 30.0
+
+    def __init__(self, target: int, clock: Callable[[], float] = time.monotonic):
+        self.target, self.clock, self.pages, self.cards = target, clock, 0, 0
+        self.began = self.said = clock()
+
+    def add(self, rows: list[Row]) -> None:
+        """rows: outcomes of pages, in their order."""
+        before = self.pages
+        for r in rows:
+            if r["error"] is not None:
+                log.warning("page %d failed: %s", r["page"], r["error"])
+                continue
+            if not r["n_cards"]:
+                log.warning("page %d has no cards", r["page"])
+            self.pages, self.cards = self.pages + 1, self.cards + r["n_cards"]
+        now = self.clock()
+        if self.pages > before and (self.pages // self.EVERY > before // self.EVERY or now - self.said > self.SECONDS or self.pages == self.target):
+            each = (now - self.began) / self.pages
+            log.info("%d of %d pages (%.1f %%), %d cards, %.1f s a page, %.1f min left", self.pages, self.target, 100 * self.pages / max(1, self.target), self.cards, each, each * (self.target - self.pages) / 60)
+            self.said = now
+
+    def end(self, summary: Row) -> None:
+        log.info("done in %.0f s: %d pages, %d failed, %d cards; %.1f %% of the listing", self.clock() - self.began, summary["ok_pages"], summary["failed_pages"], summary["cards"], summary["percent"] or 0)
+        if summary["verdict"]:
+            log.log(logging.WARNING if summary["verdict"] == "FAILED" else logging.INFO, "verdict %s: %d cards, the listing says %d", summary["verdict"], summary["cards"], summary["expected_records"])
+        if summary["failed_pages"]:
+            log.warning("run again to fetch the pages that failed")

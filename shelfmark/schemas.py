@@ -10,6 +10,8 @@ RECORD = (
 )
 JOURNALS = RECORD + ", content_hash string, first_seen_at timestamp, last_scraped_at timestamp"
 PROGRESS = "run_key string, page int, completed_at timestamp"
+#: A micro-batch of a stream, which its checkpoint folder names.
+BATCHES = "stream string, batch long, started_at timestamp, stored boolean"
 #: A fetched page; error is null where html is there.
 PAGES = "page int, url string, html string, error string, attempts int"
 

@@ -9,7 +9,9 @@ Every request keeps the pace, repeated ones and those for the session too. Only
 
 from __future__ import annotations
 
+import http.client
 import importlib
+import logging
 import random
 import time
 import urllib.error
@@ -24,7 +26,10 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from shelfmark.functions.web import WAITS
 from shelfmark.schemas import PAGES
 
-#: (method, url, body, headers, timeout) to (status, headers, body); raises OSError if the connection fails.
+log = logging.getLogger("shelfmark")
+#: What a connection that breaks off, also within a body, or that makes no sense raises.
+BROKEN = (OSError, http.client.HTTPException, ValueError)
+#: (method, url, body, headers, timeout) to (status, headers, body); raises one of BROKEN if the connection fails.
 Transport = Callable[[str, str, bytes | None, dict[str, str], float], tuple[int, list[tuple[str, str]], bytes]]
 COOKIE = "ci_session"
 
@@ -34,7 +39,7 @@ class _Stay(urllib.request.HTTPRedirectHandler):
         return None if req.get_method() == "POST" else super().redirect_request(req, *_)
 
 
-def http(method: str, url: str, body: bytes | None, headers: dict[str, str], timeout: float) -> tuple[int, list[tuple[str, str]], bytes]:
+def over_http(method: str, url: str, body: bytes | None, headers: dict[str, str], timeout: float) -> tuple[int, list[tuple[str, str]], bytes]:
     request = urllib.request.Request(url, data=body, headers=headers, method=method)
     try:
         with urllib.request.build_opener(_Stay).open(request, timeout=timeout) as r:
@@ -71,7 +76,7 @@ class Session:
     timeout: float = 30.0
     #: A session is renewed after so many seconds.
     age: float = 70 * 60
-    transport: Transport = http
+    transport: Transport = over_http
     clock: Callable[[], float] = time.monotonic
     sleep: Callable[[float], None] = time.sleep
     random: random.Random = field(default_factory=random.Random)
@@ -93,7 +98,10 @@ class Session:
 
     def activate(self) -> None:
         """Posts the filter and keeps the session's cookie."""
-        status, headers, _ = self._ask("POST", self.base_url, self.filter.encode())
+        try:
+            status, headers, _ = self._ask("POST", self.base_url, self.filter.encode())
+        except BROKEN as e:
+            raise Failed(f"filter: connection: {e}") from e
         if status not in (200, 303):
             raise Failed(f"filter: status {status}", status)
         for name, value in headers:
@@ -106,7 +114,7 @@ class Session:
     def get(self, url: str) -> str:
         try:
             status, _, body = self._ask("GET", url)
-        except OSError as e:
+        except BROKEN as e:
             raise Failed(f"connection: {e}") from e
         if status == 200:
             return body.decode("utf-8", "replace")
@@ -128,10 +136,11 @@ class Session:
                     if e.status == 403 and self.filter:
                         try:
                             self.activate()
-                        except (Failed, OSError):
-                            pass  # the page is tried again as it is
+                        except Failed as new:  # the page is tried again as it is
+                            log.warning("page %d: no new session: %s", page, new)
+                    log.info("page %d: %s; %d s before attempt %d of %d", page, e, WAITS[attempts - 1], attempts + 1, len(WAITS) + 1)
                     self.sleep(WAITS[attempts - 1])
-        except (Failed, OSError) as e:
+        except Failed as e:
             return page, url, None, str(e), attempts
 
 
@@ -148,7 +157,7 @@ class _Reader(DataSourceReader):
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
         o = {k.lower(): v for k, v in self.options.items()}
-        transport = http
+        transport = over_http
         if "transport" in o:
             module, _, name = o["transport"].partition(":")
             transport = getattr(importlib.import_module(module), name)
@@ -190,9 +199,9 @@ def fetch_pages(plan: DataFrame, session: Callable[[], Session]) -> DataFrame:
     return plan.coalesce(1).mapInPandas(run, PAGES)
 
 
-def stored_pages(spark, path: str) -> DataFrame:
-    """page, url and html of a folder of files whose names hold their page number."""
+def stored_pages(spark, path: str, pattern: str = r"(\d+)[^/]*$") -> DataFrame:
+    """page, url and html of a folder of files, a page each, whose number stands in the file's path where `pattern` says."""
     from pyspark.sql import functions as F
 
-    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("url"), F.col("_metadata.file_name").alias("file"), F.col("value").alias("html"))
-    return files.select(F.regexp_extract("file", r"(\d+)", 1).try_cast("int").alias("page"), "url", "html").filter("page is not null")
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("url"), F.col("value").alias("html"))
+    return files.select(F.regexp_extract("url", pattern, 1).try_cast("int").alias("page"), "url", "html").filter("page is not null")

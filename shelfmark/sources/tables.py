@@ -1,8 +1,10 @@
-"""Tables that are replaced as a whole: every write is a new Parquet folder, and the latest finished one is the table.
+"""Tables of keyed rows that batches are merged into.
 
-A folder counts once Spark has put its success mark there, so that a write that breaks off leaves the table as it was
-and nothing overwrites files that are being read. Folders may lie in any store that Spark reads. One writer at a
-time: a second one fails, as its folder already exists.
+A batch is one new folder of Parquet files, however large the table is; reading takes the last row of each key. Every
+COMPACT batches, the table is written anew as one folder, and folders before the one before it are removed. A folder
+counts once Spark has put its success mark there, so that a write that breaks off leaves the table as it was, and
+nothing overwrites files that are being read. Folders may lie in any store that Spark reads. One writer at a time: a
+second one fails, as its folder already exists.
 """
 
 from __future__ import annotations
@@ -10,35 +12,70 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.operators.merge import last_of_each, merge_records, upsert
-from shelfmark.schemas import JOURNALS, PROGRESS, names
+from shelfmark.operators.merge import last_of_each, stamped
+from shelfmark.schemas import BATCHES, JOURNALS, PROGRESS, names
+
+#: Batches after which a table is written anew.
+COMPACT = 16
 
 
 class Table:
-    def __init__(self, spark: SparkSession, path: str, schema: str):
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+    """keys: columns of a row's key. kept: columns whose first value stays when a key comes again."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: str, keys: list[str], kept: tuple[str, ...] = (), compact: int = COMPACT):
+        self.spark, self.path, self.schema, self.keys, self.kept, self.compact = spark, path.rstrip("/"), schema, keys, kept, compact
+
+    def _folders(self) -> list[tuple[int, str]]:
+        """(number, kind: base or batch) of every finished folder, in order."""
+        pattern = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/*/_SUCCESS")
+        found = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(pattern)
+        marks = (x.getPath().getParent().getName().split("-") for x in found or ())
+        return sorted((int(n), kind) for n, kind in marks)
+
+    def _name(self, number: int, kind: str) -> str:
+        return f"{self.path}/{number:08d}-{kind}"
 
     def version(self) -> int:
         """Number of the latest finished folder; 0 if there is none."""
-        jvm = self.spark._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(f"{self.path}/*/_SUCCESS")
-        found = folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(folder)
-        return max([int(x.getPath().getParent().getName()) for x in found or ()], default=0)
+        return max((n for n, _ in self._folders()), default=0)
 
     def read(self) -> DataFrame:
-        v = self.version()
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/{v:08d}") if v else self.spark.createDataFrame([], self.schema)
+        folders = self._folders()
+        base = max((n for n, kind in folders if kind == "base"), default=0)
+        live = [(n, kind) for n, kind in folders if n >= base]
+        if not live:
+            return self.spark.createDataFrame([], self.schema)
+        number = F.regexp_extract(F.col("_metadata.file_path"), r"/(\d+)-(?:base|batch)/[^/]*$", 1).cast("long").alias("_number")
+        rows = self.spark.read.schema(self.schema).parquet(*(self._name(*x) for x in live))
+        columns = names(self.schema)
+        if len(live) == 1:
+            return rows.select(*columns)
+        others = [c for c in columns if c not in self.keys]
+        first = [F.min_by(c, "_number").alias(c) for c in self.kept]
+        last = F.max_by(F.struct(*(c for c in others if c not in self.kept)), "_number").alias("_last")
+        merged = rows.select(*columns, number).groupBy(*self.keys).agg(last, *first)
+        return merged.select(*(F.col(c) if c in self.keys or c in self.kept else F.col(f"_last.{c}") for c in columns))
 
     def write(self, rows: DataFrame) -> None:
-        rows.select(*names(self.schema)).write.parquet(f"{self.path}/{self.version() + 1:08d}")
+        """Merges a batch, of one row for each key: keys that are there get its values, but for `kept`."""
+        rows.select(*names(self.schema)).write.parquet(self._name(self.version() + 1, "batch"))
+        folders = self._folders()
+        bases = [n for n, kind in folders if kind == "base"]
+        if len(folders) - (folders.index((bases[-1], "base")) + 1 if bases else 0) >= self.compact:
+            self.read().write.parquet(self._name(folders[-1][0] + 1, "base"))
+            for old in [x for x in folders if bases and x[0] < bases[-1]]:  # readers of the base before this one may go on
+                folder = self.spark._jvm.org.apache.hadoop.fs.Path(self._name(*old))
+                folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 class Catalog:
-    """The journal table and the progress table below one folder."""
+    """The journal table, the progress table, and the table of stream batches below one folder."""
 
     def __init__(self, spark: SparkSession, path: str):
-        self.journals = Table(spark, f"{path.rstrip('/')}/journals", JOURNALS)
-        self.progress = Table(spark, f"{path.rstrip('/')}/progress", PROGRESS)
+        path = path.rstrip("/")
+        self.journals = Table(spark, f"{path}/journals", JOURNALS, ["id"], ("first_seen_at",))
+        self.progress = Table(spark, f"{path}/progress", PROGRESS, ["run_key", "page"])
+        self.batches = Table(spark, f"{path}/batches", BATCHES, ["stream", "batch"], ("started_at",))
 
     def __enter__(self) -> Catalog:
         return self
@@ -51,10 +88,28 @@ class Catalog:
         return self.progress.read().filter(F.col("run_key") == run_key).select("page").distinct()
 
     def store(self, records: DataFrame, time) -> None:
-        """Merges records (one batch) into the journal table; all of them or none."""
-        self.journals.write(merge_records(self.journals.read(), records.filter("id is not null and id <> 0"), time))
+        """Merges records (one batch) into the journal table; all of them or none. Of records of one id the last card of the
+        last page counts. The table itself isn't read."""
+        batch = stamped(records.filter("id is not null and id <> 0"), time)
+        order = [c for c in ("arrival_seq", "source_page", "card_pos") if c in batch.columns]
+        self.journals.write(last_of_each(batch, ["id"], order))
 
     def complete(self, run_key: str, pages: DataFrame, time) -> None:
         """Marks pages as completed, or their time anew."""
         rows = pages.select(F.lit(run_key).alias("run_key"), F.col("page").cast("int").alias("page"), F.lit(time).cast("timestamp").alias("completed_at"))
-        self.progress.write(upsert(self.progress.read(), last_of_each(rows, ["run_key", "page"], ["completed_at"]), ["run_key", "page"], []))
+        self.progress.write(last_of_each(rows, ["run_key", "page"], ["completed_at"]))
+
+    def begin(self, stream: str, batch: int, time):
+        """The time of a stream's batch: of its first attempt. None if the batch was stored already."""
+        row = self.batches.read().filter((F.col("stream") == stream) & (F.col("batch") == batch)).first()
+        if row is None:
+            self._mark(stream, batch, time, False)
+            return time
+        return None if row["stored"] else row["started_at"]
+
+    def end(self, stream: str, batch: int, time) -> None:
+        self._mark(stream, batch, time, True)
+
+    def _mark(self, stream: str, batch: int, time, stored: bool) -> None:
+        spark = self.batches.spark
+        self.batches.write(spark.range(1).select(F.lit(stream).alias("stream"), F.lit(batch).cast("long").alias("batch"), F.lit(time).cast("timestamp").alias("started_at"), F.lit(stored).alias("stored")))

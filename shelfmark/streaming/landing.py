@@ -23,13 +23,18 @@ def landed_pages(spark: SparkSession, folder: str, files_per_batch: int = 100, p
 
 
 def start(spark: SparkSession, folder: str, catalog: Catalog, run_key: str, checkpoint: str, time: datetime | None = None, pattern: str = NUMBERED) -> StreamingQuery:
-    """Merges all files that are there and ends. A batch that is run again, after a crash, has the same result.
+    """Merges all files that are there and ends. A batch that is run again, after a crash, has the time of its first attempt and
+    so the same result; one that was stored already is left out.
 
     time: in place of the present, for every batch.
     """
 
-    def store(batch: DataFrame, _: int) -> None:
-        if not batch.isEmpty():
-            store_pages(catalog, run_key, batch, time or now())
+    def store(batch: DataFrame, number: int) -> None:
+        if batch.isEmpty():
+            return
+        began = catalog.begin(checkpoint, number, time or now())
+        if began is not None:
+            store_pages(catalog, run_key, batch, began)
+            catalog.end(checkpoint, number, began)
 
     return landed_pages(spark, folder, pattern=pattern).writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -1,10 +1,16 @@
 from __future__ import annotations
 
+import http.client
+import socket
+import threading
 from datetime import datetime
 
+import pytest
+
 from shelfmark import cli
 from shelfmark.plans.harvest import harvest
-from shelfmark.sources.listing import ListingSource, Session, fetch_pages, stored_pages
+from shelfmark.sources.folders import shared_root
+from shelfmark.sources.listing import Failed, ListingSource, Session, fetch_pages, over_http, stored_pages
 from shelfmark.sources.tables import Catalog
 from shelfmark.streaming import landing
 from tests import fakes
@@ -49,6 +55,49 @@ def test_gives_up():
     assert session(fails)[0].fetch(1)[3:] == ("connection: reset", 5)
 
 
+def test_broken_answers_are_tried_again(caplog):
+    answers = [http.client.IncompleteRead(b"x"), http.client.BadStatusLine("y"), ValueError("z"), None]
+
+    def transport(*_):
+        error = answers.pop(0)
+        if error:
+            raise error
+        return 200, [], b"ok"
+
+    s, clock = session(transport)
+    with caplog.at_level("INFO", "shelfmark"):
+        assert s.fetch(1)[2:] == ("ok", None, 4) and clock.waits == [5, 15, 30]
+    assert [r.getMessage().endswith(f"s before attempt {n} of 5") for n, r in enumerate(caplog.records, 2)] == [True] * 3
+
+    def always(*_):
+        raise http.client.IncompleteRead(b"")
+
+    assert session(always)[0].fetch(1)[3].startswith("connection: ")
+    assert session(always, filter="f")[0].fetch(1)[3].startswith("filter: connection: ")
+
+
+def test_truncated_body_over_http():
+    """A server that promises more than it sends."""
+    server = socket.create_server(("127.0.0.1", 0))
+
+    def serve():
+        for _ in range(2):
+            peer, _ = server.accept()
+            peer.recv(4096)
+            peer.sendall(b"HTTP/1.1 200 OK\r\nContent-Length: 1000\r\n\r\nshort")
+            peer.close()
+
+    thread = threading.Thread(target=serve, daemon=True)
+    thread.start()
+    url = f"http://127.0.0.1:{server.getsockname()[1]}/"
+    with pytest.raises(http.client.IncompleteRead):
+        over_http("GET", url, None, {}, 5)
+    s, _ = session(over_http)
+    with pytest.raises(Failed, match="connection"):
+        s.get(url)
+    server.close()
+
+
 def test_session_is_activated_and_renewed():
     seen = []
 
@@ -111,6 +160,34 @@ def test_stream_is_batch(spark, tmp_path):
     assert sorted(r["page"] for r in stored_pages(spark, f"file://{folder}").collect()) == [1, 2, 3]
 
 
+def test_stored_batches_are_left_out(spark, tmp_path):
+    c = Catalog(spark, f"file://{tmp_path}/db")
+    one, two = datetime(2024, 1, 1), datetime(2024, 1, 2)
+    assert c.begin("s", 0, one) == one
+    assert c.begin("s", 0, two) == one  # it broke off: the time of the first attempt
+    c.end("s", 0, one)
+    assert c.begin("s", 0, two) is None and c.begin("other", 0, two) == two and c.begin("s", 1, two) == two
+
+
+def test_shared_folder(spark, tmp_path):
+    class Fake:
+        def __init__(self, conf, folder, master):
+            self.conf, self.sparkContext = self, self
+            self.values, self.folder, self.master = conf, folder, master
+
+        def get(self, name, default):
+            return self.values.get(name, default)
+
+        def getCheckpointDir(self):  # noqa: N802
+            return self.folder
+
+    assert shared_root(Fake({"spark.checkpoint.dir": "hdfs:/a/"}, "hdfs:/b", "yarn")) == "hdfs:/a"
+    assert shared_root(Fake({}, "hdfs:/b", "yarn")) == "hdfs:/b"
+    assert shared_root(Fake({}, None, "local[2]")).startswith("file:///")
+    with pytest.raises(ValueError, match="checkpoint"):
+        shared_root(Fake({}, None, "spark://host:7077"))
+
+
 def test_command_line(spark, tmp_path):
     args = ["--base-url", "https://h/list", "--user-agent", "tests", "--db", f"file://{tmp_path}/db", "--min-delay", "0", "--max-delay", "0", "--filter", "f=1"]
     assert cli.main(args, transport=fakes.listing) == 0

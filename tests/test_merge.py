@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from shelfmark.operators import merge
 from shelfmark.plans import report, resume
 from shelfmark.schemas import JOURNALS, RECORD, names
-from shelfmark.sources.tables import Catalog
+from shelfmark.sources.tables import Catalog, Table
 
 T1, T2 = datetime(2024, 1, 1), datetime(2024, 2, 1)
 
@@ -50,10 +50,28 @@ def test_catalog_and_crash(spark, tmp_path):
     assert c.progress.read().count() == 2 and c.progress.version() == 3
     assert resume.pages_to_fetch(spark, 0, c.completed("a")).isEmpty()
     # a folder without its success mark is not there
-    (tmp_path / "db/journals/00000009").mkdir()
+    (tmp_path / "db/journals/00000009-batch").mkdir()
     assert c.journals.version() == 2
 
 
+def test_tables_are_written_anew(spark, tmp_path):
+    """Batches cost what they hold; after some, the table is one folder again, and the folders before the last base go."""
+    t = Table(spark, f"file://{tmp_path}/t", "k long, first long, last long, note string", ["k"], ("first",), compact=3)
+    want = {}
+    for n in range(11):
+        keys = [n % 4, 10 + n]
+        t.write(spark.createDataFrame([(k, n, n, None if n % 2 else f"n{n}") for k in keys], "k long, first long, last long, note string"))
+        want |= {k: (want.get(k, (n,))[0], n, None if n % 2 else f"n{n}") for k in keys}
+        assert {r["k"]: (r["first"], r["last"], r["note"]) for r in t.read().collect()} == want
+    kinds = sorted(x.name for x in (tmp_path / "t").iterdir())
+    assert sum(x.endswith("base") for x in kinds) == 2 and len(kinds) <= 8 and t.version() == 14
+
+
+def test_export(spark):
+    rows = spark.createDataFrame([(1, True, T1, "x"), (None, None, None, None)], "a long, b boolean, c timestamp, `d` string")
+    assert [tuple(r) for r in merge.exported(rows).collect()] == [(1, 1, "2024-01-01T00:00:00Z", "x"), (None, None, None, None)]
+
+
 def test_summary(spark):
     rows = [(1, 1, 10, 0, None), (2, 2, 10, 30, None), (3, 3, 10, 31, None), (4, 4, 0, 0, "status 500")]
     out = spark.createDataFrame(rows, report.OUTCOMES)
@@ -64,3 +82,26 @@ def test_summary(spark):
     assert got(out.limit(0), 1, first_cards=5, expected=5)["verdict"] == "OK"
     assert report.progress(good, 6, 30.0).first().asDict() == {"done": 3, "percent": 50.0, "seconds_per_page": 10.0, "seconds_left": 30.0}
     assert report.progress(good.filter(F.lit(False)), 6, 30.0).first()["seconds_left"] is None
+
+
+def test_progress_log(caplog):
+    now = [0.0]
+    progress = report.ProgressLog(25, lambda: now[0])
+    said = lambda: [r.getMessage() for r in caplog.records]
+    row = lambda page, cards=10, error=None: {"page": page, "n_cards": cards, "error": error}
+    with caplog.at_level("INFO", "shelfmark"):
+        progress.add([row(1), row(2, 0), row(3, 0, "status 500")])
+        assert said() == ["page 2 has no cards", "page 3 failed: status 500"]
+        now[0] = 20.0
+        progress.add([row(n) for n in range(4, 12)])
+        assert said()[2:] == ["10 of 25 pages (40.0 %), 90 cards, 2.0 s a page, 0.5 min left"]
+        progress.add([row(12)])
+        assert len(said()) == 3
+        now[0] = 51.0
+        progress.add([row(13)])
+        assert len(said()) == 4
+        progress.add([row(n) for n in range(14, 20)])
+        progress.add([row(n) for n in range(20, 27)])
+        assert said()[-1].startswith("25 of 25 pages (100.0 %)")
+        progress.end({"ok_pages": 25, "failed_pages": 1, "cards": 240, "expected_records": 250, "percent": 99.0, "verdict": "FAILED"})
+        assert said()[-3:] == ["done in 51 s: 25 pages, 1 failed, 240 cards; 99.0 % of the listing", "verdict FAILED: 240 cards, the listing says 250", "run again to fetch the pages that failed"]
