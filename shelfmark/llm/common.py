@@ -6,16 +6,20 @@ They are computed for a whole Arrow column at once from prefix sums, so that no
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import math
 import sys
-import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.sources.folders import shared_root
+
 #: Stands for a null doc_id, and is less than any other.
 NO_ID = -(1 << 63)
 #: Bytes that separate words: space, and tab to carriage return.
@@ -30,24 +34,29 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _tables: dict[str, np.ndarray] = {}
 
 
-def let_go() -> None:
-    """Python workers live on from one operator to the next: frees what tokenizers keep there, which would add to the
-    memory of the operator that calls this."""
+def let_go(*keep: str) -> None:
+    """Frees what tokenizers (but those named) keep in this Python worker, and gives unused memory back."""
     for name in ("tokens", "pieces"):
-        if module := sys.modules.get(f"shelfmark.llm.{name}"):
+        if name not in keep and (module := sys.modules.get(f"shelfmark.llm.{name}")):
             module._encoders.clear()
+    gc.collect()
     pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # a system without it
+
+
+def lean(run: Callable, *keep: str) -> Callable:
+    """An Arrow function that lets go before and after its work: Python workers live on from one operator to the next, idle ones
+    too, and what they keep would add to the memory of others."""
 
+    def wrapped(batches: Iterator) -> Iterator:
+        let_go(*keep)
+        yield from run(batches)
+        let_go(*keep)
 
-def shared_root(spark) -> str:
-    """The folder all executors see: spark.checkpoint.dir, else the context's checkpoint folder, else, on a local master
-    alone, a temporary folder. Elsewhere one must be set: executors of other machines don't see the driver's disk."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = f"file://{tempfile.mkdtemp(prefix='shelfmark-')}"
-    return root.rstrip("/")
+    return wrapped
 
 
 def shared_dir(spark, name: str) -> str:
@@ -197,7 +206,7 @@ def window_hashes(words: np.ndarray, size: int, salt: int = 0) -> np.ndarray:
     return mixed(ranged_hashes(source, starts, starts + size) ^ np.uint64(size))
 
 
-def slices(batch: pa.RecordBatch, text: str = "text", most: int = 4 << 20):
+def slices(batch: pa.RecordBatch, text: str = "text", most: int = 2 << 20):
     """Parts of a batch with about so many bytes of text each, one row at least."""
     sizes = batch.column(batch.schema.get_field_index(text)).cast(pa.large_string()).fill_null("")
     offsets = np.frombuffer(sizes.buffers()[1], np.int64, len(sizes) + 1, sizes.offset * 8)

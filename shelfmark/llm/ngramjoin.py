@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import NO_ID, cut, let_go, packed, shared_dir, slices, spread_join, text_bytes, unpacked, window_hashes, word_hashes, word_spans
+from shelfmark.llm.common import NO_ID, cut, lean, packed, shared_dir, slices, spread_join, text_bytes, unpacked, window_hashes, word_hashes, word_spans
 from shelfmark.llm.graph import Forest, components
 
 #: A list of more sets than this is frequent. Most n-grams that are broadcast as frequent (8 bytes each).
@@ -79,7 +79,6 @@ def _prefix_tokens(size: int, percent: int):
     """The n-grams of half as much again as the prefix, for counting; those of equal sets of a batch once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        let_go()
         for b in batches:
             seen: set[int] = set()
             parts = []
@@ -96,7 +95,6 @@ def _rows(size: int, percent: int, hot):
     """ROWS: the hash and size of each row's set, and its prefix: rare n-grams, then frequent ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        let_go()
         frequent = hot.value
         for b in batches:
             made: list[tuple] = []
@@ -298,7 +296,6 @@ def _within(percent: int):
     """Edges inside each block of rows (family, block, cls, grams)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        let_go()
         for rows in _groups(batches, 2):
             yield _edges(join_blocks([(cls, _set(g)) for cls, g in {r[2]: r[3] for r in rows}.items()], None, percent))
 
@@ -309,7 +306,6 @@ def _across(percent: int):
     """Edges between the two sides of each group of rows (family, left, block, side, cls, root, grams)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        let_go()
         for rows in _groups(batches, 3):
             sides = [[(r[4], _set(r[6])) for r in rows if r[3] == side] for side in (0, 1)]
             if all(sides):
@@ -322,7 +318,6 @@ def _sieved(size: int, words: np.ndarray):
     """key, row and grams of the rows whose bit the sieve has; equal rows of a batch once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        let_go()
         for b in batches:
             place = b.column(1).to_numpy() & (SIEVE - 1)
             hit = np.flatnonzero((words[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1))
@@ -341,7 +336,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def _stored_rows(keyed: DataFrame, size: int, percent: int) -> DataFrame:
     """ROWS of all rows, written once."""
     spark = keyed.sparkSession
-    counts = cut(keyed.select("text").mapInArrow(_prefix_tokens(size, percent), "token long").groupBy("token").count().filter(F.col("count") > HOT))
+    counts = cut(keyed.select("text").mapInArrow(lean(_prefix_tokens(size, percent)), "token long").groupBy("token").count().filter(F.col("count") > HOT))
     least, broad = HOT, 0
     for row in counts.groupBy(F.floor(F.log2("count")).cast("int").alias("power")).count().orderBy(F.desc("power")).collect():
         broad += row["count"]
@@ -351,7 +346,7 @@ def _stored_rows(keyed: DataFrame, size: int, percent: int) -> DataFrame:
     frequent = np.array([r["token"] for r in counts.filter(F.col("count") > least).select("token").collect()], np.int64).view(np.uint64)
     hot = spark.sparkContext.broadcast(np.sort(frequent))
     path = shared_dir(spark, "ngram-rows")
-    keyed.select(F.col("doc_id").cast("long").alias("doc_id"), "key", "row", "text").mapInArrow(_rows(size, percent, hot), ROWS).write.parquet(path)
+    keyed.select(F.col("doc_id").cast("long").alias("doc_id"), "key", "row", "text").mapInArrow(lean(_rows(size, percent, hot)), ROWS).write.parquet(path)
     return spark.read.schema(ROWS).parquet(path)
 
 
@@ -369,7 +364,7 @@ def _family_sets(keyed: DataFrame, rows: DataFrame, candidates: DataFrame, size:
     words = np.zeros(SIEVE >> 6, np.uint64)
     for r in bits.collect():  # as many rows as the sieve has words, whatever the input
         words[r["word"]] = r["bits"] & 0xFFFFFFFFFFFFFFFF
-    found = keyed.select("key", "row", "text").mapInArrow(_sieved(size, words), "key long, row long, grams binary")
+    found = keyed.select("key", "row", "text").mapInArrow(lean(_sieved(size, words)), "key long, row long, grams binary")
     return cut(found.join(wanted, ["key", "row"]).dropDuplicates(["key", "row"]).select("family", "n_blocks", "cls", "grams"))
 
 
@@ -381,7 +376,7 @@ def _family_links(sets: DataFrame, percent: int) -> DataFrame:
     pivots = large.join(chosen.select(F.explode("pivots").alias("cls")), "cls").select("family", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("block"), "cls", "grams")
     first = sets.select("family", block, "cls", "grams").unionByName(pivots)
     # written first: in one stage with what follows, each task would hold two Python workers
-    links = cut(first.repartition("family", "block").sortWithinPartitions("family", "block").mapInArrow(_within(percent), "a long, b long"))
+    links = cut(first.repartition("family", "block").sortWithinPartitions("family", "block").mapInArrow(lean(_within(percent)), "a long, b long"))
     linked = components(links)
     if large.isEmpty():
         return linked
@@ -396,15 +391,15 @@ def _family_links(sets: DataFrame, percent: int) -> DataFrame:
     own = every.filter("root <> main").select("family", F.pmod(F.xxhash64("cls", F.lit(1)), "lefts").cast("int").alias("left"), F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("block"), F.lit(1).alias("side"), "cls", "root", "grams")
     others = every.select("family", F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)).alias("left"), block, F.lit(0).alias("side"), "cls", "root", "grams")
     both = own.unionByName(others).repartition("family", "left", "block").sortWithinPartitions("family", "left", "block")
-    return components(links.unionByName(cut(both.mapInArrow(_across(percent), "a long, b long"))))
+    return components(links.unionByName(cut(both.mapInArrow(lean(_across(percent)), "a long, b long"))))
 
 
 def _linked(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """ROWS of all rows, and (vertex, root) of the classes that are linked: root is the same all over a component."""
     keyed = _keyed(docs.select("doc_id", "text"))
     rows = _stored_rows(keyed, size, percent)
-    postings = rows.filter("cls is not null").select("cls", "n", "rare", "tokens").mapInArrow(_postings, "deal long, token long, cls long, n int, loose boolean, hot boolean")
-    found = postings.repartition("deal").sortWithinPartitions("deal").mapInArrow(_candidates(percent), "a long, b long, share int, whole boolean")
+    postings = rows.filter("cls is not null").select("cls", "n", "rare", "tokens").mapInArrow(lean(_postings), "deal long, token long, cls long, n int, loose boolean, hot boolean")
+    found = postings.repartition("deal").sortWithinPartitions("deal").mapInArrow(lean(_candidates(percent)), "a long, b long, share int, whole boolean")
     shared = found.groupBy("a", "b", "whole").agg(F.count("*").alias("met"), F.max("share").alias("share"))
     candidates = shared.filter(F.col("whole") | (F.col("met") >= F.col("share"))).select("a", "b")
     return rows, _family_links(_family_sets(keyed, rows, candidates, size), percent)

@@ -18,6 +18,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from shelfmark.llm.common import lean
+
 #: Pieces that are balanced together.
 BLOCK = 1024
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -127,4 +129,4 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int | No
         if waiting:
             yield batch(balanced())
 
-    return docs.select("doc_id", "text").mapInArrow(packed, SCHEMA)
+    return docs.select("doc_id", "text").mapInArrow(lean(packed, "tokens"), SCHEMA)

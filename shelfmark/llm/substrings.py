@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmark.llm.common import NO_ID, let_go, mixed, packed, ranged_hashes, slices, text_bytes, unpacked, window_hashes, word_hashes, word_spans
+from shelfmark.llm.common import NO_ID, lean, mixed, packed, ranged_hashes, slices, text_bytes, unpacked, window_hashes, word_hashes, word_spans
 
 #: Words of an anchor, as long as windows have twice as many.
 ANCHOR = 8
@@ -42,7 +42,7 @@ SAMPLE, HOT = 16384, 8
 #: Groups of anchors for each partition of a shuffle, at least, and bytes of text for one, at most about.
 BLOCKS, BLOCK_BYTES = 4, 12 << 20
 #: Bytes of segments in a reference block; the segments of one anchor stay together.
-REFERENCE = 4 << 20
+REFERENCE = 2 << 20
 ANCHORS = "block int, known boolean, hash binary, more binary, doc binary, row binary, pos binary"
 SEGMENTS = "deal long, doc long, row long, pos int, windows int, ref_doc long, ref_pos int, text binary"
 FACTOR = "doc long, row long, start int, windows int, ref_doc long, ref_start int"
@@ -86,7 +86,6 @@ def _frequent(texts: DataFrame, size: int, share: float) -> np.ndarray:
     """The frequent n-grams, in order."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        let_go()
         for batch in batches:
             for b in slices(batch):
                 w = Windows(b.column(0), size, np.empty(0, np.uint64))
@@ -97,7 +96,7 @@ def _frequent(texts: DataFrame, size: int, share: float) -> np.ndarray:
                 yield pa.record_batch([pa.array(hashes.view(np.int64)), pa.array(counts, pa.int64())], names=["hash", "places"])
 
     some = texts.sample(share, seed=1) if share < 1 else texts
-    found = some.mapInArrow(counted, "hash long, places long").groupBy("hash").agg(F.sum("places").alias("places")).filter(F.col("places") > HOT)
+    found = some.mapInArrow(lean(counted), "hash long, places long").groupBy("hash").agg(F.sum("places").alias("places")).filter(F.col("places") > HOT)
     return np.sort(np.array([r["hash"] for r in found.select("hash").collect()], np.int64).view(np.uint64))
 
 
@@ -113,7 +112,6 @@ def _dealt(blocks: np.ndarray, known: bool, arrays: list[np.ndarray]) -> list[tu
 
 def _anchors(size: int, blocks: int, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        let_go()
         kinds = [pa.int32(), pa.bool_(), *[pa.binary()] * 5]
         for batch in batches:
             for b in slices(batch):
@@ -184,7 +182,6 @@ def _segments(size: int, shared):
     """From texts and the places of their repeated anchors: segments, and factors that a slice has settled itself (no text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        let_go()
         for batch in batches:
             for b in slices(batch):
                 w = Windows(b.column(2), size, shared.value)
@@ -304,7 +301,6 @@ def _parsed(size: int):
     """From segments in order of deal: factors. Segments gather in reference blocks, those of one anchor in the same."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        let_go()
         names = _names(FACTOR)
 
         def block(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
@@ -343,14 +339,14 @@ def repeated_factors(docs: DataFrame, size: int = 20) -> DataFrame:
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = max(BLOCKS * partitions, (sizes["bytes"] or 0) // BLOCK_BYTES)
     shared = docs.sparkSession.sparkContext.broadcast(_frequent(docs.select("text"), size, SAMPLE / max(1, sizes["rows"])))
-    marks = docs.select("doc", "row", "text").mapInArrow(_anchors(size, blocks, shared), ANCHORS).groupBy("block").applyInArrow(_repeated, "doc long, row long, pos int")
+    marks = docs.select("doc", "row", "text").mapInArrow(lean(_anchors(size, blocks, shared)), ANCHORS).groupBy("block").applyInArrow(_repeated, "doc long, row long, pos int")
     own = marks.groupBy("doc", "row").agg(F.min("pos").alias("least"), F.collect_list("pos").alias("marks"))
     copies = own.filter("least < 0").select("doc", "row", F.lit(-1).alias("start"), F.lit(0).alias("windows"), F.lit(None).cast("long").alias("ref_doc"), F.lit(None).cast("int").alias("ref_start"))
     # rest is of no use here; with it, this shuffle of the texts is the same as that of find_repeats(), and done once
     texts = docs.join(own.filter("least >= 0"), ["doc", "row"]).select("doc", "row", "text", "marks", "rest")
-    segments = texts.mapInArrow(_segments(size, shared), SEGMENTS)
+    segments = texts.mapInArrow(lean(_segments(size, shared)), SEGMENTS)
     dealt = segments.repartition(max(partitions, (sizes["bytes"] or 0) // (8 * BLOCK_BYTES)), "deal").sortWithinPartitions("deal")
-    return dealt.mapInArrow(_parsed(size), FACTOR).unionByName(copies)
+    return dealt.mapInArrow(lean(_parsed(size)), FACTOR).unionByName(copies)
 
 
 def _parts(docs: DataFrame, size: int, columns: list[str], whole_text: bool) -> DataFrame:
@@ -383,7 +379,7 @@ def _parts(docs: DataFrame, size: int, columns: list[str], whole_text: bool) ->
 
     made = "factors array<struct<start:int,windows:int,ref_doc:bigint,ref_start:int>>, n_words long, n_removed long, kept string"
     schema = T.StructType([*([T.StructField("text", T.StringType())] if whole_text else []), T.StructField("rest", whole.schema["rest"].dataType), *T.StructType.fromDDL(made).fields])
-    return whole.join(lists, ["doc", "row"], "left").select("text", "rest", "factors").mapInArrow(cut_out, schema)
+    return whole.join(lists, ["doc", "row"], "left").select("text", "rest", "factors").mapInArrow(lean(cut_out), schema)
 
 
 MADE = ("factors", "n_words", "n_removed", "kept")

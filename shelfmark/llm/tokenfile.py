@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import NO_ID, range_of, ranges, tie
+from shelfmark.llm.common import NO_ID, lean, range_of, ranges, tie
 
 SCHEMA = "doc_id long, position long, n_tokens long, ids array<int>"
 OPTIONS = {
@@ -51,7 +51,7 @@ def write_token_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int | No
     known, by_id = ranges(keyed, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     lows = [low for low, _ in known] or [(NO_ID, 0)]
     dealt = keyed.repartitionById(len(lows), range_of(F.col("doc"), F.lit(0).cast("long") if by_id else tie(F.col("text")), lows))
-    rows = dealt.sortWithinPartitions("doc").select("doc_id", "text").mapInArrow(encoded, SCHEMA)
+    rows = dealt.sortWithinPartitions("doc").select("doc_id", "text").mapInArrow(lean(encoded, "tokens"), SCHEMA)
     rows.write.options(**OPTIONS).orc(path)
     return path
 
@@ -78,7 +78,7 @@ def token_summary(rows: DataFrame) -> DataFrame:
             sums = [zlib.crc32(values[s:e]) for s, e in zip(offsets[:-1], offsets[1:], strict=True)]
             yield pa.record_batch([b.column(0), b.column(1), b.column(4), pa.array(np.diff(offsets), pa.int64()), pa.array(sums, pa.int64())], names=["doc_id", "position", "file", "n_tokens", "ids_crc32"])
 
-    each = rows.mapInArrow(summed, "doc_id long, position long, file string, n_tokens long, ids_crc32 long")
+    each = rows.mapInArrow(lean(summed, "tokens"), "doc_id long, position long, file string, n_tokens long, ids_crc32 long")
     totals = rows.groupBy("file").agg(F.sum("n_tokens").alias("_total"))
     # files are in order of the number in their names, which may have more digits than names are padded to
     in_order = Window.orderBy(F.regexp_extract("file", r"part-(\d+)", 1).try_cast("long"), "file")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import let_go
+from shelfmark.llm.common import lean
 
 #: Lengths of the n-grams, and places that they are hashed to.
 GRAMS, BITS = (4, 5, 6), 20
@@ -155,7 +155,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: tuple[
     texts = docs.select("doc_id", F.xxhash64("text").alias("_hash"), "text")
     rows = texts.join(F.broadcast(picked), ["doc_id", "_hash"]).select("_hash", "_label", "text")
     found = {}
-    for row in rows.mapInArrow(gathered, "hash long, label int, grams binary, counts binary").toLocalIterator():
+    for row in rows.mapInArrow(lean(gathered), "hash long, label int, grams binary, counts binary").toLocalIterator():
         found[row["hash"]] = (np.frombuffer(row["grams"], np.uint32), np.frombuffer(row["counts"], np.uint8)), row["label"]
     order = sorted(found)
     return fit([found[i][0] for i in order], np.array([found[i][1] for i in order]))
@@ -167,12 +167,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        let_go()
         own = shared.value
         for b in batches:
             yield pa.record_batch([b.column(0), pa.array([own.score(x) for x in b.column(1).to_pylist()], pa.float64())], names=["doc_id", "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(scored, "doc_id long, score double")
+    return docs.select("doc_id", "text").mapInArrow(lean(scored), "doc_id long, score double")
 
 
 def reject(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
@@ -181,14 +180,13 @@ def reject(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
     place = docs.columns.index("text")
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        let_go()
         own = shared.value
         for b in batches:
             yield b.filter(pa.array([own.score(x) < threshold for x in b.column(place).to_pylist()], pa.bool_()))
 
     # columns go by their places: a name may hold dots
     plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
-    return plain.mapInArrow(kept, plain.schema).toDF(*docs.columns)
+    return plain.mapInArrow(lean(kept), plain.schema).toDF(*docs.columns)
 
 
 def held_out(doc_id: str) -> Column:

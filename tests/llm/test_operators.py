@@ -10,9 +10,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import public_tokenizers
-import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from shelfmark.llm import graph, ngramjoin, packing, queries, tokenfile, toxicity, urlfilter
@@ -290,19 +288,3 @@ def test_url_filter_cases(spark):
     assert got == [(1, "a.example.com", "example.com/en/7", "allow"), (2, "example.com", "com/en/", "block"), (4, "", None, "allow"), (5, "notcom", None, "allow"), (5, "notcom", None, "allow"), (6, "b.net", "net/de/", "allow")]
     assert urlfilter.filter_urls(pages.limit(0), queries.URL_RULES).isEmpty()
     assert {r["verdict"] for r in urlfilter.filter_urls(pages, []).collect()} == {"allow"}
-
-
-def test_pipeline(spark):
-    import corpus_pipeline
-
-    docs = spark.read.parquet(f"{DATA}/documents.parquet")
-    columns, before = docs.columns, docs.count()
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        docs = stage(spark, docs, DATA).persist()
-        assert docs.columns == columns and 0 < docs.count() <= before, name
-        before = docs.count()
-    assert docs.select("doc_id").distinct().count() == before
-    kept = sum(len(x) for x in all_ids([(r["doc_id"], r["text"]) for r in docs.collect()]))
-    got = corpus_pipeline.run(spark, DATA)
-    assert got.agg(F.sum("length")).first()[0] == kept
-    assert isinstance(pa.array([1]), pa.Array)
