@@ -35,28 +35,32 @@ def find_cards(page: Node) -> list[Node]:
     return out
 
 
-def _link_in(card: Node, token: str) -> dict | None:
-    place = card.first(of_class(token))
+#: Where a card holds its parts.
+PARTS = frozenset("affil-name affil-abbrev affil-loc profile-id stat-prev journal-list-stat".split())
+
+
+def _link_in(place: Node | None) -> dict | None:
     link = place and place.first(of_tag("a"))
     return link and {"text": link.text(), "href": link.attributes.get("href", "")}
 
 
 def raw_card(card: Node) -> dict:
-    names_, badges, stats = (card.first(of_class(c)) for c in ("affil-abbrev", "stat-prev", "journal-list-stat"))
-    ids, rank = card.first(of_class("profile-id")), badges and badges.first(of_class("accredited"))
-    garuda = badges and badges.first(of_class("garuda-indexed"))
+    parts = card.firsts(PARTS)
+    names_, badges, stats, ids = (parts.get(c) for c in ("affil-abbrev", "stat-prev", "journal-list-stat", "profile-id"))
+    marks = badges.firsts(frozenset(("accredited", "garuda-indexed", "scopus-indexed"))) if badges else {}
+    rank, garuda = marks.get("accredited"), marks.get("garuda-indexed")
     around = garuda and garuda.above("a")
     metrics = []
     for number in stats.all(of_class("pr-num")) if stats else ():
         label = number.later("pr-txt")
         metrics.append({"label": label.text() if label else "", "number": number.text()})
     return {
-        "profile": _link_in(card, "affil-name"),
+        "profile": _link_in(parts.get("affil-name")),
         "links": [{"text": a.text(), "href": a.attributes.get("href", "")} for a in (names_.all(of_tag("a")) if names_ else ())],
-        "location": _link_in(card, "affil-loc"),
+        "location": _link_in(parts.get("affil-loc")),
         "ids": ids.text() if ids else "",
         "rank": rank.text() if rank else "",
-        "is_scopus": bool(badges and badges.first(of_class("scopus-indexed"))),
+        "is_scopus": "scopus-indexed" in marks,
         "is_garuda": bool(garuda),
         "garuda_url": around.attributes.get("href", "") if around else "",
         "metrics": metrics,

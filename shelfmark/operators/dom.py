@@ -17,10 +17,11 @@ BOUND = frozenset("html body table ul ol dl div section article nav select".spli
 
 
 class Node:
-    __slots__ = ("tag", "attributes", "parent", "children")
+    __slots__ = ("tag", "attributes", "parent", "children", "classes")
 
     def __init__(self, tag: str, attributes: dict[str, str], parent: Node | None):
         self.tag, self.attributes, self.parent, self.children = tag, attributes, parent, []
+        self.classes = frozenset(attributes["class"].split()) if "class" in attributes else frozenset()
 
     def walk(self) -> Iterator[Node]:
         todo: list = [self]
@@ -41,7 +42,7 @@ class Node:
         return "".join(out)
 
     def has_class(self, token: str) -> bool:
-        return token in self.attributes.get("class", "").split()
+        return token in self.classes
 
     def all(self, test: Callable[[Node], bool]) -> list[Node]:
         return [n for n in self.walk() if test(n)]
@@ -49,6 +50,16 @@ class Node:
     def first(self, test: Callable[[Node], bool]) -> Node | None:
         return next((n for n in self.walk() if test(n)), None)
 
+    def firsts(self, tokens: frozenset[str]) -> dict[str, Node]:
+        """The first node of each of these classes, in one walk."""
+        out: dict[str, Node] = {}
+        for n in self.walk():
+            for token in n.classes & tokens:
+                out.setdefault(token, n)
+            if len(out) == len(tokens):
+                break
+        return out
+
     def above(self, tag: str) -> Node | None:
         """The nearest ancestor of this name."""
         node = self.parent

@@ -56,7 +56,9 @@ def listing_pages(customers: DataFrame, nations: DataFrame, per_page: int = 10)
         F.lit('</div><div class="pr-txt">Citations  5yr</div></div><div><div class="pr-num">n/a</div><div class="pr-txt">Citations</div></div></div></div>'),
     )
     place = F.floor(key / per_page).cast("int") + 1
-    pages = c.select(place.alias("page"), key.alias("k"), card.alias("card")).groupBy("page").agg(F.array_sort(F.collect_list(F.struct("k", "card"))).alias("cards"))
+    # pages are small and dear to parse: so many tasks, however few bytes they hold
+    dealt = c.select(place.alias("page"), key.alias("k"), card.alias("card")).repartition(int(customers.sparkSession.conf.get("spark.sql.shuffle.partitions")), "page")
+    pages = dealt.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("k", "card"))).alias("cards"))
     body = F.array_join(F.transform("cards", lambda x: x["card"]), "")
     return pages.select("page", F.concat(F.lit('<html><body><div class="col-md-4"><div class="affil-name">x</div></div>'), body, F.lit('<div class="pagination-text">Page '), F.col("page"), F.lit(" of 1.678 |\n Total Records 16.772</div></body></html>")).alias("html"))
 

@@ -67,7 +67,8 @@ def harvest(spark: SparkSession, catalog: Catalog, session: Callable[[], Session
     for i in range(0, len(left), batch):
         pages = fetch_pages(spark.createDataFrame([(p,) for p in left[i : i + batch]], "page int"), session).persist()
         try:
-            rows = store_pages(catalog, run_key, pages, now(), refetch_empty)
+            # one task fetches, for the pace; all may parse
+            rows = store_pages(catalog, run_key, pages.repartition("page"), now(), refetch_empty)
         finally:
             pages.unpersist()
         progress.add(rows)
