@@ -154,7 +154,7 @@ ORACLE_SQL = {
             SELECT page_id, url, replace(regexp_extract(coalesce(html, ''), '<article>(.*?)</article>', 1, 's'), '<br>', ' ') AS h FROM pages
         ), parts AS (
             SELECT page_id, url, list_transform(regexp_split_to_array(h, '</?(?:h1|p)>'), lambda x:
-                trim(regexp_replace(replace(replace(replace(replace(regexp_replace(x, '</?b>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g'))) AS p FROM inner_html
+                trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(x, '</?b>', '', 'g'), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))) AS p FROM inner_html
         ), texts AS (
             SELECT page_id, url, coalesce(array_to_string(list_filter(p, lambda x: x <> ''), chr(10)), '') AS text FROM parts
         )

@@ -75,7 +75,7 @@ def test_ngram_join_of_long_chains(spark, monkeypatch, pivots, left):
     monkeypatch.setattr(ngramjoin, "PIVOTS", pivots)
     monkeypatch.setattr(ngramjoin, "LEFT", left)
     chain = lambda at, n: [" ".join(f"w{at + i + j}" for j in range(10)) for i in range(n)]
-    rows = [(i, t) for i, t in enumerate(chain(0, 90) + chain(95, 40) + chain(0, 3) + ["x y z"])]
+    rows = [(i, t) for i, t in enumerate(chain(0, 50) + chain(55, 20) + chain(0, 3) + ["x y z"])]
     random.Random(2).shuffle(rows)
     sets = [grams(t, 1) for _, t in rows]
     roots = components(sets, 80)
