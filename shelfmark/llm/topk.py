@@ -202,8 +202,7 @@ def exact_top_k(vectors: DataFrame, query: str, k: int = 5, id_column: str = "ve
                 columns = [pa.array(cell, pa.int32()), pa.array(np.full(len(ids), d, np.int32)), pa.array(ids), pa.array([x.tobytes() for x in own], pa.binary()), pa.array(floor)]
                 yield pa.record_batch(columns, names=["cell", "dim", "vec_id", "data", "floor"])
 
-    near = asked.mapInArrow(placed, "cell int, dim int, vec_id long, data binary, floor double").distinct()
-    near = cut(near) if cells > 1 else near
+    near = cut(asked.mapInArrow(placed, "cell int, dim int, vec_id long, data binary, floor double").distinct())
     counts = [(r["cell"], r["dim"], r["count"]) for r in near.groupBy("cell", "dim").count().orderBy("dim", "cell").collect()]  # cells, of which there is one in QUERIES queries
     # full cells are several blocks
     split = [(cell, d, -(-n // QUERIES)) for cell, d, n in counts]

@@ -252,6 +252,18 @@ def test_token_file_prunes(spark, tmp_path):
     assert got == 0 and read == 0
 
 
+def test_token_file_of_an_id_with_many_rows(spark, tmp_path):
+    """Its rows lie in several files; those of other ids keep their order."""
+    rows = [(None, f"a{i}") for i in range(5000)] + [(7, f"b{i}") for i in range(2000)] + [(i, f"c {i}") for i in range(20)]
+    path = tokenfile.write_token_ids(frame(spark, rows), f"file://{tmp_path}/ids", WORDS)
+    read = tokenfile.read_token_ids(spark, path)
+    got = sorted(tokenfile.token_summary(read).collect(), key=lambda r: r["start"])
+    assert [r["start"] for r in got] == [0, *np.cumsum([r["n_tokens"] for r in got])[:-1]]
+    assert [r["doc_id"] for r in got] == sorted((i for i, _ in rows), key=lambda i: (i is not None, i or 0))
+    assert Counter((r["doc_id"], r["ids_crc32"]) for r in got) == Counter((i, zlib.crc32(x.tobytes())) for (i, _), x in zip(rows, all_ids(rows), strict=True))
+    assert read.filter("doc_id is null").select("file").distinct().count() > 1
+
+
 def test_token_files_in_order_of_their_numbers(spark):
     """Names are not padded to more than five digits."""
     rows = [(i, 0, 1, [i], f"part-{n}-x.c000.orc") for i, n in enumerate(("00000", "00002", "99999", "100000"))]
