@@ -39,6 +39,11 @@ def let_go(*keep: str) -> None:
     for name in ("tokens", "pieces"):
         if name not in keep and (module := sys.modules.get(f"shelfmark.llm.{name}")):
             module._encoders.clear()
+    trim()
+
+
+def trim() -> None:
+    """Gives this process's unused memory back to the system."""
     gc.collect()
     pa.default_memory_pool().release_unused()
     try:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import lean
+from shelfmark.llm.common import lean, trim
 
 #: Lengths of the n-grams, and places that they are hashed to.
 GRAMS, BITS = (4, 5, 6), 20
@@ -158,7 +158,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: tuple[
     for row in rows.mapInArrow(lean(gathered), "hash long, label int, grams binary, counts binary").toLocalIterator():
         found[row["hash"]] = (np.frombuffer(row["grams"], np.uint32), np.frombuffer(row["counts"], np.uint8)), row["label"]
     order = sorted(found)
-    return fit([found[i][0] for i in order], np.array([found[i][1] for i in order]))
+    model = fit([found[i][0] for i in order], np.array([found[i][1] for i in order]))
+    found.clear()
+    trim()  # the driver has other work to do
+    return model
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
