@@ -12,7 +12,7 @@ from array import array
 import numpy as np
 
 #: Words in either of the two generations that a worker keeps ids of.
-CACHE = 150_000
+CACHE = 250_000
 _encoders: dict[str, "WordEncoder"] = {}
 #: Byte-level vocabularies write printable bytes as themselves, and the others as characters from 256 on, in order.
 _printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
