@@ -35,9 +35,9 @@ from shelfmark.llm.graph import Forest, components
 #: A list of more sets than this is frequent. Most n-grams that are broadcast as frequent (8 bytes each).
 HOT, HOT_MOST = 64, 1 << 18
 #: Sets in a block of a family, and n-grams, at most about; of those left over in a block of the second step.
-BLOCK, BLOCK_GRAMS, LEFT = 64, 1 << 21, 512
+BLOCK, BLOCK_GRAMS, LEFT = 32, 1 << 21, 512
 #: Sets of a large family that all of its blocks get.
-PIVOTS = 8
+PIVOTS = 4
 #: Bits of the sieve that keeps most texts without a family from being shipped; a power of two.
 SIEVE = 1 << 22
 ROWS = "doc_id long, key long, row long, cls long, n long, rare int, tokens binary"
