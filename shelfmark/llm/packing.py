@@ -72,10 +72,11 @@ def windows(sizes: list[int], capacity: int) -> list[list[int]]:
         count += 1
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int | None = 1, block: int = BLOCK) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int | None = 1, block: int = BLOCK, cache: int | None = None) -> DataFrame:
     """One row per piece: doc_id, start (the document's ids before it), length, ids (little-endian unsigned 32-bit),
     doc_tokens, sequence_id, offset in the sequence. Every id of every document lies in exactly one piece.
 
+    cache: words whose ids a worker keeps; fewer take less memory and more time.
     docs needs doc_id and text; other columns are ignored. Null and empty texts consist of end_id alone (with no
     end_id they have no piece). Repeated rows are packed each. Very long texts span many sequences.
     """
@@ -85,7 +86,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int | No
 
         from shelfmark.llm.tokens import encoder
 
-        encode, end = encoder(tokenizer), b"" if end_id is None else np.array([end_id], "<u4").tobytes()
+        encode, end = encoder(tokenizer, *filter(None, (cache,))), b"" if end_id is None else np.array([end_id], "<u4").tobytes()
         part = max(1, capacity // 4)
         sequence = TaskContext.get().partitionId() << 40
         waiting: list[tuple] = []

@@ -24,7 +24,8 @@ BYTE_NAMES = dict(zip((b for b in range(256) if b not in _printable), range(256,
 class WordEncoder(dict):
     """word -> ids as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int = CACHE):
+        self.most = most
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -45,7 +46,7 @@ class WordEncoder(dict):
         ids = self.older.get(word)
         if ids is None:
             ids = self._new(word)
-        if len(self) >= CACHE:  # words that are met again come back from the older ones
+        if len(self) >= self.most:  # words that are met again come back from the older ones
             self.older = dict(self)
             self.clear()
         self[word] = ids
@@ -71,7 +72,8 @@ class WordEncoder(dict):
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
-def encoder(path: str) -> WordEncoder:
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
+def encoder(path: str, most: int = CACHE) -> WordEncoder:
+    """most: words in either generation of the cache."""
+    if path not in _encoders or _encoders[path].most != most:
+        _encoders[path] = WordEncoder(path, most)
     return _encoders[path]
