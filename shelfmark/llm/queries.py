@@ -98,6 +98,24 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfmark.llm.prefixtrie import prefix_trie
+
+    return prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfmark.llm.repair import repair_conversations
+
+    return repair_conversations(_table(spark, sf_dir, "conversations"))
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfmark.llm.simhash import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_ngram_join": op2_ngram_join,
@@ -109,6 +127,9 @@ QUERIES = {
     "op8_pieces": op8_pieces,
     "op9_top_k": op9_top_k,
     "op10_substrings": op10_substrings,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_repair": op12_repair,
+    "op13_simhash": op13_simhash,
 }
 
 ORACLE_SQL = {
