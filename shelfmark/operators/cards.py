@@ -24,14 +24,20 @@ RAW = f"pagination string, cards array<struct<profile:{_link},links:array<{_link
 
 def find_cards(page: Node) -> list[Node]:
     """Outermost div elements of class col-md that hold an element of class affil-name."""
+    holders: set[int] = set()
+    for node in page.all(of_class("affil-name")):
+        while node is not None and id(node) not in holders:
+            holders.add(id(node))
+            node = node.parent
     out: list[Node] = []
     todo = [page]
     while todo:
         node = todo.pop()
-        if node.tag == "div" and node.has_class("col-md") and node.first(of_class("affil-name")):
-            out.append(node)
-        else:
-            todo += [c for c in reversed(node.children) if isinstance(c, Node)]
+        if node.tag == "div" and node.has_class("col-md"):
+            if id(node) in holders:
+                out.append(node)
+                continue
+        todo += [c for c in reversed(node.children) if isinstance(c, Node) and id(c) in holders]
     return out
 
 
