@@ -1,12 +1,17 @@
 from __future__ import annotations
 
+import os
+import shutil
+import signal
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from shelfmark.operators import merge
 from shelfmark.plans import report, resume
 from shelfmark.schemas import JOURNALS, RECORD, names
+from shelfmark.sources.sink import TableSink, TableStreamWriter
 from shelfmark.sources.tables import Catalog, Table
 
 T1, T2 = datetime(2024, 1, 1), datetime(2024, 2, 1)
@@ -50,10 +55,92 @@ def test_catalog_and_crash(spark, tmp_path):
     assert c.progress.read().count() == 2 and c.progress.version() == 3
     assert resume.pages_to_fetch(spark, 0, c.completed("a")).isEmpty()
     # a folder without its success mark is not there
-    (tmp_path / "db/journals/00000009-batch").mkdir()
+    (tmp_path / "db/journals/folder=00000009-batch").mkdir()
     assert c.journals.version() == 2
 
 
+@pytest.mark.parametrize("kind", ["batch", "base"])
+def test_writing_goes_on_after_a_write_that_broke_off(spark, tmp_path, kind):
+    """What it left has the next number, files of its own, and no mark."""
+    t = Table(spark, f"file://{tmp_path}/t", "k long, first long, note string", ["k"], ("first",), compact=4)
+    batch = lambda n: spark.createDataFrame([(n % 3, n, f"n{n}")], "k long, first long, note string")
+    t.write(batch(0))
+    left = tmp_path / f"t/folder=00000002-{kind}"
+    for path in (left, left / "_temporary/0"):
+        path.mkdir(parents=True)
+    batch(7).coalesce(1).write.mode("overwrite").parquet(f"file://{tmp_path}/lost")
+    for file in (tmp_path / "lost").glob("*.parquet"):
+        shutil.copy(file, left / file.name)
+    assert t.version() == 1 and t.next_number() == 3 and t.read().count() == 1
+    for n in range(1, 9):
+        t.write(batch(n))
+        assert {r["k"]: (r["first"], r["note"]) for r in t.read().collect()} == {k: (k, f"n{max(x for x in range(n + 1) if x % 3 == k)}") for k in range(min(3, n + 1))}
+    assert not left.exists() and all((x / "_SUCCESS").exists() for x in (tmp_path / "t").iterdir())
+
+
+def test_a_task_that_is_killed_leaves_nothing(spark, tmp_path):
+    """Spark's sink and the table's own sink: the job fails, the table is as before, and the next write succeeds."""
+    t = Table(spark, f"file://{tmp_path}/t", "k long, note string", ["k"])
+    t.write(spark.createDataFrame([(1, "a"), (2, "b")], "k long, note string"))
+
+    def dies(batches):
+        for b in batches:
+            yield b
+            if 5 in b.column(0).to_pylist():
+                os.kill(os.getpid(), signal.SIGKILL)
+
+    bad = spark.range(8, numPartitions=4).selectExpr("id AS k", "'x' AS note").mapInArrow(dies, "k long, note string")
+    spark.dataSource.register(TableSink)
+    sinks = [lambda df: t.write(df), lambda df: df.write.format("shelfmark_table").mode("append").option("path", t.path).save()]
+    for n, sink in enumerate(sinks):
+        with pytest.raises(Exception, match="(?i)crash|exit|fail"):
+            sink(bad)
+        assert {r["k"]: r["note"] for r in t.read().collect()} == {1: "a", 2: "b"} | ({7: "good 0"} if n else {})
+        sink(spark.createDataFrame([(7, f"good {n}")], "k long, note string"))
+        assert {r["k"]: r["note"] for r in t.read().collect()} == {1: "a", 2: "b", 7: f"good {n}"}
+    assert all((x / "_SUCCESS").exists() for x in (tmp_path / "t").iterdir())
+
+
+def test_sink_keeps_types_and_several_tasks(spark, tmp_path):
+    spark.dataSource.register(TableSink)
+    t = Table(spark, f"file://{tmp_path}/t", "k long, at timestamp, ok boolean, x double, note string", ["k"], by=("note",))
+    rows = spark.range(40, numPartitions=5).selectExpr("id AS k", "timestamp_seconds(id * 1000) AS at", "id % 2 = 0 AS ok", "if(id % 5 = 0, null, cast(id AS double) / 4) AS x", "concat('n ', id % 3) AS note")
+    rows.write.format("shelfmark_table").mode("append").option("path", t.path).option("by", "note").save()
+    assert t.read().exceptAll(rows).isEmpty() and t.read().count() == 40
+    t.write(rows.filter("k < 3").withColumn("ok", F.lit(None).cast("boolean")))
+    assert t.read().filter("ok is null").count() == 3 and t.read().count() == 40
+    rows.limit(0).write.format("shelfmark_table").mode("append").option("path", t.path).option("by", "note").save()
+    assert t.version() == 3 and t.read().count() == 40
+
+
+def test_stream_sink(spark, tmp_path):
+    """A stream's batches are folders of their own; a batch that comes again is left out."""
+    spark.dataSource.register(TableSink)
+    source, t = f"file://{tmp_path}/in", Table(spark, f"file://{tmp_path}/t", "k long, note string", ["k"])
+    for n in range(3):
+        spark.createDataFrame([(n, f"a{n}"), (9, f"b{n}")], "k long, note string").coalesce(1).write.mode("append").parquet(source)
+        query = spark.readStream.schema("k long, note string").option("maxFilesPerTrigger", 1).parquet(source).writeStream.format("shelfmark_table").option("path", t.path).option("checkpointLocation", f"file://{tmp_path}/cp")
+        query.trigger(availableNow=True).start().awaitTermination()
+    assert {r["k"]: r["note"] for r in t.read().collect()} == {0: "a0", 1: "a1", 2: "a2", 9: "b2"} and t.version() == 3
+    writer = TableStreamWriter(t.path, [], "s")
+    writer.commit([], 2)
+    writer.commit([], 2)
+    assert t.version() == 4  # of another stream; its second commit is the same batch
+
+
+def test_progress_is_pruned(spark, tmp_path):
+    c = Catalog(spark, f"file://{tmp_path}/db")
+    pages = spark.range(1, 6).select(F.col("id").cast("int").alias("page"))
+    for run in ("a", "b/c d", "", "1"):
+        c.complete(run, pages, T1)
+        c.complete(run, pages.filter("page = 1"), T2)
+    done = c.completed("b/c d")
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "b/c d" in plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert [r["page"] for r in done.orderBy("page").collect()] == [1, 2, 3, 4, 5]
+    assert {r["run_key"] for r in c.progress.read().collect()} == {"a", "b/c d", "", "1"} and c.completed("").count() == 5
+
+
 def test_tables_are_written_anew(spark, tmp_path):
     """Batches cost what they hold; after some, the table is one folder again, and the folders before the last base go."""
     t = Table(spark, f"file://{tmp_path}/t", "k long, first long, last long, note string", ["k"], ("first",), compact=3)
