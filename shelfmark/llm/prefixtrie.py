@@ -36,7 +36,8 @@ def turns_of(conversations: DataFrame) -> DataFrame:
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
     key = F.substring(F.sha2(F.concat(F.char_length(role).cast("string"), F.lit(":"), role, text), 256), 1, 32)
     rows = conversations.filter("conv_id is not null").select(F.col("conv_id").cast("long").alias("conv"), F.col("turn").alias("turn"), key.alias("key"), F.regexp_count(text, F.lit(WORD)).cast("long").alias("words"))
-    return cut(placed(rows, "conv", F.col("turn").asc_nulls_first(), F.col("key")).select("conv", "place", "key", "words"))
+    # stored first: finding the ranges reads the rows once more
+    return cut(placed(cut(rows), "conv", F.col("turn").asc_nulls_first(), F.col("key")).select("conv", "place", "key", "words"))
 
 
 def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
