@@ -67,10 +67,15 @@ class ProgressLog:
                 continue
             if not r["n_cards"]:
                 log.warning("page %d has no cards", r["page"])
+            log.debug("page %d: %d cards stored", r["page"], r["n_cards"])
             self.pages, self.cards = self.pages + 1, self.cards + r["n_cards"]
         now = self.clock()
         if self.pages > before and (self.pages // self.EVERY > before // self.EVERY or now - self.said > self.SECONDS or self.pages == self.target):
             each = (now - self.began) / self.pages
+            if not self.target:  # a stream's pages are not known
+                log.info("%d pages, %d cards, %.1f s a page", self.pages, self.cards, each)
+                self.said = now
+                return
             log.info("%d of %d pages (%.1f %%), %d cards, %.1f s a page, %.1f min left", self.pages, self.target, 100 * self.pages / max(1, self.target), self.cards, each, each * (self.target - self.pages) / 60)
             self.said = now
 

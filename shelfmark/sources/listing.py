@@ -1,7 +1,11 @@
 """Listing pages over HTTP, politely: one task fetches, so that the pace between requests holds for the whole job.
 
     spark.dataSource.register(ListingSource)
-    spark.read.format("listing").option("base_url", ...).option("user_agent", ...).option("pages", "1,2,5").load()
+    spark.read.format("listing").option("base_url", ...).option("user_agent", ...).option("pages", "1-3,5").load()
+    spark.readStream.format("listing").option("base_url", ...).option("user_agent", ...).option("batch", 10).load()
+
+With option push, and spark.sql.python.filterPushdown.enabled, conditions on `page` decide what is fetched. As a stream, page numbers are
+offsets, and one reader beside the driver has one session for the whole query, over all its batches.
 
 Every request keeps the pace, repeated ones and those for the session too. Only errors that may pass are tried again:
 429, 500 and above, 403 (after a new session, where there is a filter), and failures of the connection.
@@ -13,6 +17,7 @@ import http.client
 import importlib
 import logging
 import random
+import re
 import time
 import urllib.error
 import urllib.parse
@@ -20,10 +25,12 @@ import urllib.request
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual, SimpleDataSourceStreamReader
 
+from shelfmark.functions.text import PAGINATION
 from shelfmark.functions.web import WAITS
+from shelfmark.operators.dom import of_class, parse
 from shelfmark.schemas import PAGES
 
 log = logging.getLogger("shelfmark")
@@ -144,32 +151,108 @@ class Session:
             return page, url, None, str(e), attempts
 
 
+def pages_of(text: str) -> list[int]:
+    """Numbers of a text like 1-3,7, ascending."""
+    found = set()
+    for part in filter(None, (x.strip() for x in text.split(","))):
+        low, _, high = part.partition("-")
+        found |= set(range(int(low), int(high or low) + 1))
+    return sorted(found)
+
+
+def pages_text(pages: list[int]) -> str:
+    """The shortest text that pages_of() reads so."""
+    out: list[list[int]] = []
+    for n in sorted(set(pages)):
+        if out and out[-1][1] == n - 1:
+            out[-1][1] = n
+        else:
+            out.append([n, n])
+    return ",".join(f"{a}" if a == b else f"{a}-{b}" for a, b in out)
+
+
 class _All(InputPartition):
     pass
 
 
+#: Conditions on a page number that decide what is fetched.
+TESTS: dict[type, Callable[[int, object], bool]] = {
+    EqualTo: lambda n, v: n == v, In: lambda n, v: n in v, GreaterThan: lambda n, v: n > v, GreaterThanOrEqual: lambda n, v: n >= v, LessThan: lambda n, v: n < v, LessThanOrEqual: lambda n, v: n <= v,
+}
+
+
 class _Reader(DataSourceReader):
-    def __init__(self, options: dict[str, str]):
-        self.options = options
+    def __init__(self, session: Callable[[], Session], pages: list[int]):
+        self.session, self.pages = session, pages
 
     def partitions(self) -> list[InputPartition]:
         return [_All(0)]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        o = {k.lower(): v for k, v in self.options.items()}
-        transport = over_http
-        if "transport" in o:
-            module, _, name = o["transport"].partition(":")
-            transport = getattr(importlib.import_module(module), name)
-        numbers = {k: float(o[k]) for k in ("least", "most", "timeout", "age") if k in o}
-        session = Session(o["base_url"], o["user_agent"], o.get("extra", ""), o.get("filter", ""), transport=transport, **numbers)
-        for page in o.get("pages", "1").split(","):
-            yield session.fetch(int(page))
+        own = self.session()
+        for page in self.pages:
+            yield own.fetch(page)
+
+
+class _Choosing(_Reader):
+    """A reader that conditions reach. Spark refuses one where its setting is off."""
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:  # noqa: N802
+        for f in filters:
+            value = getattr(f, "value", None)
+            plain = isinstance(value, int) or (isinstance(value, (tuple, list)) and all(isinstance(v, int) for v in value))
+            if type(f) in TESTS and f.attribute == ("page",) and plain:
+                self.pages = [n for n in self.pages if TESTS[type(f)](n, value)]
+            else:
+                yield f
+
+
+class _Stream(SimpleDataSourceStreamReader):
+    """Offsets: the next page, and the last one (0 while it is not known). Pages of `done` are passed over, but for page 1 where it
+    must say how many pages there are."""
+
+    def __init__(self, session: Callable[[], Session], pages: list[int] | None, done: list[int], batch: int):
+        self.session, self.pages, self.batch, self.own = session, pages, batch, None
+        self.wanted, self.done = pages and frozenset(pages), frozenset(done)
+
+    def initialOffset(self) -> dict:  # noqa: N802
+        return {"next": 1, "last": self.pages[-1] if self.pages else 0}
+
+    def _fetched(self, page: int) -> tuple:
+        if self.own is None:
+            self.own = self.session()
+        return self.own.fetch(page)
+
+    def _is_due(self, page: int, last: int) -> bool:
+        return page not in self.done and (self.wanted is None or page in self.wanted) or (page == 1 and not last)
+
+    def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
+        page, last, rows = start["next"], start["last"], []
+        while len(rows) < self.batch and (page <= last or not last):
+            if self._is_due(page, last):
+                rows.append(self._fetched(page))
+                if not last:
+                    last = max(1, total_pages(rows[-1][2]))
+            page += 1
+        return iter(rows), {"next": page, "last": last}
+
+    def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:  # noqa: N802
+        """Pages of a batch that broke off are fetched again."""
+        return iter([self._fetched(n) for n in range(start["next"], end["next"]) if self._is_due(n, start["last"])])
+
+
+def total_pages(html: str | None) -> int:
+    """How many pages a page says there are; 0 if it doesn't."""
+    note = parse(html).first(of_class("pagination-text")) if html else None
+    found = note and re.search(PAGINATION, " ".join(note.text().split()))
+    digits = found[2].replace(".", "") if found else ""
+    return int(digits) if digits.isdigit() else 0
 
 
 class ListingSource(DataSource):
-    """Options: base_url and user_agent (with a contact) must be given; extra (query string), filter (form data), pages (1),
-    least and most (seconds between requests), timeout, age, transport (module:name, in place of HTTP)."""
+    """Options: base_url and user_agent (with a contact) must be given; extra (query string), filter (form data), pages (like 1-3,7;
+    1, or for streams all that the listing has), push (true: conditions on page decide), least and most (seconds between requests), timeout, age, transport
+    (module:name, in place of HTTP); for streams, done (pages to pass over) and batch (pages at a time, 10)."""
 
     @classmethod
     def name(cls) -> str:
@@ -178,11 +261,46 @@ class ListingSource(DataSource):
     def schema(self) -> str:
         return PAGES
 
-    def reader(self, schema) -> DataSourceReader:
+    def session(self) -> Callable[[], Session]:
+        """What makes the session that pages are fetched in."""
+        o = {k.lower(): v for k, v in self.options.items()}
         for needed in ("base_url", "user_agent"):
-            if not self.options.get(needed):
+            if not o.get(needed):
                 raise ValueError(f"option {needed} is needed")
-        return _Reader(dict(self.options))
+
+        def made() -> Session:
+            transport = over_http
+            if "transport" in o:
+                module, _, name = o["transport"].partition(":")
+                transport = getattr(importlib.import_module(module), name)
+            numbers = {k: float(o[k]) for k in ("least", "most", "timeout", "age") if k in o}
+            return Session(o["base_url"], o["user_agent"], o.get("extra", ""), o.get("filter", ""), transport=transport, **numbers)
+
+        return made
+
+    def reader(self, schema) -> DataSourceReader:
+        kind = _Choosing if str(self.options.get("push", "")).lower() == "true" else _Reader
+        return kind(self.session(), pages_of(self.options.get("pages", "1")))
+
+    def simpleStreamReader(self, schema) -> SimpleDataSourceStreamReader:  # noqa: N802
+        pages = pages_of(self.options["pages"]) if self.options.get("pages") else None
+        return _Stream(self.session(), pages, pages_of(self.options.get("done", "")), int(self.options.get("batch", 10)))
+
+
+def page_stream(spark: SparkSession, session: Callable[[], Session], last: int = 0, done: list[int] | None = None, batch: int = 10) -> DataFrame:
+    """PAGES as a stream, `batch` pages at a time, fetched by one session. last: 0 to learn it from page 1."""
+
+    class Run(ListingSource):
+        @classmethod
+        def name(cls) -> str:
+            return "listing_run"
+
+        def session(self) -> Callable[[], Session]:
+            return session
+
+    spark.dataSource.register(Run)
+    options = {"batch": str(batch), "done": pages_text(done or []), "pages": f"1-{last}" if last > 0 else ""}
+    return spark.readStream.format("listing_run").options(**options).load()
 
 
 def fetch_pages(plan: DataFrame, session: Callable[[], Session]) -> DataFrame:

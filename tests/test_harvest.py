@@ -3,6 +3,7 @@ from __future__ import annotations
 import http.client
 import socket
 import threading
+import time
 from datetime import datetime
 
 import pytest
@@ -10,7 +11,7 @@ import pytest
 from shelfmark import cli
 from shelfmark.plans.harvest import harvest
 from shelfmark.sources.folders import shared_root
-from shelfmark.sources.listing import Failed, ListingSource, Session, fetch_pages, over_http, stored_pages
+from shelfmark.sources.listing import Failed, ListingSource, Session, fetch_pages, over_http, pages_of, pages_text, stored_pages, total_pages
 from shelfmark.sources.tables import Catalog
 from shelfmark.streaming import landing
 from tests import fakes
@@ -192,3 +193,96 @@ def test_command_line(spark, tmp_path):
     args = ["--base-url", "https://h/list", "--user-agent", "tests", "--db", f"file://{tmp_path}/db", "--min-delay", "0", "--max-delay", "0", "--filter", "f=1"]
     assert cli.main(args, transport=fakes.listing) == 0
     assert Catalog(spark, f"file://{tmp_path}/db").journals.read().count() == 6
+
+
+def logged(path, pages):
+    """A transport that notes when each request came, in a file: the stream's reader is another process."""
+
+    def transport(method, url, body, headers, timeout):
+        with open(path, "a") as f:
+            f.write(f"{method} {url.rpartition('page=')[2] if method == 'GET' else '-'} {time.monotonic()} {headers.get('Cookie', '-')}\n")
+        if method == "POST":
+            return 303, [("Set-Cookie", "ci_session=s1; path=/")], b""
+        n = int(url.rpartition("page=")[2])
+        return (200, [], fakes.page(n, pages).encode()) if n <= pages else (404, [], b"")
+
+    return transport
+
+
+def test_one_session_over_a_run(spark, tmp_path, caplog):
+    """25 pages with a filter: one POST, and the pace holds between batches and around what Spark does."""
+    path, gap = str(tmp_path / "log"), 0.06
+
+    def session():
+        return Session("https://h/list", "tests", filter="f=1", least=gap, most=gap, transport=logged(path, 25))
+
+    with Catalog(spark, f"file://{tmp_path}/db") as c, caplog.at_level("INFO", "shelfmark"):
+        summary = harvest(spark, c, session, "r", batch=4).first()
+    assert (summary["ok_pages"], summary["failed_pages"], summary["verdict"], summary["overall_pages"]) == (24, 0, "OK", 25)
+    lines = [x.split() for x in open(path)]
+    assert [x[0] for x in lines].count("POST") == 1 and [x[1] for x in lines[1:]] == [str(n) for n in range(1, 26)]
+    times = [float(x[2]) for x in lines]
+    assert all(b - a >= gap - 0.02 for a, b in zip(times, times[1:], strict=False)) and {x[3] for x in lines[1:]} == {"ci_session=s1"}
+    said = [r.getMessage() for r in caplog.records]
+    assert "24 pages to fetch of 25, 0.1 to 0.1 s between requests, about 0.0 min" in said and any(x.startswith("24 of 24 pages") for x in said)
+    with caplog.at_level("INFO", "shelfmark"):
+        again = harvest(spark, c, session, "r", max_pages=25).first()
+    assert again["overall_pages"] == 25 and len(list(open(path))) == 26 and "all 25 pages were completed before" in caplog.text
+
+
+def test_first_page_that_fails(spark, tmp_path):
+    with Catalog(spark, f"file://{tmp_path}/db") as c, pytest.raises(ValueError, match="page 1"):
+        harvest(spark, c, quick(lambda *_: (404, [], b"")), "r")
+
+
+def test_numbers_of_pages():
+    for pages, text in (([], ""), ([3], "3"), ([1, 2, 3, 7, 9, 10], "1-3,7,9-10")):
+        assert pages_text(pages) == text and pages_of(text) == pages
+    assert pages_of(" 5, 1-2,2 ") == [1, 2, 5]
+    assert total_pages(fakes.page(1, 1234).replace("1234 |", "1.234 |")) == 1234 and total_pages("<p>") == total_pages(None) == 0
+
+
+def test_stream_of_given_pages(spark, tmp_path):
+    """Pages of an option, two at a time, and those that are done left out; a restart goes on behind what was stored."""
+    spark.dataSource.register(ListingSource)
+    options = {"base_url": "https://h/list", "user_agent": "tests", "least": "0", "most": "0", "transport": "tests.fakes:listing", "pages": "1-3", "done": "2", "batch": "1"}
+    seen = []
+
+    def run():
+        query = spark.readStream.format("listing").options(**options).load().writeStream.foreachBatch(lambda df, n: seen.append((n, [r["page"] for r in df.collect()]))).option("checkpointLocation", f"file://{tmp_path}/cp").start()
+        query.processAllAvailable()
+        query.stop()
+
+    run()
+    assert [x for x in seen if x[1]] == [(0, [1]), (1, [3])]
+    run()
+    assert sum(bool(x[1]) for x in seen) == 2
+
+
+def test_conditions_on_pages_reach_the_reader(spark, tmp_path):
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    try:
+        path = str(tmp_path / "log")
+        rows = page_source(spark, logged(path, 30)).option("pages", "1-30").option("push", "true").load()
+        assert [r["page"] for r in rows.filter("page in (4, 7, 40) and url like '%list%'").collect()] == [4, 7]
+        assert [r["page"] for r in rows.filter("page >= 28 and page < 30 and error is null").collect()] == [28, 29]
+        assert [x.split()[1] for x in open(path)] == ["4", "7", "28", "29"]
+    finally:
+        spark.conf.set("spark.sql.python.filterPushdown.enabled", "false")
+    with open(path, "w"):
+        pass
+    assert [r["page"] for r in page_source(spark, logged(path, 3)).option("pages", "1-3").load().filter("page = 2").collect()] == [2]
+    assert len(list(open(path))) == 3
+
+
+def page_source(spark, transport):
+    class Logged(ListingSource):
+        @classmethod
+        def name(cls):
+            return "logged_listing"
+
+        def session(self):
+            return lambda: Session("https://h/list", "tests", least=0, most=0, transport=transport)
+
+    spark.dataSource.register(Logged)
+    return spark.read.format("logged_listing")
