@@ -1,7 +1,8 @@
 """What the operators share: the folder all executors see, and word hashes of Arrow text columns.
 
-Word hashes are 64-bit polynomials modulo 2**64 over a word's UTF-8 bytes, finished by a mixing step.
-They are computed for a whole Arrow column at once from prefix sums, so that no Python object is made per word.
+Word hashes mix a word's UTF-8 bytes, eight at a time, into 64 bits; those of long words are XXH3. Hashes of windows are
+polynomials modulo 2**64 over word hashes, from prefix sums. Both are computed for a whole Arrow column at once, so that
+no Python object is made per word.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +31,10 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 SEGMENT = 1 << 18
 #: Most keys that spread_join() takes for hot.
 HEAVY = 1000
+#: Longest word, in bytes, that is hashed with others.
+SHORT = 64
+#: The lowest bytes of 64 bits, by their count.
+_LOW = np.array([(1 << (8 * n)) - 1 for n in range(9)], np.uint64)
 _BASE, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _tables: dict[str, np.ndarray] = {}
@@ -198,7 +204,19 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return mixed(ranged_hashes(data, starts, ends) + (ends - starts).astype(np.uint64))
+    """A hash of data[s:e] for each pair. A step is no linear function of the bytes, so that words of few letters in a certain order,
+    which polynomials modulo a power of two take for each other, differ."""
+    lengths = ends - starts
+    out = mixed(lengths.astype(np.uint64) * np.uint64(_BASE))
+    eight = np.ndarray(len(data) + 1, "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))  # those from each place on
+    left, at = np.flatnonzero(lengths <= SHORT), 0
+    while len(left):
+        rest = lengths[left] - at
+        out[left] = mixed((out[left] ^ (eight[starts[left] + at] & _LOW[np.minimum(rest, 8)])) * np.uint64(_BASE))
+        left, at = left[rest > 8], at + 8
+    for i in np.flatnonzero(lengths > SHORT):
+        out[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]])
+    return out
 
 
 def window_hashes(words: np.ndarray, size: int, salt: int = 0) -> np.ndarray:

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import cut
+from shelfmark.llm.common import cut, spread_join
 
 #: Edges that a task joins before it emits what they span; so few that one task joins them all.
 FLUSH, FEW = 1 << 20, 1 << 14
@@ -63,9 +63,11 @@ def components(edges: DataFrame) -> DataFrame:
     while (left := pairs.count()) > FEW:
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = cut(both.groupBy("a").agg(F.least(F.first("a"), F.min("b")).alias("to")).select(F.col("a").alias("v"), "to"))
-        label = cut(label.join(least, label["root"] == least["v"], "left").select("vertex", F.coalesce("to", "root").alias("root")))
-        moved = pairs.join(least, pairs["a"] == least["v"]).select(F.col("to").alias("a"), "b")
-        moved = moved.join(least, moved["b"] == least["v"]).select("a", F.col("to").alias("b"))
+        # vertices of very many edges, and roots of very many vertices, are spread
+        to = lambda name: least.select(F.col("v").alias(name), "to")
+        label = cut(spread_join(label, "root", to("root"), F.col("vertex")).select("vertex", F.coalesce("to", "root").alias("root")))
+        moved = cut(spread_join(pairs, "a", to("a"), F.col("b")).select(F.col("to").alias("a"), "b"))
+        moved = spread_join(moved, "b", to("b"), F.col("a")).select("a", F.col("to").alias("b"))
         pairs = spanned(moved.filter("a <> b"))
     if left:
         last = pairs.coalesce(1).mapInArrow(_spanned, "a long, b long").select(F.col("a").alias("v"), F.col("b").alias("to"))

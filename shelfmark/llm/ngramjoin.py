@@ -40,7 +40,7 @@ BLOCK, BLOCK_GRAMS, LEFT = 32, 1 << 21, 512
 PIVOTS = 4
 #: Bits of the sieve that keeps most texts without a family from being shipped; a power of two.
 SIEVE = 1 << 22
-ROWS = "doc_id long, key long, row long, cls long, n long, rare int, tokens binary"
+ROWS = "doc_id long, key long, row long, cls long, n long, rare int, tokens binary, check long"
 
 
 def shingle_sets(batch: pa.RecordBatch, size: int, column: int = 1) -> Iterator[np.ndarray]:
@@ -71,8 +71,10 @@ def overlap(n: np.ndarray | int, m: np.ndarray | int, percent: int):
     return -(-percent * (n + m) // (100 + percent))
 
 
-def _digest(found: np.ndarray) -> int:
-    return xxhash.xxh3_64_intdigest(found.tobytes()) - (1 << 63)
+def _digest(found: np.ndarray) -> tuple[int, int]:
+    """128 bits of a set, as two longs: its class, and what tells classes of equal number apart."""
+    whole = xxhash.xxh3_128_intdigest(found.tobytes())
+    return (whole >> 64) - (1 << 63), (whole & ((1 << 64) - 1)) - (1 << 63)
 
 
 def _prefix_tokens(size: int, percent: int):
@@ -80,7 +82,7 @@ def _prefix_tokens(size: int, percent: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            seen: set[int] = set()
+            seen: set[tuple[int, int]] = set()
             parts = []
             for found in shingle_sets(b, size, 0):
                 if len(found) and (d := _digest(found)) not in seen:
@@ -103,8 +105,9 @@ def _rows(size: int, percent: int, hot):
                 is_hot = frequent[np.minimum(np.searchsorted(frequent, found), len(frequent) - 1)] == found if len(frequent) else np.zeros(len(found), bool)
                 rare = found[~is_hot][:count]
                 tokens = np.concatenate([rare, found[is_hot][: count - len(rare)]])
-                made.append((_digest(found), len(found), len(rare), tokens.tobytes()) if len(found) else (None, 0, 0, b""))
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+                cls, check = _digest(found) if len(found) else (None, None)
+                made.append((cls, len(found), len(rare), tokens.tobytes(), check))
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64()]
             yield pa.record_batch([*b.columns[:3], *(pa.array([x[i] for x in made], k) for i, k in enumerate(kinds))], names=[x.split()[0] for x in ROWS.split(", ")])
 
     return run
@@ -347,7 +350,18 @@ def _stored_rows(keyed: DataFrame, size: int, percent: int) -> DataFrame:
     hot = spark.sparkContext.broadcast(np.sort(frequent))
     path = shared_dir(spark, "ngram-rows")
     keyed.select(F.col("doc_id").cast("long").alias("doc_id"), "key", "row", "text").mapInArrow(lean(_rows(size, percent, hot)), ROWS).write.parquet(path)
-    return spark.read.schema(ROWS).parquet(path)
+    return told_apart(spark.read.schema(ROWS).parquet(path))
+
+
+def told_apart(rows: DataFrame) -> DataFrame:
+    """rows with different classes for different sets: of those that have one number of 64 bits by chance (half the square of the
+    rows over 2**64, so about three of ten billion), all but one get another."""
+    sets = rows.filter("cls is not null").groupBy("cls").agg(F.min("check").alias("_own"), F.max("check").alias("_most"))
+    clashes = cut(sets.filter("_own <> _most").select("cls", "_own"))
+    if clashes.isEmpty():
+        return rows
+    other = F.when(F.col("check") > F.col("_own"), F.xxhash64("cls", "check")).otherwise(F.col("cls"))
+    return rows.join(F.broadcast(clashes), "cls", "left").withColumn("cls", other).select(*rows.columns)
 
 
 def _family_sets(keyed: DataFrame, rows: DataFrame, candidates: DataFrame, size: int) -> DataFrame:

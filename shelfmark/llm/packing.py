@@ -17,11 +17,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from shelfmark.llm.common import lean
 
 #: Pieces that are balanced together.
 BLOCK = 1024
+#: Bytes of text that a task packs, on average at least.
+LEAST = 1 << 20
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
@@ -130,4 +133,6 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int | No
         if waiting:
             yield batch(balanced())
 
-    return docs.select("doc_id", "text").mapInArrow(lean(packed, "tokens"), SCHEMA)
+    texts = docs.select("doc_id", "text")
+    tasks = -(-(texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0) // LEAST)
+    return texts.coalesce(max(1, min(tasks, (1 << 31) - 1))).mapInArrow(lean(packed, "tokens"), SCHEMA)

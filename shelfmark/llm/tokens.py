@@ -13,6 +13,8 @@ import numpy as np
 
 #: Words in either of the two generations that a worker keeps ids of.
 CACHE = 250_000
+#: Longer words are not kept, so that the cache is bounded in bytes too.
+LONGEST = 48
 _encoders: dict[str, "WordEncoder"] = {}
 #: Byte-level vocabularies write printable bytes as themselves, and the others as characters from 256 on, in order.
 _printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -46,6 +48,8 @@ class WordEncoder(dict):
         ids = self.older.get(word)
         if ids is None:
             ids = self._new(word)
+        if len(word) > LONGEST:
+            return ids
         if len(self) >= self.most:  # words that are met again come back from the older ones
             self.older = dict(self)
             self.clear()
@@ -59,10 +63,15 @@ class WordEncoder(dict):
                 return array("I", [x.id for x in self.tokenize(plain)]).tobytes()
             if plain.isalpha():
                 return array("I", [x.id for x in self.tokenize(plain.encode().decode("latin-1").translate(BYTE_NAMES))]).tobytes()
-        elif self.apart and len(word) > 1 and word[-1] in ".,;:!?" and word[-2].isalpha() and len(word[-2].lower()) == 1:
+        elif self.letters and len(word) > 1 and word[-1] in ".,;:!?" and self._ends_in_letter(word[-2]):
             return self[word[:-1]] + self[word[-1]]  # the vocabulary's splitting ends words of letters there
         return array("I", self.library.encode(word, add_special_tokens=False).ids).tobytes()
 
+    def _ends_in_letter(self, c: str) -> bool:
+        """Whether a character is a letter, and what normalisation makes of it ends in one: some come apart into a letter and a
+        mark, and marks go with what follows."""
+        return c.isalpha() and (len(c.lower()) == 1 if c < LATIN else self.normalise(c)[-1:].isalpha())
+
     def encode(self, text: str | None) -> bytes:
         """Ids of a whole text; none for null."""
         if not text:

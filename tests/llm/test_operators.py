@@ -13,7 +13,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from shelfmark.llm import graph, ngramjoin, packing, queries, tokenfile, toxicity, urlfilter
+from shelfmark.llm import common, graph, ngramjoin, packing, queries, tokenfile, toxicity, urlfilter
 from tests.llm.tables import WORD, frame, words
 
 DATA = "/root/testdata/sf0.001"
@@ -68,6 +68,32 @@ def test_ngram_join(spark, corpus, size, percent, monkeypatch):
     assert Counter(map(tuple, ngramjoin.join_documents(frame(spark, corpus), size, percent).collect())) == want
 
 
+def test_words_of_two_letters_in_a_certain_order(spark):
+    """Polynomials modulo 2**64 take these for each other."""
+    order = "".join("ab"[bin(i).count("1") % 2] for i in range(4096))
+    flipped = order.translate(str.maketrans("ab", "ba"))
+    rows = [(i, f"{w[: 1 << k]} one two three four") for k in (4, 5, 9, 10, 12) for i, w in ((2 * k, order), (2 * k + 1, flipped))]
+    got = {r["doc_id"]: r["component_id"] for r in ngramjoin.join_documents(frame(spark, rows), 4, 60).collect()}
+    assert all(got[i] == i for i in got) and len(got) == 10
+
+
+def test_word_hashes():
+    """Of words of any length, wherever they lie: equal for equal words alone."""
+    rng = random.Random(8)
+    text = " ".join("".join(rng.choice("ab") for _ in range(n)) for n in [*range(1, 90), *range(1, 90), 7, 8, 9, 63, 64, 65, 1000] for _ in range(2)).encode()
+    data = np.frombuffer(text, np.uint8)
+    starts, ends, _ = common.word_spans(data, np.array([0, len(data)]))
+    hashes = common.word_hashes(data, starts, ends).tolist()
+    own = [text[s:e] for s, e in zip(starts, ends, strict=True)]
+    assert len(set(zip(own, hashes, strict=True))) == len(set(own)) == len(set(hashes))
+
+
+def test_classes_of_equal_number_are_told_apart(spark):
+    rows = [(1, 5, 7), (2, 5, 7), (3, 5, 8), (4, 6, 7), (5, None, None), (6, 5, 9), (7, 5, 8)]
+    got = {r["doc_id"]: r["cls"] for r in ngramjoin.told_apart(spark.createDataFrame(rows, "doc_id long, cls long, check long")).collect()}
+    assert got[1] == got[2] == 5 and got[4] == 6 and got[5] is None and got[3] == got[7] and len({got[1], got[3], got[4], got[6]}) == 4
+
+
 @pytest.mark.parametrize(("pivots", "left"), [(1, 3), (8, 512)])
 def test_ngram_join_of_long_chains(spark, monkeypatch, pivots, left):
     """Texts that are linked with their neighbours alone: blocks and pivots leave most of the family to the second step."""
@@ -203,6 +229,27 @@ def test_token_file(spark, corpus, tmp_path):
     assert tokenfile.token_summary(tokenfile.read_token_ids(spark, empty)).isEmpty()
 
 
+def test_ids_of_letters_before_marks():
+    """Every letter before every mark that may end a word; some come apart into a letter and a mark, which goes with what follows."""
+    from shelfmark.llm.tokens import encoder
+
+    encode, library = encoder(WORDS), Tokenizer.from_file(WORDS)
+    letters = [c for c in map(chr, range(0x110000)) if c.isalpha()]
+    odd = [c for c in letters if len(encode.normalise(c)) != 1 or not encode.normalise(c).isalpha()]
+    assert 50 < len(odd) < 5000 and "\u0958" in odd
+    marks = random.Random(2)
+    texts = [f"a{c}{m} {c}{m}" for c in odd for m in ".,;:!?"] + [f"a{c}{marks.choice('.,;:!?')}" for c in letters if not "\u4e00" <= c <= "\ud7a3" and c < "\U00010000"] + [f"{c}." for c in letters[::23]]
+    for t in texts:
+        assert encode.encode(t) == np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), ascii(t)
+
+
+@pytest.mark.parametrize("parts", [1, 16, 211])
+def test_packing_has_little_padding(spark, parts):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = packing.pack(docs.repartition(parts), WORDS).groupBy("sequence_id").agg({"length": "sum"}).collect()
+    assert sum(r[1] for r in got) / (2048 * len(got)) > 0.97
+
+
 def test_packing(spark, corpus):
     got = packing.pack(frame(spark, corpus).repartition(2), WORDS, capacity=64, block=16).collect()
     pieces_of, sequences = defaultdict(list), defaultdict(list)
