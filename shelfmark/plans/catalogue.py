@@ -7,19 +7,19 @@ from collections.abc import Iterator
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shelfmark.functions import tables, web
 from shelfmark.functions import text as X
-from shelfmark.functions import web
-from shelfmark.operators import cards, merge
+from shelfmark.operators import cards, merge, nodes
 from shelfmark.operators.dom import of_class, of_tag, parse
 from shelfmark.plans import report, resume
 from shelfmark.schemas import JOURNALS, RECORD, names
 from shelfmark.sources.folders import shared_root
 from shelfmark.sources.listing import stored_pages
 from shelfmark.sources.tables import Catalog
-from shelfmark.streaming import landing
+from shelfmark.streaming import landing, summary
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -168,10 +168,17 @@ def change_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def resume_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Users stand for pages, up to the largest; those with a purchase are done."""
+    """Kinds of events stand for runs and users for pages, up to the largest; a run has completed the pages of its events of a value over
+    the mean, in two batches. What two of the runs have left."""
     events = _table(spark, sf_dir, "events")
-    done = events.filter("event_type = 'purchase'").select(F.col("user_id").cast("int").alias("page"))
-    return resume.pages_to_fetch(spark, events.agg(F.max("user_id")).first()[0] or 0, done)
+    mean, most = events.agg(F.avg("value"), F.max("user_id")).first()
+    catalog = Catalog(spark, f"{_scratch(spark)}/tables")
+    for run in ("purchase", "click"):
+        pages = events.filter((F.col("event_type") == run) & (F.col("value") > mean)).select(F.col("user_id").cast("int").alias("page"))
+        catalog.complete(run, pages.filter("page % 3 > 0"), "2024-01-01 00:00:00")
+        catalog.complete(run, pages.filter("page % 3 < 2"), "2024-01-02 00:00:00")
+    left = (resume.pages_to_fetch(spark, most or 0, catalog.completed(run)).select(F.lit(run).alias("run_key"), "page") for run in ("purchase", "click"))
+    return reduce(DataFrame.unionByName, left)
 
 
 def _outcomes(events: DataFrame) -> DataFrame:
@@ -246,8 +253,10 @@ def progress_line(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def retry_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = spark.range(1, 8).select(F.col("id").alias("attempt"))
-    return pages.select("attempt", web.retry_wait(F.col("attempt")).alias("wait_s"), web.estimate_seconds(F.col("attempt"), 3.0, 8.0).alias("estimate_s"))
+    """Each user's events as the attempts at a page, in their order: the wait before the next one, and the time that as many pages take."""
+    order = Window.partitionBy("user_id").orderBy("event_id")
+    attempts = _table(spark, sf_dir, "events").select("event_id", F.row_number().over(order).cast("long").alias("attempt"))
+    return attempts.select("event_id", "attempt", web.retry_wait(F.col("attempt")).alias("wait_s"), web.estimate_seconds(F.col("attempt"), 3.0, 8.0).alias("estimate_s"))
 
 
 def journal_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -269,12 +278,92 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.journals.read().select("id", "name", "affiliation", "impact", "citations_5yr", "source_page")
 
 
+def listing_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each of some class tokens stands on a listing page; a token is no part of a longer one."""
+    tokens = {"cards": "col-md", "decoys": "col-md-4", "name_blocks": "affil-name", "spaced": "mt-2", "scopus": "scopus-indexed"}
+    rows = nodes.nodes(listing_pages(_table(spark, sf_dir, "customer"), _table(spark, sf_dir, "nation")))
+    return rows.groupBy(F.col("page").cast("int").alias("page")).agg(*(F.count_if(nodes.has_class(t)).cast("int").alias(n) for n, t in tokens.items()))
+
+
+def listing_lateral(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cards by a table function in SQL."""
+    tables.register(spark)
+    pages = listing_pages(_table(spark, sf_dir, "customer"), _table(spark, sf_dir, "nation"))
+    return spark.sql(
+        """SELECT p.page, c.card_pos, CAST(regexp_extract(c.profile_url, '/profile/([0-9]+)', 1) AS BIGINT) AS id, c.affiliation_url, size(c.links) AS links, c.garuda_url,
+            get(filter(c.metrics, m -> m.label = 'H5-index'), 0).number AS h5 FROM {pages} p, LATERAL list_cards(p.html) c""",
+        pages=pages,
+    )
+
+
+def lateral_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of pages by a table function in SQL."""
+    tables.register(spark)
+    return spark.sql("SELECT p.page_id, n.pos, n.href, n.text FROM {pages} p, LATERAL list_nodes(p.html, 'a') n", pages=_table(spark, sf_dir, "pages"))
+
+
+def node_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of pages with their text, how many items the list around each has, and whether another item follows: nodes as rows."""
+    rows = common_rows(nodes.nodes(_table(spark, sf_dir, "pages"), "page_id"))
+    links, items = rows.filter("tag = 'a'"), nodes.with_later_sibling(rows, F.col("tag") == "li").filter("tag = 'li'")
+    around = nodes.nearest_above(links, items).select("page", F.col("of").alias("top"), "parent", F.col("later").isNotNull().alias("has_next"))
+    count = items.groupBy("page", "parent").agg(F.count("*").alias("list_items"))
+    found = nodes.texts(links, rows).join(links.select("page", F.col("pre").alias("top"), nodes.attribute("href").alias("href")), ["page", "top"]).join(around, ["page", "top"]).join(count, ["page", "parent"])
+    return found.select(F.col("page").alias("page_id"), "href", "text", "list_items", "has_next")
+
+
+def common_rows(rows: DataFrame) -> DataFrame:
+    """Rows that several parts of a plan read, stored once in the shared folder."""
+    path = f"{_scratch(rows.sparkSession)}/rows"
+    rows.write.parquet(path)
+    return rows.sparkSession.read.parquet(path)
+
+
+def node_badges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The address around each badge: its nearest ancestor that is a link."""
+    rows = common_rows(nodes.nodes(listing_pages(_table(spark, sf_dir, "customer"), _table(spark, sf_dir, "nation"))))
+    found = nodes.nearest_above(rows.filter(nodes.has_class("garuda-indexed")), rows.filter("tag = 'a'"))
+    return found.select("page", nodes.attribute("href").alias("garuda_url"))
+
+
+def node_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers of cards, but for the impact, with the label that is their first later sibling of its class."""
+    rows = common_rows(nodes.nodes(listing_pages(_table(spark, sf_dir, "customer"), _table(spark, sf_dir, "nation"))))
+    numbers = nodes.with_later_sibling(rows, nodes.has_class("pr-txt")).filter(nodes.has_class("pr-num"))
+    text = nodes.texts(rows.filter(nodes.has_class("pr-num") | nodes.has_class("pr-txt")), rows)
+    labels = text.select("page", F.col("top").alias("later"), F.lower(X.collapse_space(F.col("text"))).alias("label"))
+    found = numbers.select("page", F.col("pre").alias("top"), "later").join(text.withColumnRenamed("text", "number"), ["page", "top"]).join(labels, ["page", "later"])
+    return found.filter("label <> 'impact'").select("page", "label", "number")
+
+
+def stream_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as outcomes of five runs, counted by a stream that keeps the runs' counts as its state."""
+    base, events = _scratch(spark), _table(spark, sf_dir, "events")
+    outcomes = lambda df: _outcomes(df).withColumn("run_key", F.concat(F.lit("run "), F.col("page") % 5))
+    landing_files = f"{base}/outcomes"
+    outcomes(events).repartition(3, "arrival_seq").write.parquet(landing_files)
+    before = {k: spark.conf.get(k, None) for k in summary.STORE}
+    for k, v in summary.STORE.items():
+        spark.conf.set(k, v)
+    try:
+        stream = spark.readStream.schema(f"{report.OUTCOMES}, run_key string").option("maxFilesPerTrigger", 1).parquet(landing_files)
+        counts = summary.running_counts(stream)
+        store = lambda df, n: df.withColumn("batch", F.lit(n)).write.mode("overwrite").parquet(f"{base}/counts/batch={n}")
+        counts.writeStream.outputMode("update").foreachBatch(store).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    last = spark.read.schema(f"{summary.COUNTS}, batch int").parquet(f"{base}/counts").groupBy("run_key").agg(F.max_by(F.struct("ok_pages", "failed_pages", "cards", "expected_records"), "batch").alias("x")).select("run_key", "x.*")
+    targets = outcomes(events).filter("error is null").groupBy("run_key").agg(F.count("*").alias("target"))
+    return summary.summaries(last, targets)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         listing_roundtrip, listing_totals, page_heading, page_links, class_token, collapse_text, locale_number, pagination_totals, issn_subject, link_classify,
         metric_pivot, build_url, page_urls, content_hash, upsert_merge, change_report, resume_plan, run_summary, run_verdicts, progress_line, progress_table, empty_pages,
-        stored_listing, journal_export, retry_schedule, journal_merge, stream_upsert,
+        stored_listing, journal_export, retry_schedule, journal_merge, stream_upsert, listing_classes, listing_lateral, lateral_nodes, node_links, node_badges, node_metrics, stream_summary,
     )
 }
 
@@ -326,7 +415,10 @@ ORACLE_SQL = {
         SELECT id, arg_max(price, fresh) AS price, min(d) AS first_seen, max(d) AS last_seen FROM r WHERE n = 1 GROUP BY id
     """,
     "change_report": "SELECT c_custkey AS id, CASE c_custkey % 10 WHEN 1 THEN 'added' WHEN 2 THEN 'removed' ELSE 'changed' END AS change FROM customer WHERE c_custkey % 10 IN (1, 2, 3)",
-    "resume_plan": "SELECT CAST(i AS INTEGER) AS page FROM range(1, (SELECT max(user_id) + 1 FROM events)) t(i) WHERE NOT EXISTS (SELECT 1 FROM events WHERE event_type = 'purchase' AND user_id = i)",
+    "resume_plan": """
+        SELECT run_key, CAST(i AS INTEGER) AS page FROM range(1, (SELECT max(user_id) + 1 FROM events)) t(i), (VALUES ('purchase'), ('click')) r(run_key)
+        WHERE NOT EXISTS (SELECT 1 FROM events WHERE event_type = run_key AND user_id = i AND value > (SELECT avg(value) FROM events))
+    """,
     "run_summary": """
         WITH s AS (
             SELECT count(*) FILTER (event_type <> 'error') AS ok_pages, count(*) FILTER (event_type = 'error') AS failed_pages, CAST(10 * count(*) FILTER (event_type <> 'error') + 10 AS BIGINT) AS cards,
@@ -371,7 +463,45 @@ ORACLE_SQL = {
         )
         SELECT page_id, split_part(plain, '?', 1) || '?' || array_to_string(list_sort(list_append(own, 'page=2')), '&') || fragment AS url FROM pairs
     """,
-    "retry_schedule": "SELECT i AS attempt, CASE i WHEN 1 THEN 5 WHEN 2 THEN 15 WHEN 3 THEN 30 ELSE 60 END AS wait_s, i * 5.5::DOUBLE AS estimate_s FROM range(1, 8) t(i)",
+    "retry_schedule": """
+        WITH a AS (SELECT event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS attempt FROM events)
+        SELECT event_id, attempt, CASE attempt WHEN 1 THEN 5 WHEN 2 THEN 15 WHEN 3 THEN 30 ELSE 60 END AS wait_s, attempt * 5.5::DOUBLE AS estimate_s FROM a
+    """,
+    "listing_classes": """
+        SELECT CAST(c_custkey // 10 + 1 AS INTEGER) AS page, CAST(count(*) AS INTEGER) AS cards, 1 AS decoys, CAST(count(*) + 1 AS INTEGER) AS name_blocks, CAST(2 * count(*) AS INTEGER) AS spaced,
+            CAST(count(*) FILTER (c_custkey % 2 = 0) AS INTEGER) AS scopus FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1
+    """,
+    "listing_lateral": """
+        SELECT CAST(c_custkey // 10 + 1 AS INTEGER) AS page, CAST(row_number() OVER (PARTITION BY c_custkey // 10 ORDER BY c_custkey) - 1 AS INTEGER) AS card_pos, c_custkey AS id, '/affiliations/' || c_nationkey AS affiliation_url,
+            CASE WHEN c_custkey % 3 = 0 THEN 4 ELSE 3 END AS links, CASE WHEN c_custkey % 5 = 0 THEN 'https://index.example.org/' || c_custkey ELSE '' END AS garuda_url, CAST(c_custkey % 90 AS VARCHAR) AS h5
+        FROM customer JOIN nation ON c_nationkey = n_nationkey
+    """,
+    "lateral_nodes": """
+        WITH h AS (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1) AS l, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2) AS t FROM pages)
+        SELECT page_id, CAST(i - 1 AS INTEGER) AS pos, replace(l[i], '&amp;', '&') AS href, replace(replace(replace(replace(t[i], '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&') AS text FROM h, unnest(range(1, len(l) + 1)) AS t2(i)
+    """,
+    "node_links": """
+        WITH h AS (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1) AS l, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2) AS t FROM pages),
+        n AS (SELECT page_id, i, len(l) AS many, replace(l[i], '&amp;', '&') AS href, replace(replace(replace(replace(t[i], '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&') AS text FROM h, unnest(range(1, len(l) + 1)) AS t2(i))
+        SELECT page_id, href, text, CAST(many AS BIGINT) AS list_items, i < many AS has_next FROM n
+    """,
+    "node_badges": """
+        SELECT CAST(c_custkey // 10 + 1 AS BIGINT) AS page, 'https://index.example.org/' || c_custkey AS garuda_url FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 5 = 0
+    """,
+    "node_metrics": """
+        WITH c AS (SELECT c_custkey AS k FROM customer JOIN nation ON c_nationkey = n_nationkey)
+        SELECT CAST(k // 10 + 1 AS BIGINT) AS page, 'h5-index' AS label, CAST(k % 90 AS VARCHAR) AS number FROM c
+        UNION ALL SELECT k // 10 + 1, 'citations 5yr', replace(format('{:,}', k * 13), ',', '.') FROM c
+        UNION ALL SELECT k // 10 + 1, 'citations', 'n/a' FROM c
+    """,
+    "stream_summary": """
+        WITH e AS (SELECT 'run ' || (user_id % 5) AS run_key, *, CASE WHEN event_id % 7 = 3 THEN event_id % 1000 ELSE 0 END AS said FROM events),
+        s AS (
+            SELECT run_key, count(*) FILTER (event_type <> 'error') AS ok_pages, count(*) FILTER (event_type = 'error') AS failed_pages, CAST(10 * count(*) FILTER (event_type <> 'error') AS BIGINT) AS cards,
+                CAST(coalesce(arg_min(said, event_id) FILTER (event_type <> 'error' AND said > 0), 0) AS INTEGER) AS expected_records FROM e GROUP BY 1
+        )
+        SELECT *, ok_pages AS overall_pages, 100.0::DOUBLE AS percent, CASE WHEN expected_records > 0 THEN CASE WHEN cards = expected_records THEN 'OK' ELSE 'FAILED' END END AS verdict FROM s
+    """,
     "stream_upsert": """
         SELECT c_custkey AS id, c_name || ' & Co' AS name, n_name AS affiliation, round(abs(c_acctbal), 2) AS impact, c_custkey * 13 AS citations_5yr, CAST(c_custkey // 10 + 1 AS INTEGER) AS source_page
         FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey > 0

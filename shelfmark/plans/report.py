@@ -6,7 +6,7 @@ import logging
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 log = logging.getLogger("shelfmark")
@@ -32,15 +32,20 @@ def run_summary(outcomes: DataFrame, target: int, limited: bool = False, first_c
     )
     handled = F.col("ok_pages") + (1 if first_cards > 0 else 0)
     complete = F.col("handled") == target
-    verdict = F.when(complete & F.lit(limited), "PARTIAL").when(complete & (F.col("expected_records") > 0), F.when(F.col("cards") == F.col("expected_records"), "OK").otherwise("FAILED"))
     return (
         sums.withColumn("handled", handled)
         .withColumn("overall_pages", F.col("handled") + done_before)
         .withColumn("percent", F.round(F.col("overall_pages") * 100.0 / F.lit(target if target else None), 1))
-        .withColumn("verdict", verdict)
+        .withColumn("verdict", verdict_of(complete, limited))
     )
 
 
+def verdict_of(complete: Column, limited: bool = False) -> Column:
+    """Of a run with cards and expected_records."""
+    counted = F.when(F.col("cards") == F.col("expected_records"), "OK").otherwise("FAILED")
+    return F.when(complete & F.lit(limited), "PARTIAL").when(complete & (F.col("expected_records") > 0), counted)
+
+
 def progress(outcomes: DataFrame, target: int, elapsed: float) -> DataFrame:
     """One row: done, percent, seconds_per_page and seconds_left (null before the first page)."""
     done = outcomes.agg(F.count_if(F.col("error").isNull()).alias("done"))

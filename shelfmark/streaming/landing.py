@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shelfmark.plans.harvest import now, store_pages
 from shelfmark.sources.tables import Catalog
+from shelfmark.streaming.log import StreamLog
 
 #: The first digits of a file's name.
 NUMBERED = r"(\d+)[^/]*$"
@@ -22,8 +24,8 @@ def landed_pages(spark: SparkSession, folder: str, files_per_batch: int = 100, p
     return found.filter("page is not null")
 
 
-def start(spark: SparkSession, folder: str, catalog: Catalog, run_key: str, checkpoint: str, time: datetime | None = None, pattern: str = NUMBERED) -> StreamingQuery:
-    """Merges all files that are there and ends. A batch that is run again, after a crash, has the time of its first attempt and
+def start(spark: SparkSession, folder: str, catalog: Catalog, run_key: str, checkpoint: str, time: datetime | None = None, pattern: str = NUMBERED, files_per_batch: int = 100, listener: StreamLog | None = None) -> StreamingQuery:
+    """Merges all files that are there and ends. Progress is logged batch by batch. A batch that is run again, after a crash, has the time of its first attempt and
     so the same result; one that was stored already is left out.
 
     time: in place of the present, for every batch.
@@ -34,7 +36,22 @@ def start(spark: SparkSession, folder: str, catalog: Catalog, run_key: str, chec
             return
         began = catalog.begin(checkpoint, number, time or now())
         if began is not None:
-            store_pages(catalog, run_key, batch, began)
+            said.add(number, store_pages(catalog, run_key, batch, began))
             catalog.end(checkpoint, number, began)
 
-    return landed_pages(spark, folder, pattern=pattern).writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    said = listener or StreamLog()
+    spark.streams.addListener(said)
+    query = landed_pages(spark, folder, files_per_batch, pattern).writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    said.query = str(query.id)
+    threading.Thread(target=_done, args=(spark, query, said), daemon=True).start()
+    return query
+
+
+def _done(spark: SparkSession, query: StreamingQuery, said: StreamLog) -> None:
+    """Takes a query's listener away once it has said the last."""
+    try:
+        query.awaitTermination()
+    except Exception:  # the caller gets it from the query
+        pass
+    said.ended.wait(30)
+    spark.streams.removeListener(said)
