@@ -57,7 +57,15 @@ def components(edges: DataFrame) -> DataFrame:
     Each round replaces every vertex by its least neighbour and drops edges inside a set, until no more than FEW are left,
     which one task joins. Vertices should be hashes: then a round leaves a fraction of them, whatever the graph's shape.
     """
-    spanned = lambda pairs: cut(pairs.mapInArrow(_spanned, "a long, b long").distinct())
+
+    def spanned(edges: DataFrame) -> DataFrame:
+        """Edges to the least root that any task has found for a vertex, and from its other roots to that: a large set's tasks have few
+        roots, so that this leaves about one edge for each vertex, and not one for each of its tasks."""
+        found = edges.mapInArrow(_spanned, "a long, b long").groupBy("a").agg(F.min("b").alias("to"), F.collect_set("b").alias("roots"))
+        others = F.filter("roots", lambda r: r != F.col("to"))
+        stars = found.select(F.explode(F.concat(F.array("a"), others)).alias("a"), F.col("to").alias("b"))
+        return cut(stars.distinct())
+
     pairs = spanned(edges.select(F.col("a").cast("long"), F.col("b").cast("long")))
     label = pairs.select(F.explode(F.array("a", "b")).alias("vertex")).distinct().withColumn("root", F.col("vertex"))
     while (left := pairs.count()) > FEW:

@@ -14,7 +14,8 @@ the same one. Factors of `size` words or more are found exactly, whatever their
    earlier, the longest sequence that stands earlier is the next factor, found by going on word by word. At the
    factor's boundary the parse goes on with the window after its last one, which still overlaps it; so no window of
    a document is left out. Factors are compared with their references as text, word for word.
-3. Factors come back to their documents, and the words they cover go.
+3. Factors come back to their documents. Those that go on with each other, here and in their reference, are joined to maximal
+   ones, over the edges of segments; these are the spans, and the words they cover go.
 
 Each slice of a task first settles equal segments among its own rows and sends one on: a passage that stands in a third
 of all documents costs a block one segment per slice.
@@ -36,9 +37,9 @@ from shelfmark.llm.common import NO_ID, lean, mixed, packed, ranged_hashes, slic
 
 #: Words of an anchor, as long as windows have twice as many.
 ANCHOR = 8
-#: About so many documents are the sample, and n-grams with more than HOT places in it are frequent: at most a HOT-th of its words.
+#: About so many bytes of text are the sample, and n-grams with more than HOT places in it are frequent: at most a HOT-th of its words.
 #: Both steer what is sent where; which windows are repeated doesn't hang on them.
-SAMPLE, HOT = 16384, 8
+SAMPLE, HOT = 32 << 20, 8
 #: Groups of anchors for each partition of a shuffle, at least, and bytes of text for one, at most about.
 BLOCKS, BLOCK_BYTES = 4, 12 << 20
 #: Bytes of segments in a reference block; the segments of one anchor stay together.
@@ -224,12 +225,26 @@ def firsts(hashes: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> np.ndarray:
     return out
 
 
-def longest_earlier(words: np.ndarray, first: np.ndarray, doc: np.ndarray, pos: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+class Sequences:
+    """Numbers of sequences of words that are equal for equal sequences alone: those of twice the length are numbered by pairs."""
+
+    def __init__(self, words: np.ndarray):
+        self.levels = [np.unique(words, return_inverse=True)[1].astype(np.uint64)]
+
+    def of(self, at: np.ndarray, length: int) -> np.ndarray:
+        top, many = length.bit_length() - 1, np.uint64(len(self.levels[0]) + 1)
+        while len(self.levels) <= top:
+            half, own = 1 << (len(self.levels) - 1), self.levels[-1]
+            self.levels.append(np.unique(own[:-half] * many + own[half:], return_inverse=True)[1].astype(np.uint64))
+        return self.levels[top][at] * many + self.levels[top][at + length - (1 << top)]
+
+
+def longest_earlier(words: np.ndarray, first: np.ndarray, doc: np.ndarray, pos: np.ndarray, size: int, exact: Sequences | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The index of a reference block, asked for each of its own windows. words: of all segments; first: the first word of each
     segment, and the count; doc, pos: where segments stand.
 
     For each window: the word it begins at, its segment, the number of words over `size` of the longest sequence from there
-    that stands earlier (-1: none does), and the word where that stands first.
+    that stands earlier (-1: none does), and the word where that stands first. exact: in place of hashes.
     """
     counts = np.maximum(np.diff(first) - size + 1, 0)
     segment = np.repeat(np.arange(len(counts)), counts)
@@ -239,7 +254,8 @@ def longest_earlier(words: np.ndarray, first: np.ndarray, doc: np.ndarray, pos:
     live = np.arange(len(at))
     more = 0
     while len(live):  # sequences of size, then of one word more, as long as any stands earlier
-        hashes = mixed(ranged_hashes(words, at[live], at[live] + size + more) + np.uint64(size + more))
+        length = size + more
+        hashes = exact.of(at[live], length) if exact else mixed(ranged_hashes(words, at[live], at[live] + length) + np.uint64(length))
         head = live[firsts(hashes, doc[segment[live]], place[live])]
         earlier = (doc[segment[head]] < doc[segment[live]]) | ((doc[segment[head]] == doc[segment[live]]) & (place[head] < place[live]))
         longest[live[earlier]], reference[live[earlier]] = more, at[head[earlier]]
@@ -280,17 +296,16 @@ def parse_block(texts: list[bytes], doc: np.ndarray, row: np.ndarray, pos: np.nd
     data, offsets = text_bytes(pa.array(texts, pa.binary()))
     starts, ends, first = word_spans(data, offsets)
     words, raw = word_hashes(data, starts, ends), data.tobytes()
-    while True:
-        at, segment, longest, reference = longest_earlier(words, first, doc, pos, size)
+    for exact in (None, Sequences):
+        numbers: dict[bytes, int] = {}
+        if exact:  # two different words or sequences had one hash
+            exact = Sequences(np.array([numbers.setdefault(raw[s:e], len(numbers)) for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]))
+        at, segment, longest, reference = longest_earlier(words, first, doc, pos, size, exact)
         begin = greedy(segment, longest)
         low, ref, count = at[begin], reference[begin], size + longest[begin]
         spans = zip(starts[low].tolist(), ends[low + count - 1].tolist(), starts[ref].tolist(), ends[ref + count - 1].tolist(), strict=True)
         if all(raw[a:b] == raw[c:d] or raw[a:b].split() == raw[c:d].split() for a, b, c, d in spans):
             break
-        # two different words or sequences have one hash: words get numbers of their own, by other hashes than before
-        numbers: dict[bytes, int] = {}
-        salt = np.uint64(len(words) + int(words[0] >> np.uint64(32)))
-        words = mixed(np.array([numbers.setdefault(raw[s:e], len(numbers)) for s, e in zip(starts.tolist(), ends.tolist(), strict=True)], np.uint64) ^ salt)
     own = segment[begin]
     found = np.searchsorted(first, ref, "right") - 1
     start, ref_start = pos[own] + low - first[own], pos[found] + ref - first[found]
@@ -332,13 +347,29 @@ def _parsed(size: int):
     return run
 
 
+def maximal(factors: list[dict]) -> list[dict]:
+    """Factors of a document with those joined that go on with each other here and in their reference: what began in one segment
+    and went on in the next is one span. Other factors stay as they are."""
+    open_: dict[tuple, dict] = {}
+    out = []
+    for f in sorted(factors, key=lambda f: (f["start"], -f["windows"])):
+        way = f["ref_doc"], None if f["ref_start"] is None else f["ref_start"] - f["start"]
+        last = open_.get(way)
+        if last is not None and f["start"] >= 0 and f["start"] <= last["start"] + last["windows"]:
+            last["windows"] = max(last["windows"], f["start"] + f["windows"] - last["start"])
+        else:
+            open_[way] = f = dict(f)
+            out.append(f)
+    return out
+
+
 def repeated_factors(docs: DataFrame, size: int = 20) -> DataFrame:
     """Factors of at least `size` words of docs (doc, row, text, rest; see find_repeats): document, first word, count of
     windows, and where the same words stand earlier. start is -1 for a document whose words are all an earlier one's."""
-    sizes = docs.agg(F.count("*").alias("rows"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    sizes = docs.agg(F.sum(F.octet_length("text").cast("long")).alias("bytes")).first()
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = max(BLOCKS * partitions, (sizes["bytes"] or 0) // BLOCK_BYTES)
-    shared = docs.sparkSession.sparkContext.broadcast(_frequent(docs.select("text"), size, SAMPLE / max(1, sizes["rows"])))
+    shared = docs.sparkSession.sparkContext.broadcast(_frequent(docs.select("text"), size, SAMPLE / max(1, sizes["bytes"] or 0)))
     marks = docs.select("doc", "row", "text").mapInArrow(lean(_anchors(size, blocks, shared)), ANCHORS).groupBy("block").applyInArrow(_repeated, "doc long, row long, pos int")
     own = marks.groupBy("doc", "row").agg(F.min("pos").alias("least"), F.collect_list("pos").alias("marks"))
     copies = own.filter("least < 0").select("doc", "row", F.lit(-1).alias("start"), F.lit(0).alias("windows"), F.lit(None).cast("long").alias("ref_doc"), F.lit(None).cast("int").alias("ref_start"))
@@ -361,11 +392,13 @@ def _parts(docs: DataFrame, size: int, columns: list[str], whole_text: bool) ->
             for b in slices(batch):
                 data, offsets = text_bytes(b.column(0))
                 starts, ends, first = word_spans(data, offsets)
-                view, counts, removed, kept = memoryview(data), [], [], []
-                for i, marks in enumerate(b.column(2).to_pylist()):
+                view, counts, removed, kept, spans = memoryview(data), [], [], [], []
+                for i, found_here in enumerate(b.column(2).to_pylist()):
+                    marks = maximal(found_here or ())
+                    spans.append(marks if found_here else None)
                     s, e = starts[first[i] : first[i + 1]], ends[first[i] : first[i + 1]]
                     gone = np.zeros(len(s) + 1, np.int64)
-                    for m in marks or ():
+                    for m in marks:
                         low, high = (0, len(s)) if m["start"] < 0 else (m["start"], m["start"] + m["windows"] + size - 1)
                         gone[low] += 1
                         gone[high] -= 1
@@ -373,7 +406,7 @@ def _parts(docs: DataFrame, size: int, columns: list[str], whole_text: bool) ->
                     counts.append(len(s))
                     removed.append(int(len(s) - stay.sum()))
                     kept.append(b" ".join(view[x:y] for x, y in zip(s[stay].tolist(), e[stay].tolist(), strict=True)).decode())
-                made = [b.column(1), b.column(2), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())]
+                made = [b.column(1), pa.array(spans, b.schema.field(2).type), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())]
                 text = {"text": b.column(0)} if whole_text else {}
                 yield pa.record_batch([*text.values(), *made], names=[*text, "rest", "factors", "n_words", "n_removed", "kept"])
 
@@ -387,7 +420,7 @@ MADE = ("factors", "n_words", "n_removed", "kept")
 
 def find_repeats(docs: DataFrame, size: int = 20, columns: list[str] | None = None) -> DataFrame:
     """docs with n_words, n_removed, kept (the words that are left, joined by one space) and factors (start, windows,
-    ref_doc, ref_start), for the removal of every word of a window of `size` words that also starts earlier.
+    ref_doc, ref_start; null for text without repeats), for the removal of every word of a window of `size` words that also starts earlier.
 
     Words are [^\\x20\\x09-\\x0D]+. Earlier is: in a document of smaller doc_id, or at an earlier word of the same
     document. Rows of equal doc_id count as one document, and equal rows have equal results; a null doc_id is the

@@ -127,3 +127,52 @@ def test_words_of_equal_hashes_are_told_apart(monkeypatch):
     monkeypatch.setattr(substrings, "word_hashes", lambda *a: plain(*a) % np.uint64(2))
     got = substrings.parse_block(*own, size=4)
     assert Counter(zip(*(x.tolist() for x in got[:4]), strict=True)) == want
+
+
+def test_a_long_passage_is_one_factor(spark):
+    """Its windows lie in many segments, of different anchors."""
+    passage = words(3, 500, 4000)
+    rows = [(1, words(4, 30, 4000) + " " + passage + " x"), (2, passage), (3, words(5, 8, 4000) + "\n" + passage + " " + words(6, 40, 4000)), (4, passage.rsplit(" ", 100)[0] + " y")]
+    found = {r["doc_id"]: r["factors"] for r in substrings.find_repeats(frame(spark, rows)).collect()}
+    assert found[1] is None
+    for doc, start in ((2, 0), (3, 8)):
+        assert [tuple(f) for f in found[doc]] == [(start, 481, 1, 30)]
+    # a segment that its slice has settled refers to the first one there, so that a passage may have two references
+    ends = [(f["start"], f["start"] + f["windows"]) for f in found[4]]
+    assert len(ends) <= 2 and ends[0][0] == 0 and ends[-1][1] == 381 and all(a[1] == b[0] for a, b in zip(ends, ends[1:], strict=False))
+
+
+def test_maximal_factors():
+    factor = lambda *x: dict(zip(("start", "windows", "ref_doc", "ref_start"), x, strict=True))
+    got = substrings.maximal([factor(10, 5, 1, 110), factor(0, 10, 1, 100), factor(14, 3, 2, 14), factor(20, 2, 1, 120), factor(12, 2, 1, 112), factor(17, 4, 2, 17)])
+    assert [tuple(f.values()) for f in got] == [(0, 15, 1, 100), (14, 7, 2, 14), (20, 2, 1, 120)]
+    assert substrings.maximal([factor(-1, 0, None, None)]) == [factor(-1, 0, None, None)] and substrings.maximal([]) == []
+
+
+def test_sequences_in_a_certain_order():
+    """Polynomials modulo 2**64 over two words in this order and its complement are equal; the parse ends and tells them apart."""
+    order = [bin(i).count("1") % 2 for i in range(4096)]
+    texts = [" ".join(("yes", "no")[x] for x in order).encode(), " ".join(("no", "yes")[x] for x in order).encode()]
+    doc, row, pos = np.array([1, 2]), np.array([1, 2]), np.array([0, 0], np.int32)
+    found = substrings.parse_block(texts, doc, row, pos, 3000)
+    split = [t.split() for t in texts]
+    for d, _, start, windows, ref_doc, ref_start in zip(*found, strict=True):
+        assert split[d - 1][start : start + windows + 2999] == split[ref_doc - 1][ref_start : ref_start + windows + 2999] and (ref_doc, ref_start) < (d, start)
+    first = {}
+    covered = {(d, start + i) for d, _, start, windows, _, _ in zip(*found, strict=True) for i in range(windows)}
+    for d, w in enumerate(split, 1):
+        for i in range(len(w) - 2999):
+            if first.setdefault(hash(tuple(w[i : i + 3000])), (d, i)) != (d, i):
+                assert (d, i) in covered
+    assert len(covered) < 3000
+
+
+def test_exact_sequences():
+    rng = np.random.default_rng(1)
+    values = rng.integers(0, 3, 300)
+    exact = substrings.Sequences(values)
+    for length in (1, 2, 3, 7, 8, 20):
+        at = np.arange(300 - length + 1)
+        ids = exact.of(at, length).tolist()
+        own = [tuple(values[i : i + length].tolist()) for i in at]
+        assert len(set(ids)) == len(set(own)) == len(set(zip(ids, own, strict=True)))
