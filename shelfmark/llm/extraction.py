@@ -192,9 +192,17 @@ def blocks(page: str, known: frozenset[str] | None = None) -> list[Block]:
     if out:
         out[0].features.append("first")
         out[-1].features.append("last")
+    if any(not WRAPPED.isdisjoint(b.features) for b in out):
+        for b in out:
+            if WRAPPED.isdisjoint(b.features):
+                b.features.append(BESIDES)
     return out
 
 
+#: Features of blocks in an element that is there for main text, and of all other blocks of pages that have one.
+WRAPPED, BESIDES = frozenset(("in=article", "in=main")), "besides"
+
+
 def _features(text: str, held: _Open, linked: float) -> list[str]:
     words = text.count(" ") + 1
     found = [f"words{min(6, words.bit_length())}", f"links{round(linked * 2)}", f"end{text[-1] if text[-1] in '.!?:;' else ''}"]
@@ -227,12 +235,13 @@ def labelled_sample(pages: DataFrame, column: str = "html", most: int = SAMPLED_
     share = min(1.0, 2 * most / max(1, pages.count()))
     own = pages.select(F.col(f"`{column}`").alias("html"))
     chosen = F.shiftrightunsigned(F.xxhash64("html"), 33) < int(share * (1 << 31))
-    some = own.filter(F.col("html").contains("<article") & (F.length("html") <= longest) & chosen).limit(most)
+    # in the order of the hash, so that the sample doesn't hang on partitions
+    some = own.filter(F.col("html").contains("<article") & (F.length("html") <= longest) & chosen).orderBy(F.xxhash64("html"), "html").limit(most)
     out = []
     for i, row in enumerate(some.collect()):
         found = [b.features for b in blocks(row["html"])]
         labels = [main_by_tags(f) for f in found]
-        out.append(([[x for x in f if i % 2 == 0 or x != "in=article"] for f in found], labels))
+        out.append(([[x for x in f if i % 2 == 0 or x not in ("in=article", BESIDES)] for f in found], labels))
     return out
 
 
@@ -292,21 +301,32 @@ def labelled_page(seed: int) -> tuple[str, list[tuple[str, int]]]:
         return "".join(noise(k) for k in kinds if rng.random() < share)
 
     head = said("title", words(2, 9, ""), 0)
-    top = some(BEFORE, 0.4)
+    bare = rng.random() < 0.12  # no element around the article, and little besides
+    top = some(BEFORE, 0.1 if bare else 0.4)
     title = said("h1", words(1, 12, ""), 1) if rng.random() < 0.9 else ""
     if title and rng.random() < 0.2:
         title = f"<header>{title}</header>"
     body = ""
     for _ in range(rng.choice((1, 2, 3, 5, 8, 14))):
-        tag = rng.choices(("p", "h2", "li", "blockquote", "pre", "td"), (80, 6, 5, 4, 2, 3))[0]
-        part = said(tag, words(1, rng.choice((2, 8, 30, 90)), rng.choice((".", ".", ".", "", "!", "?"))), 1)
+        tag = rng.choices(("p", "h2", "li", "blockquote", "pre", "td", "links"), (80, 6, 5, 4, 2, 3, 4))[0]
+        if tag == "links":  # a list of the article's own
+            body += "<ul>" + "".join(said("li", words(1, 6, rng.choice(("", "."))), 1, rng.random() < 0.8) for _ in range(rng.randint(1, 4))) + "</ul>"
+            continue
+        text = words(1, rng.choice((2, 8, 30, 90)), rng.choice((".", ".", ".", "", "!", "?")))
+        if rng.random() < 0.08:  # it may speak of rights and years
+            at = rng.randint(0, len(text.split()))
+            text = " ".join([*text.split()[:at], "©", str(rng.randint(1900, 2030)), *text.split()[at:]])
+        part = said(tag, text, 1)
         body += f"<ul>{part}</ul>" if tag == "li" else f"<table><tr>{part}</tr></table>" if tag == "td" else part
         if rng.random() < 0.05:
             body += noise(rng.choice(INSIDE[:2]))
     inner = title + body + some(INSIDE, 0.08)
     how = rng.random()
-    article = f"<article>{inner}</article>" if how < 0.45 else f"<main>{inner}</main>" if how < 0.58 else f"<div>{inner}</div>" if how < 0.7 else wrapped(rng.choice(("div", "section", "article", "main")), MAIN_NAMES, inner)
-    page = f"<!DOCTYPE html><html><head>{head}<style>p{{}}</style></head><body>{top}{article}{some(AFTER, 0.45)}</body></html>"
+    article = inner if bare else f"<article>{inner}</article>" if how < 0.45 else f"<main>{inner}</main>" if how < 0.58 else f"<div>{inner}</div>" if how < 0.7 else wrapped(rng.choice(("div", "section", "article", "main")), MAIN_NAMES, inner)
+    after = ""
+    if how < 0.58 and not bare and rng.random() < 0.25:  # what readers say, in a list without a name
+        after = "<ul>" + "".join(said("li", words(2, 30, rng.choice((".", "!", "?", ""))), 0) for _ in range(rng.randint(1, 5))) + "</ul>"
+    page = f"<!DOCTYPE html><html><head>{head}<style>p{{}}</style></head><body>{top}{article}{after}{some(AFTER, 0.05 if bare else 0.45)}</body></html>"
     return page, labels
 
 

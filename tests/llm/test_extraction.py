@@ -105,3 +105,23 @@ def test_markup_by_html_rules():
     assert texts("a<svg><p>b</p></svg>c<template>d</template>e<svg>f") == ["acef"]
     assert extraction.blocks("<div class=x data-class=y>t")[0].features.count("named=x") == 1
     assert "named=y" not in extraction.blocks("<div class=x data-class=y>t")[0].features
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<body><nav><ul><li><a href=a>Home</a></ul></nav><article><p>The mark © 1990 stays.</p></article><footer>© 2020 Us</footer>", ["The mark © 1990 stays."]),
+        ("<body><p>One paragraph that says a thing.</p><p>Another one that says some more of it.</p></body>", ["One paragraph that says a thing.", "Another one that says some more of it."]),
+        ("<article><h1>A list</h1><ul><li><a href=1>First item</a></li><li><a href=2>Second item</a></li></ul></article>", ["A list", "First item", "Second item"]),
+        ("<article><h1>Title</h1><p>Text that is long enough to be read.</p></article><ul><li>I liked this very much!</li><li>Me too, thank you for writing.</li></ul>", ["Title", "Text that is long enough to be read."]),
+        ("<main><h1>Title</h1><p>Text that is long enough to be read.</p></main><aside><p>See also this</p></aside><footer><p>© 2021 All rights</p></footer>", ["Title", "Text that is long enough to be read."]),
+    ],
+    ids=["mark", "bare", "links", "readers", "main"],
+)
+def test_other_layouts(trained, page, want):
+    assert extraction.main_text(page, trained).split("\n") == want
+
+
+def test_sample_is_the_same_for_any_partitions(pages):
+    one, many = (extraction.labelled_sample(pages.repartition(n), most=60) for n in (1, 23))
+    assert one == many and len(one) == 60
