@@ -40,14 +40,14 @@ EXACT = 2.0**53
 
 def quantised(column: pa.Array) -> list[np.ndarray | None]:
     """floor(256 * x) of each vector as doubles; None for vectors null, or with a component null or not finite."""
-    out: list[np.ndarray | None] = []
-    for v in column.to_pylist():
-        if v is None or any(x is None for x in v):
-            out.append(None)
-            continue
-        x = np.asarray(v, np.float64)
-        out.append(np.floor(256.0 * x) if np.isfinite(x).all() else None)
-    return out
+    offsets, missing = column.offsets.to_numpy(), column.is_null().to_numpy(zero_copy_only=False)
+    low = int(offsets[0]) if len(offsets) else 0
+    # nulls become NaN
+    values = column.values.slice(low, int(offsets[-1]) - low if len(offsets) else 0).cast(pa.float64()).to_numpy(zero_copy_only=False)
+    odd = np.concatenate([[0], np.cumsum(~np.isfinite(values))])
+    whole = np.floor(256.0 * np.where(np.isfinite(values), values, 0.0))
+    at = offsets - low
+    return [None if gone or odd[e] > odd[s] else whole[s:e] for gone, s, e in zip(missing.tolist(), at[:-1].tolist(), at[1:].tolist(), strict=True)]
 
 
 def segment_statistics(vectors: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
@@ -263,21 +263,28 @@ def exact_top_k(vectors: DataFrame, query: str, k: int = 5, id_column: str = "ve
     parts = max(1, -(-SHARES * int(spark.conf.get("spark.sql.shuffle.partitions")) // n_blocks))
     candidates = rows.mapInArrow(shipped, "block int, dim int, ids binary, data binary").withColumn("part", F.pmod(F.xxhash64("ids"), F.lit(parts)).cast("int"))
     copies = questions.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    pairs = candidates.join(copies.hint("shuffle_merge"), ["block", "dim", "part"]).select("block", "dim", "part", "ids", "data", "queries")
+    # a block's queries come once, ahead of its candidates
+    kind = lambda n, *more: ("block", "dim", "part", F.lit(n).alias("kind"), *more)
+    nothing = F.lit(None).cast("binary")
+    asked_first = copies.select(*kind(0, nothing.alias("ids"), nothing.alias("data"), "queries"))
+    then = candidates.select(*kind(1, "ids", "data", F.lit(None).cast(questions.schema["queries"].dataType).alias("queries")))
+    key = ["block", "dim", "part"]
+    meeting = asked_first.unionByName(then).repartition(*key).sortWithinPartitions(*key, "kind").select(*key, "ids", "data", "queries")
 
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, own = None, None
+        own = None
         for b in batches:
             for row in range(b.num_rows):
-                n, d, part, ids, data = (b.column(i)[row].as_py() for i in range(5))
-                if (n, d, part) != current:  # rows of one block of queries follow each other
-                    current, own = (n, d, part), opened(d, b.column(5)[row].as_py())
+                d, ids, data = (b.column(i)[row].as_py() for i in (1, 3, 4))
+                if ids is None:
+                    own = opened(d, b.column(5)[row].as_py())
+                    continue
                 queries, query_ids, floor = own
                 there = np.frombuffer(ids, np.int64)
                 found = search_block(queries, query_ids, from_bytes(data, len(there), d), there, k, floor)
                 yield pa.record_batch([pa.array(c, pa.int64()) for c in (zip(*found, strict=True) if found else ((), (), ()))], names=["query_id", "vec_id", "score"])
 
-    best = pairs.mapInArrow(searched, "query_id long, vec_id long, score long")
+    best = meeting.mapInArrow(searched, "query_id long, vec_id long, score long")
     ordered = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id")))
     best = best.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     top = best.groupBy("query_id").agg(F.slice(ordered, 1, k).alias("top"))
