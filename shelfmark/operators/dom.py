@@ -155,7 +155,11 @@ class _Builder:
         return node
 
     def in_scope(self, tags: frozenset[str] | set[str], more: frozenset[str] | set[str] = frozenset(), bounds: frozenset[str] = SCOPE) -> bool:
-        if not any(self.count[t] for t in tags):
+        count = self.count
+        for t in tags:
+            if count.get(t):
+                break
+        else:
             return False
         for node in reversed(self.open):
             if node.tag in tags:
@@ -190,7 +194,7 @@ class _Builder:
 
     def mode(self) -> str:
         """The innermost open element that decides on what may come."""
-        if not (self.count["table"] or self.count["select"]):
+        if not (self.count.get("table") or self.count.get("select")):
             return "body"
         for node in reversed(self.open):
             if node.tag in TABLE or node.tag in CELLS or node.tag in ("caption", "colgroup", "select"):
@@ -273,9 +277,15 @@ class _Builder:
 
     def adopt(self, tag: str) -> None:
         """The end of formatting that may be misnested: blocks that began in it take over what it held."""
-        if self.open[-1].tag == tag and not any(self.open[-1] is x for x in self.formats):
-            self.pop()
-            return
+        top = self.open[-1]
+        if top.tag == tag:  # nothing is misnested
+            if self.formats and self.formats[-1] is top:
+                self.formats.pop()
+                self.pop()
+                return
+            if not any(top is x for x in self.formats):
+                self.pop()
+                return
         for _ in range(8):
             node = self.format_of(tag)
             if node is None:
@@ -618,14 +628,16 @@ def _tag(page: str, at: int) -> tuple[dict[str, str], bool, int]:
     attributes: dict[str, str] = {}
     while True:
         m = _ATTRIBUTE.match(page, at)
-        if m is None or m.end() >= len(page) and not m[1]:
+        if m is None:
             return attributes, False, -1
-        if m[1]:
-            return attributes, "/" in page[m.start() : m.end()], m.end()
-        if (m[3] is not None and not m[4]) or (m[5] is not None and not m[6]):
-            return attributes, False, -1
-        attributes.setdefault(m[2].lower(), _REFERENCE.sub(_referred, next((v for v in (m[3], m[5], m[7]) if v is not None), "")))
+        end, name, double, closes, single, also_closes, plain = m.groups()
+        if end:
+            return attributes, "/" in m[0], m.end()
         at = m.end()
+        if at >= len(page) or (double is not None and not closes) or (single is not None and not also_closes):
+            return attributes, False, -1
+        value = double if double is not None else single if single is not None else plain or ""
+        attributes.setdefault(name.lower(), _REFERENCE.sub(_referred, value) if "&" in value else value)
 
 
 def parse(page: str | None) -> Node:
@@ -664,10 +676,15 @@ def parse(page: str | None) -> Node:
             waiting.append("<")
             at = mark + 1
             continue
-        attributes, closed, at = _tag(page, name.end())
-        if at < 0:  # what a page ends within is no tag
-            break
-        said()
+        at = name.end()
+        if page[at : at + 1] == ">":
+            attributes, closed, at = {}, False, at + 1
+        else:
+            attributes, closed, at = _tag(page, at)
+            if at < 0:  # what a page ends within is no tag
+                break
+        if waiting:
+            said()
         tag = name[0].lower()
         if follows == "/":
             builder.end(tag)
