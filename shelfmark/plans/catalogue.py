@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfmark.functions import tables, web
+from shelfmark.functions import sql, tables, web
 from shelfmark.functions import text as X
 from shelfmark.operators import cards, merge, nodes
 from shelfmark.operators.dom import of_class, of_tag, parse
@@ -302,6 +302,19 @@ def lateral_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql("SELECT p.page_id, n.pos, n.href, n.text FROM {pages} p, LATERAL list_nodes(p.html, 'a') n", pages=_table(spark, sf_dir, "pages"))
 
 
+def sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cards by SQL alone: a table function for their parts, and functions for what the parts say."""
+    tables.register(spark)
+    sql.register(spark)
+    pages = listing_pages(_table(spark, sf_dir, "customer"), _table(spark, sf_dir, "nation"))
+    return spark.sql(
+        """SELECT profile_id(c.profile_url) AS id, trim_space(c.name) AS name, issn(said, 'P') AS issn_print, issn(said, 'E') AS issn_electronic, subject_area(said) AS subject_area, collapse_space(c.rank) AS rank,
+            locale_number(get(filter(c.metrics, m -> m.label = 'Impact'), 0).number) AS impact, element_at(filter(c.links, x -> contains(lower(x.text), 'google scholar')), -1).href AS google_scholar_url
+        FROM {pages} p, LATERAL (SELECT *, collapse_space(d.ids) AS said FROM list_cards(p.html) d) c WHERE profile_id(c.profile_url) IS NOT NULL""",
+        pages=pages,
+    )
+
+
 def node_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of pages with their text, how many items the list around each has, and whether another item follows: nodes as rows."""
     rows = common_rows(nodes.nodes(_table(spark, sf_dir, "pages"), "page_id"))
@@ -363,7 +376,7 @@ QUERIES = {
     for f in (
         listing_roundtrip, listing_totals, page_heading, page_links, class_token, collapse_text, locale_number, pagination_totals, issn_subject, link_classify,
         metric_pivot, build_url, page_urls, content_hash, upsert_merge, change_report, resume_plan, run_summary, run_verdicts, progress_line, progress_table, empty_pages,
-        stored_listing, journal_export, retry_schedule, journal_merge, stream_upsert, listing_classes, listing_lateral, lateral_nodes, node_links, node_badges, node_metrics, stream_summary,
+        stored_listing, journal_export, retry_schedule, journal_merge, stream_upsert, listing_classes, listing_lateral, sql_functions, lateral_nodes, node_links, node_badges, node_metrics, stream_summary,
     )
 }
 
@@ -476,6 +489,11 @@ ORACLE_SQL = {
             CASE WHEN c_custkey % 3 = 0 THEN 4 ELSE 3 END AS links, CASE WHEN c_custkey % 5 = 0 THEN 'https://index.example.org/' || c_custkey ELSE '' END AS garuda_url, CAST(c_custkey % 90 AS VARCHAR) AS h5
         FROM customer JOIN nation ON c_nationkey = n_nationkey
     """,
+    "sql_functions": """
+        SELECT c_custkey AS id, c_name || ' & Co' AS name, lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS issn_print, lpad(CAST(c_custkey * 7 AS VARCHAR), 7, '0') || 'X' AS issn_electronic, c_mktsegment || ', ' || n_name AS subject_area,
+            'S' || (c_custkey % 6 + 1) || ' Accredited' AS rank, round(abs(c_acctbal), 2) AS impact, 'https://scholar.example.org/x' || c_custkey AS google_scholar_url
+        FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey > 0
+    """,
     "lateral_nodes": """
         WITH h AS (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1) AS l, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2) AS t FROM pages)
         SELECT page_id, CAST(i - 1 AS INTEGER) AS pos, replace(l[i], '&amp;', '&') AS href, replace(replace(replace(replace(t[i], '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&') AS text FROM h, unnest(range(1, len(l) + 1)) AS t2(i)

@@ -5,8 +5,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from shelfmark.functions import sql, web
 from shelfmark.functions import text as X
-from shelfmark.functions import web
 from shelfmark.sources.listing import page_url
 
 
@@ -78,3 +78,18 @@ def test_build_url(spark):
     assert got[1] == "https://h/p?page=9&x=2"
     assert got[2] == "https://h/p?f%5B0%5D=c%2A~&page=2"
     assert got[5] == "https://h/p?c=A&page=1"
+
+
+def test_sql_functions_are_the_expressions(spark):
+    sql.register(spark)
+    texts = ["", " ", "\xa0 a   b\x85", "14.902", " 104,00 ", "1,234,567", "1.0d", "abc", "-3,5e2", "/x/profile/12?y", "/profile/0", "/profile/99999999999999999999", "Google  Scholar", "my GOOGLE SCHOLAR website", "Editor URL Website", "P-ISSN : 1234567x | E-ISSN:12-34 Subject Area :  A, B ", "Page 1.000 of 1.678 | Total Records 16.772", "Page x", None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, t string")
+    calls = {
+        "collapse_space(t)": X.collapse_space(F.col("t")), "trim_space(t)": X.trim_space(F.col("t")), "locale_number(t)": X.locale_number(F.col("t")), "profile_id(t)": X.profile_id(F.col("t")), "link_kind(t)": X.link_kind(F.col("t")),
+        "issn(t, 'P')": X.issn(F.col("t"), "P"), "issn(t, 'E')": X.issn(F.col("t"), "E"), "subject_area(t)": X.subject_area(F.col("t")), "pagination_total(t, 2)": X.pagination_total(F.col("t"), 2), "pagination_total(t, 3)": X.pagination_total(F.col("t"), 3), "retry_wait(i + 1)": web.retry_wait(F.col("i") + 1),
+    }
+    got = rows.select(*(F.expr(c).alias(f"a{n}") for n, c in enumerate(calls)), *(c.alias(f"b{n}") for n, c in enumerate(calls.values())))
+    for r in got.collect():
+        assert [r[f"a{n}"] for n in range(len(calls))] == [r[f"b{n}"] for n in range(len(calls))]
+    plan = rows.selectExpr("locale_number(t)")._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "regexp_replace" in plan
