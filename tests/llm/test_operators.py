@@ -206,6 +206,25 @@ def test_toxicity_cases(spark, corpus):
     assert toxicity.score(docs.limit(0), model).isEmpty()
 
 
+def test_toxicity_of_a_very_long_text(spark):
+    """Two megabytes, scored whole: what stands at its end counts."""
+    long = words(1, 300_000, 5000)
+    bad = [(i, f"{words(i, 6)} vile slur {words(i + 50, 6)}") for i in range(30)]
+    good = [(100 + i, words(i + 500, 14)) for i in range(30)]
+    labels = spark.createDataFrame([(i, 1) for i, _ in bad] + [(i, 0) for i, _ in good], "doc_id long, toxic int")
+    model = toxicity.train(frame(spark, bad + good), labels)
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(frame(spark, [(1, long), (2, long + " vile slur" * 50_000), (3, "vile slur")]), model).collect()}
+    assert got[1] < got[2] and got[3] > 0.5 and all(0 <= x <= 1 for x in got.values())
+
+
+def test_rules_of_equal_length(spark):
+    """Of two rules of one length that fit, the first by verdict and then by host counts, wherever they stand in the list."""
+    pages = spark.createDataFrame([(1, "http://a.b/cd")], "page_id long, url string")
+    rules = [("block", "a.b", "/c"), ("allow", "a.b", "/c")]
+    seen = {tuple(urlfilter.filter_urls(pages, r).select("rule", "verdict").first()) for r in (rules, rules[::-1])}
+    assert len(seen) == 1
+
+
 def all_ids(rows):
     t = Tokenizer.from_file(WORDS)
     return [np.array([*t.encode(x or "", add_special_tokens=False).ids, 1], "<u4") for _, x in rows]

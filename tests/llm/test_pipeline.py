@@ -9,6 +9,7 @@ import pytest
 
 import corpus_pipeline
 from shelfmark.llm import toxicity
+from tests.llm.tables import words
 from tests.llm.test_operators import all_ids, components, grams
 from tests.llm.test_substrings import removed
 
@@ -73,3 +74,35 @@ def test_all_ids_are_packed(spark, stages):
         ends = np.cumsum([n for _, n in sorted(rows)])
         assert [o for o, _ in sorted(rows)] == [0, *ends[:-1]] and ends[-1] <= 2048
     assert Counter(map(tuple, corpus_pipeline.run(spark, DATA).drop("sequence_id", "offset").collect())) == Counter(tuple(v for k, v in r.asDict().items() if k not in ("sequence_id", "offset")) for r in pieces)
+
+
+def test_stages_in_a_row_on_odd_tables(spark, tmp_path):
+    """Nulls in every column, repeated rows, empty and long texts, null and repeated ids, and columns whose names hold dots or clash:
+    every stage but the last keeps the columns, and clean documents come through."""
+    passage = words(999, 60, 3000)
+    texts = [words(i, 80, 3000) for i in range(30)] + [f"{words(100 + i, 50, 3000)} {passage}" for i in range(4)] + [f"vile {words(200 + i, 30, 60)} slur" for i in range(25)]
+    rows = [(i, t, "en", "s", len(t), "k", "x", 1) for i, t in enumerate(texts)]
+    rows += [(None, words(50, 70, 3000), None, None, None, None, None, None), (None, None, None, None, None, None, None, None), (70, None, None, None, None, None, None, None), (71, "", "", "", 0, "", "", 0), (72, " \n", "", "", 2, "", "", 0)]
+    rows += [(3, texts[3], "en", "s", 9, "k", "x", 1)] * 2 + [(4, words(51, 40, 3000), "en", "s", 9, "k", "x", 1), (80, words(52, 60_000, 3000), "de", "t", 9, "k", "x", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, `a.b` string, kept string, cls int").repartition(5)
+    spark.createDataFrame([(i, 1, int(i >= 34)) for i in range(len(texts))], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.schema.simpleString() == docs.schema.simpleString(), name
+        path = f"{tmp_path}/{name}"
+        out.write.parquet(path)
+        docs = spark.read.parquet(path)
+        ids = {r["doc_id"] for r in docs.select("doc_id").collect()}
+        assert set(range(34)) | {None, 70, 71, 72, 80} <= ids, name
+        assert not ids & set(range(34, 59)), name
+    kept = {r["doc_id"]: (r["text"] or "").split() for r in docs.collect() if r["doc_id"] in range(30, 34)}
+    assert all(len(kept[i]) == (110 if i == 30 else 50) for i in kept) and docs.filter("doc_id = 3").count() == 1
+    name, last = corpus_pipeline.STAGES[-1]
+    packed = last(spark, docs, str(tmp_path)).collect()
+    total = {}
+    for r in packed:
+        total.setdefault((r["doc_id"], r["doc_tokens"]), []).append((r["start"], r["length"]))
+    assert {k[0] for k in total} == {r["doc_id"] for r in docs.select("doc_id").collect()}
+    assert all(sum(n for _, n in v) % k[1] == 0 for k, v in total.items())
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), str(tmp_path)).isEmpty()
