@@ -101,7 +101,7 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shelfmark.llm.prefixtrie import prefix_trie
 
-    return prefix_trie(_table(spark, sf_dir, "conversations"))
+    return prefix_trie(_table(spark, sf_dir, "conversations")).drop("position", "end")
 
 
 def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,4 +213,92 @@ ORACLE_SQL = {
         )
         SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <= 5
     """,
+    "op11_prefix_trie": r"""
+        WITH RECURSIVE own AS (
+            SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS p, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k,
+                len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS w
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), names AS (
+            SELECT DISTINCT c, CAST(c AS VARCHAR) AS s FROM own
+        ), convs AS (  -- CRC-32 of the decimal number, a step for each character and bit
+            SELECT c, c - c % 20 AS source, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(range(1, length(s) + 1), lambda i:
+                list_prepend(CAST(ord(substr(s, i, 1)) AS BIGINT), list_transform(range(8), lambda j: -1::BIGINT))))), lambda a, x:
+                CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, CASE WHEN a % 2 = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END) END), 4294967295::BIGINT) % 4 AS h
+            FROM names
+        ), heads AS (
+            SELECT v.c, o.p, o.k, o.w FROM convs v JOIN own o ON o.c = v.source AND o.p <= v.h
+        ), taken AS (
+            SELECT c, count(*) AS n FROM heads GROUP BY c
+        ), paths AS (
+            SELECT * FROM heads UNION ALL
+            SELECT o.c, o.p - v.h + coalesce(t.n, 0), o.k, o.w FROM own o JOIN convs v USING (c) LEFT JOIN taken t USING (c) WHERE o.p > v.h
+        ), prefixes AS (
+            SELECT c, w, list(k) OVER (PARTITION BY c ORDER BY p) AS node FROM paths
+        ), nodes AS (
+            SELECT node, min(c) AS conv_id, count(*) AS n_convs, max(w) AS w FROM prefixes GROUP BY node
+            UNION ALL SELECT CAST([] AS VARCHAR[]), min(c), count(*), 0 FROM convs HAVING count(*) > 0
+        ), parents AS (
+            SELECT *, CASE WHEN len(node) > 0 THEN node[1 : len(node) - 1] END AS up FROM nodes
+        ), children AS (
+            SELECT up AS node, count(*) AS n FROM parents WHERE up IS NOT NULL GROUP BY up
+        ), own_sums AS (
+            SELECT p.node, CASE WHEN c.n IS NULL THEN 1 ELSE 0 END AS leaf, (p.n_convs - 1) * p.w AS saved FROM parents p LEFT JOIN children c USING (node)
+        ), sums AS (
+            SELECT node[1 : d] AS node, sum(leaf) AS leaves, sum(saved) AS saved FROM own_sums, unnest(range(len(node) + 1)) AS t(d) GROUP BY 1
+        ), last AS (
+            SELECT v.c, coalesce(max_by(p.node, len(p.node)), CAST([] AS VARCHAR[])) AS node FROM convs v LEFT JOIN prefixes p USING (c) GROUP BY v.c
+        ), ends AS (
+            SELECT node, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c)) AS h FROM last GROUP BY node
+        )
+        SELECT n.conv_id, CAST(len(n.node) AS BIGINT) AS depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n, 0) AS n_children, CAST(s.leaves AS BIGINT) AS n_leaves,
+            CAST(s.saved AS BIGINT) AS saved_tokens, coalesce(e.h, sha256('')) AS ends_sha256
+        FROM parents n LEFT JOIN nodes u ON u.node = n.up LEFT JOIN children c ON c.node = n.node JOIN sums s ON s.node = n.node LEFT JOIN ends e ON e.node = n.node
+    """,
+    "op12_repair": r"""
+        WITH RECURSIVE given AS (
+            SELECT coalesce(CAST(conv_id AS VARCHAR), ' ') AS name, turn, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS s, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text FROM conversations
+        ), kinds AS (  -- CRC-32, a step for each character and bit
+            SELECT s, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(range(1, length(s) + 1), lambda i:
+                list_prepend(CAST(ord(substr(s, i, 1)) AS BIGINT), list_transform(range(8), lambda j: -1::BIGINT))))), lambda a, x:
+                CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, CASE WHEN a % 2 = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END) END), 4294967295::BIGINT) % 20 AS kind
+            FROM (SELECT DISTINCT s FROM given)
+        ), damaged AS (
+            SELECT name, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, n
+            FROM given JOIN kinds USING (s), unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS t(n) WHERE kind <> 0
+        ), placed AS (
+            SELECT *, row_number() OVER (PARTITION BY name ORDER BY turn NULLS FIRST, n) AS p FROM damaged
+        ), faulty AS (
+            SELECT *, substr(role, 1, 1) AS i, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank, row_number() OVER (PARTITION BY name, role, text ORDER BY p) > 1 AS again,
+                regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) NOT IN ('.', '!', '?') AS cut_off FROM placed
+        ), turns AS (
+            SELECT *, blank OR again AS must, CASE WHEN cut_off AND NOT blank AND NOT again THEN 1 ELSE 0 END AS late, lag(i) OVER (PARTITION BY name ORDER BY p) AS before FROM faulty
+        ), sizes AS (
+            SELECT name, max(p) AS n FROM turns GROUP BY name
+        ), walk(name, p, v) AS (  -- cheapest edits from a turn on, for nothing before it, s, u, and a
+            SELECT name, n, [{'c': 0, 'a': '', 'k': CAST([] AS VARCHAR[])}, {'c': 4, 'a': 'II', 'k': ['user:', 'assistant:']}, {'c': 2, 'a': 'I', 'k': ['assistant:']}, {'c': 0, 'a': '', 'k': CAST([] AS VARCHAR[])}] FROM sizes
+            UNION ALL
+            SELECT name, p - 1, [
+                list_sort([b[1], {'c': u.c + 2, 'a': 'I' || u.a, 'k': list_prepend('user:', u.k)}])[1], list_sort([b[2], {'c': u.c + 2, 'a': 'I' || u.a, 'k': list_prepend('user:', u.k)}])[1], u,
+                list_sort([b[4], {'c': b[3].c + 2, 'a': 'I' || b[3].a, 'k': list_prepend('user:', b[3].k)}])[1]]
+            FROM (
+                SELECT name, p, b, list_sort([b[3], {'c': b[4].c + 2, 'a': 'I' || b[4].a, 'k': list_prepend('assistant:', b[4].k)}])[1] AS u
+                FROM (
+                    SELECT name, p, list_transform(range(1, 5), lambda s: list_sort([
+                        {'c': v[s].c + 3, 'a': 'D' || v[s].a, 'k': v[s].k},
+                        CASE WHEN NOT must THEN {'c': v[CASE WHEN s = 3 THEN 4 ELSE 3 END].c + 2 + late, 'a': 'R' || v[CASE WHEN s = 3 THEN 4 ELSE 3 END].a,
+                            'k': list_prepend(CASE WHEN s = 3 THEN 'assistant:' ELSE 'user:' END || text, v[CASE WHEN s = 3 THEN 4 ELSE 3 END].k)} END,
+                        CASE WHEN NOT must AND ((i = 's' AND s = 1) OR (i = 'u' AND s <> 3) OR (i = 'a' AND s = 3)) THEN
+                            {'c': v[CASE i WHEN 's' THEN 2 WHEN 'u' THEN 3 ELSE 4 END].c + late, 'a': 'K' || v[CASE i WHEN 's' THEN 2 WHEN 'u' THEN 3 ELSE 4 END].a, 'k': list_prepend(role || ':' || text, v[CASE i WHEN 's' THEN 2 WHEN 'u' THEN 3 ELSE 4 END].k)} END
+                        ])[1]) AS b
+                    FROM walk JOIN turns USING (name, p)
+                )
+            )
+        ), counts AS (
+            SELECT name, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (again AND NOT blank) AS again, CAST(sum(late) AS BIGINT) AS late,
+                count(*) FILTER (before IS NOT NULL AND before || i NOT IN ('su', 'ua', 'au')) AS illegal FROM turns GROUP BY name
+        )
+        SELECT g.conv_id, coalesce(c.gaps, 0) AS gaps, coalesce(c.blank, 0) AS blank, coalesce(c.again, 0) AS duplicate, coalesce(c.late, 0) AS truncated, coalesce(c.illegal, 0) AS illegal,
+            CAST(coalesce(w.v[1].c, 0) AS BIGINT) AS cost, coalesce(w.v[1].a, '') AS audit, sha256(coalesce(array_to_string(w.v[1].k, chr(10)), '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id, coalesce(CAST(conv_id AS VARCHAR), ' ') AS name FROM conversations) g LEFT JOIN counts c USING (name) LEFT JOIN walk w ON w.name = g.name AND w.p = 0
+    """,
 }

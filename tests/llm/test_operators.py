@@ -352,7 +352,7 @@ def test_differencing():
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("pages", "embeddings", "documents"):
+    for t in ("pages", "embeddings", "documents", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
     got = queries.QUERIES[name](spark, DATA)
     want = con.execute(f"SELECT {', '.join(got.columns)} FROM ({queries.ORACLE_SQL[name]})").fetchall()
