@@ -169,12 +169,12 @@ def change_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def resume_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kinds of events stand for runs and users for pages, up to the largest; a run has completed the pages of its events of a value over
-    the mean, in two batches. What two of the runs have left."""
+    twice the mean, in two batches. What two of the runs have left."""
     events = _table(spark, sf_dir, "events")
     mean, most = events.agg(F.avg("value"), F.max("user_id")).first()
     catalog = Catalog(spark, f"{_scratch(spark)}/tables")
     for run in ("purchase", "click"):
-        pages = events.filter((F.col("event_type") == run) & (F.col("value") > mean)).select(F.col("user_id").cast("int").alias("page"))
+        pages = events.filter((F.col("event_type") == run) & (F.col("value") > 2 * mean)).select(F.col("user_id").cast("int").alias("page"))
         catalog.complete(run, pages.filter("page % 3 > 0"), "2024-01-01 00:00:00")
         catalog.complete(run, pages.filter("page % 3 < 2"), "2024-01-02 00:00:00")
     left = (resume.pages_to_fetch(spark, most or 0, catalog.completed(run)).select(F.lit(run).alias("run_key"), "page") for run in ("purchase", "click"))
@@ -430,7 +430,7 @@ ORACLE_SQL = {
     "change_report": "SELECT c_custkey AS id, CASE c_custkey % 10 WHEN 1 THEN 'added' WHEN 2 THEN 'removed' ELSE 'changed' END AS change FROM customer WHERE c_custkey % 10 IN (1, 2, 3)",
     "resume_plan": """
         SELECT run_key, CAST(i AS INTEGER) AS page FROM range(1, (SELECT max(user_id) + 1 FROM events)) t(i), (VALUES ('purchase'), ('click')) r(run_key)
-        WHERE NOT EXISTS (SELECT 1 FROM events WHERE event_type = run_key AND user_id = i AND value > (SELECT avg(value) FROM events))
+        WHERE NOT EXISTS (SELECT 1 FROM events WHERE event_type = run_key AND user_id = i AND value > 2 * (SELECT avg(value) FROM events))
     """,
     "run_summary": """
         WITH s AS (
