@@ -27,7 +27,7 @@ def placed(rows: DataFrame, group: str, *order: Column) -> DataFrame:
     numbered = cut(dealt(rows, F.col(group), *order).withColumn("place", F.row_number().over(inside).cast("long")))
     counts = numbered.groupBy(group, "part").agg(F.count("*").alias("n"))
     # only groups at the edges of ranges lie in several: no more rows than ranges twice over
-    several = cut(counts.withColumn("parts", F.count("*").over(Window.partitionBy(group))).filter("parts > 1"))
+    several = counts.withColumn("parts", F.count("*").over(Window.partitionBy(group))).filter("parts > 1")
     before = F.sum("n").over(Window.partitionBy(group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     offsets = several.select(F.col(group).alias("_group"), F.col("part").alias("_part"), F.coalesce(before, F.lit(0)).alias("_before"))
     found = numbered.join(F.broadcast(offsets), F.col(group).eqNullSafe(F.col("_group")) & (F.col("part") == F.col("_part")), "left")

@@ -69,33 +69,35 @@ def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([*b.columns[:4], pa.array(numbers, pa.int64()), pa.array(digests, pa.binary())], names=["conv", "place", "words", "part", "local", "digest"])
 
 
-def ranked(rows: DataFrame) -> DataFrame:
-    """(conv, place, words, rank), stored: rows have a binary `run`; rank is its place among the different ones, from 0."""
+def ranked(rows: DataFrame) -> tuple[DataFrame, int, int]:
+    """(conv, place, words, rank), stored: rows have a binary `run`; rank is its place among the different ones, from 0. Their number,
+    and the largest place."""
     order = dealt(rows.select("conv", "place", "words", "run"), F.col("run"), F.col("conv")).sortWithinPartitions("run", "conv")
     found = cut(order.select("conv", "place", "words", "part", "run").mapInArrow(lean(_numbered), "conv long, place long, words long, part int, local long, digest binary"))
-    edges = found.groupBy("part").agg(F.min_by("digest", "local").alias("first"), F.max_by("digest", "local").alias("last"), F.max("local").alias("most"))
+    edges = found.groupBy("part").agg(F.min_by("digest", "local").alias("first"), F.max_by("digest", "local").alias("last"), F.max("local").alias("most"), F.max("place").alias("longest")).collect()  # a row a range
     offsets, total, last = [], 0, None
-    for r in sorted(edges.collect(), key=lambda r: r["part"]):  # a row a range
+    for r in sorted(edges, key=lambda r: r["part"]):
         total -= r["first"] == last
         offsets.append((r["part"], total))
         total, last = total + r["most"] + 1, r["last"]
     before = rows.sparkSession.createDataFrame(offsets, "part int, before long")
-    return cut(found.join(F.broadcast(before), "part").select("conv", "place", "words", (F.col("local") + F.col("before")).alias("rank")))
+    rows = cut(found.join(F.broadcast(before), "part").select("conv", "place", "words", (F.col("local") + F.col("before")).alias("rank")))
+    return rows, total, max((r["longest"] for r in edges), default=0)
 
 
-def preorder(paths: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(conv, place, words, rank) of (conv, place, key, words), stored: rank is that of the node of the first `place` turns."""
+def preorder(paths: DataFrame, block: int = BLOCK) -> tuple[DataFrame, int]:
+    """(conv, place, words, rank) of (conv, place, key, words), stored: rank is that of the node of the first `place` turns. And how many
+    nodes there are."""
     running = Window.partitionBy("conv", F.floor((F.col("place") - 1) / block)).orderBy("place")
-    rows = ranked(paths.withColumn("run", F.unhex(F.array_join(F.collect_list("key").over(running), ""))))
-    longest = paths.agg(F.max("place")).first()[0] or 0
+    rows, total, longest = ranked(paths.withColumn("run", F.unhex(F.array_join(F.collect_list("key").over(running), ""))))
     size = block
     while longest > size:
         symbol = F.lpad(F.hex("rank"), 16, "0")
         earlier = Window.partitionBy("conv", F.floor((F.col("place") - 1) / (size * block))).orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
         ends = F.collect_list(F.when(F.col("place") % size == 0, symbol)).over(earlier)
-        rows = ranked(rows.withColumn("run", F.unhex(F.concat(F.array_join(ends, ""), symbol))))
+        rows, total, _ = ranked(rows.withColumn("run", F.unhex(F.concat(F.array_join(ends, ""), symbol))))
         size *= block
-    return rows
+    return rows, total
 
 
 def _member_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,18 +138,18 @@ def prefix_trie(conversations: DataFrame, block: int = BLOCK) -> DataFrame:
     repeated rows are turns each. Conversations without turns are members of the root. An empty table has no nodes.
     """
     convs, paths = rebuilt(turns_of(conversations))
-    rows = preorder(paths, block).withColumn("position", F.col("rank") + 1).drop("rank")
+    rows, count = preorder(paths, block)
+    rows = rows.withColumn("position", F.col("rank") + 1).drop("rank")
     last = cut(rows.groupBy("conv").agg(F.max("position").alias("last")))
     ended = spread_join(rows, "conv", last, F.xxhash64("position"))
     nodes = ended.groupBy("position").agg(F.min("conv").alias("conv_id"), F.max("place").alias("depth"), F.max("words").alias("words"), F.count("*").alias("n_convs"), F.max("last").alias("end"))
     # a node's parent is where its smallest member was a turn before
     steps = rows.select(F.col("conv").alias("conv_id"), (F.col("place") + 1).alias("depth"), F.col("position").alias("up"))
     nodes = nodes.join(steps, ["conv_id", "depth"], "left").withColumn("up", F.coalesce("up", F.lit(0).cast("long")))
-    count = rows.agg(F.max("position")).first()[0] or 0
     root = convs.agg(F.min("conv").alias("conv_id"), F.count("*").alias("n_convs")).filter("n_convs > 0")
     root = root.select(F.lit(0).cast("long").alias("position"), "conv_id", F.lit(0).cast("long").alias("depth"), F.lit(0).cast("long").alias("words"), "n_convs", F.lit(count).cast("long").alias("end"), F.lit(None).cast("long").alias("up"))
     sums = {"leaves": (F.col("end") == F.col("position")).cast("long"), "saved": (F.col("n_convs") - 1) * F.col("words")}
-    summed = cut(prefix_sums(nodes.select(root.columns).unionByName(root), "position", count + 1, sums))
+    summed = prefix_sums(nodes.select(root.columns).unionByName(root), "position", count + 1, sums)
     at_end = summed.select(F.col("position").alias("end"), F.col("leaves").alias("leaves_end"), F.col("saved").alias("saved_end"))
     with_end = spread_join(summed, "end", at_end, F.col("position"))
     parents = summed.select(F.col("position").alias("up"), F.col("conv_id").alias("parent_conv_id"))

@@ -104,7 +104,7 @@ def test_trie_of_few(spark):
 
 def test_one_conversation_in_several_ranges(spark):
     """A third of all rows in one conversation, and many in one node: places go on over ranges."""
-    rows = [(1, t, "user", f"{t}") for t in range(2000)] + [(c, 0, "user", "hello there") for c in range(1000, 3000)] + [(c, t, "user", f"{c}") for c in range(5000, 6000) for t in range(2)]
+    rows = [(1, t, "user", f"{t}") for t in range(300)] + [(c, 0, "user", "hello there") for c in range(1000, 1300)] + [(c, t, "user", f"{c}") for c in range(5000, 5100) for t in range(2)]
     assert Counter(map(tuple, prefixtrie.prefix_trie(frame(spark, rows, 5)).select(TRIE).collect())) == plain_trie(rows)
     got = ordered.placed(frame(spark, rows, 5).select("conv_id", "turn"), "conv_id", F.col("turn")).collect()
     assert all(r["place"] == r["turn"] + 1 for r in got) and len(got) == len(rows)
