@@ -25,6 +25,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--min-delay", type=float, default=3.0, help="seconds")
     p.add_argument("--max-delay", type=float, default=8.0, help="seconds")
     p.add_argument("--refetch-empty", action="store_true", help="don't mark pages without cards as completed")
+    p.add_argument("--verbose", action="store_true", help="log every stored page")
     return p
 
 
@@ -34,6 +35,7 @@ def main(args: list[str] | None = None, transport=None) -> int:
     if a.workers <= 0:
         p.error("--workers must be over 0")
     logging.basicConfig(level=logging.INFO)
+    logging.getLogger("shelfmark").setLevel(logging.DEBUG if a.verbose else logging.INFO)
     spark = SparkSession.builder.appName("shelfmark").getOrCreate()
     more = {"transport": transport} if transport else {}
     with Catalog(spark, a.db) as catalog:
