@@ -1,7 +1,8 @@
 """Tables of keyed rows that batches are merged into.
 
-A batch is one new folder of Parquet files, however large the table is; reading takes the last row of each key. Every
-COMPACT batches, the table is written anew as one folder, and folders before the one before it are removed. A folder
+A batch is one new folder of Parquet files, however large the table is; reading takes the last row of each key. After COMPACT
+batches or more that hold as many bytes as the table did, it is written anew as one folder, so that all rewriting together is in
+proportion to what came; folders before the one before it are removed. A folder
 counts once Spark has put its success mark there, so that a write that breaks off leaves the table as it was, and
 nothing overwrites files that are being read. The next write takes a number above what is left of it, and removes that once
 it is done itself. Folders may lie in any store that Spark reads. One writer at a time: of two, one fails, as its folder
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from shelfmark.operators.merge import last_of_each, stamped
 from shelfmark.schemas import BATCHES, JOURNALS, PROGRESS, names
 
-#: Batches after which a table is written anew.
+#: Batches after which a table is written anew, at the earliest.
 COMPACT = 16
 #: A table's folders: their number and kind.
 FOLDER = re.compile(r"/folder=(\d+)-(base|batch)(?:/_SUCCESS)?$")
@@ -48,6 +49,10 @@ class Table:
     def _name(self, number: int, kind: str) -> str:
         return f"{self.path}/folder={number:08d}-{kind}"
 
+    def _bytes(self, folder: tuple[int, str]) -> int:
+        path, store = self._store(self._name(*folder))
+        return store.getContentSummary(path).getLength()
+
     def version(self) -> int:
         """Number of the latest finished folder; 0 if there is none."""
         return max((n for n, _ in self._folders()), default=0)
@@ -91,10 +96,11 @@ class Table:
         self.tidy()
 
     def tidy(self) -> None:
-        """Writes the table anew after COMPACT batches, and removes what no reader needs."""
+        """Writes the table anew once COMPACT batches and as many bytes as it held have come, and removes what no reader needs."""
         folders = self._folders()
         bases = [n for n, kind in folders if kind == "base"]
-        if len(folders) - (folders.index((bases[-1], "base")) + 1 if bases else 0) >= self.compact:
+        fresh = folders[folders.index((bases[-1], "base")) + 1 :] if bases else folders
+        if len(fresh) >= self.compact and (not bases or sum(map(self._bytes, fresh)) >= self._bytes((bases[-1], "base"))):
             self._append(self.read(), "base")
             for old in [x for x in folders if bases and x[0] < bases[-1]]:  # readers of the base before this one may go on
                 path, store = self._store(self._name(*old))

@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfmark.plans.harvest import now, store_pages
+from shelfmark.sources.listing import PACKED
 from shelfmark.sources.tables import Catalog
 from shelfmark.streaming.log import StreamLog
 
 #: The first digits of a file's name.
 NUMBERED = r"(\d+)[^/]*$"
+#: Bytes of files of many pages in a batch, about: some thousand pages of such a file's size, packed.
+BYTES_PER_BATCH = 32 << 20
 
 
 def landed_pages(spark: SparkSession, folder: str, files_per_batch: int = 100, pattern: str = NUMBERED) -> DataFrame:
@@ -24,11 +27,18 @@ def landed_pages(spark: SparkSession, folder: str, files_per_batch: int = 100, p
     return found.filter("page is not null")
 
 
-def start(spark: SparkSession, folder: str, catalog: Catalog, run_key: str, checkpoint: str, time: datetime | None = None, pattern: str = NUMBERED, files_per_batch: int = 100, listener: StreamLog | None = None) -> StreamingQuery:
+def packed_stream(spark: SparkSession, folder: str, bytes_per_batch: int = BYTES_PER_BATCH) -> DataFrame:
+    """Stream of page, url and html from files of many pages (write_pages()): batches are bounded in bytes, so that their count, and
+    what a batch costs besides its pages, doesn't go with the count of pages."""
+    files = spark.readStream.schema(PACKED).option("maxBytesPerTrigger", bytes_per_batch).parquet(folder)
+    return files.select("page", F.col("_metadata.file_path").alias("url"), "html").filter("page is not null")
+
+
+def start(spark: SparkSession, folder: str, catalog: Catalog, run_key: str, checkpoint: str, time: datetime | None = None, pattern: str = NUMBERED, files_per_batch: int = 100, listener: StreamLog | None = None, packed: bool = False) -> StreamingQuery:
     """Merges all files that are there and ends. Progress is logged batch by batch. A batch that is run again, after a crash, has the time of its first attempt and
     so the same result; one that was stored already is left out.
 
-    time: in place of the present, for every batch.
+    time: in place of the present, for every batch. packed: files hold many pages each (packed_stream()).
     """
 
     def store(batch: DataFrame, number: int) -> None:
@@ -41,7 +51,8 @@ def start(spark: SparkSession, folder: str, catalog: Catalog, run_key: str, chec
 
     said = listener or StreamLog()
     spark.streams.addListener(said)
-    query = landed_pages(spark, folder, files_per_batch, pattern).writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    pages = packed_stream(spark, folder) if packed else landed_pages(spark, folder, files_per_batch, pattern)
+    query = pages.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     said.query = str(query.id)
     threading.Thread(target=_done, args=(spark, query, said), daemon=True).start()
     return query
