@@ -12,6 +12,8 @@ from shelfmark.functions import text as X
 from shelfmark.operators.dom import Node, of_class, of_tag, parse
 from shelfmark.schemas import RECORD, names
 
+#: Characters of html after which the parts that were taken are sent on.
+MANY = 1 << 20
 LINK = pa.struct([("text", pa.string()), ("href", pa.string())])
 METRIC = pa.struct([("label", pa.string()), ("number", pa.string())])
 CARD = pa.struct([
@@ -77,11 +79,23 @@ def raw_pages(pages: DataFrame) -> DataFrame:
     """page, pagination (raw text, empty if there is none) and cards (raw parts) of pages with page and html."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+        kinds = {"page": pa.int32(), "pagination": pa.string(), "cards": pa.list_(CARD)}
+        made = lambda: pa.record_batch([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds.values())], names=list(kinds))
+        held = 0
         for b in batches:
-            trees = [parse(x) for x in b.column(1).to_pylist()]
-            notes = [t.first(of_class("pagination-text")) for t in trees]
-            cards = [[raw_card(c) for c in find_cards(t)] for t in trees]
-            yield pa.record_batch([b.column(0), pa.array([n.text() if n else "" for n in notes], pa.string()), pa.array(cards, pa.list_(CARD))], names=["page", "pagination", "cards"])
+            for number, html in zip(b.column(0), b.column(1), strict=True):  # a tree at a time, however many pages a batch has
+                page = html.as_py()
+                tree = parse(page)
+                note = tree.first(of_class("pagination-text"))
+                rows.append((number.as_py(), note.text() if note else "", [raw_card(c) for c in find_cards(tree)]))
+                held += len(page or "")
+                if held >= MANY:
+                    yield made()
+                    rows.clear()
+                    held = 0
+        if rows:
+            yield made()
 
     return pages.select(F.col("page").cast("int").alias("page"), "html").mapInArrow(read, f"page int, {RAW}")
 
