@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +48,7 @@ def difference(sizes: list[int], count: int) -> list[list[int]]:
         else:  # heaviest against lightest: the heaviest of each meet the other's empty subsets
             meet = [(a[0] + b[0], (a[1], b[1])) for a, b in zip(one[len(one) - over :], reversed(two[len(two) - over :]), strict=True)]
             merged = one[: len(one) - over] + meet + two[: len(two) - over]
-        merged.sort(key=lambda x: -x[0])
+        merged.sort(key=itemgetter(0), reverse=True)
         least = merged[-1][0] if len(merged) == count else 0
         heapq.heappush(heap, (least - merged[0][0], serial, merged))
         serial += 1

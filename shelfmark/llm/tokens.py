@@ -6,8 +6,10 @@ repeat, so each Python worker keeps the ids of the words that it met last and se
 
 from __future__ import annotations
 
+import codecs
 import os
 from array import array
+from string import punctuation
 
 import numpy as np
 
@@ -20,7 +22,8 @@ _encoders: dict[str, "WordEncoder"] = {}
 _printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 #: Letters below this are in normal form, and become small one by one.
 LATIN = "\u0250"
-BYTE_NAMES = dict(zip((b for b in range(256) if b not in _printable), range(256, 512)))
+_others = iter(range(256, 512))
+BYTE_NAMES = "".join(chr(b if b in _printable else next(_others)) for b in range(256))
 
 
 class WordEncoder(dict):
@@ -51,20 +54,24 @@ class WordEncoder(dict):
         if len(word) > LONGEST:
             return ids
         if len(self) >= self.most:  # words that are met again come back from the older ones
-            self.older = dict(self)
+            self.older = self.copy()
             self.clear()
         self[word] = ids
         return ids
 
     def _new(self, word: str) -> bytes:
         if self.letters and word.isalpha():
-            plain = word.lower() if max(word) < LATIN else self.normalise(word)
+            plain = word.lower() if word.isascii() or max(word) < LATIN else self.normalise(word)
+            if plain != word and (ids := self.get(plain) or self.older.get(plain)) is not None:
+                return ids
             if plain.isascii():
                 return array("I", [x.id for x in self.tokenize(plain)]).tobytes()
             if plain.isalpha():
-                return array("I", [x.id for x in self.tokenize(plain.encode().decode("latin-1").translate(BYTE_NAMES))]).tobytes()
-        elif self.letters and len(word) > 1 and word[-1] in ".,;:!?" and self._ends_in_letter(word[-2]):
-            return self[word[:-1]] + self[word[-1]]  # the vocabulary's splitting ends words of letters there
+                return array("I", [x.id for x in self.tokenize(codecs.charmap_decode(plain.encode(), "strict", BYTE_NAMES)[0])]).tobytes()
+        elif self.letters:
+            base = word.rstrip(punctuation)
+            if base and len(base) < len(word) and self._ends_in_letter(base[-1]):
+                return self[base] + self[word[len(base) :]]  # the vocabulary's splitting ends words of letters there
         return array("I", self.library.encode(word, add_special_tokens=False).ids).tobytes()
 
     def _ends_in_letter(self, c: str) -> bool:
