@@ -4,9 +4,9 @@ A factor of a document is a run of words that also stands earlier: in a document
 the same one. Factors of `size` words or more are found exactly, whatever their number of copies:
 
 1. Every window of `size` words has an anchor, the n-gram of least rank inside it, so that equal windows have equal
-   anchors. Rank is a hash, and n-grams that are frequent in a sample come after all others: a window over the edge
+   anchors. Rank is a hash, and n-grams that are frequent in the texts come after all others: a window over the edge
    of a common passage then has an anchor outside it. Anchors are dealt by hash; those that stand in one place alone
-   belong to no repeated window. Frequent ones are repeated by what the sample shows and aren't sent.
+   belong to no repeated window. Frequent ones are repeated by their counts and aren't sent.
    Whole documents ride along by 128 bits of hashes of all their words: later copies are one factor each.
 2. The windows of a repeated anchor's place are one segment of text. Segments are dealt by their anchors, and gathered
    anchor by anchor into reference blocks. A block's index holds every word sequence of `size` words or more of its
@@ -37,9 +37,9 @@ from shelfmark.llm.common import NO_ID, lean, mixed, packed, ranged_hashes, slic
 
 #: Words of an anchor, as long as windows have twice as many.
 ANCHOR = 8
-#: About so many bytes of text are the sample, and n-grams with more than HOT places in it are frequent: at most a HOT-th of its words.
-#: Both steer what is sent where; which windows are repeated doesn't hang on them.
-SAMPLE, HOT = 32 << 20, 8
+#: N-grams with more than HOT places for each SHARE bytes of text are frequent: at most a HOT-th of a share's words. They are counted
+#: PART bytes at a time. This steers what is sent where; which windows are repeated doesn't hang on it.
+SHARE, HOT, PART = 32 << 20, 8, 16 << 20
 #: Groups of anchors for each partition of a shuffle, at least, and bytes of text for one, at most about.
 BLOCKS, BLOCK_BYTES = 4, 12 << 20
 #: Bytes of segments in a reference block; the segments of one anchor stay together.
@@ -83,21 +83,35 @@ def among(values: np.ndarray, some: np.ndarray) -> np.ndarray:
     return some[np.minimum(np.searchsorted(some, values), len(some) - 1)] == values if len(some) else np.zeros(len(values), bool)
 
 
-def _frequent(texts: DataFrame, size: int, share: float) -> np.ndarray:
-    """The frequent n-grams, in order."""
+def _frequent(texts: DataFrame, size: int, most: float) -> np.ndarray:
+    """The n-grams that have more than `most` places in all texts, in order. Every text is read and every n-gram counted, PART bytes of
+    a task at a time; a part tells of those that have two places in it and their share of a frequent one's, so that counts may
+    be short by what is rare in a part."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, held, kept = anchor_words(size), 0, []
+
+        def told() -> pa.RecordBatch:
+            hashes, counts = np.unique(np.concatenate(kept), return_counts=True)
+            some = counts >= max(2, HOT * held / SHARE)
+            return pa.record_batch([pa.array(hashes[some].view(np.int64)), pa.array(counts[some], pa.int64())], names=["hash", "places"])
+
         for batch in batches:
             for b in slices(batch):
-                w = Windows(b.column(0), size, np.empty(0, np.uint64))
-                n = anchor_words(size)
-                inside = np.maximum(np.diff(w.first) - n + 1, 0)
-                at = np.arange(inside.sum()) - np.repeat(np.cumsum(inside) - inside, inside) + np.repeat(w.first[:-1], inside)
-                hashes, counts = np.unique(w.grams[at], return_counts=True)
-                yield pa.record_batch([pa.array(hashes.view(np.int64)), pa.array(counts, pa.int64())], names=["hash", "places"])
-
-    some = texts.sample(share, seed=1) if share < 1 else texts
-    found = some.mapInArrow(lean(counted), "hash long, places long").groupBy("hash").agg(F.sum("places").alias("places")).filter(F.col("places") > HOT)
+                data, offsets = text_bytes(b.column(0))
+                starts, ends, first = word_spans(data, offsets)
+                inside = np.maximum(np.diff(first) - n + 1, 0)
+                at = np.arange(inside.sum()) - np.repeat(np.cumsum(inside) - inside, inside) + np.repeat(first[:-1], inside)
+                kept.append(window_hashes(word_hashes(data, starts, ends), n)[at])
+                held += len(data)
+                if held >= PART:
+                    yield told()
+                    kept.clear()
+                    held = 0
+        if kept:
+            yield told()
+
+    found = texts.mapInArrow(lean(counted), "hash long, places long").groupBy("hash").agg(F.sum("places").alias("places")).filter(F.col("places") > most)
     return np.sort(np.array([r["hash"] for r in found.select("hash").collect()], np.int64).view(np.uint64))
 
 
@@ -369,7 +383,7 @@ def repeated_factors(docs: DataFrame, size: int = 20) -> DataFrame:
     sizes = docs.agg(F.sum(F.octet_length("text").cast("long")).alias("bytes")).first()
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = max(BLOCKS * partitions, (sizes["bytes"] or 0) // BLOCK_BYTES)
-    shared = docs.sparkSession.sparkContext.broadcast(_frequent(docs.select("text"), size, SAMPLE / max(1, sizes["bytes"] or 0)))
+    shared = docs.sparkSession.sparkContext.broadcast(_frequent(docs.select("text"), size, HOT * max(1, (sizes["bytes"] or 0) / SHARE)))
     marks = docs.select("doc", "row", "text").mapInArrow(lean(_anchors(size, blocks, shared)), ANCHORS).groupBy("block").applyInArrow(_repeated, "doc long, row long, pos int")
     own = marks.groupBy("doc", "row").agg(F.min("pos").alias("least"), F.collect_list("pos").alias("marks"))
     copies = own.filter("least < 0").select("doc", "row", F.lit(-1).alias("start"), F.lit(0).alias("windows"), F.lit(None).cast("long").alias("ref_doc"), F.lit(None).cast("int").alias("ref_start"))
