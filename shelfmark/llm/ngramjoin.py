@@ -6,13 +6,16 @@ Two documents link when 100 * intersection >= percent * union of their sets of w
 2. N-grams have one global order: those that are known to be very frequent last, by hash otherwise. Linked sets
    share an n-gram among the first n - ceil(percent * n / 100) + 1 of each, their prefixes. Rare n-grams of the
    prefixes yield candidate pairs, of which those go that share too few prefix n-grams for their sizes. Classes
-   that meet in a frequent n-gram of their prefixes (large groups of near copies) are candidates as a whole.
+   that meet in a frequent n-gram of their prefixes (large groups of near copies) are candidates as a whole, but
+   for those whose prefixes have fewer frequent n-grams than any of the sizes met there would have to share.
 3. Connected candidates form families. There a trie holds the ordered sets of a block, equal beginnings once. Other
    sets walk the trie with the overlap so far, and leave a subtree when what remains on either side cannot reach the
    needed overlap, or when all below is linked with it already. A task emits what its links span, not the pairs.
    A family of several blocks is joined in two steps, as most of a group of near copies hangs together by few of its
    links: first each block with itself and with a few sets that all blocks get; then what is not in the family's
    largest component yet meets all blocks. Sets that are both in that component need no test.
+   In a family of many blocks step 2 comes once more before that, with n-grams counted in its whole sets: the counts of
+   the first pass know beginnings only, so that sets with a passage in common stay candidates as a whole there.
 4. The components of these edges are the result.
 
 Which n-grams are called frequent changes the work, never the result: at most HOT_MOST are, and lists of others
@@ -29,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import NO_ID, cut, lean, packed, shared_dir, slices, spread_join, text_bytes, unpacked, window_hashes, word_hashes, word_spans
+from shelfmark.llm.common import NO_ID, cut, lean, mixed, packed, shared_dir, slices, spread_join, text_bytes, unpacked, window_hashes, word_hashes, word_spans
 from shelfmark.llm.graph import Forest, components
 
 #: A list of more sets than this is frequent. Most n-grams that are broadcast as frequent (8 bytes each).
@@ -38,6 +41,8 @@ HOT, HOT_MOST = 64, 1 << 18
 BLOCK, BLOCK_GRAMS, LEFT = 32, 1 << 21, 512
 #: Sets of a large family that all of its blocks get.
 PIVOTS = 4
+#: Candidates are sought anew in families of more blocks than this. Ranges of sizes on either side of a set's own.
+WIDE, RANGES = 8, 31
 #: Bits of the sieve that keeps most texts without a family from being shipped; a power of two.
 SIEVE = 1 << 22
 ROWS = "doc_id long, key long, row long, cls long, n long, rare int, tokens binary, check long"
@@ -71,6 +76,24 @@ def overlap(n: np.ndarray | int, m: np.ndarray | int, percent: int):
     return -(-percent * (n + m) // (100 + percent))
 
 
+def shared_in_prefixes(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
+    """Least number of n-grams that linked sets of n and m share in their prefixes."""
+    return np.maximum(1, overlap(n, m, percent) - np.maximum(needed(n, percent), needed(m, percent)) + 1)
+
+
+def _prefix(found: np.ndarray, hot: tuple[np.ndarray, np.ndarray], percent: int) -> tuple[int, np.ndarray]:
+    """A set's prefix: how many rare n-grams it has, and those, then frequent ones by their ranks. hot: frequent n-grams, and ranks."""
+    frequent, ranks = hot
+    count = len(found) - needed(len(found), percent) + 1
+    if not len(frequent):
+        return len(found[:count]), found[:count]
+    place = np.minimum(np.searchsorted(frequent, found), len(frequent) - 1)
+    is_hot = frequent[place] == found
+    rare = found[~is_hot][:count]
+    order = np.argsort(ranks[place[is_hot]])[: count - len(rare)]
+    return len(rare), np.concatenate([rare, found[is_hot][order]])
+
+
 def _digest(found: np.ndarray) -> tuple[int, int]:
     """128 bits of a set, as two longs: its class, and what tells classes of equal number apart."""
     whole = xxhash.xxh3_128_intdigest(found.tobytes())
@@ -97,87 +120,158 @@ def _rows(size: int, percent: int, hot):
     """ROWS: the hash and size of each row's set, and its prefix: rare n-grams, then frequent ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = hot.value
         for b in batches:
             made: list[tuple] = []
             for found in shingle_sets(b, size, 3):
-                count = len(found) - needed(len(found), percent) + 1
-                is_hot = frequent[np.minimum(np.searchsorted(frequent, found), len(frequent) - 1)] == found if len(frequent) else np.zeros(len(found), bool)
-                rare = found[~is_hot][:count]
-                tokens = np.concatenate([rare, found[is_hot][: count - len(rare)]])
+                rare, tokens = _prefix(found, hot.value, percent)
                 cls, check = _digest(found) if len(found) else (None, None)
-                made.append((cls, len(found), len(rare), tokens.tobytes(), check))
+                made.append((cls, len(found), rare, tokens.tobytes(), check))
             kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64()]
             yield pa.record_batch([*b.columns[:3], *(pa.array([x[i] for x in made], k) for i, k in enumerate(kinds))], names=[x.split()[0] for x in ROWS.split(", ")])
 
     return run
 
 
+def _prefixes(b: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    """From cls, n, rare and tokens, equal sets once: these three, the n-grams of all prefixes, and of each its set and place there."""
+    _, once = np.unique(b.column(0).to_numpy(), return_index=True)
+    cls, n, rare = (b.column(i).to_numpy()[once] for i in range(3))
+    blobs = b.column(3).take(pa.array(once)).to_pylist()
+    sizes = np.array([len(x) // 8 for x in blobs], np.int64)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    place = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    return cls, n, rare, np.frombuffer(b"".join(blobs), np.int64), owner, place
+
+
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From cls, n, rare and tokens: (deal, token, cls, n, loose, hot) for each n-gram of each prefix; equal sets of a batch once.
-    Frequent ones are dealt by row, not n-gram. loose: whether the prefix has frequent n-grams."""
+    """From cls, n, rare and tokens: (token, cls, n, hot) for each rare n-gram of each prefix; equal sets of a batch once. hot: how
+    many frequent n-grams the prefix has."""
     for b in batches:
-        _, once = np.unique(b.column(0).to_numpy(), return_index=True)
-        cls, n, rare = (b.column(i).to_numpy()[once] for i in range(3))
-        blobs = b.column(3).take(pa.array(once)).to_pylist()
-        sizes = np.array([len(x) // 8 for x in blobs], np.int64)
-        tokens = np.frombuffer(b"".join(blobs), np.int64)
-        owner = np.repeat(np.arange(len(sizes)), sizes)
-        place = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        hot = place >= rare[owner]
-        columns = [np.where(hot, tokens * 31 + owner, tokens), tokens, cls[owner], n[owner].astype(np.int32), (rare < sizes)[owner], hot]
-        yield pa.record_batch([pa.array(x) for x in columns], names=["deal", "token", "cls", "n", "loose", "hot"])
+        cls, n, rare, tokens, owner, place = _prefixes(b)
+        hot = np.bincount(owner, minlength=len(cls)) - rare
+        own = owner[keep := place < rare[owner]]
+        yield pa.record_batch([pa.array(x) for x in (tokens[keep], cls[own], n[own].astype(np.int32), hot[own].astype(np.int32))], names=["token", "cls", "n", "hot"])
 
 
 def _candidates(percent: int):
-    """From postings in order of deal: (a, b, share, whole) candidate pairs, and with whole, (n-gram, class) members of long
-    lists. share: n-grams that a and b must share in their prefixes."""
+    """From postings in order of token: (a, b, share, whole) candidate pairs, and with whole, (n-gram, class) members of long
+    lists. share: rare n-grams that a and b must share in their prefixes, if they share all frequent ones there."""
+    kinds = [np.int64, np.int64, np.int64, np.bool_]
+
+    def batch(*columns: np.ndarray) -> pa.RecordBatch:
+        a, b, share, whole = (x.astype(k) for x, k in zip(columns, kinds, strict=True))
+        return pa.record_batch([pa.array(a), pa.array(b), pa.array(share.astype(np.int32)), pa.array(whole)], names=["a", "b", "share", "whole"])
+
+    def members(token: np.ndarray, cls: np.ndarray) -> pa.RecordBatch:
+        return batch(token, cls, np.ones(len(token)), np.ones(len(token)))
+
+    def once(columns: list[np.ndarray]) -> list[np.ndarray]:
+        """Rows in order of n-gram and class, equal ones once."""
+        token, cls = columns[:2]
+        order = np.lexsort((cls, token))
+        token, cls = token[order], cls[order]
+        return [x[order[np.append(True, (token[1:] != token[:-1]) | (cls[1:] != cls[:-1]))[: len(order)]]] for x in columns]
+
+    def lists(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        """What whole lists yield."""
+        token, cls, n, hot = once(columns)
+        starts = np.flatnonzero(np.append(True, token[1:] != token[:-1])[: len(token)])
+        sizes = np.diff(np.append(starts, len(token)))
+        ends, many = np.repeat(starts + sizes, sizes), np.repeat(sizes > HOT, sizes)
+        if many.any():
+            yield members(token[many], cls[many])
+        left, step, found = np.flatnonzero(~many), 1, []
+        while len(left := left[left + step < ends[left]]):  # pairs of places that are so far apart
+            right = left + step
+            fit = 100 * np.minimum(n[left], n[right]) >= percent * np.maximum(n[left], n[right])
+            i, j = left[fit], right[fit]
+            found.append((cls[i], cls[j], np.maximum(1, shared_in_prefixes(n[i], n[j], percent) - np.minimum(hot[i], hot[j]))))
+            step += 1
+        if found:
+            pairs = [np.concatenate(x) for x in zip(*found, strict=True)]
+            yield batch(*pairs, np.zeros(len(pairs[0])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["a", "b", "share", "whole"]
+        held, long = [np.empty(0, np.int64)] * 4, None  # rows of the last n-gram, whose list may go on; one whose list is long
+        for b in batches:
+            columns = [np.concatenate([x, b.column(i).to_numpy().astype(np.int64)]) for i, x in enumerate(held)]
+            token = columns[0]
+            if not len(token):
+                continue
+            first = int(np.searchsorted(token != long, True)) if long is not None else 0
+            if first:
+                yield members(token[:first], columns[1][:first])
+            same = np.append(False, token[1:] == token[:-1])
+            last = int(np.flatnonzero(~same)[-1]) if first < len(token) else first
+            several = same | np.append(same[1:], False)
+            several[:first], several[last:] = False, False
+            if several.any():
+                yield from lists([x[several] for x in columns])
+            held, long = once([x[last:] for x in columns]), None if first < len(token) else long
+            if len(held[0]) > HOT:
+                yield members(*held[:2])
+                held, long = [np.empty(0, np.int64)] * 4, int(token[-1])
+        yield from lists(held)
+
+    return run
 
-        def pairs(rows: list[tuple]) -> Iterator[tuple]:
-            rows = sorted(set(rows))
-            for i, (a, n, la) in enumerate(rows):
-                for b, m, lb in rows[i + 1 :]:
-                    if 100 * min(n, m) >= percent * max(n, m):
-                        tail = max(needed(n, percent), needed(m, percent)) - 1
-                        yield a, b, 1 if la or lb else max(1, overlap(n, m, percent) - tail), False
 
-        def batch(rows: list[tuple]) -> pa.RecordBatch:
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.bool_()]
-            return pa.record_batch([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
+def _spots(percent: int):
+    """From cls, n, rare and tokens: (token, cls, bucket, mask) for frequent n-grams of each prefix. bucket: the range of n, of which
+    RANGES hold all sizes that a set can link with on one side. mask: in which buckets, by their distance from the own one (RANGES is
+    added), sets may have so few n-grams to share with this one that they share one of its frequent ones up to here, and no rare one:
+    where s must be shared and it has h, among the first h - s + 1."""
+    width = max(np.log(100 / percent), 1e-6) / (RANGES - 0.5)
 
-        current, waiting, long = None, [], False
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out: list[tuple] = []
-            tokens, classes, flags = (b.column(i).to_numpy(zero_copy_only=False) for i in (1, 2, 5))
-            sizes, loose = b.column(3).to_pylist(), b.column(4).to_pylist()
-            for i, (t, c, hot) in enumerate(zip(tokens.tolist(), classes.tolist(), flags.tolist(), strict=True)):
-                if hot:
-                    out.append((t, c, 1, True))
-                    continue
-                if t != current:
-                    if len(waiting) > 1:
-                        out += pairs(waiting)
-                    current, waiting, long = t, [], False
-                if long:
-                    out.append((t, c, 1, True))
-                    continue
-                waiting.append((c, sizes[i], loose[i]))
-                if len(waiting) > HOT:
-                    waiting = list(set(waiting))
-                    if len(waiting) > HOT:
-                        out += [(t, x[0], 1, True) for x in waiting]
-                        waiting, long = [], True
-            if out:
-                yield batch(out)
-        if len(waiting) > 1:
-            yield batch(list(pairs(waiting)))
+            cls, n, rare, tokens, owner, place = _prefixes(b)
+            hot = np.bincount(owner, minlength=len(cls)) - rare
+            keep = place >= rare[owner]
+            tokens, owner, place = tokens[keep], owner[keep], (place - rare[owner])[keep]
+            bucket, mask = np.floor(np.log(n) / width).astype(np.int64), np.zeros(len(tokens), np.int64)
+            for bit in range(2 * RANGES + 1):
+                at = bucket + bit - RANGES
+                low = np.maximum(np.floor(np.exp(at * width)).astype(np.int64) - 1, needed(n, percent))
+                high = np.minimum(np.ceil(np.exp((at + 1) * width)).astype(np.int64) + 1, 100 * n // percent)
+                # least at one of the ends, but for rounding
+                share = np.maximum(1, np.minimum(shared_in_prefixes(n, low, percent), shared_in_prefixes(n, high, percent)) - 1)
+                mask |= (place < np.where(low <= high, hot - share + 1, 0)[owner]).astype(np.int64) << bit
+            own = owner[some := mask != 0]
+            yield pa.record_batch([pa.array(x) for x in (tokens[some], cls[own], bucket[own].astype(np.int32), mask[some])], names=["token", "cls", "bucket", "mask"])
 
     return run
 
 
+def _partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From (token, bucket, mask) in order of token: (token, bucket, partners), the bits of mask whose buckets have the bit of this one."""
+    for rows in _groups(batches, 1):
+        bucket, mask = (np.array([r[i] for r in rows], np.int64) for i in (1, 2))
+        step = bucket[None] - bucket[:, None] + RANGES
+        bit = np.clip(step, 0, 2 * RANGES)
+        both = (step == bit) & ((mask[:, None] >> bit) & (mask[None] >> (2 * RANGES - bit)) & 1).astype(bool)
+        partners = np.bitwise_or.reduce(np.where(both, np.int64(1) << bit, 0), axis=1)
+        yield pa.record_batch([pa.array(x) for x in (np.full(len(rows), rows[0][0]), bucket.astype(np.int32), partners)], names=["token", "bucket", "partners"])
+
+
+def _candidate_edges(rows: DataFrame, percent: int) -> DataFrame:
+    """Edges (a, b) that connect all classes that may be linked. rows: cls, n, rare, tokens, read twice. Vertices are classes, and
+    n-grams that many of them meet in."""
+    rows = rows.filter("cls is not null").select("cls", "n", "rare", "tokens")
+    postings = rows.filter("rare > 0").mapInArrow(lean(_postings), "token long, cls long, n int, hot int")
+    found = postings.repartition("token").sortWithinPartitions("token").mapInArrow(lean(_candidates(percent)), "a long, b long, share int, whole boolean")
+    shared = found.groupBy("a", "b", "whole").agg(F.count("*").alias("met"), F.max("share").alias("share"))
+    edges = shared.filter(F.col("whole") | (F.col("met") >= F.col("share"))).select("a", "b")
+    spots = cut(rows.filter("length(tokens) > 8 * rare").mapInArrow(lean(_spots(percent)), "token long, cls long, bucket int, mask long"))
+    if spots.isEmpty():
+        return edges
+    seen = spots.groupBy("token", "bucket").agg(F.bit_or("mask").alias("mask")).repartition("token").sortWithinPartitions("token")
+    key = F.xxhash64("token", "bucket").alias("key")
+    partners = cut(seen.mapInArrow(lean(_partners), "token long, bucket int, partners long").filter("partners <> 0").select(key, "partners"))
+    met = spread_join(spots.select("token", "cls", "mask", key), "key", partners, F.col("cls")).filter(F.col("mask").bitwiseAND(F.col("partners")) != 0)
+    return edges.unionByName(met.select(F.col("token").alias("a"), F.col("cls").alias("b")))
+
+
 class Trie:
     """Ordered sets of integers below `top`, equal beginnings once: nodes stand for runs of numbers that all sets below
     them go on with. Nodes are in order of depth, so that a walk goes on level by level with whole arrays."""
@@ -336,18 +430,29 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"key": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "row": F.xxhash64("doc_id", "text")})
 
 
-def _stored_rows(keyed: DataFrame, size: int, percent: int) -> DataFrame:
-    """ROWS of all rows, written once."""
-    spark = keyed.sparkSession
-    counts = cut(keyed.select("text").mapInArrow(lean(_prefix_tokens(size, percent)), "token long").groupBy("token").count().filter(F.col("count") > HOT))
+def _frequent(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Of counts (token, count) those of more than HOT, the most frequent ones, if they are more than HOT_MOST: ascending, and
+    their ranks by count."""
     least, broad = HOT, 0
     for row in counts.groupBy(F.floor(F.log2("count")).cast("int").alias("power")).count().orderBy(F.desc("power")).collect():
         broad += row["count"]
         if broad > HOT_MOST:  # only the most frequent are broadcast
             least = 2 ** (row["power"] + 1) - 1
             break
-    frequent = np.array([r["token"] for r in counts.filter(F.col("count") > least).select("token").collect()], np.int64).view(np.uint64)
-    hot = spark.sparkContext.broadcast(np.sort(frequent))
+    found = counts.filter(F.col("count") > least).select("token", "count").collect()
+    frequent, times = np.array([r["token"] for r in found], np.int64).view(np.uint64), np.array([r["count"] for r in found], np.int64)
+    order = np.argsort(frequent)
+    frequent, times = frequent[order], times[order]
+    ranks = np.empty(len(found), np.int32)
+    ranks[np.lexsort((frequent, times))] = np.arange(len(found))
+    return frequent, ranks
+
+
+def _stored_rows(keyed: DataFrame, size: int, percent: int) -> DataFrame:
+    """ROWS of all rows, written once."""
+    spark = keyed.sparkSession
+    counts = cut(keyed.select("text").mapInArrow(lean(_prefix_tokens(size, percent)), "token long").groupBy("token").count().filter(F.col("count") > HOT))
+    hot = spark.sparkContext.broadcast(_frequent(counts))
     path = shared_dir(spark, "ngram-rows")
     keyed.select(F.col("doc_id").cast("long").alias("doc_id"), "key", "row", "text").mapInArrow(lean(_rows(size, percent, hot)), ROWS).write.parquet(path)
     return told_apart(spark.read.schema(ROWS).parquet(path))
@@ -364,15 +469,20 @@ def told_apart(rows: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(clashes), "cls", "left").withColumn("cls", other).select(*rows.columns)
 
 
+def _dealt(members: DataFrame) -> DataFrame:
+    """members (family, n and others; stored) of families of two at least, with n_blocks."""
+    sizes = members.groupBy("family").agg(F.count("*").alias("members"), F.sum("n").alias("grams")).filter("members > 1")
+    blocks = F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("grams") / BLOCK_GRAMS)).cast("int").alias("n_blocks")
+    return cut(spread_join(members, "family", sizes.select("family", blocks), F.col("cls")).filter("n_blocks is not null"))
+
+
 def _family_sets(keyed: DataFrame, rows: DataFrame, candidates: DataFrame, size: int) -> DataFrame:
     """family, n_blocks, cls and grams of each class that has candidates."""
     families = components(candidates).withColumnsRenamed({"vertex": "cls", "root": "family"})
     # a class stands for its documents, and any row of it has its text
     heads = rows.filter("cls is not null").groupBy("cls").agg(F.min(F.struct("key", "row")).alias("h"), F.max("n").alias("n")).select("cls", "h.key", "h.row", "n")
     members = cut(heads.join(families, "cls"))
-    sizes = members.groupBy("family").agg(F.count("*").alias("members"), F.sum("n").alias("grams")).filter("members > 1")
-    blocks = F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("grams") / BLOCK_GRAMS)).cast("int").alias("n_blocks")
-    wanted = cut(spread_join(members, "family", sizes.select("family", blocks), F.col("cls")).filter("n_blocks is not null"))
+    wanted = _dealt(members)
     place = F.col("row").bitwiseAND(SIEVE - 1)
     bits = wanted.groupBy(F.shiftright(place, 6).cast("int").alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))).alias("bits"))
     words = np.zeros(SIEVE >> 6, np.uint64)
@@ -382,6 +492,54 @@ def _family_sets(keyed: DataFrame, rows: DataFrame, candidates: DataFrame, size:
     return cut(found.join(wanted, ["key", "row"]).dropDuplicates(["key", "row"]).select("family", "n_blocks", "cls", "grams"))
 
 
+def _own_tokens(family: int, grams: bytes) -> np.ndarray:
+    """A set's n-grams as numbers that are the family's own, ascending."""
+    return np.sort(mixed(_set(grams) ^ np.uint64(family & ((1 << 64) - 1))))
+
+
+def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From (family, grams): (token, count) of about so many n-grams at a time as a block has."""
+    for b in batches:
+        waiting, held = [], 0
+        for i, (family, grams) in enumerate(zip(b.column(0), b.column(1), strict=True)):
+            waiting.append(_own_tokens(family.as_py(), grams.as_py()))
+            held += len(waiting[-1])
+            if held >= BLOCK_GRAMS or i + 1 == b.num_rows:
+                tokens, counts = np.unique(np.concatenate(waiting), return_counts=True)
+                yield pa.record_batch([pa.array(tokens.view(np.int64)), pa.array(counts, pa.int64())], names=["token", "count"])
+                waiting, held = [], 0
+
+
+def _family_rows(percent: int, hot):
+    """From (family, cls, grams): cls, n, rare and tokens."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            made = []
+            for family, cls, grams in zip(*b.columns, strict=True):
+                found = _own_tokens(family.as_py(), grams.as_py())
+                rare, tokens = _prefix(found, hot.value, percent)
+                made.append((cls.as_py(), len(found), rare, tokens.tobytes()))
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+            yield pa.record_batch([pa.array([x[i] for x in made], k) for i, k in enumerate(kinds)], names=["cls", "n", "rare", "tokens"])
+
+    return run
+
+
+def _narrowed(sets: DataFrame, percent: int) -> DataFrame:
+    """sets, with those of families of more than WIDE blocks in smaller families or left out: candidates are sought again in
+    each by n-grams that are counted in its whole sets."""
+    wide = sets.filter(F.col("n_blocks") > WIDE)
+    if wide.isEmpty():
+        return sets
+    counts = cut(wide.select("family", "grams").mapInArrow(lean(_tally), "token long, count long").groupBy("token").agg(F.sum("count").alias("count")).filter(F.col("count") > HOT))
+    hot = sets.sparkSession.sparkContext.broadcast(_frequent(counts))
+    rows = cut(wide.select("family", "cls", "grams").mapInArrow(lean(_family_rows(percent, hot)), "cls long, n long, rare int, tokens binary"))
+    families = components(_candidate_edges(rows, percent)).withColumnsRenamed({"vertex": "cls", "root": "family"})
+    own = _dealt(cut(rows.select("cls", "n").join(families, "cls"))).join(wide.select("cls", "grams"), "cls")
+    return cut(sets.filter(F.col("n_blocks") <= WIDE).unionByName(own.select("family", "n_blocks", "cls", "grams")))
+
+
 def _family_links(sets: DataFrame, percent: int) -> DataFrame:
     """(vertex, root) of every class that is linked."""
     block = F.pmod(F.xxhash64("cls"), "n_blocks").cast("int").alias("block")
@@ -412,11 +570,8 @@ def _linked(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFr
     """ROWS of all rows, and (vertex, root) of the classes that are linked: root is the same all over a component."""
     keyed = _keyed(docs.select("doc_id", "text"))
     rows = _stored_rows(keyed, size, percent)
-    postings = rows.filter("cls is not null").select("cls", "n", "rare", "tokens").mapInArrow(lean(_postings), "deal long, token long, cls long, n int, loose boolean, hot boolean")
-    found = postings.repartition("deal").sortWithinPartitions("deal").mapInArrow(lean(_candidates(percent)), "a long, b long, share int, whole boolean")
-    shared = found.groupBy("a", "b", "whole").agg(F.count("*").alias("met"), F.max("share").alias("share"))
-    candidates = shared.filter(F.col("whole") | (F.col("met") >= F.col("share"))).select("a", "b")
-    return rows, _family_links(_family_sets(keyed, rows, candidates, size), percent)
+    sets = _narrowed(_family_sets(keyed, rows, _candidate_edges(rows, percent), size), percent)
+    return rows, _family_links(sets, percent)
 
 
 def join_documents(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
